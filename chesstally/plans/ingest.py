@@ -22,13 +22,17 @@ def _unicode_trim(c):
 
 
 def parse_index(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Index lines -> ``month string, url string`` (unordered; see :func:`order_plan`)."""
-    url = _unicode_trim(F.col(col))
-    # (?U): \d matches any Unicode decimal digit; \z: end of the (trimmed) line only.
-    month = F.regexp_extract(url, "(?U)" + INDEX_LINE_PATTERN.replace("$", r"\z"), 1)
-    return (lines.select(url.alias("url"), month.alias("month"))
-            .where((F.col("url") != F.lit("")) & (F.col("month") != F.lit("")))
-            .select("month", "url"))
+    """Index lines -> ``month string, url string`` (unordered; see :func:`order_plan`).
+
+    The pattern is anchored at the end of the *trimmed* line, which equals trailing whitespace
+    then end of the raw line, so the month comes from the raw line with one regex and the trim
+    runs only for kept lines. ``(?U)``: ``\\d``/``\\s`` are Unicode classes; ``\\z``: end of
+    input only (``$`` would also match before a final line terminator).
+    """
+    month = F.regexp_extract(F.col(col), "(?U)" + INDEX_LINE_PATTERN.replace("$", r"\s*\z"), 1)
+    parsed = lines.select(F.col(col).alias("__line"), month.alias("month"))
+    return (parsed.where(F.col("month") != F.lit(""))
+            .select("month", _unicode_trim(F.col("__line")).alias("url")))
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
