@@ -51,10 +51,20 @@ def code_of(index: int) -> str:
     return "ABCDE"[index // 100] + f"{index % 100:02d}"
 
 
+@lru_cache(maxsize=1)
+def _dimension_sql() -> str:
+    rows = ", ".join(f"('{code_of(i)}', {i}, '{label}')"
+                     for lo, hi, label in eco_ranges() for i in range(lo, hi + 1))
+    return f"SELECT * FROM VALUES {rows} AS eco_dimension(code, eco_index, eco_group)"
+
+
 def eco_dimension(spark: SparkSession) -> DataFrame:
-    """500 rows ``(code string, eco_index int, eco_group string)``."""
-    rows = [(code_of(i), i, label) for lo, hi, label in eco_ranges() for i in range(lo, hi + 1)]
-    return spark.createDataFrame(rows, "code string, eco_index int, eco_group string")
+    """500 rows ``(code string, eco_index int, eco_group string)``.
+
+    An inline ``VALUES`` table: a JVM-local relation, so broadcasting it needs no Spark job
+    and no Python worker (a DataFrame made from a Python list would be scanned through one).
+    """
+    return spark.sql(_dimension_sql())
 
 
 def eco_group_expr(index: Column | str) -> Column:
