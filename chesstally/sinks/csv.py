@@ -50,11 +50,14 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 def write_csv_dir(df: DataFrame, directory: str, by: str | None = None) -> None:
     """Multi-part CSV directory (optionally one sub-directory per ``by`` value)."""
-    w = _writer(csv_order(df) if by is None else df)
-    if by is not None:
-        w = _writer(df.repartition(by).sortWithinPartitions(
-            F.desc("games"), *[F.asc(c) for c in KEY_COLUMNS])).partitionBy(by)
-    w.csv(directory)
+    if by is None:
+        _writer(csv_order(df)).csv(directory)
+        return
+    # The partitioned writer needs rows ordered by ``by``; leading with it makes the writer keep
+    # this order instead of re-sorting (which would lose the games-descending order per file).
+    ordered = df.repartition(by).sortWithinPartitions(
+        F.asc(by), F.desc("games"), *[F.asc(c) for c in KEY_COLUMNS])
+    _writer(ordered).partitionBy(by).csv(directory)
 
 
 def monthly_output_path(base: str | None, month: str, base_is_dir: bool | None = None) -> str | None:

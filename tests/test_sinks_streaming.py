@@ -73,6 +73,11 @@ def test_csv_per_source_month(spark, tmp_dir):
     os.makedirs(out_dir)
     written = write_csv_per_source_month(aggregate_games(games, by=["source_month"]), out_dir)
     assert sorted(os.path.basename(p) for p in written) == ["2013-07.csv", "2013-08.csv"]
+    for p in written:
+        with open(p) as f:
+            rows = [line.split(",") for line in f.read().splitlines()[1:]]
+        keyed = [(-int(r[4]), r[0], r[1], int(r[2]), int(r[3])) for r in rows]
+        assert keyed == sorted(keyed)
     base = os.path.join(tmp_dir, "named", "agg.csv")
     written = write_csv_per_source_month(aggregate_games(games, by=["source_month"]), base)
     assert sorted(os.path.basename(p) for p in written) == ["agg-2013-07.csv", "agg-2013-08.csv"]
