@@ -4,7 +4,7 @@
 
 Setup (not timed): the PGN text derived from ``lineitem`` is materialised once under the
 session's checkpoint dir, and the aggregate table the trend queries read is written once.
-Each query then runs ``BENCH_REPEAT`` times (default 2) and its best time is reported; every
+Each query then runs ``BENCH_REPEAT`` times (default 3) and its best time is reported; every
 run executes the full plan (``noop`` sink or the query's own write).
 """
 
@@ -38,7 +38,7 @@ def _run(df: DataFrame) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(
         f"local[{cpus}]", app_name="chesstally-bench", shuffle_partitions=int(cpus) * 2,
         extra_conf={"spark.ui.showConsoleProgress": "false",
