@@ -30,6 +30,7 @@ from chesstally.functions.keys import (
     result_value,
     validate_bucket_size,
 )
+from chesstally.sources.pgn import source_month_from_path
 from chesstally.operators.aggregate import (
     KEY_COLUMNS,
     MEASURE_COLUMNS,
@@ -61,10 +62,18 @@ def _check_props(spark: SparkSession, store: str, bucket_size: int) -> None:
 
 
 def aggregate_by_source(games: DataFrame, bucket_size: int = 200) -> DataFrame:
-    """Aggregate per (source file, key); ``games`` needs ``source_file`` and ``source_month``
-    (as produced by :func:`chesstally.sources.pgn.read_games`)."""
-    keyed = games.withColumn("source_id", source_id(F.col("source_file")))
-    return aggregate_games(keyed, bucket_size, by=SOURCE_COLUMNS)
+    """Aggregate per (source file, key); ``games`` needs ``source_file`` (as produced by
+    :func:`chesstally.sources.pgn.read_games`).
+
+    Only the path is part of the per-game key; its hash id and month are functions of the path,
+    computed on the aggregated rows (bounded per file) instead of once per game.
+    """
+    agg = aggregate_games(games, bucket_size, by=["source_file"])
+    return agg.select(
+        source_id(F.col("source_file")).alias("source_id"),
+        "source_file",
+        source_month_from_path(F.col("source_file")).alias("source_month"),
+        *KEY_COLUMNS, *MEASURE_COLUMNS)
 
 
 def write_by_source(agg_by_source: DataFrame, store: str, bucket_size: int = 200) -> None:

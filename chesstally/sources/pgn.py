@@ -83,17 +83,18 @@ def _shape(raw: DataFrame, with_source: bool) -> DataFrame:
     cols = [F.col("value").alias("game")]
     if with_source:
         path = F.col("_metadata.file_path")
-        from_name = F.regexp_extract(path, r"(?U)" + DUMP_MONTH_PATTERN + r"[^/]*\z", 1)
-        from_name = F.when(from_name != F.lit(""), from_name)
-        if "source_month" in raw.columns:
-            month = F.coalesce(F.col("source_month").cast("string"), from_name)
+        if "source_month" in raw.columns:  # partition column: constant per file, no per-row work
+            month = F.coalesce(F.col("source_month").cast("string"), source_month_from_path(path))
         else:
-            month = from_name
+            month = source_month_from_path(path)
         cols += [path.alias("source_file"), month.alias("source_month")]
     return raw.select(*cols)
 
 
 def source_month_from_path(path: Column | str) -> Column:
+    """``YYYY-MM`` of a dump file name, else of a ``source_month=`` directory, else NULL."""
     path = F.col(path) if isinstance(path, str) else path
-    m = F.regexp_extract(path, r"(?U)" + DUMP_MONTH_PATTERN + r"[^/]*\z", 1)
-    return F.when(m != F.lit(""), m)
+    from_name = F.regexp_extract(path, r"(?U)" + DUMP_MONTH_PATTERN + r"[^/]*\z", 1)
+    from_dir = F.regexp_extract(path, r"/source_month=(\d{4}-\d{2})/[^/]*\z", 1)
+    return (F.when(from_name != F.lit(""), from_name)
+            .when(from_dir != F.lit(""), from_dir))

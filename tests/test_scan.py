@@ -84,5 +84,6 @@ def test_multiple_files_and_missing_paths(spark, tmp_dir, capsys):
 def test_source_month_from_path(spark):
     df = spark.createDataFrame(
         [("s3://b/x/games_rated_2014-02.pgn.zst",), ("/d/source_month=1999-01/part-1.txt",),
-         ("/d/2014-02/x.txt",)], "p string")
-    assert [r[0] for r in df.select(source_month_from_path("p")).collect()] == ["2014-02", None, None]
+         ("/d/2014-02/x.txt",), ("/d/source_month=1999-01/sub/x.txt",)], "p string")
+    assert [r[0] for r in df.select(source_month_from_path("p")).collect()] == \
+        ["2014-02", "1999-01", None, None]
