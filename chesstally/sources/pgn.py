@@ -83,8 +83,10 @@ def _shape(raw: DataFrame, with_source: bool) -> DataFrame:
     cols = [F.col("value").alias("game")]
     if with_source:
         path = F.col("_metadata.file_path")
-        if "source_month" in raw.columns:  # partition column: constant per file, no per-row work
-            month = F.coalesce(F.col("source_month").cast("string"), source_month_from_path(path))
+        if "source_month" in raw.columns:
+            # The partition column itself, untouched: filters on it prune directories at
+            # planning time (PartitionFilters) and it costs nothing per row.
+            month = F.col("source_month").cast("string")
         else:
             month = source_month_from_path(path)
         cols += [path.alias("source_file"), month.alias("source_month")]
