@@ -33,6 +33,19 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst)))
 
 
+def move_file(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename a single file, replacing ``dst``; drops a checksum sidecar (``.name.crc``) that
+    Hadoop's local filesystem keeps next to files (other filesystems have none)."""
+    if exists(spark, dst):
+        delete(spark, dst, recursive=False)
+    if not rename(spark, src, dst):
+        raise RuntimeError(f"could not move {src} to {dst}")
+    parent, _, name = dst.rstrip("/").rpartition("/")
+    sidecar = f"{parent}/.{name}.crc"
+    if exists(spark, sidecar):
+        delete(spark, sidecar, recursive=False)
+
+
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     fs, p = _path(spark, path)
     return bool(fs.delete(p, recursive))

@@ -1,6 +1,9 @@
 """End-to-end jobs.
 
 * :func:`aggregate_files`: PGN files -> aggregate table (optionally one CSV), one Spark job.
+* :func:`run_files` / :func:`run_index`: the two command-line workflows. The games are scanned
+  once, aggregated per source file into a table under the scratch folder, and every output
+  (game count, CSVs, store, ledger counts, JDBC upsert) is derived from that small table.
 * :func:`ingest_plan`: planned dump files -> by-source store, with ledger events around it.
   All planned files are read by one job (the reference walks months one after another); the
   ledger records ``started`` before and ``success`` with per-month game counts after the store
@@ -11,15 +14,17 @@
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chesstally.operators.aggregate import aggregate_games
+from chesstally.operators.aggregate import KEY_COLUMNS, MEASURE_COLUMNS, aggregate_games, merge_aggregates
 from chesstally.plans.ingest import build_plan
+from chesstally.session import scratch_path
 from chesstally.sinks import ledger as ledger_mod
-from chesstally.sinks.csv import write_csv
-from chesstally.sinks.store import ingest_games, read_store_by_source
+from chesstally.sinks.csv import write_csv, write_csv_per_source_month
+from chesstally.sinks.store import aggregate_by_source, ingest_games, read_store_by_source, write_by_source
 from chesstally.sources.pgn import read_games
 
 
@@ -41,6 +46,66 @@ def plan_from_index(spark: SparkSession, index_path: str, since: str | None = No
     return build_plan(lines, since, until, done)
 
 
+def _by_source_table(spark: SparkSession, games: DataFrame, bucket_size: int) -> DataFrame:
+    """Aggregate per source file once and keep it as a written table (cuts the lineage: the
+    outputs below read this small table instead of re-scanning the games)."""
+    path = scratch_path(spark, "runs", f"by-source-{uuid.uuid4().hex[:12]}")
+    aggregate_by_source(games, bucket_size).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _outputs(spark: SparkSession, by_source: DataFrame, bucket_size: int, store: str | None,
+             jdbc_url: str | None) -> DataFrame:
+    agg = merge_aggregates(by_source)
+    if store:
+        write_by_source(by_source, store, bucket_size)
+    if jdbc_url:
+        from chesstally.sinks.jdbc import upsert_aggregates
+
+        upsert_aggregates(agg, jdbc_url)
+    return agg
+
+
+def run_files(spark: SparkSession, paths, out: str | None = None, bucket_size: int = 200,
+              store: str | None = None, jdbc_url: str | None = None) -> int:
+    """Local workflow: aggregate the given files; returns the number of games."""
+    games = read_games(spark, paths, skip_missing=True)
+    by_source = _by_source_table(spark, games, bucket_size)
+    agg = _outputs(spark, by_source, bucket_size, store, jdbc_url)
+    if out:
+        write_csv(agg, out)
+    total = by_source.agg(F.sum("games")).collect()[0][0]
+    return int(total or 0)
+
+
+def run_index(spark: SparkSession, index_path: str, since: str | None = None,
+              until: str | None = None, out: str | None = None, bucket_size: int = 200,
+              store: str | None = None, ledger_path: str | None = None,
+              jdbc_url: str | None = None) -> dict[str, int]:
+    """Index workflow: plan dump files, aggregate them in one job, write the outputs;
+    returns ``{source month: games}``."""
+    plan = plan_from_index(spark, index_path, since, until, ledger_path)
+    items = [(r.month, r.url) for r in plan.collect()]  # one row per dump file
+    if not items:
+        print("No files to process.")
+        return {}
+    if ledger_path:
+        ledger_mod.append_events(ledger_mod.start_events(spark, items), ledger_path)
+    t0 = time.time()
+    by_source = _by_source_table(spark, read_games(spark, [u for _, u in items]), bucket_size)
+    _outputs(spark, by_source, bucket_size, store, jdbc_url)
+    if out:
+        per_month = by_source.groupBy("source_month", *KEY_COLUMNS).agg(
+            *(F.sum(m).alias(m) for m in MEASURE_COLUMNS))
+        write_csv_per_source_month(per_month, out)
+    games = by_source.groupBy(F.col("source_month").alias("month")).agg(
+        F.sum("games").alias("games"))
+    if ledger_path:
+        ledger_mod.append_events(ledger_mod.finish_events_from(
+            games, int((time.time() - t0) * 1000), "success"), ledger_path)
+    return {r.month: int(r.games) for r in games.collect()}
+
+
 def ingest_plan(spark: SparkSession, plan: DataFrame, store: str, ledger_path: str | None = None,
                 bucket_size: int = 200) -> dict[str, int]:
     """Ingest every planned file; returns ``{month: games}`` for the planned months."""

@@ -38,12 +38,9 @@ def write_csv(df: DataFrame, path: str) -> str:
     parts = fs.list_files(spark, staging, ".csv")
     if len(parts) != 1:
         raise RuntimeError(f"expected one CSV part in {staging}, found {len(parts)}")
-    if fs.exists(spark, path):
-        fs.delete(spark, path, recursive=False)
     parent = path.rsplit("/", 1)[0] if "/" in path else "."
     fs.mkdirs(spark, parent)
-    if not fs.rename(spark, parts[0], path):
-        raise RuntimeError(f"could not move {parts[0]} to {path}")
+    fs.move_file(spark, parts[0], path)
     fs.delete(spark, staging)
     return path
 
@@ -100,9 +97,7 @@ def write_csv_per_source_month(agg_by_month: DataFrame, base: str) -> list[str]:
         parts = fs.list_files(spark, d, ".csv")
         if len(parts) != 1:
             raise RuntimeError(f"expected one CSV part in {d}, found {len(parts)}")
-        if fs.exists(spark, target):
-            fs.delete(spark, target, recursive=False)
-        fs.rename(spark, parts[0], target)
+        fs.move_file(spark, parts[0], target)
         written.append(target)
     fs.delete(spark, staging)
     return written

@@ -158,3 +158,34 @@ def test_streaming_ingest_resumes_and_adds(spark, tmp_dir):
     assert total.agg(F.sum("games")).collect()[0][0] == 13
     batch = aggregate_games(read_games(spark, src))
     assert _tuples(total) == _tuples(batch)
+
+
+def test_run_files_and_run_index(spark, tmp_dir):
+    from chesstally.cli import parse_args
+    from chesstally.jobs import run_files, run_index
+
+    paths = [dump(tmp_dir, m, n, sub="plain") for m, n in (("2013-01", 4), ("2013-02", 6))]
+    out = os.path.join(tmp_dir, "o", "agg.csv")
+    st = os.path.join(tmp_dir, "store1")
+    assert run_files(spark, paths + [os.path.join(tmp_dir, "nope.pgn")], out=out, store=st) == 10
+    assert read_aggregates_csv(spark, out).agg(F.sum("games")).collect()[0][0] == 10
+    assert store.read_store(spark, st).agg(F.sum("games")).collect()[0][0] == 10
+
+    index = write(os.path.join(tmp_dir, "list.txt"),
+                  "".join(f"file://{p}.zst\n" for p in paths))
+    for p in paths:
+        with open(p, "rb") as f:
+            write(p + ".zst", zstandard.ZstdCompressor().compress(f.read()))
+    outdir = os.path.join(tmp_dir, "monthly")
+    os.makedirs(outdir)
+    led, st2 = os.path.join(tmp_dir, "ledger"), os.path.join(tmp_dir, "store2")
+    got = run_index(spark, index, since="2013-02", out=outdir, store=st2, ledger_path=led)
+    assert got == {"2013-02": 6}
+    assert sorted(os.listdir(outdir)) == ["2013-02.csv"]
+    assert run_index(spark, index, since="2013-02", ledger_path=led) == {}  # already ingested
+    assert run_index(spark, index, ledger_path=led) == {"2013-01": 4}
+
+    a = parse_args(["--index", "l.txt", "--since", "2013-01", "-o", "out/"])
+    assert (a.index, a.since, a.out, a.bucket_size) == ("l.txt", "2013-01", "out/", 200)
+    with pytest.raises(SystemExit):
+        parse_args([])
