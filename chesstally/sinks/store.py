@@ -102,11 +102,18 @@ def read_store_by_source(spark: SparkSession, store: str) -> DataFrame:
     return spark.read.parquet(store)
 
 
-def land_games(games: DataFrame, path: str, mode: str = "overwrite") -> None:
+LANDED_ROWS_PER_FILE = 5_000_000
+
+
+def land_games(games: DataFrame, path: str, mode: str = "overwrite",
+               rows_per_file: int = LANDED_ROWS_PER_FILE) -> None:
     """Write per-game keys as parquet partitioned by ``source_month`` (dynamic overwrite).
 
     Columns: ``source_month, source_file, month, eco_group, white_elo, black_elo, result``;
-    Elo values stay unbucketed so any bucket size can be applied later.
+    Elo values stay unbucketed so any bucket size can be applied later. No shuffle: each scan
+    task writes its own games. ``rows_per_file`` caps file size, so a source holding a large
+    share of all games (one unsplittable dump scanned by one task) still lands as many
+    evenly sized files and later reads are balanced.
     """
     tags = game_tags(games, keep=["source_file", "source_month"])
     raw = tags.select(
@@ -128,6 +135,7 @@ def land_games(games: DataFrame, path: str, mode: str = "overwrite") -> None:
     landed = with_eco_group(keyed, code_col="eco_code").select(
         "source_month", "source_file", "month", "eco_group", "white_elo", "black_elo", "result")
     (landed.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", rows_per_file)
      .partitionBy("source_month").parquet(path))
 
 

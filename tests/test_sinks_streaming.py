@@ -189,3 +189,14 @@ def test_run_files_and_run_index(spark, tmp_dir):
     assert (a.index, a.since, a.out, a.bucket_size) == ("l.txt", "2013-01", "out/", 200)
     with pytest.raises(SystemExit):
         parse_args([])
+
+
+def test_land_games_caps_file_size(spark, tmp_dir):
+    dump(tmp_dir, "2013-07", 50)
+    games = read_games(spark, os.path.join(tmp_dir, "dumps")).coalesce(1)
+    path = os.path.join(tmp_dir, "landed_small")
+    store.land_games(games, path, rows_per_file=7)
+    files = [f for f in os.listdir(os.path.join(path, "source_month=2013-07"))
+             if f.endswith(".parquet")]
+    assert len(files) == 8  # ceil(50 / 7) files from one task
+    assert _tuples(store.aggregate_landed(spark, path)) == _tuples(aggregate_games(games))
