@@ -15,6 +15,7 @@ databases are not on this machine's classpath. The SQL text is unit-tested.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote, urlsplit, urlunsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,20 +63,34 @@ def detect_backend(url: str | None) -> str:
     raise ValueError(f"unsupported database URL scheme: {url}")
 
 
+def _split_credentials(url: str) -> tuple[str, dict[str, str]]:
+    """Move ``user:password@`` out of a server URL into connection properties."""
+    parts = urlsplit(url)
+    if not parts.username:
+        return url, {}
+    host = parts.hostname or ""
+    if parts.port:
+        host += f":{parts.port}"
+    creds = {"user": unquote(parts.username)}
+    if parts.password is not None:
+        creds["password"] = unquote(parts.password)
+    return urlunsplit((parts.scheme, host, parts.path, parts.query, parts.fragment)), creds
+
+
 def jdbc_url(url: str) -> str:
-    """Database URL -> JDBC URL (``postgres://h/db`` -> ``jdbc:postgresql://h/db``)."""
+    """Database URL -> JDBC URL (``postgres://u:p@h/db`` -> ``jdbc:postgresql://h/db``)."""
     backend = detect_backend(url)
-    rest = url.split(":", 1)[1]
-    if backend == "postgres":
-        return "jdbc:postgresql:" + rest
-    if backend == "mysql":
-        return "jdbc:mysql:" + rest
-    return "jdbc:sqlite:" + rest.removeprefix("//")
+    if backend == "sqlite":
+        return "jdbc:sqlite:" + url.split(":", 1)[1].removeprefix("//")
+    bare, _ = _split_credentials(url)
+    rest = bare.split(":", 1)[1]
+    return ("jdbc:postgresql:" if backend == "postgres" else "jdbc:mysql:") + rest
 
 
 def jdbc_options(url: str, **extra: str) -> dict[str, str]:
     backend = detect_backend(url)
-    return {"url": jdbc_url(url), "driver": DRIVERS[backend], **extra}
+    creds = {} if backend == "sqlite" else _split_credentials(url)[1]
+    return {"url": jdbc_url(url), "driver": DRIVERS[backend], **creds, **extra}
 
 
 def upsert_sql(backend: str, target: str = "aggregates", staging: str = "aggregates_stage") -> str:
@@ -109,7 +124,7 @@ def _execute(spark: SparkSession, url: str, statements: list[str], props: dict[s
     """Run statements in one transaction on a driver-side JDBC connection."""
     jvm = spark.sparkContext._jvm
     info = jvm.java.util.Properties()
-    for k, v in props.items():
+    for k, v in {**_split_credentials(url)[1], **props}.items():
         info.setProperty(k, v)
     conn = jvm.java.sql.DriverManager.getConnection(jdbc_url(url), info)
     try:

@@ -118,6 +118,11 @@ def test_jdbc_backend_and_sql():
             jdbc.detect_backend(bad)
     assert jdbc.jdbc_url("postgres://h:5432/db") == "jdbc:postgresql://h:5432/db"
     assert jdbc.jdbc_url("sqlite:data/x.db") == "jdbc:sqlite:data/x.db"
+    opts = jdbc.jdbc_options("postgresql://al%40x:p%3Aw@db.example:5432/games?sslmode=require")
+    assert opts["url"] == "jdbc:postgresql://db.example:5432/games?sslmode=require"
+    assert (opts["user"], opts["password"]) == ("al@x", "p:w")
+    assert opts["driver"] == "org.postgresql.Driver"
+    assert jdbc.jdbc_options("mysql://u@h/db")["url"] == "jdbc:mysql://h/db"
     pg = jdbc.upsert_sql("postgres", "aggregates", "stage")
     assert "ON CONFLICT (month, eco_group, white_bucket, black_bucket)" in pg
     assert "games = aggregates.games + excluded.games" in pg
