@@ -86,3 +86,29 @@ def rollup_counts(agg: DataFrame) -> DataFrame:
 def cube_counts(agg: DataFrame, dims: tuple[str, ...] = tuple(KEY_COLUMNS)) -> DataFrame:
     """All subtotals over any subset of ``dims`` (counts are additive, so every one is exact)."""
     return agg.cube(*dims).agg(*_sums(*MEASURE_COLUMNS))
+
+
+def elo_gap_performance(agg: DataFrame, exclude_unrated: bool = True) -> DataFrame:
+    """White's score and draw rate by rating gap ``white_bucket - black_bucket``."""
+    if exclude_unrated:
+        agg = agg.where((F.col("white_bucket") > 0) & (F.col("black_bucket") > 0))
+    gap = (F.col("white_bucket") - F.col("black_bucket")).alias("gap")
+    s = agg.groupBy(gap).agg(*_sums(*MEASURE_COLUMNS))
+    finished = F.col("white_wins") + F.col("black_wins") + F.col("draws")
+    return s.select(
+        "gap", *MEASURE_COLUMNS,
+        F.try_divide(F.col("white_wins") * 2 + F.col("draws"), finished * 2).alias("white_score"),
+        F.try_divide(F.col("draws"), F.col("games")).alias("draw_rate"),
+    )
+
+
+def opening_trend(agg: DataFrame) -> DataFrame:
+    """Per opening group and month (``unknown`` excluded): share of the month's games, and the
+    change of games and share against the group's previous month with games."""
+    pop = opening_popularity(agg.where(F.col("month") != F.lit(UNKNOWN_MONTH)))
+    w = Window.partitionBy("eco_group").orderBy("month")  # one partition per group: ≤ months rows
+    return pop.select(
+        "eco_group", "month", "games", "share",
+        (F.col("games") - F.lag("games").over(w)).alias("games_change"),
+        (F.col("share") - F.lag("share").over(w)).alias("share_change"),
+    )

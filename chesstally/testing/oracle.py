@@ -276,6 +276,35 @@ SELECT white_bucket, black_bucket, CAST(sum(games) AS BIGINT) AS games,
 FROM a GROUP BY CUBE (white_bucket, black_bucket)
 """
 
+ELO_GAP_PERFORMANCE = f"""
+WITH a AS ({AGG}),
+s AS (SELECT CAST(white_bucket - black_bucket AS INTEGER) AS gap,
+             CAST(sum(games) AS BIGINT) AS games,
+             CAST(sum(white_wins) AS BIGINT) AS white_wins,
+             CAST(sum(black_wins) AS BIGINT) AS black_wins,
+             CAST(sum(draws) AS BIGINT) AS draws
+      FROM a WHERE white_bucket > 0 AND black_bucket > 0 GROUP BY 1)
+SELECT gap, games, white_wins, black_wins, draws,
+       CASE WHEN white_wins + black_wins + draws = 0 THEN NULL
+            ELSE CAST(white_wins * 2 + draws AS DOUBLE)
+                 / CAST((white_wins + black_wins + draws) * 2 AS DOUBLE) END AS white_score,
+       CAST(draws AS DOUBLE) / CAST(games AS DOUBLE) AS draw_rate
+FROM s
+"""
+
+OPENING_TREND = f"""
+WITH a AS ({AGG}),
+p AS (SELECT month, eco_group, CAST(sum(games) AS BIGINT) AS games FROM a
+      WHERE month <> 'unknown' GROUP BY 1, 2),
+s AS (SELECT month, eco_group, games,
+             CAST(games AS DOUBLE) / CAST(sum(games) OVER (PARTITION BY month) AS DOUBLE) AS share
+      FROM p)
+SELECT eco_group, month, games, share,
+       games - lag(games) OVER (PARTITION BY eco_group ORDER BY month) AS games_change,
+       share - lag(share) OVER (PARTITION BY eco_group ORDER BY month) AS share_change
+FROM s
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "agg_full": AGG,
     "agg_total_games": TOTAL_GAMES,
@@ -304,4 +333,6 @@ ORACLE_SQL: dict[str, str] = {
     "top_openings": TOP_OPENINGS,
     "rollup_counts": ROLLUP_COUNTS,
     "cube_buckets": CUBE_BUCKETS,
+    "elo_gap_performance": ELO_GAP_PERFORMANCE,
+    "opening_trend": OPENING_TREND,
 }

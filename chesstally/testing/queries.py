@@ -212,6 +212,14 @@ def rollup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.rollup_counts(agg_full(spark, sf_dir))
 
 
+def elo_gap_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.elo_gap_performance(agg_full(spark, sf_dir))
+
+
+def opening_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends.opening_trend(agg_full(spark, sf_dir))
+
+
 def cube_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.cube_counts(agg_full(spark, sf_dir), ("white_bucket", "black_bucket"))
 
@@ -244,4 +252,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_openings": top_openings,
     "rollup_counts": rollup_counts,
     "cube_buckets": cube_buckets,
+    "elo_gap_performance": elo_gap_performance,
+    "opening_trend": opening_trend,
 }
