@@ -8,7 +8,6 @@ error, because a machine-local folder is not visible to the executors.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import threading
 
@@ -60,9 +59,9 @@ def scratch_root(spark: SparkSession) -> str:
                 raise RuntimeError(
                     "spark.checkpoint.dir is not set; set it to a folder shared by all executors"
                 )
-            root = tempfile.mkdtemp(prefix="chesstally-")
-            spark.conf.set("spark.checkpoint.dir", root)
-            spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
+            # spark.checkpoint.dir is a core setting and cannot change at run time; the
+            # context's checkpoint dir can, and later calls derive the root from it.
+            root = "file:" + tempfile.mkdtemp(prefix="chesstally-")
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(root)
         return root.rstrip("/")

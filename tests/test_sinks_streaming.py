@@ -205,3 +205,23 @@ def test_land_games_caps_file_size(spark, tmp_dir):
              if f.endswith(".parquet")]
     assert len(files) == 8  # ceil(50 / 7) files from one task
     assert _tuples(store.aggregate_landed(spark, path)) == _tuples(aggregate_games(games))
+
+
+def test_scratch_root_without_checkpoint_dir(tmp_dir):
+    """In a fresh local session with no checkpoint dir configured, a temp root is created once
+    and reused (run in a subprocess without spark-defaults)."""
+    import subprocess
+    import sys
+
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from pyspark.sql import SparkSession\n"
+            "from chesstally.session import scratch_root\n"
+            "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled','false')"
+            ".getOrCreate()\n"
+            "a = scratch_root(s); b = scratch_root(s)\n"
+            "print('ROOT', a == b, a.startswith('/') or a.startswith('file:'))\n"
+            % os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = dict(os.environ, SPARK_CONF_DIR=tmp_dir)
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True,
+                         timeout=180)
+    assert "ROOT True True" in out.stdout, out.stderr[-2000:]
