@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from chesstally import fs
 from chesstally.session import scratch_path
 
-GENERATOR_VERSION = "g3"
+GENERATOR_VERSION = "g4"
 _LOCK = threading.Lock()
 
 
@@ -91,12 +91,14 @@ def game_text(li: DataFrame) -> Column:
     return F.when(ok % 4 == 1, F.regexp_replace(text, "\n", "\r\n")).otherwise(text)
 
 
-def generated_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``source_month string, game string``: one generated game per ``lineitem`` row."""
+def generated_games(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
+    """``source_month string, game string``: one generated game per ``lineitem`` row
+    (+ ``l_orderkey`` with ``with_key``)."""
     li = _table(spark, sf_dir, "lineitem")
     return li.select(
         F.date_format(F.col("l_shipdate"), "yyyy-MM").alias("source_month"),
         game_text(li).alias("game"),
+        *([F.col("l_orderkey")] if with_key else []),
     )
 
 
@@ -109,17 +111,20 @@ def pgn_dataset(spark: SparkSession, sf_dir: str, layout: str = "monthly") -> st
     """Directory of generated PGN text files; written once, then reused.
 
     ``monthly``: ``source_month=YYYY-MM/part-*.txt`` like one dump per month (range partitioning
-    on ``(source_month, game)`` balances the write even when one month holds most games).
+    on ``(source_month, l_orderkey)`` balances the write even when one month holds most games,
+    and samples integers rather than game texts).
     """
     target = scratch_path(spark, "pgn", _key(sf_dir, layout))
     with _LOCK:
         if fs.exists(spark, target + "/_SUCCESS"):
             return target
-        games = generated_games(spark, sf_dir)
+        games = generated_games(spark, sf_dir, with_key=True)
         staging = f"{target}.tmp-{uuid.uuid4().hex}"
         n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
         if layout == "monthly":
-            (games.repartitionByRange(n, "source_month", "game")
+            (games.repartitionByRange(n, "source_month", "l_orderkey")
+             .sortWithinPartitions("source_month", "l_orderkey")
+             .select("source_month", "game")
              .write.partitionBy("source_month").text(staging))
         elif layout == "flat":
             games.select("game").repartition(n).write.text(staging)
