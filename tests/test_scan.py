@@ -87,3 +87,28 @@ def test_source_month_from_path(spark):
          ("/d/2014-02/x.txt",), ("/d/source_month=1999-01/sub/x.txt",)], "p string")
     assert [r[0] for r in df.select(source_month_from_path("p")).collect()] == \
         ["2014-02", "1999-01", None, None]
+
+
+def test_bzip2_splits_keep_games_whole(spark, tmp_dir):
+    """bzip2 is splittable: a compressed dump read in many splits gives every game once."""
+    import bz2
+    import random
+
+    rng = random.Random(3)
+    text = "".join(
+        f'[Event "R"]\n[Site "{rng.getrandbits(160):040x}"]\n[ECO "B{rng.randint(0, 99):02d}"]\n'
+        f'[Result "{rng.choice(["1-0", "0-1", "1/2-1/2", "*"])}"]\n\n1. e4\n' for _ in range(20000))
+    plain = write(os.path.join(tmp_dir, "plain", "g.pgn"), text)
+    path = os.path.join(tmp_dir, "bz", "games_2013-07.pgn.bz2")
+    os.makedirs(os.path.dirname(path))
+    with bz2.open(path, "wt") as f:
+        f.write(text)
+    expected = sorted(tuple(r) for r in aggregate_games(read_games(spark, plain)).collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = read_games(spark, path)
+        assert df.rdd.getNumPartitions() > 10
+        assert df.count() == 20000
+        assert sorted(tuple(r) for r in aggregate_games(df).collect()) == expected
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
