@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+import time
 
 from chesstally.jobs import run_files, run_index
 from chesstally.session import build_session
@@ -29,6 +30,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--ledger", help="ingestion ledger directory (index mode)")
     p.add_argument("--jdbc-url", help="database URL for an additive upsert (postgres/mysql/sqlite)")
     p.add_argument("--master", help="Spark master (default: from the environment)")
+    p.add_argument("--verbose", "-v", action="store_true", help="print phase timings to stderr")
     args = p.parse_args(argv)
     if args.index and args.files:
         p.error("give either files or --index, not both")
@@ -39,15 +41,22 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> int:
     args = parse_args(argv)
+    t0 = time.perf_counter()
     spark = build_session(args.master)
+    if args.verbose:
+        print(f"session ready in {time.perf_counter() - t0:.3f}s", file=sys.stderr)
+    t1 = time.perf_counter()
     if args.index:
         per_month = run_index(spark, args.index, args.since, args.until, args.out,
                               args.bucket_size, args.store, args.ledger, args.jdbc_url)
+        seconds = time.perf_counter() - t1
         for month in sorted(per_month):
             print(f"{month} | games={per_month[month]}")
-        print(f"Processed {len(per_month)} month(s).", file=sys.stderr)
+        print(f"Processed {len(per_month)} month(s) in {seconds:.3f}s.", file=sys.stderr)
     else:
         print(run_files(spark, args.files, args.out, args.bucket_size, args.store, args.jdbc_url))
+        if args.verbose:
+            print(f"aggregated in {time.perf_counter() - t1:.3f}s", file=sys.stderr)
     return 0
 
 
