@@ -158,3 +158,55 @@ def read_ingested_months(spark: SparkSession, url: str, table: str = "ingestions
     opts = jdbc_options(url, dbtable=table, **props)
     return (spark.read.format("jdbc").options(**opts).load()
             .where("status = 'success'").select("month").distinct())
+
+
+def ledger_start_sql(backend: str, table: str = "ingestions") -> str:
+    """Parameterised (month, url, started_at): create the month's row as ``started``, or on an
+    existing row replace url/started_at/status and keep games, duration_ms and finished_at."""
+    head = (f"INSERT INTO {table} (month, url, started_at, status) "
+            "VALUES (?, ?, ?, 'started')")
+    if backend in ("postgres", "sqlite"):
+        return (f"{head} ON CONFLICT (month) DO UPDATE SET url = excluded.url, "
+                "started_at = excluded.started_at, status = 'started'")
+    if backend == "mysql":
+        return (f"{head} ON DUPLICATE KEY UPDATE url = VALUES(url), "
+                "started_at = VALUES(started_at), status = 'started'")
+    raise ValueError(f"unknown backend {backend!r}")
+
+
+def ledger_finish_sql(table: str = "ingestions") -> str:
+    """Parameterised (games, duration_ms, status, finished_at, month); no row, no change."""
+    return (f"UPDATE {table} SET games = ?, duration_ms = ?, status = ?, finished_at = ? "
+            "WHERE month = ?")
+
+
+def _execute_prepared(spark: SparkSession, url: str, sql: str, params: list,
+                      props: dict[str, str]) -> None:
+    jvm = spark.sparkContext._jvm
+    info = jvm.java.util.Properties()
+    for k, v in {**_split_credentials(url)[1], **props}.items():
+        info.setProperty(k, v)
+    conn = jvm.java.sql.DriverManager.getConnection(jdbc_url(url), info)
+    try:
+        stmt = conn.prepareStatement(sql)
+        for i, value in enumerate(params, start=1):
+            if isinstance(value, int):
+                stmt.setLong(i, value)
+            else:
+                stmt.setString(i, value)
+        stmt.executeUpdate()
+    finally:
+        conn.close()
+
+
+def mark_ingestion_start(spark: SparkSession, url: str, month: str, source_url: str,
+                         started_at: str, table: str = "ingestions", **props: str) -> None:
+    _execute_prepared(spark, url, ledger_start_sql(detect_backend(url), table),
+                      [month, source_url, started_at], props)
+
+
+def mark_ingestion_finish(spark: SparkSession, url: str, month: str, games: int,
+                          duration_ms: int, status: str, finished_at: str,
+                          table: str = "ingestions", **props: str) -> None:
+    _execute_prepared(spark, url, ledger_finish_sql(table),
+                      [games, duration_ms, status, finished_at, month], props)

@@ -128,6 +128,11 @@ def test_jdbc_backend_and_sql():
     assert "games = aggregates.games + excluded.games" in pg
     assert "ON DUPLICATE KEY UPDATE" in jdbc.upsert_sql("mysql")
     assert "WHERE true ON CONFLICT" in jdbc.upsert_sql("sqlite")
+    start = jdbc.ledger_start_sql("postgres")
+    assert start.startswith("INSERT INTO ingestions (month, url, started_at, status)")
+    assert "ON CONFLICT (month) DO UPDATE" in start and "games" not in start
+    assert "ON DUPLICATE KEY UPDATE" in jdbc.ledger_start_sql("mysql")
+    assert jdbc.ledger_finish_sql().endswith("WHERE month = ?")
 
 
 def test_ingest_plan_with_ledger(spark, tmp_dir):
