@@ -84,13 +84,24 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
               jdbc_url: str | None = None) -> dict[str, int]:
     """Index workflow: plan dump files, aggregate them in one job, write the outputs;
     returns ``{source month: games}``."""
-    plan = plan_from_index(spark, index_path, since, until, ledger_path)
+    db_ledger = bool(jdbc_url) and not ledger_path  # ledger rows in the database
+    if db_ledger:
+        from chesstally.sinks import jdbc
+
+        lines = spark.read.option("lineSep", "\n").text(index_path)
+        plan = build_plan(lines, since, until, jdbc.read_ingested_months(spark, jdbc_url))
+    else:
+        plan = plan_from_index(spark, index_path, since, until, ledger_path)
     items = [(r.month, r.url) for r in plan.collect()]  # one row per dump file
     if not items:
         print("No files to process.")
         return {}
     if ledger_path:
         ledger_mod.append_events(ledger_mod.start_events(spark, items), ledger_path)
+    if db_ledger:
+        started = ledger_mod.utc_now_iso()
+        for month, url in items:  # one small statement per planned file
+            jdbc.mark_ingestion_start(spark, jdbc_url, month, url, started)
     t0 = time.time()
     by_source = _by_source_table(spark, read_games(spark, [u for _, u in items]), bucket_size)
     _outputs(spark, by_source, bucket_size, store, jdbc_url)
@@ -100,10 +111,16 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
         write_csv_per_source_month(per_month, out)
     games = by_source.groupBy(F.col("source_month").alias("month")).agg(
         F.sum("games").alias("games"))
+    duration_ms = int((time.time() - t0) * 1000)
     if ledger_path:
         ledger_mod.append_events(ledger_mod.finish_events_from(
-            games, int((time.time() - t0) * 1000), "success"), ledger_path)
-    return {r.month: int(r.games) for r in games.collect()}
+            games, duration_ms, "success"), ledger_path)
+    per_month = {r.month: int(r.games) for r in games.collect()}
+    if db_ledger:
+        finished = ledger_mod.utc_now_iso()
+        for month, n in per_month.items():
+            jdbc.mark_ingestion_finish(spark, jdbc_url, month, n, duration_ms, "success", finished)
+    return per_month
 
 
 def ingest_plan(spark: SparkSession, plan: DataFrame, store: str, ledger_path: str | None = None,
