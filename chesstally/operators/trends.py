@@ -3,6 +3,11 @@
 The aggregate's size is bounded by months x opening groups x bucket pairs, not by the number of
 games, so these queries are cheap whatever the input volume. Windows are partitioned by month
 where the question allows it; the month-over-month trend runs over one row per month.
+
+Run them on a stored aggregate (:func:`chesstally.sinks.store.read_store` or a written table).
+Chained directly onto a text parse, their key filters (rated buckets, known months) are pushed by
+Catalyst through the aggregation into the parse, inlining the header regexes into the filter, so
+the parse would run twice per game.
 """
 
 from __future__ import annotations

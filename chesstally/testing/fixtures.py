@@ -12,7 +12,9 @@ All of it scales with the input tables; nothing is a fixed small frame.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import pathlib
 import threading
 import uuid
 
@@ -23,7 +25,7 @@ from chesstally import fs
 from chesstally.session import scratch_path
 
 GENERATOR_VERSION = "g4"
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()  # re-entrant: aggregate_table builds on pgn_dataset
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,9 +104,20 @@ def generated_games(spark: SparkSession, sf_dir: str, with_key: bool = False) ->
     )
 
 
+@functools.lru_cache(maxsize=1)
+def _code_digest() -> str:
+    """Hash of the package sources: cached inputs are rebuilt whenever the code changes."""
+    root = pathlib.Path(__file__).resolve().parent.parent
+    h = hashlib.sha1()
+    for path in sorted(root.rglob("*.py")):
+        h.update(path.relative_to(root).as_posix().encode())
+        h.update(path.read_bytes())
+    return h.hexdigest()[:10]
+
+
 def _key(sf_dir: str, layout: str) -> str:
     digest = hashlib.sha1(f"{sf_dir.rstrip('/')}|{layout}".encode()).hexdigest()[:12]
-    return f"{GENERATOR_VERSION}-{layout}-{digest}"
+    return f"{GENERATOR_VERSION}-{_code_digest()}-{layout}-{digest}"
 
 
 def pgn_dataset(spark: SparkSession, sf_dir: str, layout: str = "monthly") -> str:
@@ -135,6 +148,29 @@ def pgn_dataset(spark: SparkSession, sf_dir: str, layout: str = "monthly") -> st
         return target
 
 
+def aggregate_table(spark: SparkSession, sf_dir: str) -> str:
+    """The aggregate of all generated games, written once as parquet and reused.
+
+    Trend queries read this table, as they would read the store in production: key filters
+    then push into a cheap parquet scan instead of into the text parse, where Catalyst would
+    inline (and so repeat) the whole header parse inside the pushed filter.
+    """
+    from chesstally.operators.aggregate import aggregate_games
+    from chesstally.sources.pgn import read_games
+
+    target = scratch_path(spark, "agg", _key(sf_dir, "aggregate"))
+    pgn = pgn_dataset(spark, sf_dir)
+    with _LOCK:
+        if fs.exists(spark, target + "/_SUCCESS"):
+            return target
+        games = read_games(spark, pgn, with_source=False)
+        staging = f"{target}.tmp-{uuid.uuid4().hex}"
+        aggregate_games(games).write.parquet(staging)
+        if not fs.exists(spark, target):
+            fs.rename(spark, staging, target)
+        return target
+
+
 def generated_index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dump-index lines (``value string``), one per ``orders`` row; some are malformed."""
     o = _table(spark, sf_dir, "orders")

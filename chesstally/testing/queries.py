@@ -188,40 +188,46 @@ def plan_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_plan(fixtures.generated_index_lines(spark, sf_dir), PLAN_SINCE, PLAN_UNTIL, done)
 
 
+def stored_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The aggregate of the whole generated game set, materialised once (see
+    :func:`chesstally.testing.fixtures.aggregate_table`)."""
+    return spark.read.parquet(fixtures.aggregate_table(spark, sf_dir))
+
+
 def opening_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.opening_popularity(agg_full(spark, sf_dir))
+    return trends.opening_popularity(stored_aggregate(spark, sf_dir))
 
 
 def result_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.result_rates(agg_full(spark, sf_dir))
+    return trends.result_rates(stored_aggregate(spark, sf_dir))
 
 
 def elo_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.elo_performance(agg_full(spark, sf_dir))
+    return trends.elo_performance(stored_aggregate(spark, sf_dir))
 
 
 def monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.monthly_trend(agg_full(spark, sf_dir))
+    return trends.monthly_trend(stored_aggregate(spark, sf_dir))
 
 
 def top_openings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.top_openings(agg_full(spark, sf_dir), k=3)
+    return trends.top_openings(stored_aggregate(spark, sf_dir), k=3)
 
 
 def rollup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.rollup_counts(agg_full(spark, sf_dir))
+    return trends.rollup_counts(stored_aggregate(spark, sf_dir))
 
 
 def elo_gap_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.elo_gap_performance(agg_full(spark, sf_dir))
+    return trends.elo_gap_performance(stored_aggregate(spark, sf_dir))
 
 
 def opening_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.opening_trend(agg_full(spark, sf_dir))
+    return trends.opening_trend(stored_aggregate(spark, sf_dir))
 
 
 def cube_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.cube_counts(agg_full(spark, sf_dir), ("white_bucket", "black_bucket"))
+    return trends.cube_counts(stored_aggregate(spark, sf_dir), ("white_bucket", "black_bucket"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
