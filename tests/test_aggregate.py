@@ -76,3 +76,19 @@ def test_upsert_additive_doubles(spark):
     doubled = {r[:4]: r[4:] for r in _rows(upsert_additive(a, a))}
     for r in _rows(a):
         assert doubled[r[:4]] == tuple(2 * x for x in r[4:])
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_key_filters_stay_above_the_parse_and_source_filters_prune(spark):
+    from chesstally.sources.pgn import read_games
+
+    g = read_games(spark, fixtures.pgn_dataset(spark, SF_SMALL))
+    rated = aggregate_games(g).where((F.col("white_bucket") > 0) & (F.col("black_bucket") > 0))
+    plan = _plan(rated)
+    assert plan.count("regexp_extract_all") == 2  # the two header passes, not repeated in a filter
+    by_month = aggregate_games(g, by=["source_month"]).where(F.col("source_month") == "1996-03")
+    assert "PartitionFilters: [isnotnull(source_month" in _plan(by_month) or \
+        "source_month#" in _plan(by_month).split("PartitionFilters: [")[1].split("]")[0]
