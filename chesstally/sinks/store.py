@@ -45,8 +45,11 @@ SOURCE_COLUMNS = ["source_id", "source_file", "source_month"]
 
 
 def source_id(path_col) -> F.Column:
-    """Stable, short partition value for a source file path (16 hex chars of SHA-256)."""
-    return F.substring(F.sha2(path_col, 256), 1, 16)
+    """Stable, short partition value for a source file path: ``s`` + 16 hex chars of SHA-256.
+
+    The letter prefix keeps partition discovery from reading an id such as ``1234…`` or
+    ``12e4…`` as a number."""
+    return F.concat(F.lit("s"), F.substring(F.sha2(path_col, 256), 1, 16))
 
 
 def _check_props(spark: SparkSession, store: str, bucket_size: int) -> None:

@@ -230,3 +230,13 @@ def test_scratch_root_without_checkpoint_dir(tmp_dir):
     out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True,
                          timeout=180)
     assert "ROOT True True" in out.stdout, out.stderr[-2000:]
+
+
+def test_source_id_is_a_string_partition(spark, tmp_dir):
+    dump(tmp_dir, "2013-07", 3)
+    path = os.path.join(tmp_dir, "store_ids")
+    store.ingest_games(read_games(spark, os.path.join(tmp_dir, "dumps")), path)
+    df = store.read_store_by_source(spark, path)
+    assert dict(df.dtypes)["source_id"] == "string"
+    assert all(r.source_id.startswith("s") and len(r.source_id) == 17
+               for r in df.select("source_id").distinct().collect())
