@@ -1,0 +1 @@
+"""Sinks: CSV files, the by-source parquet store, landing, the ingestion ledger, JDBC."""

@@ -1,0 +1,5 @@
+"""Sources: PGN game scans (batch and streaming)."""
+
+from chesstally.sources.pgn import GAME_SEPARATOR, read_games, source_month_from_path, stream_games
+
+__all__ = ["GAME_SEPARATOR", "read_games", "source_month_from_path", "stream_games"]

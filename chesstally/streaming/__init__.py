@@ -1,0 +1,5 @@
+"""Structured Streaming ingestion into the by-source store; stateful running totals."""
+
+from chesstally.streaming.ingest import run_ingest, start_ingest, start_running_totals
+
+__all__ = ["run_ingest", "start_ingest", "start_running_totals"]
