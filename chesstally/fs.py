@@ -46,6 +46,21 @@ def move_file(spark: SparkSession, src: str, dst: str) -> None:
         delete(spark, sidecar, recursive=False)
 
 
+def replace_file(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename ``src`` over ``dst`` atomically where the filesystem supports it (Hadoop
+    ``FileContext`` rename with OVERWRITE); otherwise delete-then-rename."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src_p, dst_p = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    try:
+        fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(src_p.toUri(), conf)
+        opts = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        opts[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        fc.rename(src_p, dst_p, opts)
+    except Exception:  # filesystem without FileContext support: not atomic
+        move_file(spark, src, dst)
+
+
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     fs, p = _path(spark, path)
     return bool(fs.delete(p, recursive))

@@ -75,9 +75,12 @@ def start_running_totals(
     bucket_size: int = 200,
     trigger: str | None = "availableNow",
     output_mode: str = "update",
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Stateful streaming aggregate; ``sink(batch_df, batch_id)`` gets the changed totals."""
-    games = stream_games(spark, source_dir, with_source=False)
+    """Stateful streaming aggregate; ``sink(batch_df, batch_id)`` gets the changed totals
+    (``update``) or the whole table (``complete``, e.g. with
+    :func:`chesstally.sinks.versioned.snapshot_sink`)."""
+    games = stream_games(spark, source_dir, max_files_per_trigger, with_source=False)
     totals = aggregate_games(games, bucket_size)
     writer = (totals.writeStream.outputMode(output_mode).foreachBatch(sink)
               .option("checkpointLocation", checkpoint))

@@ -335,4 +335,5 @@ ORACLE_SQL: dict[str, str] = {
     "cube_buckets": CUBE_BUCKETS,
     "elo_gap_performance": ELO_GAP_PERFORMANCE,
     "opening_trend": OPENING_TREND,
+    "upsert_versioned": aggregate_sql(scale=2),
 }

@@ -25,7 +25,7 @@ from chesstally.operators.aggregate import (
 )
 from chesstally.plans.ingest import build_plan
 from chesstally.session import scratch_path
-from chesstally.sinks import ledger, store
+from chesstally.sinks import ledger, store, versioned
 from chesstally.sinks.csv import (
     CSV_COLUMNS,
     read_aggregates_csv,
@@ -158,15 +158,20 @@ def stream_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run_dir(spark, "running")
-    snapshot = run + "/snapshot"
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(snapshot)
-
     q = start_running_totals(spark, fixtures.pgn_dataset(spark, sf_dir), run + "/checkpoint",
-                             sink, output_mode="complete")
+                             versioned.snapshot_sink(run + "/totals"), output_mode="complete",
+                             max_files_per_trigger=30)
     q.awaitTermination()
-    return spark.read.parquet(snapshot)
+    return versioned.read_latest(spark, run + "/totals")
+
+
+def upsert_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Additive upsert of the whole aggregate into a file table, twice (counts double)."""
+    base = _run_dir(spark, "versioned")
+    delta = stored_aggregate(spark, sf_dir)
+    versioned.additive_upsert(delta, base)
+    versioned.additive_upsert(delta, base)
+    return versioned.read_latest(spark, base)
 
 
 def landed_agg_100(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,4 +265,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cube_buckets": cube_buckets,
     "elo_gap_performance": elo_gap_performance,
     "opening_trend": opening_trend,
+    "upsert_versioned": upsert_versioned,
 }

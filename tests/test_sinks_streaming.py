@@ -240,3 +240,23 @@ def test_source_id_is_a_string_partition(spark, tmp_dir):
     assert dict(df.dtypes)["source_id"] == "string"
     assert all(r.source_id.startswith("s") and len(r.source_id) == 17
                for r in df.select("source_id").distinct().collect())
+
+
+def test_versioned_table(spark, tmp_dir):
+    from chesstally.sinks import versioned
+
+    dump(tmp_dir, "2013-07", 8)
+    agg = aggregate_games(read_games(spark, os.path.join(tmp_dir, "dumps")))
+    base = os.path.join(tmp_dir, "vt")
+    assert versioned.read_latest(spark, base) is None
+    assert versioned.additive_upsert(agg, base) == 0
+    assert versioned.additive_upsert(agg, base) == 1
+    latest = {r[:4]: r[4:] for r in _tuples(versioned.read_latest(spark, base))}
+    for r in _tuples(agg):
+        assert latest[r[:4]] == tuple(2 * x for x in r[4:])
+    sink = versioned.snapshot_sink(base)
+    sink(agg, 5)
+    sink(agg, 5)  # a replayed batch rewrites its own version
+    assert versioned.latest_version(spark, base) == 5
+    assert _tuples(versioned.read_latest(spark, base)) == _tuples(agg)
+    assert not [f for f in os.listdir(base) if f.startswith(".") and not f.endswith(".crc")]
