@@ -11,8 +11,10 @@ given. Index lines are file paths/URLs on a Hadoop filesystem (mirror dumps ther
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 import time
+import tomllib
 
 from chesstally.jobs import run_files, run_index
 from chesstally.session import build_session
@@ -25,13 +27,21 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--since", "--from", dest="since", help="first month (inclusive), YYYY-MM")
     p.add_argument("--until", help="last month (inclusive), YYYY-MM")
     p.add_argument("--out", "-o", help="CSV file (files mode) or directory/base name (index mode)")
-    p.add_argument("--bucket-size", type=int, default=200, help="Elo bucket width (default 200)")
+    p.add_argument("--bucket-size", type=int, default=None,
+                   help="Elo bucket width (default: config file, else 200)")
+    p.add_argument("--config", help="TOML settings (bucket_size, list_url); default ./config.toml "
+                                    "when present")
     p.add_argument("--store", help="idempotent by-source aggregate store (parquet directory)")
     p.add_argument("--ledger", help="ingestion ledger directory (index mode)")
     p.add_argument("--jdbc-url", help="database URL for an additive upsert (postgres/mysql/sqlite)")
     p.add_argument("--master", help="Spark master (default: from the environment)")
     p.add_argument("--verbose", "-v", action="store_true", help="print phase timings to stderr")
     args = p.parse_args(argv)
+    settings = load_config(args.config)
+    if args.bucket_size is None:
+        args.bucket_size = int(settings.get("bucket_size", 200))
+    if args.index is None and not args.files and settings.get("list_url"):
+        args.index = settings["list_url"]
     if args.index and args.files:
         p.error("give either files or --index, not both")
     if not args.index and not args.files:
@@ -39,6 +49,25 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     return args
 
 
+CONFIG_KEYS = {"bucket_size", "list_url", "db_batch_rows", "batch_size", "rayon_threads"}
+
+
+def load_config(path: str | None) -> dict:
+    """Settings from a TOML file: ``bucket_size`` and ``list_url`` are used; the batch and
+    thread settings of the original tool are accepted and ignored (Spark sizes its own work).
+    An explicit file that is missing or invalid raises instead of falling back to defaults."""
+    if path is None:
+        if not os.path.exists("config.toml"):
+            return {}
+        path = "config.toml"
+    with open(path, "rb") as f:
+        data = tomllib.load(f)
+    unknown = set(data) - CONFIG_KEYS
+    if unknown:
+        raise ValueError(f"unknown settings in {path}: {sorted(unknown)}")
+    return data
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parse_args(argv)
     t0 = time.perf_counter()

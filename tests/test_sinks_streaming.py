@@ -199,6 +199,14 @@ def test_run_files_and_run_index(spark, tmp_dir):
     assert (a.index, a.since, a.out, a.bucket_size) == ("l.txt", "2013-01", "out/", 200)
     with pytest.raises(SystemExit):
         parse_args([])
+    cfg = write(os.path.join(tmp_dir, "config.toml"),
+                'bucket_size = 100\nlist_url = "idx.txt"\nbatch_size = 1000\n')
+    a = parse_args(["--config", cfg])
+    assert (a.bucket_size, a.index) == (100, "idx.txt")
+    assert parse_args(["--config", cfg, "--bucket-size", "400", "f.pgn"]).bucket_size == 400
+    bad = write(os.path.join(tmp_dir, "bad.toml"), "bucket_sise = 3\n")
+    with pytest.raises(ValueError):
+        parse_args(["--config", bad, "f.pgn"])
 
 
 def test_land_games_caps_file_size(spark, tmp_dir):
