@@ -62,7 +62,9 @@ def read_games(
         if missing:
             print(f"PGN file(s) not found, skipped: {', '.join(missing)}")
         if not paths:
-            return spark.createDataFrame([], "game string, source_file string, source_month string")
+            schema = "game string" + (", source_file string, source_month string"
+                                      if with_source else "")
+            return spark.createDataFrame([], schema)
     raw = spark.read.option("lineSep", GAME_SEPARATOR).text(paths)
     return _shape(raw, with_source)
 

@@ -112,3 +112,11 @@ def test_bzip2_splits_keep_games_whole(spark, tmp_dir):
         assert sorted(tuple(r) for r in aggregate_games(df).collect()) == expected
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_all_paths_missing(spark, tmp_dir):
+    missing = os.path.join(tmp_dir, "none.pgn")
+    assert read_games(spark, missing, skip_missing=True).columns == \
+        ["game", "source_file", "source_month"]
+    assert read_games(spark, missing, skip_missing=True, with_source=False).columns == ["game"]
+    assert total_games(read_games(spark, missing, skip_missing=True)).collect()[0].games == 0
