@@ -71,7 +71,7 @@ def load_config(path: str | None) -> dict:
 def main(argv: list[str] | None = None) -> int:
     args = parse_args(argv)
     t0 = time.perf_counter()
-    spark = build_session(args.master)
+    spark = build_session(args.master, extra_conf={"spark.ui.showConsoleProgress": "false"})
     if args.verbose:
         print(f"session ready in {time.perf_counter() - t0:.3f}s", file=sys.stderr)
     t1 = time.perf_counter()
