@@ -8,6 +8,8 @@ either the previous or the new complete version. Older versions stay until remov
 
 Used for the reference's additive upsert on files (:func:`additive_upsert`, replay adds again)
 and as the sink of the stateful running-totals stream (each micro-batch's complete result).
+One writer per table at a time (a job or a stream): two concurrent writers could both build on
+the same version and one update would be lost, as with any file table without a commit log.
 """
 
 from __future__ import annotations
