@@ -66,9 +66,17 @@ def _outputs(spark: SparkSession, by_source: DataFrame, bucket_size: int, store:
     return agg
 
 
+def _prepare_database(spark: SparkSession, jdbc_url: str | None) -> None:
+    if jdbc_url:
+        from chesstally.sinks.jdbc import create_tables
+
+        create_tables(spark, jdbc_url)
+
+
 def run_files(spark: SparkSession, paths, out: str | None = None, bucket_size: int = 200,
               store: str | None = None, jdbc_url: str | None = None) -> int:
     """Local workflow: aggregate the given files; returns the number of games."""
+    _prepare_database(spark, jdbc_url)
     games = read_games(spark, paths, skip_missing=True)
     by_source = _by_source_table(spark, games, bucket_size)
     agg = _outputs(spark, by_source, bucket_size, store, jdbc_url)
@@ -84,6 +92,7 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
               jdbc_url: str | None = None) -> dict[str, int]:
     """Index workflow: plan dump files, aggregate them in one job, write the outputs;
     returns ``{source month: games}``."""
+    _prepare_database(spark, jdbc_url)
     db_ledger = bool(jdbc_url) and not ledger_path  # ledger rows in the database
     if db_ledger:
         from chesstally.sinks import jdbc

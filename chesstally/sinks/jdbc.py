@@ -210,3 +210,9 @@ def mark_ingestion_finish(spark: SparkSession, url: str, month: str, games: int,
                           table: str = "ingestions", **props: str) -> None:
     _execute_prepared(spark, url, ledger_finish_sql(table),
                       [games, duration_ms, status, finished_at, month], props)
+
+
+def create_tables(spark: SparkSession, url: str, **props: str) -> None:
+    """Create the ``aggregates`` and ``ingestions`` tables if absent (the original tool's
+    migrations), in one transaction before any write."""
+    _execute(spark, url, [AGGREGATES_DDL, INGESTIONS_DDL], props)

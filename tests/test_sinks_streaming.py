@@ -133,6 +133,8 @@ def test_jdbc_backend_and_sql():
     assert "ON CONFLICT (month) DO UPDATE" in start and "games" not in start
     assert "ON DUPLICATE KEY UPDATE" in jdbc.ledger_start_sql("mysql")
     assert jdbc.ledger_finish_sql().endswith("WHERE month = ?")
+    assert "PRIMARY KEY (month, eco_group, white_bucket, black_bucket)" in jdbc.AGGREGATES_DDL
+    assert "month       VARCHAR(7)  PRIMARY KEY" in jdbc.INGESTIONS_DDL
 
 
 def test_ingest_plan_with_ledger(spark, tmp_dir):
