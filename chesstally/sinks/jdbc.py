@@ -27,6 +27,8 @@ DRIVERS = {
     "mysql": "com.mysql.cj.jdbc.Driver",
 }
 
+# The two tables' names, columns, types and keys (the original tool's schema, so an
+# existing database can be written to by either tool).
 AGGREGATES_DDL = """CREATE TABLE IF NOT EXISTS aggregates (
   month        VARCHAR(7)  NOT NULL,
   eco_group    VARCHAR(16) NOT NULL,
