@@ -270,3 +270,40 @@ def test_versioned_table(spark, tmp_dir):
     assert versioned.latest_version(spark, base) == 5
     assert _tuples(versioned.read_latest(spark, base)) == _tuples(agg)
     assert not [f for f in os.listdir(base) if f.startswith(".") and not f.endswith(".crc")]
+
+
+def test_store_write_survives_failed_task_attempts(tmp_dir):
+    """A task that fails on its first attempt (as on a lost executor) is retried; the store's
+    contents equal a run without failures (Spark's commit protocol, local[4,3] allows retries)."""
+    import subprocess
+    import sys
+
+    for m, n in (("2013-07", 40), ("2013-08", 25)):
+        dump(tmp_dir, m, n)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession, functions as F, types as T
+from pyspark import TaskContext
+from chesstally.sinks import store
+from chesstally.sources.pgn import read_games
+spark = (SparkSession.builder.master("local[4,3]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+
+@F.udf(T.StringType())
+def flaky(game):
+    ctx = TaskContext.get()
+    if ctx.attemptNumber() == 0 and ctx.partitionId() == 0:
+        raise RuntimeError("simulated executor loss")
+    return game
+
+games = read_games(spark, {tmp_dir + '/dumps'!r})
+store.ingest_games(games.withColumn("game", flaky("game")), {tmp_dir + '/faulty'!r})
+store.ingest_games(games, {tmp_dir + '/clean'!r})
+a = sorted(map(tuple, store.read_store(spark, {tmp_dir + '/faulty'!r}).collect()))
+b = sorted(map(tuple, store.read_store(spark, {tmp_dir + '/clean'!r}).collect()))
+print("EQUAL", a == b, sum(r[4] for r in a))
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert "EQUAL True 65" in out.stdout, out.stderr[-3000:]
+    assert "simulated executor loss" in out.stderr  # the first attempt really failed
