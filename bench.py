@@ -62,6 +62,18 @@ def main() -> None:
     for _ in range(3):  # JIT warm-up of the parse/aggregate code paths on a smaller scale
         _run(aggregate_games(read_games(spark, warm, with_source=False)))
 
+    # One unsplittable dump holding every game (zstd), for the rebalanced scan.
+    import glob
+
+    import zstandard
+
+    zst_path = run_root.replace("file:", "") + "/dump/games_rated_all.pgn.zst"
+    os.makedirs(os.path.dirname(zst_path), exist_ok=True)
+    with open(zst_path, "wb") as out, zstandard.ZstdCompressor(level=3).stream_writer(out) as w:
+        for part in sorted(glob.glob(pgn.replace("file:", "") + "/*/*.txt")):
+            with open(part, "rb") as f:
+                w.write(f.read())
+
     def stored():
         return spark.read.parquet(agg_path)
 
@@ -75,6 +87,9 @@ def main() -> None:
         # text scan + header parse + keys + ECO join + aggregate (the reference's whole job)
         "parse_aggregate": lambda: _run(aggregate_games(read_games(spark, pgn, with_source=False))),
         "scan_count_games": lambda: _run(Q.agg_total_games(spark, sf_dir)),
+        # the same games as one unsplittable .zst: one task decompresses, 2x cpus tasks parse
+        "zst_single_file_rebalanced": lambda: _run(aggregate_games(read_games(
+            spark, zst_path, with_source=False, rebalance=int(cpus) * 2))),
         "merge_batches": lambda: _run(Q.agg_merge_batches(spark, sf_dir)),
         "store_ingest_by_source": lambda: store.ingest_games(
             read_games(spark, pgn), fresh("store")),

@@ -49,12 +49,18 @@ def read_games(
     *,
     skip_missing: bool = False,
     with_source: bool = True,
+    rebalance: int | None = None,
 ) -> DataFrame:
     """One row per game: ``game string`` (+ ``source_file``, ``source_month``).
 
     ``source_month`` is the ``YYYY-MM`` of the dump file name (or the ``source_month=`` partition
     directory when the files are laid out that way); NULL when neither exists. It describes the
     file, not the game: a monthly file may hold games of other months.
+
+    ``rebalance=N`` redistributes the games round-robin over N partitions right after the scan.
+    For unsplittable dumps (``.zst``, ``.gz``) one task per file decompresses and splits records,
+    which is cheap, while parsing, the expensive part, then runs in N tasks: worth its shuffle of
+    the game text when a few huge files dominate. Leave it off for splittable input.
     """
     paths = _as_list(paths)
     if skip_missing:
@@ -66,7 +72,8 @@ def read_games(
                                       if with_source else "")
             return spark.createDataFrame([], schema)
     raw = spark.read.option("lineSep", GAME_SEPARATOR).text(paths)
-    return _shape(raw, with_source)
+    games = _shape(raw, with_source)
+    return games.repartition(rebalance) if rebalance else games
 
 
 def stream_games(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None,

@@ -71,6 +71,10 @@ def test_zstd_multi_frame_and_source_month(spark, tmp_dir):
     df = read_games(spark, os.path.dirname(path))
     rows = df.groupBy("source_month").count().collect()
     assert [(r.source_month, r["count"]) for r in rows] == [("2013-07", 5)]
+    spread = read_games(spark, os.path.dirname(path), rebalance=3)
+    assert spread.rdd.getNumPartitions() == 3
+    assert sorted(tuple(r) for r in aggregate_games(spread).collect()) == \
+        sorted(tuple(r) for r in aggregate_games(df).collect())
 
 
 def test_multiple_files_and_missing_paths(spark, tmp_dir, capsys):
