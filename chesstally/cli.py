@@ -34,6 +34,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--store", help="idempotent by-source aggregate store (parquet directory)")
     p.add_argument("--ledger", help="ingestion ledger directory (index mode)")
     p.add_argument("--jdbc-url", help="database URL for an additive upsert (postgres/mysql/sqlite)")
+    p.add_argument("--rebalance", type=int, default=None,
+                   help="parse in N tasks after scanning unsplittable dumps (.zst/.gz)")
     p.add_argument("--master", help="Spark master (default: from the environment)")
     p.add_argument("--verbose", "-v", action="store_true", help="print phase timings to stderr")
     args = p.parse_args(argv)
@@ -77,13 +79,15 @@ def main(argv: list[str] | None = None) -> int:
     t1 = time.perf_counter()
     if args.index:
         per_month = run_index(spark, args.index, args.since, args.until, args.out,
-                              args.bucket_size, args.store, args.ledger, args.jdbc_url)
+                              args.bucket_size, args.store, args.ledger, args.jdbc_url,
+                              args.rebalance)
         seconds = time.perf_counter() - t1
         for month in sorted(per_month):
             print(f"{month} | games={per_month[month]}")
         print(f"Processed {len(per_month)} month(s) in {seconds:.3f}s.", file=sys.stderr)
     else:
-        print(run_files(spark, args.files, args.out, args.bucket_size, args.store, args.jdbc_url))
+        print(run_files(spark, args.files, args.out, args.bucket_size, args.store, args.jdbc_url,
+                        args.rebalance))
         if args.verbose:
             print(f"aggregated in {time.perf_counter() - t1:.3f}s", file=sys.stderr)
     return 0

@@ -74,10 +74,11 @@ def _prepare_database(spark: SparkSession, jdbc_url: str | None) -> None:
 
 
 def run_files(spark: SparkSession, paths, out: str | None = None, bucket_size: int = 200,
-              store: str | None = None, jdbc_url: str | None = None) -> int:
+              store: str | None = None, jdbc_url: str | None = None,
+              rebalance: int | None = None) -> int:
     """Local workflow: aggregate the given files; returns the number of games."""
     _prepare_database(spark, jdbc_url)
-    games = read_games(spark, paths, skip_missing=True)
+    games = read_games(spark, paths, skip_missing=True, rebalance=rebalance)
     by_source = _by_source_table(spark, games, bucket_size)
     agg = _outputs(spark, by_source, bucket_size, store, jdbc_url)
     if out:
@@ -89,7 +90,7 @@ def run_files(spark: SparkSession, paths, out: str | None = None, bucket_size: i
 def run_index(spark: SparkSession, index_path: str, since: str | None = None,
               until: str | None = None, out: str | None = None, bucket_size: int = 200,
               store: str | None = None, ledger_path: str | None = None,
-              jdbc_url: str | None = None) -> dict[str, int]:
+              jdbc_url: str | None = None, rebalance: int | None = None) -> dict[str, int]:
     """Index workflow: plan dump files, aggregate them in one job, write the outputs;
     returns ``{source month: games}``."""
     _prepare_database(spark, jdbc_url)
@@ -112,7 +113,8 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
         for month, url in items:  # one small statement per planned file
             jdbc.mark_ingestion_start(spark, jdbc_url, month, url, started)
     t0 = time.time()
-    by_source = _by_source_table(spark, read_games(spark, [u for _, u in items]), bucket_size)
+    games = read_games(spark, [u for _, u in items], rebalance=rebalance)
+    by_source = _by_source_table(spark, games, bucket_size)
     _outputs(spark, by_source, bucket_size, store, jdbc_url)
     if out:
         per_month = by_source.groupBy("source_month", *KEY_COLUMNS).agg(

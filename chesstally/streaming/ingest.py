@@ -43,11 +43,17 @@ def start_ingest(
     trigger: str | None = "availableNow",
     max_files_per_trigger: int | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
+    rebalance: int | None = None,
 ) -> StreamingQuery:
-    """Stream ``source_dir`` into the by-source ``store``; returns the running query."""
+    """Stream ``source_dir`` into the by-source ``store``; returns the running query.
+
+    ``rebalance=N`` deals each micro-batch's games round-robin to N tasks before parsing (see
+    :func:`chesstally.sources.pgn.read_games`), for unsplittable compressed dumps."""
     games = stream_games(spark, source_dir, max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if rebalance:
+            batch = batch.repartition(rebalance)
         agg = aggregate_by_source(batch, bucket_size)
         write_by_source(agg, store, bucket_size)
         if on_batch is not None:
@@ -58,10 +64,11 @@ def start_ingest(
 
 
 def run_ingest(spark: SparkSession, source_dir: str, store: str, checkpoint: str,
-               bucket_size: int = 200, max_files_per_trigger: int | None = None) -> None:
+               bucket_size: int = 200, max_files_per_trigger: int | None = None,
+               rebalance: int | None = None) -> None:
     """Process all files present now (``availableNow``) and wait for the query to finish."""
     q = start_ingest(spark, source_dir, store, checkpoint, bucket_size, "availableNow",
-                     max_files_per_trigger)
+                     max_files_per_trigger, rebalance=rebalance)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -165,7 +165,7 @@ def test_streaming_ingest_resumes_and_adds(spark, tmp_dir):
     run_ingest(spark, src, st, ck)  # nothing new: unchanged
     assert store.read_store(spark, st).agg(F.sum("games")).collect()[0][0] == 8
     dump(tmp_dir, "2013-08", 5, sub="incoming")
-    run_ingest(spark, src, st, ck)
+    run_ingest(spark, src, st, ck, rebalance=3)
     total = store.read_store(spark, st)
     assert total.agg(F.sum("games")).collect()[0][0] == 13
     batch = aggregate_games(read_games(spark, src))
@@ -179,7 +179,8 @@ def test_run_files_and_run_index(spark, tmp_dir):
     paths = [dump(tmp_dir, m, n, sub="plain") for m, n in (("2013-01", 4), ("2013-02", 6))]
     out = os.path.join(tmp_dir, "o", "agg.csv")
     st = os.path.join(tmp_dir, "store1")
-    assert run_files(spark, paths + [os.path.join(tmp_dir, "nope.pgn")], out=out, store=st) == 10
+    assert run_files(spark, paths + [os.path.join(tmp_dir, "nope.pgn")], out=out, store=st,
+                     rebalance=2) == 10
     assert read_aggregates_csv(spark, out).agg(F.sum("games")).collect()[0][0] == 10
     assert store.read_store(spark, st).agg(F.sum("games")).collect()[0][0] == 10
 
