@@ -144,7 +144,10 @@ def _execute(spark: SparkSession, url: str, statements: list[str], props: dict[s
 
 def upsert_aggregates(df: DataFrame, url: str, table: str = "aggregates",
                       batch_rows: int = 1000, **props: str) -> None:
-    """Additive upsert of ``df`` into ``table`` (reference semantics: replay adds again)."""
+    """Additive upsert of ``df`` into ``table`` (reference semantics: replay adds again).
+    An empty ``df`` writes nothing."""
+    if df.isEmpty():
+        return
     backend = detect_backend(url)
     staging = f"{table}_stage_{uuid.uuid4().hex[:12]}"
     write_aggregates(df, url, staging, mode="overwrite", batch_rows=batch_rows, **props)
