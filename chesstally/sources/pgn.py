@@ -50,6 +50,7 @@ def read_games(
     skip_missing: bool = False,
     with_source: bool = True,
     rebalance: int | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
     """One row per game: ``game string`` (+ ``source_file``, ``source_month``).
 
@@ -61,6 +62,9 @@ def read_games(
     For unsplittable dumps (``.zst``, ``.gz``) one task per file decompresses and splits records,
     which is cheap, while parsing, the expensive part, then runs in N tasks: worth its shuffle of
     the game text when a few huge files dominate. Leave it off for splittable input.
+
+    ``recursive=True`` reads every file below the given directories (e.g. ``dumps/2013/07/``);
+    ``key=value`` partition directories are then not turned into columns.
     """
     paths = _as_list(paths)
     if skip_missing:
@@ -71,8 +75,10 @@ def read_games(
             schema = "game string" + (", source_file string, source_month string"
                                       if with_source else "")
             return spark.createDataFrame([], schema)
-    raw = spark.read.option("lineSep", GAME_SEPARATOR).text(paths)
-    games = _shape(raw, with_source)
+    reader = spark.read.option("lineSep", GAME_SEPARATOR)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    games = _shape(reader.text(paths), with_source)
     return games.repartition(rebalance) if rebalance else games
 
 

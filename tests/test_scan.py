@@ -124,3 +124,11 @@ def test_all_paths_missing(spark, tmp_dir):
         ["game", "source_file", "source_month"]
     assert read_games(spark, missing, skip_missing=True, with_source=False).columns == ["game"]
     assert total_games(read_games(spark, missing, skip_missing=True)).collect()[0].games == 0
+
+
+def test_recursive_directories(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "nested", "2013", "07", "games_rated_2013-07.pgn"), GAME * 2)
+    write(os.path.join(tmp_dir, "nested", "2013", "08", "games_rated_2013-08.pgn"), GAME * 3)
+    df = read_games(spark, os.path.join(tmp_dir, "nested"), recursive=True)
+    got = sorted((r.source_month, r["count"]) for r in df.groupBy("source_month").count().collect())
+    assert got == [("2013-07", 2), ("2013-08", 3)]
