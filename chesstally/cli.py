@@ -36,6 +36,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--jdbc-url", help="database URL for an additive upsert (postgres/mysql/sqlite)")
     p.add_argument("--rebalance", type=int, default=None,
                    help="parse in N tasks after scanning unsplittable dumps (.zst/.gz)")
+    p.add_argument("--recursive", action="store_true",
+                   help="read every file below the given folders (files mode)")
     p.add_argument("--master", help="Spark master (default: from the environment)")
     p.add_argument("--verbose", "-v", action="store_true", help="print phase timings to stderr")
     args = p.parse_args(argv)
@@ -87,7 +89,7 @@ def main(argv: list[str] | None = None) -> int:
         print(f"Processed {len(per_month)} month(s) in {seconds:.3f}s.", file=sys.stderr)
     else:
         print(run_files(spark, args.files, args.out, args.bucket_size, args.store, args.jdbc_url,
-                        args.rebalance))
+                        args.rebalance, args.recursive))
         if args.verbose:
             print(f"aggregated in {time.perf_counter() - t1:.3f}s", file=sys.stderr)
     return 0

@@ -75,10 +75,10 @@ def _prepare_database(spark: SparkSession, jdbc_url: str | None) -> None:
 
 def run_files(spark: SparkSession, paths, out: str | None = None, bucket_size: int = 200,
               store: str | None = None, jdbc_url: str | None = None,
-              rebalance: int | None = None) -> int:
-    """Local workflow: aggregate the given files; returns the number of games."""
+              rebalance: int | None = None, recursive: bool = False) -> int:
+    """Local workflow: aggregate the given files (or folders); returns the number of games."""
     _prepare_database(spark, jdbc_url)
-    games = read_games(spark, paths, skip_missing=True, rebalance=rebalance)
+    games = read_games(spark, paths, skip_missing=True, rebalance=rebalance, recursive=recursive)
     by_source = _by_source_table(spark, games, bucket_size)
     agg = _outputs(spark, by_source, bucket_size, store, jdbc_url)
     if out:
