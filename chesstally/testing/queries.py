@@ -13,7 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chesstally.functions.keys import result_class
+from chesstally import fs
+from chesstally.functions.eco import with_eco_group
+from chesstally.functions.keys import bucket_of, eco_code, elo_value, result_class
 from chesstally.operators import trends
 from chesstally.operators.aggregate import (
     aggregate_games,
@@ -89,9 +91,6 @@ def result_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eco_group_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from chesstally.functions.eco import with_eco_group
-    from chesstally.functions.keys import eco_code
-
     t = game_tags(games(spark, sf_dir)).select(eco_code("ECO").alias("eco_code"))
     g = with_eco_group(t, code_col="eco_code")
     return g.groupBy("eco_code", "eco_group").agg(F.count(F.lit(1)).alias("games"))
@@ -104,8 +103,6 @@ def elo_bucket_200(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def elo_bucket_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from chesstally.functions.keys import bucket_of, elo_value
-
     t = game_tags(games(spark, sf_dir)).select(
         elo_value("WhiteElo").alias("w"), elo_value("BlackElo").alias("b"))
     per_size = F.array(*[
@@ -131,8 +128,6 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_per_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _run_dir(spark, "csvm") + "/out/"
-    from chesstally import fs
-
     fs.mkdirs(spark, base)
     agg = aggregate_games(games(spark, sf_dir, with_source=True), by=["source_month"])
     write_csv_per_source_month(agg, base)
