@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from chesstally.operators.aggregate import KEY_COLUMNS, MEASURE_COLUMNS, aggregate_games, merge_aggregates
 from chesstally.plans.ingest import build_plan
 from chesstally.session import scratch_path
+from chesstally.sinks import jdbc
 from chesstally.sinks import ledger as ledger_mod
 from chesstally.sinks.csv import write_csv, write_csv_per_source_month
 from chesstally.sinks.store import aggregate_by_source, ingest_games, read_store_by_source, write_by_source
@@ -60,17 +61,13 @@ def _outputs(spark: SparkSession, by_source: DataFrame, bucket_size: int, store:
     if store:
         write_by_source(by_source, store, bucket_size)
     if jdbc_url:
-        from chesstally.sinks.jdbc import upsert_aggregates
-
-        upsert_aggregates(agg, jdbc_url)
+        jdbc.upsert_aggregates(agg, jdbc_url)
     return agg
 
 
 def _prepare_database(spark: SparkSession, jdbc_url: str | None) -> None:
     if jdbc_url:
-        from chesstally.sinks.jdbc import create_tables
-
-        create_tables(spark, jdbc_url)
+        jdbc.create_tables(spark, jdbc_url)
 
 
 def run_files(spark: SparkSession, paths, out: str | None = None, bucket_size: int = 200,
@@ -96,8 +93,6 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
     _prepare_database(spark, jdbc_url)
     db_ledger = bool(jdbc_url) and not ledger_path  # ledger rows in the database
     if db_ledger:
-        from chesstally.sinks import jdbc
-
         lines = spark.read.option("lineSep", "\n").text(index_path)
         plan = build_plan(lines, since, until, jdbc.read_ingested_months(spark, jdbc_url))
     else:
