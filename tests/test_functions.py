@@ -112,3 +112,17 @@ def test_norm_month(spark, text, expected):
     assert norm_month(text) == expected
     df = spark.createDataFrame([(text,)], "m string")
     assert df.select(norm_month_col("m")).collect()[0][0] == expected
+
+
+def test_norm_month_column_agrees_with_python_on_random_strings(spark):
+    import random
+
+    rng = random.Random(5)
+    alphabet = "0123456789-/. x\t"
+    samples = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    samples += [f"{rng.randint(0, 99999)}{rng.choice('-/.')}{rng.randint(0, 130)}"
+                f"{rng.choice(['', '-15', '/x', '.', ' '])}" for _ in range(3000)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, m string")
+    got = {r.i: r.n for r in df.select("i", norm_month_col("m").alias("n")).collect()}
+    for i, s in enumerate(samples):
+        assert got[i] == norm_month(s), s
