@@ -22,7 +22,7 @@ def _unicode_trim(c):
 
 
 def parse_index(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Index lines -> ``month string, url string`` (unordered; see :func:`order_plan`).
+    """Index lines -> ``month string, url string, line_no bigint`` (see :func:`order_plan`).
 
     The pattern is anchored at the end of the *trimmed* line, which equals trailing whitespace
     then end of the raw line, so the month comes from the raw line with one regex and the trim
@@ -30,9 +30,11 @@ def parse_index(lines: DataFrame, col: str = "value") -> DataFrame:
     input only (``$`` would also match before a final line terminator).
     """
     month = F.regexp_extract(F.col(col), "(?U)" + INDEX_LINE_PATTERN.replace("$", r"\s*\z"), 1)
-    parsed = lines.select(F.col(col).alias("__line"), month.alias("month"))
+    # line_no follows the input order (file order for a text read): the stable tie-break.
+    parsed = lines.select(F.col(col).alias("__line"), month.alias("month"),
+                          F.monotonically_increasing_id().alias("line_no"))
     return (parsed.where(F.col("month") != F.lit(""))
-            .select("month", _unicode_trim(F.col("__line")).alias("url")))
+            .select("month", _unicode_trim(F.col("__line")).alias("url"), "line_no"))
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -65,7 +67,9 @@ def exclude_done(plan: DataFrame, done_months: DataFrame) -> DataFrame:
 
 
 def order_plan(plan: DataFrame) -> DataFrame:
-    """Oldest month first; ties by URL so the order is deterministic."""
+    """Oldest month first; lines of one month keep their index order (a stable sort)."""
+    if "line_no" in plan.columns:
+        return plan.orderBy("month", "line_no").drop("line_no")
     return plan.orderBy("month", "url")
 
 

@@ -27,6 +27,15 @@ def test_parse_index(spark):
     ]
 
 
+def test_plan_order_is_stable_within_a_month(spark):
+    lines = ["h/b_2013-02.pgn.zst", "h/z_2013-01.pgn.zst", "h/a_2013-01.pgn.zst",
+             "h/m_2013-01.pgn.zst"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+    got = [r.url for r in build_plan(df).collect()]
+    assert got == ["h/z_2013-01.pgn.zst", "h/a_2013-01.pgn.zst", "h/m_2013-01.pgn.zst",
+                   "h/b_2013-02.pgn.zst"]
+
+
 def test_bounds_and_invalid_bound(spark):
     plan = parse_index(_lines(spark, [f"h/x_2013-{m:02d}.pgn.zst" for m in range(1, 13)]))
     got = [r.month for r in filter_months(plan, "2013-3", "2013/05").orderBy("month").collect()]
