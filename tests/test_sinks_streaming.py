@@ -328,3 +328,14 @@ def test_stream_replay_after_failure_does_not_double_count(spark, tmp_dir):
     run_ingest(spark, src, st, ck)  # restart: the uncommitted batch is replayed
     assert store.read_store(spark, st).agg(F.sum("games")).collect()[0][0] == 13  # not 26
     assert _tuples(store.read_store(spark, st)) == _tuples(aggregate_games(read_games(spark, src)))
+
+
+def test_empty_input_writes_header_only_csv(spark, tmp_dir):
+    from chesstally.jobs import run_files
+
+    empty = write(os.path.join(tmp_dir, "empty.pgn"), "")
+    out = os.path.join(tmp_dir, "o", "agg.csv")
+    assert run_files(spark, [empty], out=out) == 0
+    with open(out) as f:
+        assert f.read() == ("month,eco_group,white_bucket,black_bucket,games,white_wins,"
+                            "black_wins,draws\n")
