@@ -58,6 +58,18 @@ def aggregate_sql(bucket_size: int = 200, scale: int = 1) -> str:
 
 AGG = aggregate_sql()
 
+# SQL a user of the original database would run, unchanged (also the oracle's statement).
+SQL_OPENING_RESULTS = """
+SELECT eco_group,
+       CAST(sum(games) AS BIGINT) AS games,
+       CAST(sum(white_wins) AS BIGINT) AS white_wins,
+       CAST(sum(draws) AS BIGINT) AS draws,
+       CAST(count(DISTINCT month) AS BIGINT) AS months
+FROM aggregates
+WHERE white_bucket >= 1400 AND black_bucket >= 1400
+GROUP BY eco_group
+"""
+
 
 def _per_source_month_sql() -> str:
     return f"""
@@ -337,3 +349,5 @@ ORACLE_SQL: dict[str, str] = {
     "opening_trend": OPENING_TREND,
     "upsert_versioned": aggregate_sql(scale=2),
 }
+
+ORACLE_SQL["sql_on_aggregates"] = f"WITH aggregates AS ({AGG}) {SQL_OPENING_RESULTS}"

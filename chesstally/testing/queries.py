@@ -35,8 +35,10 @@ from chesstally.sinks.csv import (
     write_csv_per_source_month,
 )
 from chesstally.sources.pgn import read_games
+from chesstally.sources.tables import register_tables
 from chesstally.streaming.ingest import run_ingest, start_running_totals
 from chesstally.testing import fixtures
+from chesstally.testing.oracle import SQL_OPENING_RESULTS
 
 PLAN_SINCE, PLAN_UNTIL = "1996-3", "2000/10"
 MERGE_SPLIT_MONTH = "1998-06"
@@ -226,6 +228,11 @@ def opening_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.opening_trend(stored_aggregate(spark, sf_dir))
 
 
+def sql_on_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_tables(spark, aggregates=stored_aggregate(spark, sf_dir))
+    return spark.sql(SQL_OPENING_RESULTS)
+
+
 def cube_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.cube_counts(stored_aggregate(spark, sf_dir), ("white_bucket", "black_bucket"))
 
@@ -261,4 +268,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "elo_gap_performance": elo_gap_performance,
     "opening_trend": opening_trend,
     "upsert_versioned": upsert_versioned,
+    "sql_on_aggregates": sql_on_aggregates,
 }

@@ -339,3 +339,17 @@ def test_empty_input_writes_header_only_csv(spark, tmp_dir):
     with open(out) as f:
         assert f.read() == ("month,eco_group,white_bucket,black_bucket,games,white_wins,"
                             "black_wins,draws\n")
+
+
+def test_register_tables_for_sql(spark, tmp_dir):
+    from chesstally.sources.tables import register_tables
+
+    dump(tmp_dir, "2013-07", 6)
+    st, led = os.path.join(tmp_dir, "st_sql"), os.path.join(tmp_dir, "led_sql")
+    store.ingest_games(read_games(spark, os.path.join(tmp_dir, "dumps")), st)
+    ledger.append_events(ledger.start_events(spark, [("2013-07", "u")]), led)
+    assert register_tables(spark, store=st, ledger=led) == ["aggregates", "ingestions"]
+    assert spark.sql("SELECT sum(games) AS g FROM aggregates").collect()[0].g == 6
+    assert dict(spark.table("aggregates").dtypes)["games"] == "bigint"
+    row = spark.sql("SELECT month, status, games FROM ingestions").collect()[0]
+    assert (row.month, row.status, row.games) == ("2013-07", "started", 0)
