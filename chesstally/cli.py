@@ -34,6 +34,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--store", help="idempotent by-source aggregate store (parquet directory)")
     p.add_argument("--ledger", help="ingestion ledger directory (index mode)")
     p.add_argument("--jdbc-url", help="database URL for an additive upsert (postgres/mysql/sqlite)")
+    p.add_argument("--save", action="store_true",
+                   help="write to the database named by the DATABASE_URL environment variable")
     p.add_argument("--rebalance", type=int, default=None,
                    help="parse in N tasks after scanning unsplittable dumps (.zst/.gz)")
     p.add_argument("--recursive", action="store_true",
@@ -46,6 +48,10 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
         args.bucket_size = int(settings.get("bucket_size", 200))
     if args.index is None and not args.files and settings.get("list_url"):
         args.index = settings["list_url"]
+    if args.save and not args.jdbc_url:
+        args.jdbc_url = os.environ.get("DATABASE_URL")
+        if not args.jdbc_url:
+            p.error("--save needs DATABASE_URL (or --jdbc-url)")
     if args.index and args.files:
         p.error("give either files or --index, not both")
     if not args.index and not args.files:

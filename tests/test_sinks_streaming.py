@@ -207,6 +207,14 @@ def test_run_files_and_run_index(spark, tmp_dir):
     a = parse_args(["--config", cfg])
     assert (a.bucket_size, a.index) == (100, "idx.txt")
     assert parse_args(["--config", cfg, "--bucket-size", "400", "f.pgn"]).bucket_size == 400
+    os.environ.pop("DATABASE_URL", None)
+    with pytest.raises(SystemExit):
+        parse_args(["--save", "f.pgn"])
+    os.environ["DATABASE_URL"] = "sqlite:data/x.db"
+    try:
+        assert parse_args(["--save", "f.pgn"]).jdbc_url == "sqlite:data/x.db"
+    finally:
+        del os.environ["DATABASE_URL"]
     bad = write(os.path.join(tmp_dir, "bad.toml"), "bucket_sise = 3\n")
     with pytest.raises(ValueError):
         parse_args(["--config", bad, "f.pgn"])
