@@ -47,6 +47,12 @@ def plan_from_index(spark: SparkSession, index_path: str, since: str | None = No
     return build_plan(lines, since, until, done)
 
 
+def _distinct_urls(items: list[tuple[str, str]]) -> list[str]:
+    """Planned files, each once: the plan keeps duplicate index lines, but Spark would read a
+    repeated path twice and count its games twice."""
+    return list(dict.fromkeys(url for _, url in items))
+
+
 def _by_source_table(spark: SparkSession, games: DataFrame, bucket_size: int) -> DataFrame:
     """Aggregate per source file once and keep it as a written table (cuts the lineage: the
     outputs below read this small table instead of re-scanning the games)."""
@@ -108,7 +114,7 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
         for month, url in items:  # one small statement per planned file
             jdbc.mark_ingestion_start(spark, jdbc_url, month, url, started)
     t0 = time.time()
-    games = read_games(spark, [u for _, u in items], rebalance=rebalance)
+    games = read_games(spark, _distinct_urls(items), rebalance=rebalance)
     by_source = _by_source_table(spark, games, bucket_size)
     if out:
         per_month = by_source.groupBy("source_month", *KEY_COLUMNS).agg(
@@ -140,7 +146,7 @@ def ingest_plan(spark: SparkSession, plan: DataFrame, store: str, ledger_path: s
     if ledger_path is not None:
         ledger_mod.append_events(ledger_mod.start_events(spark, items), ledger_path)
     t0 = time.time()
-    games = read_games(spark, [u for _, u in items])
+    games = read_games(spark, _distinct_urls(items))
     ingest_games(games, store, bucket_size)
     months = sorted({m for m, _ in items})
     per_month = (read_store_by_source(spark, store)

@@ -185,7 +185,7 @@ def test_run_files_and_run_index(spark, tmp_dir):
     assert store.read_store(spark, st).agg(F.sum("games")).collect()[0][0] == 10
 
     index = write(os.path.join(tmp_dir, "list.txt"),
-                  "".join(f"file://{p}.zst\n" for p in paths))
+                  "".join(f"file://{p}.zst\n" for p in paths + paths[1:]))  # one line twice
     for p in paths:
         with open(p, "rb") as f:
             write(p + ".zst", zstandard.ZstdCompressor().compress(f.read()))
