@@ -61,7 +61,9 @@ def finish_events_from(per_month: DataFrame, duration_ms: int, status: str = "su
     at = at or utc_now_iso()
     return per_month.select(
         F.col("month").cast("string"),
-        (F.lit(_next_seq()) + F.monotonically_increasing_id()).alias("seq"),
+        # One finish per month and run: the run's timestamp orders it after this run's starts
+        # and before any later run's events (no per-partition id offsets).
+        F.lit(_next_seq()).cast("bigint").alias("seq"),
         F.lit("finish").alias("kind"),
         F.lit(None).cast("string").alias("url"),
         F.lit(at).alias("event_at"),

@@ -99,3 +99,16 @@ def test_ledger_append_and_read(spark, tmp_dir):
     state = {r.month: r for r in ledger.current_state(spark, path).collect()}
     assert state["2013-01"].status == "success" and state["2013-01"].games == 7
     assert state["2013-02"].status == "started" and state["2013-02"].games == 0
+
+
+def test_ledger_rerun_right_after_finish(spark, tmp_dir):
+    """A restart immediately after a run must order its start after the previous finish."""
+    path = tmp_dir + "/ledger_rerun"
+    months = [(f"2013-{m:02d}", f"u{m}") for m in range(1, 13)]
+    ledger.append_events(ledger.start_events(spark, months), path)
+    done = spark.createDataFrame([(m, 5) for m, _ in months], "month string, games bigint")
+    ledger.append_events(ledger.finish_events_from(done.repartition(6), 10), path)
+    ledger.append_events(ledger.start_events(spark, months[:3]), path)  # immediate re-run
+    state = {r.month: r.status for r in ledger.current_state(spark, path).collect()}
+    assert [state[m] for m, _ in months[:3]] == ["started"] * 3
+    assert all(state[m] == "success" for m, _ in months[3:])
