@@ -361,3 +361,22 @@ def test_register_tables_for_sql(spark, tmp_dir):
     assert dict(spark.table("aggregates").dtypes)["games"] == "bigint"
     row = spark.sql("SELECT month, status, games FROM ingestions").collect()[0]
     assert (row.month, row.status, row.games) == ("2013-07", "started", 0)
+
+
+def test_cli_module_entry_point(tmp_dir):
+    import subprocess
+    import sys
+
+    path = dump(tmp_dir, "2013-07", 7)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = os.path.join(tmp_dir, "cli", "agg.csv")
+    env = dict(os.environ, PYTHONPATH=root)
+    res = subprocess.run([sys.executable, "-m", "chesstally", path, "--out", out,
+                          "--bucket-size", "100"], capture_output=True, text=True, env=env,
+                         cwd=tmp_dir, timeout=300)
+    assert res.returncode == 0, res.stderr[-2000:]
+    assert res.stdout.strip().splitlines()[-1] == "7"
+    with open(out) as f:
+        rows = f.read().splitlines()
+    assert rows[0].startswith("month,eco_group") and sum(int(r.split(",")[4]) for r in rows[1:]) == 7
+    assert {r.split(",")[2] for r in rows[1:]} == {"1600"}  # 1650 with 100-point buckets
