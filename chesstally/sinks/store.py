@@ -52,7 +52,7 @@ def source_id(path_col) -> F.Column:
     return F.concat(F.lit("s"), F.substring(F.sha2(path_col, 256), 1, 16))
 
 
-def _check_props(spark: SparkSession, store: str, bucket_size: int) -> None:
+def check_bucket_size(spark: SparkSession, store: str, bucket_size: int) -> None:
     """Counts made with different bucket sizes must not be merged: record and check."""
     text = fs.read_text_file(spark, f"{store}/{PROPS_FILE}")
     if text is None:
@@ -82,7 +82,7 @@ def aggregate_by_source(games: DataFrame, bucket_size: int = 200) -> DataFrame:
 def write_by_source(agg_by_source: DataFrame, store: str, bucket_size: int = 200) -> None:
     """Replace the partitions of the sources present in ``agg_by_source``; others stay."""
     spark = agg_by_source.sparkSession
-    _check_props(spark, store, bucket_size)
+    check_bucket_size(spark, store, bucket_size)
     (agg_by_source.select(*SOURCE_COLUMNS, *KEY_COLUMNS, *MEASURE_COLUMNS)
      .repartition("source_id")  # one writer per source: one file per partition directory
      .write.mode("overwrite")

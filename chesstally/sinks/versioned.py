@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chesstally import fs
 from chesstally.operators.aggregate import AGGREGATE_SCHEMA, merge_aggregates
+from chesstally.sinks.store import check_bucket_size
 
 POINTER = "_LATEST"
 
@@ -49,13 +50,15 @@ def read_latest(spark: SparkSession, base: str, schema: str | None = None) -> Da
     return spark.read.parquet(f"{base}/v={version}")
 
 
-def additive_upsert(delta: DataFrame, base: str) -> int:
+def additive_upsert(delta: DataFrame, base: str, bucket_size: int = 200) -> int:
     """Stored aggregate += ``delta`` as a new version; returns the version number.
 
     Same semantics as an ``INSERT ... ON CONFLICT DO UPDATE SET games = games + ...``: applying
     the same delta twice doubles its counts (use the by-source store for idempotent ingestion).
+    The table records its Elo bucket size; a delta made with another size is refused.
     """
     spark = delta.sparkSession
+    check_bucket_size(spark, base, bucket_size)
     current = read_latest(spark, base, AGGREGATE_SCHEMA)
     return write_version(merge_aggregates(current, delta), base)
 

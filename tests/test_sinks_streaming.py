@@ -270,6 +270,8 @@ def test_versioned_table(spark, tmp_dir):
     assert versioned.read_latest(spark, base) is None
     assert versioned.additive_upsert(agg, base) == 0
     assert versioned.additive_upsert(agg, base) == 1
+    with pytest.raises(ValueError):
+        versioned.additive_upsert(agg, base, bucket_size=100)
     latest = {r[:4]: r[4:] for r in _tuples(versioned.read_latest(spark, base))}
     for r in _tuples(agg):
         assert latest[r[:4]] == tuple(2 * x for x in r[4:])
