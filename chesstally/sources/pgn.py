@@ -4,8 +4,9 @@ A game starts at every line that begins with ``[Event `` (untrimmed); text befor
 line is a game of its own, an empty file has none. Spark's text source with the record separator
 ``"\\n[Event "`` yields exactly these records, and Hadoop's line reader keeps records whole
 across split boundaries, so plain text files are read in parallel splits. Compressed files
-(``.zst``, ``.gz``, ``.bz2``) are decoded by the Hadoop codecs; ``.zst``/``.gz`` are not
-splittable (one task per file), which is why :func:`chesstally.sinks.store.land_games` exists.
+(``.zst``, ``.gz``, ``.bz2``) are decoded by the Hadoop codecs; ``.bz2`` stays splittable,
+``.zst``/``.gz`` are not (one task per file): ``read_games(..., rebalance=N)`` then parses in N
+tasks, and :func:`chesstally.sinks.store.land_games` keeps a parsed copy for later jobs.
 
 The separator is consumed by the reader, so every record except a file's first begins with the
 rest of the ``Event`` line (``"Rated game"]``). That line no longer looks like a header, which is
