@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,18 +69,25 @@ def read_games(
     ``key=value`` partition directories are then not turned into columns.
     """
     paths = _as_list(paths)
+    empty_schema = "game string" + (", source_file string, source_month string"
+                                    if with_source else "")
     if skip_missing:
         paths, missing = split_existing(spark, paths)
         if missing:
             print(f"PGN file(s) not found, skipped: {', '.join(missing)}")
         if not paths:
-            schema = "game string" + (", source_file string, source_month string"
-                                      if with_source else "")
-            return spark.createDataFrame([], schema)
+            return spark.createDataFrame([], empty_schema)
     reader = spark.read.option("lineSep", GAME_SEPARATOR)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    games = _shape(reader.text(paths), with_source)
+    try:
+        raw = reader.text(paths)
+    except AnalysisException as exc:  # a glob that matches nothing
+        if skip_missing and "PATH_NOT_FOUND" in str(exc):
+            print(f"PGN file(s) not found, skipped: {', '.join(paths)}")
+            return spark.createDataFrame([], empty_schema)
+        raise
+    games = _shape(raw, with_source)
     return games.repartition(rebalance) if rebalance else games
 
 

@@ -132,3 +132,10 @@ def test_recursive_directories(spark, tmp_dir):
     df = read_games(spark, os.path.join(tmp_dir, "nested"), recursive=True)
     got = sorted((r.source_month, r["count"]) for r in df.groupBy("source_month").count().collect())
     assert got == [("2013-07", 2), ("2013-08", 3)]
+
+
+def test_glob_matching_nothing_is_skipped(spark, tmp_dir):
+    g = os.path.join(tmp_dir, "nothing", "*.pgn.zst")
+    assert read_games(spark, g, skip_missing=True).count() == 0
+    with pytest.raises(Exception):
+        read_games(spark, g).count()
