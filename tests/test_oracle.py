@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -51,5 +52,7 @@ def test_query_matches_oracle(spark, con, name):
     res = con.sql(E.oracle_sql()[name])
     exp, ecols = res.fetchall(), res.columns
     assert sorted(cols) == sorted(ecols)
+    duck_types = dict(zip(ecols, [str(t) for t in res.types]))
+    assert {c: TYPES.get(t) for c, t in df.dtypes} == duck_types
     assert len(got) == len(exp)
     assert _canon(got, cols) == _canon(exp, ecols)
