@@ -1,0 +1,49 @@
+"""Trend queries on a tiny hand-made aggregate: zero denominators, first-month lag, ties."""
+
+from chesstally.operators import trends
+from chesstally.operators.aggregate import AGGREGATE_SCHEMA
+
+ROWS = [
+    # month, eco_group, white_bucket, black_bucket, games, white_wins, black_wins, draws
+    ("2013-01", "B20-B99", 1600, 1400, 4, 2, 1, 1),
+    ("2013-01", "C00-C19", 1600, 1400, 4, 0, 0, 0),    # only unfinished games
+    ("2013-01", "A56", 0, 1400, 2, 1, 1, 0),           # unrated White
+    ("2013-02", "C00-C19", 1800, 1600, 3, 1, 1, 1),
+    ("unknown", "U00", 0, 0, 5, 5, 0, 0),
+]
+
+
+def _agg(spark):
+    return spark.createDataFrame(ROWS, AGGREGATE_SCHEMA)
+
+
+def test_elo_performance_zero_finished_is_null(spark):
+    rows = {(r.white_bucket, r.black_bucket): r for r in
+            trends.elo_performance(_agg(spark)).collect()}
+    assert set(rows) == {(1600, 1400), (1800, 1600)}  # bucket 0 excluded
+    r = rows[(1600, 1400)]
+    assert (r.games, r.white_wins, r.draws, r.gap) == (8, 2, 1, 200)
+    assert r.white_score == 5 / 8  # (2*2 + 1) / (2*4): finished games only
+    only_unfinished = spark.createDataFrame([ROWS[1]], AGGREGATE_SCHEMA)
+    assert trends.elo_performance(only_unfinished).collect()[0].white_score is None
+
+
+def test_monthly_trend_and_top_openings(spark):
+    m = [tuple(r) for r in trends.monthly_trend(_agg(spark)).orderBy("month").collect()]
+    assert m == [("2013-01", 10, None, None, 10), ("2013-02", 3, 10, -7, 13)]
+    top = [tuple(r) for r in trends.top_openings(_agg(spark), k=1).orderBy("month").collect()]
+    assert top == [("2013-01", 1, "B20-B99", 4), ("2013-02", 1, "C00-C19", 3),
+                   ("unknown", 1, "U00", 5)]  # B20-B99 and C00-C19 tie at 4: label order
+
+
+def test_rates_popularity_rollup(spark):
+    rates = {r.eco_group: r for r in trends.result_rates(_agg(spark)).collect()}
+    assert rates["C00-C19"].games == 7 and rates["C00-C19"].draw_rate == 1 / 7
+    pop = {(r.month, r.eco_group): r.share for r in trends.opening_popularity(_agg(spark)).collect()}
+    assert pop[("2013-01", "A56")] == 2 / 10
+    roll = {(r.month, r.eco_group): r.games for r in trends.rollup_counts(_agg(spark)).collect()}
+    assert roll[(None, None)] == 18 and roll[("2013-01", None)] == 10
+    trend = {(r.eco_group, r.month): (r.games_change, r.share_change)
+             for r in trends.opening_trend(_agg(spark)).collect()}
+    assert trend[("C00-C19", "2013-02")] == (3 - 4, 1.0 - 4 / 10)
+    assert ("U00", "unknown") not in trend
