@@ -47,7 +47,10 @@ def main() -> None:
                     # The fixture has one directory per month; on a local disk listing them
                     # serially is instant, while the default (>32 paths) launches a listing job
                     # per query. Cluster deployments keep Spark's default.
-                    "spark.sql.sources.parallelPartitionDiscovery.threshold": "1024"})
+                    "spark.sql.sources.parallelPartitionDiscovery.threshold": "1024",
+                    **({"spark.eventLog.enabled": "true",
+                        "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+                       if os.environ.get("BENCH_EVENT_LOG_DIR") else {})})
     spark.sparkContext.setLogLevel("ERROR")
 
     # ---- setup (untimed) ----
