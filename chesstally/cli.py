@@ -59,6 +59,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     return args
 
 
+# The setting names of the original tool's config.toml (accepted as-is).
 CONFIG_KEYS = {"bucket_size", "list_url", "db_batch_rows", "batch_size", "rayon_threads"}
 
 
