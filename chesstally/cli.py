@@ -44,6 +44,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--verbose", "-v", action="store_true", help="print phase timings to stderr")
     args = p.parse_args(argv)
     settings = load_config(args.config)
+    args.db_batch_rows = int(settings.get("db_batch_rows", 1000))
     if args.bucket_size is None:
         args.bucket_size = int(settings.get("bucket_size", 200))
     if args.index is None and not args.files and settings.get("list_url"):
@@ -64,8 +65,9 @@ CONFIG_KEYS = {"bucket_size", "list_url", "db_batch_rows", "batch_size", "rayon_
 
 
 def load_config(path: str | None) -> dict:
-    """Settings from a TOML file: ``bucket_size`` and ``list_url`` are used; the batch and
-    thread settings of the original tool are accepted and ignored (Spark sizes its own work).
+    """Settings from a TOML file: ``bucket_size``, ``list_url`` and ``db_batch_rows`` (JDBC batch
+    size) are used; ``batch_size`` and ``rayon_threads`` are accepted and ignored (Spark sizes
+    its own tasks).
     An explicit file that is missing or invalid raises instead of falling back to defaults."""
     if path is None:
         if not os.path.exists("config.toml"):
@@ -89,14 +91,14 @@ def main(argv: list[str] | None = None) -> int:
     if args.index:
         per_month = run_index(spark, args.index, args.since, args.until, args.out,
                               args.bucket_size, args.store, args.ledger, args.jdbc_url,
-                              args.rebalance)
+                              args.rebalance, args.db_batch_rows)
         seconds = time.perf_counter() - t1
         for month in sorted(per_month):
             print(f"{month} | games={per_month[month]}")
         print(f"Processed {len(per_month)} month(s) in {seconds:.3f}s.", file=sys.stderr)
     else:
         print(run_files(spark, args.files, args.out, args.bucket_size, args.store, args.jdbc_url,
-                        args.rebalance, args.recursive))
+                        args.rebalance, args.recursive, args.db_batch_rows))
         if args.verbose:
             print(f"aggregated in {time.perf_counter() - t1:.3f}s", file=sys.stderr)
     return 0

@@ -62,12 +62,12 @@ def _by_source_table(spark: SparkSession, games: DataFrame, bucket_size: int) ->
 
 
 def _outputs(spark: SparkSession, by_source: DataFrame, bucket_size: int, store: str | None,
-             jdbc_url: str | None) -> DataFrame:
+             jdbc_url: str | None, db_batch_rows: int = 1000) -> DataFrame:
     agg = merge_aggregates(by_source)
     if store:
         write_by_source(by_source, store, bucket_size)
     if jdbc_url:
-        jdbc.upsert_aggregates(agg, jdbc_url)
+        jdbc.upsert_aggregates(agg, jdbc_url, batch_rows=db_batch_rows)
     return agg
 
 
@@ -78,12 +78,13 @@ def _prepare_database(spark: SparkSession, jdbc_url: str | None) -> None:
 
 def run_files(spark: SparkSession, paths, out: str | None = None, bucket_size: int = 200,
               store: str | None = None, jdbc_url: str | None = None,
-              rebalance: int | None = None, recursive: bool = False) -> int:
+              rebalance: int | None = None, recursive: bool = False,
+              db_batch_rows: int = 1000) -> int:
     """Local workflow: aggregate the given files (or folders); returns the number of games."""
     _prepare_database(spark, jdbc_url)
     games = read_games(spark, paths, skip_missing=True, rebalance=rebalance, recursive=recursive)
     by_source = _by_source_table(spark, games, bucket_size)
-    agg = _outputs(spark, by_source, bucket_size, store, jdbc_url)
+    agg = _outputs(spark, by_source, bucket_size, store, jdbc_url, db_batch_rows)
     if out:
         write_csv(agg, out)
     total = by_source.agg(F.sum("games")).collect()[0][0]
@@ -93,7 +94,8 @@ def run_files(spark: SparkSession, paths, out: str | None = None, bucket_size: i
 def run_index(spark: SparkSession, index_path: str, since: str | None = None,
               until: str | None = None, out: str | None = None, bucket_size: int = 200,
               store: str | None = None, ledger_path: str | None = None,
-              jdbc_url: str | None = None, rebalance: int | None = None) -> dict[str, int]:
+              jdbc_url: str | None = None, rebalance: int | None = None,
+              db_batch_rows: int = 1000) -> dict[str, int]:
     """Index workflow: plan dump files, aggregate them in one job, write the outputs;
     returns ``{source month: games}``."""
     _prepare_database(spark, jdbc_url)
@@ -122,7 +124,7 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
         write_csv_per_source_month(per_month, out)
     # Recorded duration: scan, aggregation and CSV output, not the store/database writes.
     duration_ms = int((time.time() - t0) * 1000)
-    _outputs(spark, by_source, bucket_size, store, jdbc_url)
+    _outputs(spark, by_source, bucket_size, store, jdbc_url, db_batch_rows)
     games = by_source.groupBy(F.col("source_month").alias("month")).agg(
         F.sum("games").alias("games"))
     if ledger_path:

@@ -203,9 +203,10 @@ def test_run_files_and_run_index(spark, tmp_dir):
     with pytest.raises(SystemExit):
         parse_args([])
     cfg = write(os.path.join(tmp_dir, "config.toml"),
-                'bucket_size = 100\nlist_url = "idx.txt"\nbatch_size = 1000\n')
+                'bucket_size = 100\nlist_url = "idx.txt"\nbatch_size = 1000\n'
+                'db_batch_rows = 250\n')
     a = parse_args(["--config", cfg])
-    assert (a.bucket_size, a.index) == (100, "idx.txt")
+    assert (a.bucket_size, a.index, a.db_batch_rows) == (100, "idx.txt", 250)
     assert parse_args(["--config", cfg, "--bucket-size", "400", "f.pgn"]).bucket_size == 400
     os.environ.pop("DATABASE_URL", None)
     with pytest.raises(SystemExit):
