@@ -93,6 +93,9 @@ def main() -> None:
         # the same games as one unsplittable .zst: one task decompresses, 2x cpus tasks parse
         "zst_single_file_rebalanced": lambda: _run(aggregate_games(read_games(
             spark, zst_path, with_source=False, rebalance=int(cpus) * 2))),
+        # a rated-buckets trend chained directly on the parse (key filter must not re-run it)
+        "trend_chained_on_parse": lambda: _run(trends.elo_performance(
+            aggregate_games(read_games(spark, pgn, with_source=False)))),
         "merge_batches": lambda: _run(Q.agg_merge_batches(spark, sf_dir)),
         "store_ingest_by_source": lambda: store.ingest_games(
             read_games(spark, pgn), fresh("store")),
