@@ -383,3 +383,23 @@ def test_cli_module_entry_point(tmp_dir):
         rows = f.read().splitlines()
     assert rows[0].startswith("month,eco_group") and sum(int(r.split(",")[4]) for r in rows[1:]) == 7
     assert {r.split(",")[2] for r in rows[1:]} == {"1600"}  # 1650 with 100-point buckets
+
+
+def test_running_totals_with_rocksdb_state_store(spark, tmp_dir):
+    from chesstally.sinks import versioned
+    from chesstally.streaming.ingest import start_running_totals
+
+    src = os.path.join(tmp_dir, "rt")
+    dump(tmp_dir, "2013-07", 9, sub="rt")
+    dump(tmp_dir, "2013-08", 4, sub="rt")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        q = start_running_totals(spark, src, os.path.join(tmp_dir, "rt_ck"),
+                                 versioned.snapshot_sink(os.path.join(tmp_dir, "rt_out")),
+                                 output_mode="complete", max_files_per_trigger=1)
+        q.awaitTermination()
+    finally:
+        spark.conf.unset(key)
+    got = versioned.read_latest(spark, os.path.join(tmp_dir, "rt_out"))
+    assert _tuples(got) == _tuples(aggregate_games(read_games(spark, src)))
