@@ -31,7 +31,7 @@ _LOCK = threading.RLock()  # re-entrant: aggregate_table builds on pgn_dataset
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def _s(c: Column) -> Column:
@@ -118,7 +118,7 @@ def _code_digest() -> str:
 
 
 def _key(sf_dir: str, layout: str) -> str:
-    digest = hashlib.sha1(f"{sf_dir.rstrip('/')}|{layout}".encode()).hexdigest()[:12]
+    digest = hashlib.sha1(f"{str(sf_dir).rstrip('/')}|{layout}".encode()).hexdigest()[:12]
     return f"{GENERATOR_VERSION}-{_code_digest()}-{layout}-{digest}"
 
 
