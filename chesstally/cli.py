@@ -16,7 +16,8 @@ import sys
 import time
 import tomllib
 
-from chesstally.jobs import run_files, run_index
+from chesstally import fs
+from chesstally.jobs import run_files_counted, run_index
 from chesstally.session import build_session
 
 
@@ -97,8 +98,17 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{month} | games={per_month[month]}")
         print(f"Processed {len(per_month)} month(s) in {seconds:.3f}s.", file=sys.stderr)
     else:
-        print(run_files(spark, args.files, args.out, args.bucket_size, args.store, args.jdbc_url,
-                        args.rebalance, args.recursive, args.db_batch_rows))
+        total, per_file = run_files_counted(
+            spark, args.files, args.out, args.bucket_size, args.store, args.jdbc_url,
+            args.rebalance, args.recursive, args.db_batch_rows)
+        single_files = not any(any(ch in f for ch in "*?[{") or fs.is_dir(spark, f)
+                               for f in args.files)
+        if len(args.files) > 1 and single_files:
+            for f in args.files:  # one count per existing input file, as separate runs print
+                if fs.is_file(spark, f):
+                    print(per_file.get(fs.qualify(spark, f), 0))
+        else:
+            print(total)
         if args.verbose:
             print(f"aggregated in {time.perf_counter() - t1:.3f}s", file=sys.stderr)
     return 0

@@ -12,11 +12,22 @@ def _path(spark: SparkSession, path: str):
     return fs, p
 
 
+def qualify(spark: SparkSession, path: str) -> str:
+    """Fully qualified form of a path (``/x`` -> ``file:/x`` on the local filesystem)."""
+    fs, p = _path(spark, path)
+    return str(fs.makeQualified(p).toString())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _path(spark, path)
     return bool(fs.exists(p))
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return bool(fs.exists(p) and fs.getFileStatus(p).isFile())
+
+
 def is_dir(spark: SparkSession, path: str) -> bool:
     fs, p = _path(spark, path)
     return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())

@@ -81,14 +81,26 @@ def run_files(spark: SparkSession, paths, out: str | None = None, bucket_size: i
               rebalance: int | None = None, recursive: bool = False,
               db_batch_rows: int = 1000) -> int:
     """Local workflow: aggregate the given files (or folders); returns the number of games."""
+    total, _ = run_files_counted(spark, paths, out, bucket_size, store, jdbc_url, rebalance,
+                                 recursive, db_batch_rows)
+    return total
+
+
+def run_files_counted(spark: SparkSession, paths, out: str | None = None, bucket_size: int = 200,
+                      store: str | None = None, jdbc_url: str | None = None,
+                      rebalance: int | None = None, recursive: bool = False,
+                      db_batch_rows: int = 1000) -> tuple[int, dict[str, int]]:
+    """:func:`run_files`, also returning games per source file (qualified path -> games),
+    read from the per-source table (one row per file and key; no second scan)."""
     _prepare_database(spark, jdbc_url)
     games = read_games(spark, paths, skip_missing=True, rebalance=rebalance, recursive=recursive)
     by_source = _by_source_table(spark, games, bucket_size)
     agg = _outputs(spark, by_source, bucket_size, store, jdbc_url, db_batch_rows)
     if out:
         write_csv(agg, out)
-    total = by_source.agg(F.sum("games")).collect()[0][0]
-    return int(total or 0)
+    per_file = {r.source_file: int(r.games) for r in
+                by_source.groupBy("source_file").agg(F.sum("games").alias("games")).collect()}
+    return sum(per_file.values()), per_file
 
 
 def run_index(spark: SparkSession, index_path: str, since: str | None = None,

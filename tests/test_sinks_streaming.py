@@ -403,3 +403,18 @@ def test_running_totals_with_rocksdb_state_store(spark, tmp_dir):
         spark.conf.unset(key)
     got = versioned.read_latest(spark, os.path.join(tmp_dir, "rt_out"))
     assert _tuples(got) == _tuples(aggregate_games(read_games(spark, src)))
+
+
+def test_cli_prints_one_count_per_file(tmp_dir):
+    import subprocess
+    import sys
+
+    a = dump(tmp_dir, "2013-07", 3)
+    b = dump(tmp_dir, "2013-08", 5)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=root)
+    res = subprocess.run([sys.executable, "-m", "chesstally", a, b, os.path.join(tmp_dir, "no.pgn")],
+                         capture_output=True, text=True, env=env, cwd=tmp_dir, timeout=300)
+    assert res.returncode == 0, res.stderr[-2000:]
+    lines = res.stdout.strip().splitlines()
+    assert lines[-2:] == ["3", "5"] and "no.pgn" in res.stdout
