@@ -31,7 +31,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--bucket-size", type=int, default=None,
                    help="Elo bucket width (default: config file, else 200)")
     p.add_argument("--config", help="TOML settings (bucket_size, list_url, db_batch_rows); "
-                                    "default ./config.toml"
+                                    "default ./config.toml "
                                     "when present")
     p.add_argument("--store", help="idempotent by-source aggregate store (parquet directory)")
     p.add_argument("--ledger", help="ingestion ledger directory (index mode)")
