@@ -7,7 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPLIT = re.compile(r"[-/.]")
+# YYYY, a separator (- / .), the month digits, then nothing or a separator and anything.
+_BOUND = re.compile(r"([0-9]{4})[-/.]([0-9]+)(?:[-/.].*)?", re.DOTALL)
 
 
 def norm_month(value: str | None) -> str | None:
@@ -15,21 +16,14 @@ def norm_month(value: str | None) -> str | None:
 
     Accepts ``YYYY-M``, ``YYYY-MM``, ``YYYY/MM``, ``YYYY.MM`` (and ignores parts after the month,
     e.g. ``YYYY-MM-DD``); the year must be 4 ASCII digits, the month 1..12. Returns None otherwise.
+    Same rule as :func:`norm_month_col`, for literal bounds on the driver.
     """
     if value is None:
         return None
-    parts = _SPLIT.split(value.strip())
-    if len(parts) < 2:
+    m = _BOUND.fullmatch(value.strip())
+    if m is None or not 1 <= int(m.group(2)) <= 12:
         return None
-    year, month = parts[0], parts[1]
-    if len(year) != 4 or not all("0" <= c <= "9" for c in year):
-        return None
-    if not month or not all("0" <= c <= "9" for c in month):
-        return None
-    m = int(month)
-    if not 1 <= m <= 12:
-        return None
-    return f"{year}-{m:02d}"
+    return f"{m.group(1)}-{int(m.group(2)):02d}"
 
 
 def require_month(value: str | None, name: str) -> str | None:
