@@ -1,8 +1,8 @@
 """Ingestion ledger: which months were ingested, when, and how many games.
 
-The ledger is kept as an append-only table of events instead of rows updated in place, which
-suits files on a shared filesystem (no read-modify-write, no lost update when a job dies) and
-makes the state a single grouped aggregation:
+The ledger is kept as a table of events instead of rows updated in place (each append writes a
+new version with a pointer switch, see :mod:`chesstally.sinks.versioned`), which suits files on a
+shared filesystem (no partial update when a job dies) and makes the state a single aggregation:
 
 * ``start`` (month, url, at): creates the month's row or, if it exists, replaces ``url``,
   ``started_at`` and sets status ``started``; ``games``, ``duration_ms`` and ``finished_at`` of an
@@ -25,7 +25,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chesstally import fs
+from chesstally.sinks import versioned
 
 EVENT_SCHEMA = (
     "month string, seq bigint, kind string, url string, event_at string, "
@@ -74,7 +74,16 @@ def finish_events_from(per_month: DataFrame, duration_ms: int, status: str = "su
 
 
 def append_events(events: DataFrame, ledger_path: str) -> None:
-    events.select(*[F.col(c) for c in _event_cols()]).write.mode("append").parquet(ledger_path)
+    """Add events as a new version of the ledger (previous events + these, one file).
+
+    The ledger is small (one row per file and run), so rewriting it keeps it compact and makes
+    each append atomic: readers see the previous or the new version, never half of it.
+    """
+    spark = events.sparkSession
+    new = events.select(*[F.col(c) for c in _event_cols()])
+    current = versioned.read_latest(spark, ledger_path)
+    merged = new if current is None else current.select(*_event_cols()).unionByName(new)
+    versioned.write_version(merged.coalesce(1), ledger_path)
 
 
 def _event_cols() -> list[str]:
@@ -82,9 +91,10 @@ def _event_cols() -> list[str]:
 
 
 def read_events(spark: SparkSession, ledger_path: str) -> DataFrame:
-    if not fs.exists(spark, ledger_path):
+    events = versioned.read_latest(spark, ledger_path)
+    if events is None:
         return spark.createDataFrame([], EVENT_SCHEMA)
-    return spark.read.schema(EVENT_SCHEMA).parquet(ledger_path)
+    return events.select(*_event_cols())
 
 
 def ledger_state(events: DataFrame) -> DataFrame:

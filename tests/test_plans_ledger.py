@@ -112,3 +112,15 @@ def test_ledger_rerun_right_after_finish(spark, tmp_dir):
     state = {r.month: r.status for r in ledger.current_state(spark, path).collect()}
     assert [state[m] for m, _ in months[:3]] == ["started"] * 3
     assert all(state[m] == "success" for m, _ in months[3:])
+
+
+def test_ledger_versions_stay_compact(spark, tmp_dir):
+    import os
+
+    path = tmp_dir + "/ledger_compact"
+    for run in range(3):
+        ledger.append_events(ledger.start_events(spark, [(f"2013-0{run + 1}", "u")]), path)
+    latest = open(os.path.join(path, "_LATEST")).read().strip()
+    files = [f for f in os.listdir(os.path.join(path, f"v={latest}")) if f.endswith(".parquet")]
+    assert len(files) == 1
+    assert ledger.read_events(spark, path).count() == 3
