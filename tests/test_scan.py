@@ -139,3 +139,17 @@ def test_glob_matching_nothing_is_skipped(spark, tmp_dir):
     assert read_games(spark, g, skip_missing=True).count() == 0
     with pytest.raises(Exception):
         read_games(spark, g).count()
+
+
+def test_gzip_dump(spark, tmp_dir):
+    import gzip
+
+    path = os.path.join(tmp_dir, "gz", "games_rated_2013-09.pgn.gz")
+    os.makedirs(os.path.dirname(path))
+    with gzip.open(path, "wt") as f:
+        f.write("\n" + GAME * 4)  # leading blank line: one extra (empty) game
+    df = read_games(spark, os.path.dirname(path))
+    assert df.count() == 5
+    assert df.where(F.col("source_month") == "2013-09").count() == 5
+    agg = aggregate_games(df).where(F.col("eco_group") == "B20-B99").collect()
+    assert [(r.month, r.games, r.white_wins) for r in agg] == [("2013-07", 4, 4)]
