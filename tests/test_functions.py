@@ -126,3 +126,14 @@ def test_norm_month_column_agrees_with_python_on_random_strings(spark):
     got = {r.i: r.n for r in df.select("i", norm_month_col("m").alias("n")).collect()}
     for i, s in enumerate(samples):
         assert got[i] == norm_month(s), s
+
+
+def test_tag_columns_equal_with_tags(spark):
+    from chesstally.functions.headers import tag_columns
+
+    games = ['[ECO "B45"]\n[ECO " c00 "]\n[Result "1-0"]', '[Result ""]', "no headers"]
+    df = spark.createDataFrame([(i, g) for i, g in enumerate(games)], "i int, game string")
+    a = df.select("i", *tag_columns("game", ["ECO", "Result"])).orderBy("i").collect()
+    b = with_tags(df, "game", ["ECO", "Result"], keep=["i"]).orderBy("i").collect()
+    assert [tuple(r) for r in a] == [tuple(r) for r in b] == [
+        (0, " c00 ", "1-0"), (1, None, ""), (2, None, None)]

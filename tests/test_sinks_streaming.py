@@ -418,3 +418,14 @@ def test_cli_prints_one_count_per_file(tmp_dir):
     assert res.returncode == 0, res.stderr[-2000:]
     lines = res.stdout.strip().splitlines()
     assert lines[-2:] == ["3", "5"] and "no.pgn" in res.stdout
+
+
+def test_write_csv_dir_sorted(spark, tmp_dir):
+    from chesstally.sinks.csv import write_csv_dir
+
+    dump(tmp_dir, "2013-07", 30)
+    agg = aggregate_games(read_games(spark, os.path.join(tmp_dir, "dumps")))
+    out = os.path.join(tmp_dir, "csvdir")
+    write_csv_dir(agg, out)
+    back = read_aggregates_csv(spark, out)
+    assert _tuples(back) == _tuples(agg)
