@@ -18,9 +18,11 @@ from chesstally.sinks.store import read_store
 
 
 def register_tables(spark: SparkSession, store: str | None = None, ledger: str | None = None,
-                    aggregates: DataFrame | None = None) -> list[str]:
+                    aggregates: DataFrame | None = None,
+                    ingestions: DataFrame | None = None) -> list[str]:
     """Create/replace the temp views ``aggregates`` (from a by-source store or a given aggregate
-    DataFrame) and ``ingestions`` (current ledger state); returns the registered names."""
+    DataFrame) and ``ingestions`` (current state of a ledger path, or a given state DataFrame);
+    returns the registered names."""
     names = []
     if aggregates is None and store is not None:
         aggregates = read_store(spark, store)
@@ -30,8 +32,9 @@ def register_tables(spark: SparkSession, store: str | None = None, ledger: str |
             *[F.col(m).cast("bigint") for m in MEASURE_COLUMNS],
         ).createOrReplaceTempView("aggregates")
         names.append("aggregates")
-    if ledger is not None:
-        state = ledger_mod.current_state(spark, ledger)
-        state.select(*ledger_mod.STATE_COLUMNS).createOrReplaceTempView("ingestions")
+    if ingestions is None and ledger is not None:
+        ingestions = ledger_mod.current_state(spark, ledger)
+    if ingestions is not None:
+        ingestions.select(*ledger_mod.STATE_COLUMNS).createOrReplaceTempView("ingestions")
         names.append("ingestions")
     return names

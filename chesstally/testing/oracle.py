@@ -351,3 +351,15 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 ORACLE_SQL["sql_on_aggregates"] = f"WITH aggregates AS ({AGG}) {SQL_OPENING_RESULTS}"
+
+# SQL over the ledger table, as run against the original database.
+SQL_INGESTION_STATUS = """
+SELECT status,
+       CAST(count(*) AS BIGINT) AS months,
+       CAST(sum(games) AS BIGINT) AS games,
+       min(month) AS first_month,
+       max(month) AS last_month
+FROM ingestions
+GROUP BY status
+"""
+ORACLE_SQL["sql_on_ingestions"] = f"WITH ingestions AS ({LEDGER_STATE}) {SQL_INGESTION_STATUS}"

@@ -38,7 +38,7 @@ from chesstally.sources.pgn import read_games
 from chesstally.sources.tables import register_tables
 from chesstally.streaming.ingest import run_ingest, start_running_totals
 from chesstally.testing import fixtures
-from chesstally.testing.oracle import SQL_OPENING_RESULTS
+from chesstally.testing.oracle import SQL_INGESTION_STATUS, SQL_OPENING_RESULTS
 
 PLAN_SINCE, PLAN_UNTIL = "1996-3", "2000/10"
 MERGE_SPLIT_MONTH = "1998-06"
@@ -233,6 +233,11 @@ def sql_on_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(SQL_OPENING_RESULTS)
 
 
+def sql_on_ingestions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_tables(spark, ingestions=ledger_state(spark, sf_dir))
+    return spark.sql(SQL_INGESTION_STATUS)
+
+
 def cube_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.cube_counts(stored_aggregate(spark, sf_dir), ("white_bucket", "black_bucket"))
 
@@ -269,4 +274,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "opening_trend": opening_trend,
     "upsert_versioned": upsert_versioned,
     "sql_on_aggregates": sql_on_aggregates,
+    "sql_on_ingestions": sql_on_ingestions,
 }
