@@ -57,6 +57,25 @@ def move_file(spark: SparkSession, src: str, dst: str) -> None:
         delete(spark, sidecar, recursive=False)
 
 
+def rename_if_absent(spark: SparkSession, src: str, dst: str) -> bool:
+    """Rename ``src`` to ``dst`` only if ``dst`` does not exist (``FileContext`` rename without
+    OVERWRITE); False if it exists. ``FileSystem.rename`` would instead move a directory *into*
+    an existing one."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src_p, dst_p = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(src_p.toUri(), conf)
+    opts = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    opts[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        fc.rename(src_p, dst_p, opts)
+        return True
+    except Exception as exc:  # FileAlreadyExistsException from the JVM
+        if "FileAlreadyExists" in str(exc) or exists(spark, dst):
+            return False
+        raise
+
+
 def replace_file(spark: SparkSession, src: str, dst: str) -> None:
     """Rename ``src`` over ``dst`` atomically where the filesystem supports it (Hadoop
     ``FileContext`` rename with OVERWRITE); otherwise delete-then-rename."""

@@ -145,8 +145,7 @@ def pgn_dataset(spark: SparkSession, sf_dir: str, layout: str = "monthly") -> st
             games.select("game").repartition(n).write.text(staging)
         else:
             raise ValueError(f"unknown layout {layout!r}")
-        if not fs.exists(spark, target):
-            fs.rename(spark, staging, target)
+        fs.rename_if_absent(spark, staging, target)  # another writer may have won: keep theirs
         return target
 
 
@@ -165,8 +164,7 @@ def aggregate_table(spark: SparkSession, sf_dir: str) -> str:
         games = read_games(spark, pgn, with_source=False)
         staging = f"{target}.tmp-{uuid.uuid4().hex}"
         aggregate_games(games).write.parquet(staging)
-        if not fs.exists(spark, target):
-            fs.rename(spark, staging, target)
+        fs.rename_if_absent(spark, staging, target)  # another writer may have won: keep theirs
         return target
 
 

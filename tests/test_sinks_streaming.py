@@ -429,3 +429,16 @@ def test_write_csv_dir_sorted(spark, tmp_dir):
     write_csv_dir(agg, out)
     back = read_aggregates_csv(spark, out)
     assert _tuples(back) == _tuples(agg)
+
+
+def test_rename_if_absent(spark, tmp_dir):
+    from chesstally import fs
+
+    for name in ("a", "b"):
+        write(os.path.join(tmp_dir, "ren", name, "f.txt"), name)
+    target = os.path.join(tmp_dir, "ren", "target")
+    assert fs.rename_if_absent(spark, os.path.join(tmp_dir, "ren", "a"), target)
+    assert not fs.rename_if_absent(spark, os.path.join(tmp_dir, "ren", "b"), target)
+    assert sorted(os.listdir(target)) == ["f.txt"] or "b" not in os.listdir(target)
+    with open(os.path.join(target, "f.txt")) as f:
+        assert f.read() == "a"
