@@ -243,3 +243,34 @@ def test_generated_pgn_files_against_brute_force(spark):
     assert sum(v[0] for v in expected.values()) == spark.read.parquet(
         f"{SF_SMALL}/lineitem.parquet").count()
     assert got == expected
+
+
+def test_exact_tail_matches_the_line_loop_exactly(spark, tmp_dir):
+    """With exact_tail, counts equal the line loop for every file, truncated ones included."""
+    import gzip
+    import os
+
+    from chesstally.sources.pgn import read_games
+    from tests.conftest import write
+    from tests.test_scan import reference_game_count
+
+    rng = random.Random(11)
+    expected, truncated = 0, 0
+    for i in range(40):
+        lines = [rng.choice(['[Event "x"]', '[Event "y"]\r', ' [Event "z"]', '[EventDate "d"]',
+                             '', 'text é', '[ECO "A00"]', '[Event ', '[Event']) for _ in range(
+            rng.randint(0, 30))]
+        text = "\n".join(lines) + rng.choice(["", "\n", "\r\n", "\n[Event "])
+        truncated += text.endswith("\n[Event ")
+        write(os.path.join(tmp_dir, "t", f"{i}.pgn"), text)
+        expected += reference_game_count(text)
+    assert truncated > 0
+    games = read_games(spark, os.path.join(tmp_dir, "t"), exact_tail=True)
+    assert games.count() == expected
+    assert games.where(F.col("game") == "[Event ").count() >= truncated
+    # compressed files: file size is not the text size, so nothing is added
+    gz = os.path.join(tmp_dir, "gz", "a.pgn.gz")
+    os.makedirs(os.path.dirname(gz))
+    with gzip.open(gz, "wt") as f:
+        f.write('[Event "a"]\n[Event ')
+    assert read_games(spark, os.path.dirname(gz), exact_tail=True).count() == 1
