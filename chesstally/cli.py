@@ -42,6 +42,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
                    help="parse in N tasks after scanning unsplittable dumps (.zst/.gz)")
     p.add_argument("--recursive", action="store_true",
                    help="read every file below the given folders (files mode)")
+    p.add_argument("--exact-tail", action="store_true",
+                   help="count the bare last game of uncompressed files ending in '[Event '")
     p.add_argument("--master", help="Spark master (default: from the environment)")
     p.add_argument("--verbose", "-v", action="store_true", help="print phase timings to stderr")
     args = p.parse_args(argv)
@@ -93,7 +95,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.index:
         per_month = run_index(spark, args.index, args.since, args.until, args.out,
                               args.bucket_size, args.store, args.ledger, args.jdbc_url,
-                              args.rebalance, args.db_batch_rows)
+                              args.rebalance, args.db_batch_rows, args.exact_tail)
         seconds = time.perf_counter() - t1
         for month in sorted(per_month):
             print(f"{month} | games={per_month[month]}")
@@ -101,7 +103,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         total, per_file = run_files_counted(
             spark, args.files, args.out, args.bucket_size, args.store, args.jdbc_url,
-            args.rebalance, args.recursive, args.db_batch_rows)
+            args.rebalance, args.recursive, args.db_batch_rows, args.exact_tail)
         single_files = not any(any(ch in f for ch in "*?[{") or fs.is_dir(spark, f)
                                for f in args.files)
         if len(args.files) > 1 and single_files:

@@ -79,21 +79,23 @@ def _prepare_database(spark: SparkSession, jdbc_url: str | None) -> None:
 def run_files(spark: SparkSession, paths, out: str | None = None, bucket_size: int = 200,
               store: str | None = None, jdbc_url: str | None = None,
               rebalance: int | None = None, recursive: bool = False,
-              db_batch_rows: int = 1000) -> int:
+              db_batch_rows: int = 1000, exact_tail: bool = False) -> int:
     """Local workflow: aggregate the given files (or folders); returns the number of games."""
     total, _ = run_files_counted(spark, paths, out, bucket_size, store, jdbc_url, rebalance,
-                                 recursive, db_batch_rows)
+                                 recursive, db_batch_rows, exact_tail)
     return total
 
 
 def run_files_counted(spark: SparkSession, paths, out: str | None = None, bucket_size: int = 200,
                       store: str | None = None, jdbc_url: str | None = None,
                       rebalance: int | None = None, recursive: bool = False,
-                      db_batch_rows: int = 1000) -> tuple[int, dict[str, int]]:
+                      db_batch_rows: int = 1000,
+                      exact_tail: bool = False) -> tuple[int, dict[str, int]]:
     """:func:`run_files`, also returning games per source file (qualified path -> games),
     read from the per-source table (one row per file and key; no second scan)."""
     _prepare_database(spark, jdbc_url)
-    games = read_games(spark, paths, skip_missing=True, rebalance=rebalance, recursive=recursive)
+    games = read_games(spark, paths, skip_missing=True, rebalance=rebalance, recursive=recursive,
+                       exact_tail=exact_tail)
     by_source = _by_source_table(spark, games, bucket_size)
     agg = _outputs(spark, by_source, bucket_size, store, jdbc_url, db_batch_rows)
     if out:
@@ -107,7 +109,7 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
               until: str | None = None, out: str | None = None, bucket_size: int = 200,
               store: str | None = None, ledger_path: str | None = None,
               jdbc_url: str | None = None, rebalance: int | None = None,
-              db_batch_rows: int = 1000) -> dict[str, int]:
+              db_batch_rows: int = 1000, exact_tail: bool = False) -> dict[str, int]:
     """Index workflow: plan dump files, aggregate them in one job, write the outputs;
     returns ``{source month: games}``."""
     _prepare_database(spark, jdbc_url)
@@ -128,7 +130,7 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
         for month, url in items:  # one small statement per planned file
             jdbc.mark_ingestion_start(spark, jdbc_url, month, url, started)
     t0 = time.time()
-    games = read_games(spark, _distinct_urls(items), rebalance=rebalance)
+    games = read_games(spark, _distinct_urls(items), rebalance=rebalance, exact_tail=exact_tail)
     by_source = _by_source_table(spark, games, bucket_size)
     if out:
         per_month = by_source.groupBy("source_month", *KEY_COLUMNS).agg(

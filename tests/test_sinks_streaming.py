@@ -200,6 +200,10 @@ def test_run_files_and_run_index(spark, tmp_dir):
 
     a = parse_args(["--index", "l.txt", "--since", "2013-01", "-o", "out/"])
     assert (a.index, a.since, a.out, a.bucket_size) == ("l.txt", "2013-01", "out/", 200)
+    assert not a.exact_tail and parse_args(["f.pgn", "--exact-tail"]).exact_tail
+    truncated = write(os.path.join(tmp_dir, "trunc.pgn"), '[Event "a"]\n[Result "1-0"]\n[Event ')
+    assert run_files(spark, [truncated]) == 1
+    assert run_files(spark, [truncated], exact_tail=True) == 2
     with pytest.raises(SystemExit):
         parse_args([])
     cfg = write(os.path.join(tmp_dir, "config.toml"),
