@@ -1,0 +1,110 @@
+import hashlib
+import random
+import zlib
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from chesstally.llm import bpe, quality
+from tests.llm.conftest import sentence
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def tok():
+    return Tokenizer.from_file(PATH)
+
+
+def odd_texts(r):
+    marks = ["<|endoftext|>", "<|startoftext|>", "é", "İ", "\x1c", "\x85", "\xa0", " ",
+             "한국", "한", "🙂", "'ll", "it's", "́", "ẞ", "\x00", "ﬁ", "日本語"]
+    seps = [" ", " ", "\n", "\t", "", "\r\n", "  "]
+    return ["".join(r.choice(marks + ["abc", "Hello", "12", "--"]) + r.choice(seps) for _ in range(n))
+            for n in (1, 5, 60, 900, 4000)]
+
+
+def test_chunked_ids_equal_whole_text_ids(tok, rng):
+    enc = bpe.Encoder(PATH)
+    texts = ["", " ", "a", "x" * 9000, sentence(rng, 5000), "<|endoftext|>" * 900, "ab" * 300 + " " + "é" * 5000]
+    texts += odd_texts(rng) + [t.replace(" ", "") for t in odd_texts(random.Random(2))]
+    for t in texts:
+        data = t.encode()
+        ends = bpe.cuts(data)
+        assert b"".join(data[a:b] for a, b in zip([0, *ends], ends)) == data
+        for a, b in zip([0, *ends], ends):
+            data[a:b].decode()
+        want = tok.encode(t, add_special_tokens=False).ids
+        assert bpe.encode_text(enc, data) == want
+        known = {i: bpe._unpack(bpe._pack(enc.words(data[a:b])))
+                 for i, (a, b) in enumerate(zip([0, *ends], ends)) if i % 2}
+        assert bpe.encode_text(enc, data, known) == want
+        assert enc.decode(want) == tok.decode(want, skip_special_tokens=False)
+
+
+def test_cuts_find_shared_passages(rng):
+    shared = sentence(rng, 2000)
+    a, b = (sentence(rng, 300) + shared).encode(), (sentence(rng, 111) + shared).encode()
+
+    def pieces(d):
+        e = bpe.cuts(d)
+        return {d[x:y] for x, y in zip([0, *e], e)}
+
+    assert sum(map(len, pieces(a) & pieces(b))) > len(shared) * 0.7
+
+
+def test_documents(make, tok, rng):
+    shared = sentence(rng, 800)
+    texts = [None, "", " ", shared, shared, "Start " + shared, shared + " end", sentence(rng, 20000),
+             "<|endoftext|> x", *odd_texts(rng)]
+    rows = [(i, t, "s") for i, t in enumerate(texts)] + [(3, shared, "s"), (None, "no id", "s"), (3, "other", "s")]
+    docs = make(rows, extra=["rk", "chunks", "n_tokens", "hash"])
+    out = bpe.encode_documents(docs, PATH, with_ids=True)
+    want = []
+    for i, t, _ in rows:
+        ids = tok.encode(t or "", add_special_tokens=False).ids
+        dec = tok.decode(ids, skip_special_tokens=False)
+        want.append((str(i), len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+                     hashlib.sha256(dec.encode()).hexdigest(), ids, dec))
+    got = [(str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256, r.ids, r.decoded) for r in out.collect()]
+    assert sorted(got) == sorted(want)
+    again = bpe.decode_documents(out.select("ids"), PATH).collect()
+    assert sorted(r.decoded for r in again) == sorted(w[5] for w in want)
+    assert bpe.encode_documents(docs.where("1 = 0"), PATH).count() == 0
+
+
+def corpus(rng, n):
+    rows, labels = [], []
+    for i in range(n):
+        bad = rng.random() < .3
+        text = sentence(rng, rng.randint(5, 80))
+        rows.append((i, " | ".join(w.upper() + "!!" for w in text.split()) if bad else text, "s"))
+        labels.append((i, 0 if bad else 1))
+    return rows, labels
+
+
+def test_quality_on_held_out_rows(spark, make, rng):
+    rows, labels = corpus(rng, 600)
+    docs = make(rows + [(None, None, "s"), (601, "", "s"), (2, rows[2][1], "s"), (602, sentence(rng, 20000), "s")],
+                extra=["score", "quality", "held_out"])
+    lab = spark.createDataFrame(labels + [(3, None), (None, 1), (4, labels[4][1])], "doc_id long, quality int")
+    model = quality.fit(docs, lab)
+    out = quality.score_documents(docs, model).collect()
+    assert len(out) == 604 and all(0 <= r.score <= 1 and r.predicted == (r.score >= .5) for r in out)
+    y = dict(labels)
+    test = [r for r in out if r.held_out]
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in test)
+    assert sum(r.predicted == y[r.doc_id] for r in test if r.doc_id in y) > .97 * len(test)
+    assert next(r for r in out if r.doc_id == 601).score == pytest.approx(model.prior)
+    kept = quality.keep_good(docs, lab)
+    assert kept.columns == docs.columns and kept.count() == sum(r.predicted for r in out)
+
+
+def test_quality_without_labels(spark, make):
+    docs = make(["a b c", None])
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    one = spark.createDataFrame([(0, 1)], "doc_id long, quality int")
+    assert [r.score for r in quality.score_documents(docs, quality.fit(docs, none)).collect()] == [.5, .5]
+    assert {r.score for r in quality.score_documents(docs, quality.fit(docs, one)).collect()} <= {.5, 1.0}
+    assert quality.score_documents(docs.where("1=0"), quality.fit(docs.where("1=0"), one)).count() == 0
