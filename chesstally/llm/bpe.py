@@ -19,7 +19,9 @@ whole texts.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -34,7 +36,25 @@ from pyspark.sql import functions as F
 from chesstally.llm.common import materialize, slices
 
 AVERAGE, LEAST, MOST = 512, 128, 4096
-_MEMO, _LONG = 150_000, 256  # words in the memo, bytes of a word in it
+_MARK = "\x01"
+#: Words of these characters need none of the normalizer's work but lower case, and fall into the
+#: pre-tokenizer's pieces by a plain pattern (no apostrophe: it may start a contraction; no "<": it
+#: may start a special token).
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff0-9!-&(-;=-~]+")
+_PARTS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+")
+#: The normalizer and pre-tokenizer for which that holds.
+_KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {
+            "Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None,
+}
+_MEMO, _LONG = 300_000, 256  # words in the memo, bytes of a word in it
 _SPACE = b" \t\n\r\x0b\x0c"
 
 
@@ -81,27 +101,76 @@ class Encoder:
         self.tok.no_padding()
         self.memo: dict[bytes, tuple[int, ...]] = {}
         self.names = [self.tok.id_to_token(i) or "" for i in range(self.tok.get_vocab_size(True))]
+        shape = json.loads(self.tok.to_str())
+        self.plain = all(shape[k] == v for k, v in _KNOWN.items())
+        self.model = self.tok.model
+        # The byte alphabet of byte-level models: printable bytes stand for themselves.
+        kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in kept]
+        self.alphabet = {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.parts: dict[str, tuple[int, ...]] = {}
+        mark = self.tok.encode(_MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
         self.digits = [str(i) for i in range(len(self.names))]
 
+    def learn(self, words: set[bytes]) -> None:
+        """Put the ids of these words into the memo, in one call of the tokenizer."""
+        new = [w for w in words.difference(self.memo) if len(w) <= _LONG]
+        if len(self.memo) + len(new) > _MEMO:
+            self.memo.clear()
+            new = [w for w in words if len(w) <= _LONG]
+        for at in range(0, len(new), 4096):
+            part = new[at:at + 4096]
+            self.memo.update(zip(part, self._coded(part)))
+
+    def get(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of learnt words; very long ones are never kept."""
+        if words and max(map(len, words)) > _LONG:
+            return [self.memo[w] if len(w) <= _LONG else self._coded([w])[0] for w in words]
+        return list(map(self.memo.__getitem__, words))
+
     def words(self, piece: bytes) -> list[tuple[int, ...]]:
         """Ids of each word between ASCII white space."""
         words = piece.split()
-        if any(len(w) > _LONG for w in words):
-            return [ids for w in words for ids in (self._coded([w]) if len(w) > _LONG else self.words(w))]
-        new = list(set(words).difference(self.memo))
-        if new:
-            if len(self.memo) + len(new) > _MEMO:
-                self.memo.clear()
-                new = list(set(words))
-            for at in range(0, len(new), 4096):
-                part = new[at:at + 4096]
-                self.memo.update(zip(part, self._coded(part)))
-        get = self.memo.__getitem__
-        return list(map(get, words))
+        self.learn(set(words))
+        return self.get(words)
 
     def _coded(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        return [tuple(e.ids) for e in self.tok.encode_batch([w.decode() for w in words],
-                                                            add_special_tokens=False)]
+        shown = [w.decode() for w in words]
+        if not self.plain:
+            return self._whole(shown)
+        odd = [w for w in shown if not _PLAIN.fullmatch(w)]
+        odd = dict(zip(odd, self._whole(odd))) if odd else {}
+        out = []
+        for w in shown:
+            if w in odd:
+                out.append(odd[w])
+            else:
+                parts = _PARTS.findall(w.lower())
+                out.append(self._part(parts[0]) if len(parts) == 1
+                           else tuple(chain.from_iterable(map(self._part, parts))))
+        return out
+
+    def _part(self, part: str) -> tuple[int, ...]:
+        """Ids of one pre-token, kept in a bounded memo of its own."""
+        ids = self.parts.get(part)
+        if ids is None:
+            if len(self.parts) >= _MEMO:
+                self.parts.clear()
+            text = part if part.isascii() else "".join(map(self.alphabet.__getitem__, part.encode()))
+            ids = tuple([t.id for t in self.model.tokenize(text)])
+            if len(part) <= _LONG:
+                self.parts[part] = ids
+        return ids
+
+    def _whole(self, shown: list[str]) -> list[tuple[int, ...]]:
+        """Words between marks make one text, which the library encodes faster than a list."""
+        if self.mark is not None and len(shown) > 1 and not any(_MARK in w for w in shown):
+            ids = self.tok.encode_batch_fast([f" {_MARK} ".join(shown)], add_special_tokens=False)[0].ids
+            ends = np.flatnonzero(np.array(ids) == self.mark).tolist()
+            if len(ends) == len(shown) - 1:
+                return [tuple(ids[a + 1:b]) for a, b in zip([-1, *ends], [*ends, len(ids)])]
+        return [tuple(e.ids) for e in self.tok.encode_batch_fast(shown, add_special_tokens=False)]
 
     def decode(self, ids: list[int]) -> str:
         if self.tok.decoder is None:  # the library joins token strings by spaces
@@ -182,7 +251,13 @@ def encode_text(enc: Encoder, data: bytes, known: dict[int, list[tuple[int, ...]
         return []
     pieces = [data[a:b] for a, b in zip([0, *ends], ends)]
     known = known or {}
-    coded = [known[i] if i in known else enc.words(p) for i, p in enumerate(pieces)]
+    split = [p.split() for p in pieces]
+    need = set(chain.from_iterable(w for i, w in enumerate(split) if i not in known))
+    # Words that the cuts run through; the windows over the joins will ask for them.
+    need.update(a[-1] + b[0] for a, b, p, q in zip(split, split[1:], pieces, pieces[1:])
+                if a and b and p[-1:] not in _SPACE and q[:1] not in _SPACE)
+    enc.learn(need)
+    coded = [known[i] if i in known else enc.get(w) for i, w in enumerate(split)]
     return join_chunks(enc, pieces, coded)
 
 

@@ -43,6 +43,17 @@ def test_chunked_ids_equal_whole_text_ids(tok, rng):
         assert enc.decode(want) == tok.decode(want, skip_special_tokens=False)
 
 
+def test_every_plain_character_is_coded_as_the_library_does(tok):
+    enc = bpe.Encoder(PATH)
+    assert enc.plain
+    chars = [chr(c) for c in range(1, 0x250)] + ["~", "|", "=", "–"]
+    words = [w for c in chars for w in (c, "a" + c, c + "b", "A" + c + "Z9", c * 3) if len(w.split()) == 1]
+    for w in words:
+        data = w.encode()
+        if len(data.split()) == 1:
+            assert list(enc._coded([data])[0]) == tok.encode(w, add_special_tokens=False).ids, repr(w)
+
+
 def test_cuts_find_shared_passages(rng):
     shared = sentence(rng, 2000)
     a, b = (sentence(rng, 300) + shared).encode(), (sentence(rng, 111) + shared).encode()
