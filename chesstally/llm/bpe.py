@@ -386,8 +386,9 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     late = waiting.join(fetched, "rk").select("rk", "blob", "got").mapInArrow(second, _DONE)
     cols = ["rk", "n_tokens", "ids_sha256", "decoded_sha256", *(("ids", "decoded") if with_ids else ())]
-    done = (stage.where("n_tokens is not null").select(*cols).union(late.select(*cols))
-            .dropDuplicates(["rk"]))
+    # Written, so that the join below can split the rows of a text with very many copies.
+    done = materialize(stage.where("n_tokens is not null").select(*cols).union(late.select(*cols))
+                       .dropDuplicates(["rk"]), "bpe-done")
     return known.select("doc_id", "rk").join(done, "rk").select("doc_id", *cols[1:])
 
 

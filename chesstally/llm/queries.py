@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chesstally.llm import bpe, decontam, line_dedup, quality, simhash
+from chesstally.llm import bpe, decontam, line_dedup, minhash, packing, quality, simhash, token_scan
 from chesstally.llm.common import table
+from chesstally.llm.tokens import RANKS
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,8 +35,20 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.edited_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_scan.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
+
+
+def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_bpe_encode_decode, op3_simhash_near_dedup, op4_quality_classifier,
-    op6_benchmark_decontamination)}
+    op6_benchmark_decontamination, op7_document_fingerprints, op8_token_counts, op10_token_id_output)}
 
 ORACLE_SQL = {"op1_line_dedup": line_dedup.ORACLE}
