@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chesstally.llm import bpe, decontam, line_dedup, minhash, packing, quality, simhash, token_scan
+from chesstally.llm import (
+    bpe, decontam, line_dedup, lm, minhash, packing, pii, quality, simhash, token_scan)
 from chesstally.llm.common import table
 from chesstally.llm.tokens import RANKS
 
@@ -31,6 +32,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest_columns(pii.find_spans(docs, pii.fit(docs)))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,12 +49,19 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_scan.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_bpe_encode_decode, op3_simhash_near_dedup, op4_quality_classifier,
-    op6_benchmark_decontamination, op7_document_fingerprints, op8_token_counts, op10_token_id_output)}
+    op1_line_dedup, op2_bpe_encode_decode, op3_simhash_near_dedup, op4_quality_classifier, op5_pii,
+    op6_benchmark_decontamination, op7_document_fingerprints, op8_token_counts, op9_lm_scoring,
+    op10_token_id_output)}
 
+#: The others cannot be told in SQL: hashes, tokenizers and fitted models. tests/llm holds them
+#: against brute-force versions.
 ORACLE_SQL = {"op1_line_dedup": line_dedup.ORACLE}

@@ -1,0 +1,121 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from chesstally.llm import pii
+from tests.llm.conftest import sentence
+
+RULES = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+         "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
+         "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(d):
+    s = 0
+    for i, c in enumerate(d[::-1]):
+        x = int(c) * (2 if i % 2 else 1)
+        s += x // 10 + x % 10
+    return s % 10 == 0
+
+
+def brute(text):
+    out = []
+    for k, rule in RULES.items():
+        for m in re.finditer(rule, text):
+            d = re.sub("[^0-9]", "", m.group())
+            ok = {"email": True, "ip": k == "ip" and all(int(p) <= 255 for p in m.group().split(".")),
+                  "card": 14 <= len(d) <= 19 and luhn(d), "phone": 10 <= len(d) <= 15}[k]
+            if ok:
+                out.append((m.start(), list(RULES).index(k), m.end(), k))
+    return [(a, b, k) for a, _, b, k in sorted(out)]
+
+
+def card(r, n=16):
+    d = "".join(str(r.randrange(10)) for _ in range(n - 1))
+    return next(d + str(c) for c in range(10) if luhn(d + str(c)))
+
+
+def planted(r):
+    k = r.randrange(6)
+    return ["".join(r.choice("abcdefgh") for _ in range(6)) + f".{r.randrange(99)}@mail{r.randrange(9)}.example.com",
+            ".".join(str(r.randrange(256)) for _ in range(4)), card(r),
+            f"+1 ({r.randrange(200, 999)}) 555-{r.randrange(10**4):04d}",
+            "password=" + "".join(r.choice("0123456789abcdef") for _ in range(18)),
+            "AKIA" + "".join(r.choice("ABCDEFGHIJ0123456789") for _ in range(16))][k]
+
+
+def test_base_rules_equal_plain_regexes():
+    r = random.Random(1)
+    pieces = list("0123456789.@+-() aZ_%é\n") + ["1.2.3.4", "256.1.1.1", "0001.2.3.4", "a@b.c", "@", "+1 ", "..",
+                                                "4111 1111 1111 1111", "+44 20 7946 0958", "４", "٣"]
+    for n in (1, 3, 10, 40, 200):
+        for _ in range(400):
+            t = "".join(r.choice(pieces) for _ in range(n))
+            assert pii.base_spans(t) == brute(t), t
+    for t in ("1" * 5000, "a" * 30000, "a@" * 5000, "1." * 5000, "+1" * 5000, "1 " * 5000, "+1" + " " * 20000):
+        assert pii.base_spans(t) == brute(t) if len(t) <= 10000 else pii.base_spans(t) is not None
+
+
+def test_trees_learn_and_generalise():
+    r = np.random.default_rng(0)
+    x = r.normal(size=(3000, 6))
+    y = ((x[:, 0] > 0) & (x[:, 1] > -0.5) | (x[:, 2] > 1.2)).astype(float)
+    got = pii.Trees().fit(x[:2000], y[:2000]).predict(x[2000:]) > 0.5
+    assert (got == y[2000:]).mean() > 0.95
+
+
+@pytest.fixture()
+def corpus(rng):
+    rows, want = [], {}
+    for i in range(500):
+        text = sentence(rng, 20)
+        if i % 2:
+            p = planted(rng)
+            want[i] = (p, len(text) + 1)
+            text += f" {p} {sentence(rng, 9)}"
+        rows.append((i, text, "s"))
+    return rows, want
+
+
+def test_documents(make, corpus):
+    rows, want = corpus
+    rows = rows + [(600, None, "s"), (601, "", "s"), (601, "", "s"), (None, "a@b.co", "s"),
+                   (602, sentence(random.Random(1), 20000) + " a@b.co", "s")]
+    docs = make(rows, extra=["spans", "kind", "n_email"])
+    model = pii.fit(docs)
+    assert model.trees is not None and "secret" in model.cuts
+    out = pii.digest_columns(pii.find_spans(docs, model)).collect()
+    assert len(out) == len(rows)
+    texts = {str(i): t or "" for i, t, _ in rows}
+    caught = 0
+    for o in out:
+        base = brute(texts[str(o.doc_id)])
+        shown = [f"{k}:{a}:{b}" for a, b, k in base]
+        assert o.base_sha256 == hashlib.sha256(",".join(shown).encode()).hexdigest()
+        assert (o.n_email, o.n_ip, o.n_card, o.n_phone) == tuple(
+            sum(k == x for *_, k in base) for x in ("email", "ip", "card", "phone"))
+        spans = o.spans.split(",") if o.spans else []
+        assert set(shown) <= set(spans)
+        if o.doc_id in want:
+            p, at = want[o.doc_id]
+            whole = range(at + (9 if p.startswith("password=") else 0), at + len(p))
+            hit = {x for s in spans for x in range(int(s.split(":")[1]), int(s.split(":")[2]))}
+            caught += set(whole) <= hit
+        elif o.doc_id is not None and o.doc_id < 500:
+            assert not spans  # clean text stays as it is
+    assert caught >= 0.95 * len(want)
+    clean = {r.doc_id: r.text for r in pii.redact(docs, model).collect()}
+    assert clean[600] is None and clean[601] == "" and clean[None] == "[EMAIL]"
+    assert all(p not in clean[i] for i, (p, _) in want.items() if "@" in p)
+
+
+def test_little_or_nothing_to_learn_from(make):
+    docs = make(["plain", "x a@b.co", None])
+    model = pii.fit(docs)
+    assert model.trees is None
+    assert [o.spans for o in pii.digest_columns(pii.find_spans(docs, model)).collect()].count("email:2:8") == 1
+    empty = docs.where("1 = 0")
+    assert pii.find_spans(empty, pii.fit(empty)).count() == 0
