@@ -43,6 +43,16 @@ def text_of(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def sample_by_hash(df: DataFrame, key: str, most: int, seed: int) -> DataFrame:
+    """At most ``most`` rows, those with the least hashes of ``key``: the same rows in every run. Rows
+    far above the expected bound are left out first, so tasks do not each send ``most`` rows."""
+    order = F.xxhash64(F.lit(seed), F.col(key))
+    n = df.count()
+    if n > 4 * most:
+        df = df.where(order < F.lit(int(2.0 ** 64 * min(1.0, 2 * most / n)) - 2 ** 63))
+    return df.orderBy(order, key).limit(most)
+
+
 def slices(batches: Iterator[pa.RecordBatch], max_rows: int = 512,
            max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to a bounded number of rows and (but for single rows) bytes, so that the

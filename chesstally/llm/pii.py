@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chesstally.llm.common import slices
+from chesstally.llm.common import materialize, sample_by_hash, slices
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = KINDS[:4]
@@ -261,7 +261,7 @@ def fit(docs: DataFrame, text_col: str = "text", max_candidates: int = MAX_CANDI
 
     found = (docs.select(F.col(text_col).alias("text"))
              .mapInArrow(run, "key long, kind string, before string, span string, after string").distinct())
-    rows = found.orderBy("key", "kind").limit(max_candidates).collect()
+    rows = sample_by_hash(materialize(found, "pii-candidates"), "key", max_candidates, seed=5).collect()
     x: list[list[float]] = []
     y: list[bool] = []
     half: list[bool] = []

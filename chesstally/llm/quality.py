@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chesstally.llm.common import text_of
+from chesstally.llm.common import sample_by_hash, text_of
 
 MAX_PER_CLASS = 1500
 MAX_DOC_CHARS = 200_000
@@ -113,15 +113,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     prior = shares.get(1, 0) / total
     if not (shares.get(0) and shares.get(1)):
         return Model(prior)
-    order = F.xxhash64(F.lit(7), F.col("id"))
     picked = None
-    for y in (0, 1):  # a top-k by hash: bounded, and the same rows in every run
-        top = known.where(F.col("y") == y).orderBy(order, "id").limit(max_per_class)
+    for y in (0, 1):
+        top = sample_by_hash(known.where(F.col("y") == y), "id", max_per_class, seed=7)
         picked = top if picked is None else picked.union(top)
     rows = (docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
             .where(F.length("text").between(1, MAX_DOC_CHARS))
             .join(F.broadcast(picked), "id").dropDuplicates(["id"])  # at most 2 * max_per_class ids
-            .orderBy(order, "id").collect())
+            .orderBy(F.xxhash64(F.lit(7), F.col("id")), "id").collect())
     texts = {y: [r["text"] for r in rows if r["y"] == y] for y in (0, 1)}
     if min(map(len, texts.values())) < 2:
         return Model(prior)
