@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame  # noqa: E402
 
 from chesstally.operators import trends  # noqa: E402
-from chesstally.operators.aggregate import aggregate_games  # noqa: E402
+from chesstally.operators.aggregate import aggregate_games, rebalance_games  # noqa: E402
 from chesstally.session import build_session, scratch_path  # noqa: E402
 from chesstally.sinks import store  # noqa: E402
 from chesstally.sinks.csv import write_csv  # noqa: E402
@@ -95,8 +95,8 @@ def main() -> None:
         "parse_aggregate": lambda: _run(aggregate_games(read_games(spark, pgn, with_source=False))),
         "scan_count_games": lambda: _run(Q.agg_total_games(spark, sf_dir)),
         # the same games as one unsplittable .zst: one task decompresses, 2x cpus tasks parse
-        "zst_single_file_rebalanced": lambda: _run(aggregate_games(read_games(
-            spark, zst_path, with_source=False, rebalance=int(cpus) * 2))),
+        "zst_single_file_rebalanced": lambda: _run(aggregate_games(rebalance_games(read_games(
+            spark, zst_path, with_source=False), int(cpus) * 2))),
         # a rated-buckets trend chained directly on the parse (key filter must not re-run it)
         "trend_chained_on_parse": lambda: _run(trends.elo_performance(
             aggregate_games(read_games(spark, pgn, with_source=False)))),

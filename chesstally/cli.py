@@ -42,8 +42,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
                    help="parse in N tasks after scanning unsplittable dumps (.zst/.gz)")
     p.add_argument("--recursive", action="store_true",
                    help="read every file below the given folders (files mode)")
-    p.add_argument("--exact-tail", action="store_true",
-                   help="count the bare last game of uncompressed files ending in '[Event '")
+    p.add_argument("--no-exact-tail", dest="exact_tail", action="store_false",
+                   help="leave out the bare last game of uncompressed files ending in '[Event '")
     p.add_argument("--master", help="Spark master (default: from the environment)")
     p.add_argument("--verbose", "-v", action="store_true", help="print phase timings to stderr")
     args = p.parse_args(argv)
@@ -101,12 +101,12 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{month} | games={per_month[month]}")
         print(f"Processed {len(per_month)} month(s) in {seconds:.3f}s.", file=sys.stderr)
     else:
+        single_files = len(args.files) > 1 and not any(
+            any(ch in f for ch in "*?[{") or fs.is_dir(spark, f) for f in args.files)
         total, per_file = run_files_counted(
-            spark, args.files, args.out, args.bucket_size, args.store, args.jdbc_url,
-            args.rebalance, args.recursive, args.db_batch_rows, args.exact_tail)
-        single_files = not any(any(ch in f for ch in "*?[{") or fs.is_dir(spark, f)
-                               for f in args.files)
-        if len(args.files) > 1 and single_files:
+            spark, args.files, args.out, args.bucket_size, args.store, args.jdbc_url, args.rebalance,
+            args.recursive, args.db_batch_rows, args.exact_tail, per_file=single_files)
+        if single_files:
             for f in args.files:  # one count per existing input file, as separate runs print
                 if fs.is_file(spark, f):
                     print(per_file.get(fs.qualify(spark, f), 0))

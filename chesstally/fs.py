@@ -15,7 +15,8 @@ def _path(spark: SparkSession, path: str):
 def qualify(spark: SparkSession, path: str) -> str:
     """Fully qualified form of a path (``/x`` -> ``file:/x`` on the local filesystem)."""
     fs, p = _path(spark, path)
-    return str(fs.makeQualified(p).toString())
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return str(path(fs.makeQualified(p).toString()).toUri().toString())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -137,3 +138,38 @@ def read_text_file(spark: SparkSession, path: str) -> str | None:
         return str(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
+
+
+def file_tail(spark: SparkSession, path: str, n: int) -> tuple[int, bytes]:
+    """Size of a file, named as :func:`input_files` does, and its last ``n`` bytes (all of it if
+    shorter)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getFileStatus(p).getLen()
+    stream = fs.open(p)
+    try:
+        stream.seek(max(0, size - n))
+        data = jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+    finally:
+        stream.close()
+    return size, bytes(data)
+
+
+def input_files(df) -> list[str]:
+    """Paths of the files a file scan will read, as ``_metadata.file_path`` spells them. Spark lists
+    them on the driver to plan the scan; nothing is read."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    return [path(path(jvm.java.net.URI(f)).toString()).toUri().toString() for f in df.inputFiles()]
+
+
+def signature(spark: SparkSession, path: str) -> str:
+    """Path, lengths and modification times of a file, or of all files below a folder."""
+    fs, p = _path(spark, path)
+    out = []
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        out.append(f"{f.getPath().toUri()}:{f.getLen()}:{f.getModificationTime()}")
+    return "|".join(sorted(out))

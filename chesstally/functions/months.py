@@ -8,6 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # YYYY, a separator (- / .), the month digits, then nothing or a separator and anything.
+# Unicode White_Space, as the column form trims (str.strip would also take U+001C-U+001F).
+_WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    chr(c) for c in range(0x2000, 0x200B))
 _BOUND = re.compile(r"([0-9]{4})[-/.]([0-9]+)(?:[-/.].*)?", re.DOTALL)
 
 
@@ -20,7 +23,7 @@ def norm_month(value: str | None) -> str | None:
     """
     if value is None:
         return None
-    m = _BOUND.fullmatch(value.strip())
+    m = _BOUND.fullmatch(value.strip(_WHITE_SPACE))
     if m is None or not 1 <= int(m.group(2)) <= 12:
         return None
     return f"{m.group(1)}-{int(m.group(2)):02d}"

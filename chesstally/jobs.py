@@ -1,39 +1,48 @@
 """End-to-end jobs.
 
 * :func:`aggregate_files`: PGN files -> aggregate table (optionally one CSV), one Spark job.
-* :func:`run_files` / :func:`run_index`: the two command-line workflows. The games are scanned
-  once, aggregated per source file into a table under the scratch folder, and every output
-  (game count, CSVs, store, ledger counts, JDBC upsert) is derived from that small table.
-* :func:`ingest_plan`: planned dump files -> by-source store, with ledger events around it.
-  All planned files are read by one job (the reference walks months one after another); the
-  ledger records ``started`` before and ``success`` with per-month game counts after the store
-  is written, so a crash in between leaves months ``started`` and they are re-planned, while the
-  by-source store makes that retry overwrite instead of double count.
+* :func:`run_files`: the given files -> per-source table, from which every output is derived.
+* :func:`run_index` / :func:`ingest_plan`: planned dump files, month by month on one path
+  (:func:`_ingest_months`). Each month commits by itself: ledger ``started``, scan and aggregate,
+  CSV, store, database, then ``success`` with the month's games (0 included) and its own duration.
+  A month that fails is recorded as ``failed`` and the others go on; both ``started`` and ``failed``
+  months are planned again. Several months run at a time in one session, so small months do not
+  leave executors idle; the store replaces sources, so a retry never double counts.
 """
 
 from __future__ import annotations
 
+import sys
+import threading
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chesstally.operators.aggregate import KEY_COLUMNS, MEASURE_COLUMNS, aggregate_games, merge_aggregates
+from chesstally import fs
+from chesstally.operators.aggregate import aggregate_games, merge_aggregates, rebalance_games
 from chesstally.plans.ingest import build_plan
 from chesstally.session import scratch_path
 from chesstally.sinks import jdbc
 from chesstally.sinks import ledger as ledger_mod
 from chesstally.sinks.csv import write_csv, write_csv_per_source_month
-from chesstally.sinks.store import aggregate_by_source, ingest_games, read_store_by_source, write_by_source
+from chesstally.sinks.store import aggregate_by_source, check_bucket_size, write_by_source
 from chesstally.sources.pgn import read_games
 
 
 def aggregate_files(spark: SparkSession, paths, bucket_size: int = 200,
                     csv_path: str | None = None, skip_missing: bool = True) -> DataFrame:
+    """The aggregate of the given files: a lazy frame, or with ``csv_path`` (written as one CSV) a
+    read of the written aggregate, so that later actions do not parse the games again."""
     games = read_games(spark, paths, skip_missing=skip_missing, with_source=False)
     agg = aggregate_games(games, bucket_size)
     if csv_path:
+        path = scratch_path(spark, "runs", f"aggregate-{uuid.uuid4().hex[:12]}")
+        agg.write.parquet(path)
+        agg = spark.read.parquet(path)
         write_csv(agg, csv_path)
     return agg
 
@@ -47,25 +56,21 @@ def plan_from_index(spark: SparkSession, index_path: str, since: str | None = No
     return build_plan(lines, since, until, done)
 
 
-def _distinct_urls(items: list[tuple[str, str]]) -> list[str]:
-    """Planned files, each once: the plan keeps duplicate index lines, but Spark would read a
-    repeated path twice and count its games twice."""
-    return list(dict.fromkeys(url for _, url in items))
-
-
-def _by_source_table(spark: SparkSession, games: DataFrame, bucket_size: int) -> DataFrame:
+def _by_source_table(spark: SparkSession, games: DataFrame, bucket_size: int) -> tuple[DataFrame, str]:
     """Aggregate per source file once and keep it as a written table (cuts the lineage: the
-    outputs below read this small table instead of re-scanning the games)."""
+    outputs below read this small table instead of re-scanning the games); the table and its path,
+    which the caller deletes."""
     path = scratch_path(spark, "runs", f"by-source-{uuid.uuid4().hex[:12]}")
     aggregate_by_source(games, bucket_size).write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
 
 
 def _outputs(spark: SparkSession, by_source: DataFrame, bucket_size: int, store: str | None,
-             jdbc_url: str | None, db_batch_rows: int = 1000) -> DataFrame:
+             jdbc_url: str | None, db_batch_rows: int = 1000,
+             files: list[str] | None = None) -> DataFrame:
     agg = merge_aggregates(by_source)
     if store:
-        write_by_source(by_source, store, bucket_size)
+        write_by_source(by_source, store, bucket_size, files)
     if jdbc_url:
         jdbc.upsert_aggregates(agg, jdbc_url, batch_rows=db_batch_rows)
     return agg
@@ -79,10 +84,10 @@ def _prepare_database(spark: SparkSession, jdbc_url: str | None) -> None:
 def run_files(spark: SparkSession, paths, out: str | None = None, bucket_size: int = 200,
               store: str | None = None, jdbc_url: str | None = None,
               rebalance: int | None = None, recursive: bool = False,
-              db_batch_rows: int = 1000, exact_tail: bool = False) -> int:
+              db_batch_rows: int = 1000, exact_tail: bool = True) -> int:
     """Local workflow: aggregate the given files (or folders); returns the number of games."""
     total, _ = run_files_counted(spark, paths, out, bucket_size, store, jdbc_url, rebalance,
-                                 recursive, db_batch_rows, exact_tail)
+                                 recursive, db_batch_rows, exact_tail, per_file=False)
     return total
 
 
@@ -90,28 +95,119 @@ def run_files_counted(spark: SparkSession, paths, out: str | None = None, bucket
                       store: str | None = None, jdbc_url: str | None = None,
                       rebalance: int | None = None, recursive: bool = False,
                       db_batch_rows: int = 1000,
-                      exact_tail: bool = False) -> tuple[int, dict[str, int]]:
-    """:func:`run_files`, also returning games per source file (qualified path -> games),
-    read from the per-source table (one row per file and key; no second scan)."""
+                      exact_tail: bool = True,
+                      per_file: bool = True) -> tuple[int, dict[str, int]]:
+    """:func:`run_files`, also returning games per source file (qualified path -> games) if
+    ``per_file``, read from the per-source table (one row per file and key; no second scan)."""
     _prepare_database(spark, jdbc_url)
-    games = read_games(spark, paths, skip_missing=True, rebalance=rebalance, recursive=recursive,
-                       exact_tail=exact_tail)
-    by_source = _by_source_table(spark, games, bucket_size)
-    agg = _outputs(spark, by_source, bucket_size, store, jdbc_url, db_batch_rows)
+    games = read_games(spark, paths, skip_missing=True, recursive=recursive, exact_tail=exact_tail)
+    files = fs.input_files(games)
+    by_source, path = _by_source_table(spark, rebalance_games(games, rebalance), bucket_size)
+    agg = _outputs(spark, by_source, bucket_size, store, jdbc_url, db_batch_rows, files)
     if out:
         write_csv(agg, out)
-    per_file = {r.source_file: int(r.games) for r in
-                by_source.groupBy("source_file").agg(F.sum("games").alias("games")).collect()}
-    return sum(per_file.values()), per_file
+    counts: dict[str, int] = {}
+    if per_file:  # as many rows as files
+        counts = {r.source_file: int(r.games) for r in by_source.groupBy("source_file").agg(
+            F.sum("games").alias("games")).toLocalIterator()}
+    total = by_source.agg(F.coalesce(F.sum("games"), F.lit(0)).alias("games")).first()["games"]
+    fs.delete(spark, path)
+    return int(total), counts
+
+
+@dataclass
+class _Ledgers:
+    """Start and finish of months in the file ledger, the database, or neither.
+
+    Months run at the same time; each logs its own events (:func:`ledger.log_events`)."""
+
+    spark: SparkSession
+    path: str | None = None
+    jdbc_url: str | None = None
+    lock: threading.Lock = field(default_factory=threading.Lock)
+
+    def start(self, month: str, urls: list[str]) -> None:
+        at = ledger_mod.utc_now_iso()
+        if self.path:
+            ledger_mod.log_events(self.spark, ledger_mod.start_rows([(month, u) for u in urls], at), self.path)
+        if self.jdbc_url:
+            with self.lock:
+                for u in urls:
+                    jdbc.mark_ingestion_start(self.spark, self.jdbc_url, month, u, at)
+
+    def finish(self, month: str, games: int, ms: int, status: str) -> None:
+        if self.path:
+            ledger_mod.log_events(self.spark, [ledger_mod.finish_row(month, games, ms, status)], self.path)
+        if self.jdbc_url:
+            with self.lock:
+                jdbc.mark_ingestion_finish(self.spark, self.jdbc_url, month, games, ms, status,
+                                           ledger_mod.utc_now_iso())
+
+    def close(self) -> None:
+        if self.path:
+            ledger_mod.compact(self.spark, self.path)
+
+
+def _ingest_months(spark: SparkSession, items: list[tuple[str, str]], ledgers: _Ledgers,
+                   out: str | None = None, bucket_size: int = 200, store: str | None = None,
+                   jdbc_url: str | None = None, rebalance: int | None = None, db_batch_rows: int = 1000,
+                   exact_tail: bool = True, months_at_once: int = 4) -> dict[str, int]:
+    """Ingest the planned ``(month, url)`` items; returns ``{month: games of this run}`` of the months
+    that succeeded. Games are those of the month's files of this run, whatever the store holds."""
+    if not items:
+        print("No files to process.")
+        return {}
+    months: dict[str, list[str]] = {}
+    for month, url in items:
+        months.setdefault(month, []).append(url)
+    database = threading.Lock()  # months are merged into it in turn
+    if store:
+        check_bucket_size(spark, store, bucket_size)
+
+    def one(month: str) -> int | None:
+        urls = list(dict.fromkeys(months[month]))  # a repeated index line is not read twice
+        ledgers.start(month, months[month])
+        t0 = time.time()
+        path = None
+        try:
+            games = read_games(spark, urls, exact_tail=exact_tail)
+            files = fs.input_files(games)
+            by_source, path = _by_source_table(spark, rebalance_games(games, rebalance), bucket_size)
+            if out:
+                per_month = merge_aggregates(by_source).withColumn("source_month", F.lit(month))
+                write_csv_per_source_month(per_month, out)
+            n = by_source.agg(F.coalesce(F.sum("games"), F.lit(0)).alias("games")).first()["games"]
+            # Recorded duration: scan, aggregation and CSV output, not the store/database writes.
+            ms = int((time.time() - t0) * 1000)
+            if store:  # each month replaces its own sources' partitions
+                write_by_source(by_source, store, bucket_size, files)
+            if jdbc_url:
+                with database:
+                    jdbc.upsert_aggregates(merge_aggregates(by_source), jdbc_url, batch_rows=db_batch_rows)
+        except Exception as exc:  # one month's failure must not lose the others
+            print(f"{month} failed: {str(exc).splitlines()[0] if str(exc) else type(exc).__name__}",
+                  file=sys.stderr)
+            ledgers.finish(month, 0, int((time.time() - t0) * 1000), "failed")
+            return None
+        finally:
+            if path:
+                fs.delete(spark, path)
+        ledgers.finish(month, int(n), ms, "success")
+        return int(n)
+
+    with ThreadPoolExecutor(max(1, months_at_once)) as pool:  # in plan order: oldest first
+        done = dict(zip(months, pool.map(one, months)))
+    ledgers.close()
+    return {m: n for m, n in done.items() if n is not None}
 
 
 def run_index(spark: SparkSession, index_path: str, since: str | None = None,
               until: str | None = None, out: str | None = None, bucket_size: int = 200,
               store: str | None = None, ledger_path: str | None = None,
               jdbc_url: str | None = None, rebalance: int | None = None,
-              db_batch_rows: int = 1000, exact_tail: bool = False) -> dict[str, int]:
-    """Index workflow: plan dump files, aggregate them in one job, write the outputs;
-    returns ``{source month: games}``."""
+              db_batch_rows: int = 1000, exact_tail: bool = True,
+              months_at_once: int = 4) -> dict[str, int]:
+    """Index workflow: plan dump files, then ingest month by month; returns ``{month: games}``."""
     _prepare_database(spark, jdbc_url)
     db_ledger = bool(jdbc_url) and not ledger_path  # ledger rows in the database
     if db_ledger:
@@ -120,57 +216,14 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
     else:
         plan = plan_from_index(spark, index_path, since, until, ledger_path)
     items = [(r.month, r.url) for r in plan.collect()]  # one row per dump file
-    if not items:
-        print("No files to process.")
-        return {}
-    if ledger_path:
-        ledger_mod.append_events(ledger_mod.start_events(spark, items), ledger_path)
-    if db_ledger:
-        started = ledger_mod.utc_now_iso()
-        for month, url in items:  # one small statement per planned file
-            jdbc.mark_ingestion_start(spark, jdbc_url, month, url, started)
-    t0 = time.time()
-    games = read_games(spark, _distinct_urls(items), rebalance=rebalance, exact_tail=exact_tail)
-    by_source = _by_source_table(spark, games, bucket_size)
-    if out:
-        per_month = by_source.groupBy("source_month", *KEY_COLUMNS).agg(
-            *(F.sum(m).alias(m) for m in MEASURE_COLUMNS))
-        write_csv_per_source_month(per_month, out)
-    # Recorded duration: scan, aggregation and CSV output, not the store/database writes.
-    duration_ms = int((time.time() - t0) * 1000)
-    _outputs(spark, by_source, bucket_size, store, jdbc_url, db_batch_rows)
-    games = by_source.groupBy(F.col("source_month").alias("month")).agg(
-        F.sum("games").alias("games"))
-    if ledger_path:
-        ledger_mod.append_events(ledger_mod.finish_events_from(
-            games, duration_ms, "success"), ledger_path)
-    per_month = {r.month: int(r.games) for r in games.collect()}
-    if db_ledger:
-        finished = ledger_mod.utc_now_iso()
-        for month, n in per_month.items():
-            jdbc.mark_ingestion_finish(spark, jdbc_url, month, n, duration_ms, "success", finished)
-    return per_month
+    ledgers = _Ledgers(spark, ledger_path, jdbc_url if db_ledger else None)
+    return _ingest_months(spark, items, ledgers, out, bucket_size, store, jdbc_url, rebalance,
+                          db_batch_rows, exact_tail, months_at_once)
 
 
 def ingest_plan(spark: SparkSession, plan: DataFrame, store: str, ledger_path: str | None = None,
-                bucket_size: int = 200) -> dict[str, int]:
-    """Ingest every planned file; returns ``{month: games}`` for the planned months."""
+                bucket_size: int = 200, months_at_once: int = 4) -> dict[str, int]:
+    """Ingest every planned file into the store; returns ``{month: games of this run}``."""
     items = [(r.month, r.url) for r in plan.select("month", "url").collect()]
-    if not items:
-        print("No files to process.")
-        return {}
-    if ledger_path is not None:
-        ledger_mod.append_events(ledger_mod.start_events(spark, items), ledger_path)
-    t0 = time.time()
-    games = read_games(spark, _distinct_urls(items))
-    ingest_games(games, store, bucket_size)
-    months = sorted({m for m, _ in items})
-    per_month = (read_store_by_source(spark, store)
-                 .where(F.col("source_month").isin(months))
-                 .groupBy(F.col("source_month").alias("month"))
-                 .agg(F.sum("games").alias("games")))
-    duration_ms = int((time.time() - t0) * 1000)
-    if ledger_path is not None:
-        ledger_mod.append_events(
-            ledger_mod.finish_events_from(per_month, duration_ms, "success"), ledger_path)
-    return {r.month: r.games for r in per_month.collect()}
+    return _ingest_months(spark, items, _Ledgers(spark, ledger_path), None, bucket_size, store,
+                          months_at_once=months_at_once)

@@ -4,10 +4,9 @@ The aggregate's size is bounded by months x opening groups x bucket pairs, not b
 games, so these queries are cheap whatever the input volume. Windows are partitioned by month
 where the question allows it; the month-over-month trend runs over one row per month.
 
-Run them on a stored aggregate (:func:`chesstally.sinks.store.read_store` or a written table).
-Chained directly onto a text parse, their key filters (rated buckets, known months) are pushed by
-Catalyst through the aggregation into the parse, inlining the header regexes into the filter, so
-the parse would run twice per game.
+Run them on a stored aggregate (:func:`chesstally.sinks.store.read_store` or a written table);
+chained directly onto a text parse, every query parses the games again. Key filters (rated buckets,
+known months) stay above the parse, which is fenced by a generator (``functions.headers``).
 """
 
 from __future__ import annotations
@@ -44,9 +43,10 @@ def result_rates(agg: DataFrame, by: tuple[str, ...] = ("eco_group",)) -> DataFr
     )
 
 
-def elo_performance(agg: DataFrame, exclude_unrated: bool = True) -> DataFrame:
+def elo_performance(agg: DataFrame, exclude_unrated: bool = False) -> DataFrame:
     """Per (white_bucket, black_bucket): games, rating gap, White's score over finished games
-    (win 1, draw 1/2) and draw rate. ``exclude_unrated`` drops bucket 0 (missing Elo)."""
+    (win 1, draw 1/2) and draw rate. ``exclude_unrated`` drops bucket 0: missing Elo, but also Elo
+    below the bucket width, and everything at width 0."""
     if exclude_unrated:
         agg = agg.where((F.col("white_bucket") > 0) & (F.col("black_bucket") > 0))
     s = agg.groupBy("white_bucket", "black_bucket").agg(*_sums(*MEASURE_COLUMNS))
@@ -93,7 +93,7 @@ def cube_counts(agg: DataFrame, dims: tuple[str, ...] = tuple(KEY_COLUMNS)) -> D
     return agg.cube(*dims).agg(*_sums(*MEASURE_COLUMNS))
 
 
-def elo_gap_performance(agg: DataFrame, exclude_unrated: bool = True) -> DataFrame:
+def elo_gap_performance(agg: DataFrame, exclude_unrated: bool = False) -> DataFrame:
     """White's score and draw rate by rating gap ``white_bucket - black_bucket``."""
     if exclude_unrated:
         agg = agg.where((F.col("white_bucket") > 0) & (F.col("black_bucket") > 0))

@@ -7,7 +7,6 @@ from chesstally.plans.ingest import (
     filter_months,
     order_plan,
     parse_index,
-    plan_urls,
     read_index,
 )
 
@@ -18,6 +17,5 @@ __all__ = [
     "filter_months",
     "order_plan",
     "parse_index",
-    "plan_urls",
     "read_index",
 ]

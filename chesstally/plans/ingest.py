@@ -86,11 +86,3 @@ def build_plan(
         plan = exclude_done(plan, done_months)
     return order_plan(plan)
 
-
-def plan_urls(plan: DataFrame, limit: int = 100_000) -> list[str]:
-    """The planned file list for a reader call. A plan has one line per dump file, so it is
-    small; ``limit`` guards against passing a mis-specified huge table through the driver."""
-    rows = plan.select("url").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"plan has more than {limit} files; read the files by a glob instead")
-    return [r.url for r in rows]

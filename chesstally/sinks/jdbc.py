@@ -115,7 +115,10 @@ def upsert_sql(backend: str, target: str = "aggregates", staging: str = "aggrega
 def write_aggregates(df: DataFrame, url: str, table: str = "aggregates", mode: str = "append",
                      batch_rows: int = 1000, max_connections: int = 10, **props: str) -> None:
     """Plain JDBC write; rows sorted by key within each partition, ``batch_rows`` per batch,
-    at most ``max_connections`` concurrent writers (Spark coalesces to that many partitions)."""
+    at most ``max_connections`` concurrent writers (Spark coalesces to that many partitions); one
+    for SQLite, a single-writer file."""
+    if detect_backend(url) == "sqlite":
+        max_connections = 1
     opts = jdbc_options(url, dbtable=table, batchsize=str(batch_rows),
                         numPartitions=str(max_connections), **props)
     (df.select(*KEY_COLUMNS, *MEASURE_COLUMNS).sortWithinPartitions(*KEY_COLUMNS)

@@ -19,12 +19,15 @@ finish's status if it follows the latest start, else ``started``.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import time
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chesstally import fs
 from chesstally.sinks import versioned
 
 EVENT_SCHEMA = (
@@ -32,6 +35,7 @@ EVENT_SCHEMA = (
     "games bigint, duration_ms bigint, status string"
 )
 STATE_COLUMNS = ["month", "url", "started_at", "finished_at", "games", "duration_ms", "status"]
+LEDGER_VERSIONS = 5  # older versions of the ledger that an append leaves for readers
 STATUSES = ("started", "success", "failed")
 
 
@@ -47,10 +51,21 @@ def _next_seq() -> int:
 def start_events(spark: SparkSession, items: Iterable[tuple[str, str]], at: str | None = None,
                  ) -> DataFrame:
     """Start events for planned ``(month, url)`` pairs (one row per planned file)."""
-    at = at or utc_now_iso()
+    return spark.createDataFrame(start_rows(items, at or utc_now_iso()), EVENT_SCHEMA)
+
+
+def start_rows(items: Iterable[tuple[str, str]], at: str) -> list[tuple]:
+    """Start events as rows in the order of ``EVENT_SCHEMA``."""
     seq = _next_seq()
-    rows = [(m, seq + i, "start", u, at, None, None, "started") for i, (m, u) in enumerate(items)]
-    return spark.createDataFrame(rows, EVENT_SCHEMA)
+    return [(m, seq + i, "start", u, at, None, None, "started") for i, (m, u) in enumerate(items)]
+
+
+def finish_row(month: str, games: int, duration_ms: int, status: str = "success",
+               at: str | None = None) -> tuple:
+    """One finish event as a row in the order of ``EVENT_SCHEMA``."""
+    if status not in STATUSES:
+        raise ValueError(f"status must be one of {STATUSES}")
+    return (month, _next_seq(), "finish", None, at or utc_now_iso(), games, duration_ms, status)
 
 
 def finish_events_from(per_month: DataFrame, duration_ms: int, status: str = "success",
@@ -77,24 +92,47 @@ def append_events(events: DataFrame, ledger_path: str) -> None:
     """Add events as a new version of the ledger (previous events + these, one file).
 
     The ledger is small (one row per file and run), so rewriting it keeps it compact and makes
-    each append atomic: readers see the previous or the new version, never half of it.
+    each append atomic: readers see the previous or the new version, never half of it. Events that
+    :func:`log_events` left beside the table are taken in.
     """
     spark = events.sparkSession
-    new = events.select(*[F.col(c) for c in _event_cols()])
-    current = versioned.read_latest(spark, ledger_path)
-    merged = new if current is None else current.select(*_event_cols()).unionByName(new)
+    logs = _logs(spark, ledger_path)
+    merged = read_events(spark, ledger_path, logs).unionByName(events.select(*_event_cols()))
     versioned.write_version(merged.coalesce(1), ledger_path)
+    for f in logs:  # a crash before this leaves repeated events, which change no state
+        fs.delete(spark, f)
+    versioned.drop_versions(spark, ledger_path, keep=LEDGER_VERSIONS)
+
+
+def log_events(spark: SparkSession, rows: list[tuple], ledger_path: str) -> None:
+    """Add a few events of a running job as one small file beside the table: no Spark job, no lock.
+    The file appears whole, by a rename; :func:`compact` takes it into the table."""
+    name = f"{rows[0][1]}-{uuid.uuid4().hex[:8]}"
+    text = "".join(json.dumps(dict(zip(_event_cols(), r))) + "\n" for r in rows)
+    fs.mkdirs(spark, f"{ledger_path}/log")
+    fs.write_text_file(spark, f"{ledger_path}/log/.{name}", text)
+    fs.rename(spark, f"{ledger_path}/log/.{name}", f"{ledger_path}/log/{name}.json")
+
+
+def compact(spark: SparkSession, ledger_path: str) -> None:
+    """Take logged events into the table."""
+    if _logs(spark, ledger_path):
+        append_events(spark.createDataFrame([], EVENT_SCHEMA), ledger_path)
+
+
+def _logs(spark: SparkSession, ledger_path: str) -> list[str]:
+    return fs.list_files(spark, f"{ledger_path}/log", ".json")
 
 
 def _event_cols() -> list[str]:
     return [part.split()[0] for part in EVENT_SCHEMA.split(", ")]
 
 
-def read_events(spark: SparkSession, ledger_path: str) -> DataFrame:
-    events = versioned.read_latest(spark, ledger_path)
-    if events is None:
-        return spark.createDataFrame([], EVENT_SCHEMA)
-    return events.select(*_event_cols())
+def read_events(spark: SparkSession, ledger_path: str, logs: list[str] | None = None) -> DataFrame:
+    """All events: the table's, and those logged beside it."""
+    table = versioned.read_latest(spark, ledger_path, EVENT_SCHEMA).select(*_event_cols())
+    logs = _logs(spark, ledger_path) if logs is None else logs
+    return table.unionByName(spark.read.schema(EVENT_SCHEMA).json(logs)) if logs else table
 
 
 def ledger_state(events: DataFrame) -> DataFrame:

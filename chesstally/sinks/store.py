@@ -7,13 +7,16 @@ ingested twice never double counts. The public aggregate is the sum over sources
 (:func:`read_store`), which Spark computes with a partial aggregation per task.
 
 Landing: :func:`land_games` writes the per-game keys (raw Elo, not bucketed) as parquet
-partitioned by source month. Compressed dumps are scanned once, one task per file, and every
+partitioned by source month and source. Compressed dumps are scanned once, one task per file, and every
 later aggregation reads a compact, splittable, column-pruned table with any bucket size.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +33,7 @@ from chesstally.functions.keys import (
     result_value,
     validate_bucket_size,
 )
+from chesstally.session import scratch_path
 from chesstally.sources.pgn import source_month_from_path
 from chesstally.operators.aggregate import (
     KEY_COLUMNS,
@@ -52,6 +56,11 @@ def source_id(path_col) -> F.Column:
     return F.concat(F.lit("s"), F.substring(F.sha2(path_col, 256), 1, 16))
 
 
+def _id_of(path: str) -> str:
+    """:func:`source_id` of a literal path."""
+    return "s" + hashlib.sha256(path.encode()).hexdigest()[:16]
+
+
 def check_bucket_size(spark: SparkSession, store: str, bucket_size: int) -> None:
     """Counts made with different bucket sizes must not be merged: record and check."""
     text = fs.read_text_file(spark, f"{store}/{PROPS_FILE}")
@@ -79,20 +88,44 @@ def aggregate_by_source(games: DataFrame, bucket_size: int = 200) -> DataFrame:
         *KEY_COLUMNS, *MEASURE_COLUMNS)
 
 
-def write_by_source(agg_by_source: DataFrame, store: str, bucket_size: int = 200) -> None:
-    """Replace the partitions of the sources present in ``agg_by_source``; others stay."""
+STORE_ROWS_PER_FILE = 5_000_000
+
+
+def write_by_source(agg_by_source: DataFrame, store: str, bucket_size: int = 200,
+                    files: Sequence[str] | None = None) -> None:
+    """Replace the partitions of the sources in ``agg_by_source``; others stay.
+
+    ``files`` are the files that were read (:func:`chesstally.fs.input_files`): those without a row
+    now hold no game, and a partition that an earlier ingest left for them is removed. The rebalance
+    hint keeps a source's rows together but lets AQE split a large one.
+    """
     spark = agg_by_source.sparkSession
     check_bucket_size(spark, store, bucket_size)
+    if files and len(files) <= 64:  # a look at a few folders saves a job: most files are new
+        files = [f for f in files if fs.exists(spark, f"{store}/source_id={_id_of(f)}")]
     (agg_by_source.select(*SOURCE_COLUMNS, *KEY_COLUMNS, *MEASURE_COLUMNS)
-     .repartition("source_id")  # one writer per source: one file per partition directory
+     .hint("rebalance", "source_id")
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", STORE_ROWS_PER_FILE)
      .partitionBy("source_id")
      .parquet(store))
+    if files:
+        read = spark.createDataFrame([(f,) for f in files], "source_file string")
+        empty = read.join(agg_by_source.select("source_file").distinct(), "source_file", "left_anti")
+        for r in empty.select(source_id(F.col("source_file")).alias("id")).collect():  # emptied files
+            fs.delete(spark, f"{store}/source_id={r.id}")
 
 
 def ingest_games(games: DataFrame, store: str, bucket_size: int = 200) -> None:
-    write_by_source(aggregate_by_source(games, bucket_size), store, bucket_size)
+    """Aggregate per source file and replace those sources in the store; a file without games any
+    more leaves it. The aggregate is written once and used for both."""
+    spark = games.sparkSession
+    files = fs.input_files(games)
+    path = scratch_path(spark, "runs", f"ingest-{uuid.uuid4().hex[:12]}")
+    aggregate_by_source(games, bucket_size).write.parquet(path)
+    write_by_source(spark.read.parquet(path), store, bucket_size, files)
+    fs.delete(spark, path)
 
 
 def read_store(spark: SparkSession, store: str) -> DataFrame:
@@ -110,9 +143,14 @@ LANDED_ROWS_PER_FILE = 5_000_000
 
 def land_games(games: DataFrame, path: str, mode: str = "overwrite",
                rows_per_file: int = LANDED_ROWS_PER_FILE) -> None:
-    """Write per-game keys as parquet partitioned by ``source_month`` (dynamic overwrite).
+    """Write per-game keys as parquet partitioned by ``source_month`` and, below it, by source.
+
+    Dynamic overwrite replaces the partitions of the files that are landed and no others, so files
+    of one month may come in any number of calls, and landing a file again replaces its own games.
+    Files without a month in their name share the default month directory, each in its own source
+    directory. Reads prune on ``source_month`` as before.
 
-    Columns: ``source_month, source_file, month, eco_group, white_elo, black_elo, result``;
+    Columns: ``source_month, source_id, source_file, month, eco_group, white_elo, black_elo, result``;
     Elo values stay unbucketed so any bucket size can be applied later. No shuffle: each scan
     task writes its own games. ``rows_per_file`` caps file size, so a source holding a large
     share of all games (one unsplittable dump scanned by one task) still lands as many
@@ -136,10 +174,11 @@ def land_games(games: DataFrame, path: str, mode: str = "overwrite",
         "result",
     )
     landed = with_eco_group(keyed, code_col="eco_code").select(
-        "source_month", "source_file", "month", "eco_group", "white_elo", "black_elo", "result")
+        "source_month", source_id(F.col("source_file")).alias("source_id"), "source_file", "month",
+        "eco_group", "white_elo", "black_elo", "result")
     (landed.write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", rows_per_file)
-     .partitionBy("source_month").parquet(path))
+     .partitionBy("source_month", "source_id").parquet(path))
 
 
 def aggregate_landed(spark: SparkSession, path: str, bucket_size: int = 200,

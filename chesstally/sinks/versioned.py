@@ -4,7 +4,8 @@ A job may not read and overwrite the same parquet path (the overwrite deletes wh
 still scanning), and a reader must never see a half-written table. Each write therefore goes to
 ``<base>/v=<n>``; once the write job has committed, the pointer file ``<base>/_LATEST`` is
 replaced (write-then-rename) to name the new version. Readers follow the pointer, so they see
-either the previous or the new complete version. Older versions stay until removed by the user.
+either the previous or the new complete version. Older versions stay until :func:`drop_versions`
+removes them.
 
 Used for the reference's additive upsert on files (:func:`additive_upsert`, replay adds again)
 and as the sink of the stateful running-totals stream (each micro-batch's complete result).
@@ -47,7 +48,8 @@ def read_latest(spark: SparkSession, base: str, schema: str | None = None) -> Da
     version = latest_version(spark, base)
     if version is None:
         return None if schema is None else spark.createDataFrame([], schema)
-    return spark.read.parquet(f"{base}/v={version}")
+    reader = spark.read if schema is None else spark.read.schema(schema)  # given: no job to infer it
+    return reader.parquet(f"{base}/v={version}")
 
 
 def additive_upsert(delta: DataFrame, base: str, bucket_size: int = 200) -> int:
@@ -63,13 +65,32 @@ def additive_upsert(delta: DataFrame, base: str, bucket_size: int = 200) -> int:
     return write_version(merge_aggregates(current, delta), base)
 
 
-def snapshot_sink(base: str):
-    """``foreachBatch`` function writing each micro-batch as version ``batch_id``.
-
-    A replayed batch rewrites its own version directory before the pointer moves, so a
-    restart after a failure leaves a consistent table.
+def drop_versions(spark: SparkSession, base: str, keep: int = 2) -> list[int]:
+    """Remove all but the latest ``keep`` versions; returns the versions removed. Call it when no
+    reader still uses an older one. Versions beyond the pointer (of an unfinished write) stay."""
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    current = latest_version(spark, base)
+    if current is None:
+        return []
+    there = sorted(int(d.rstrip("/").rsplit("v=", 1)[-1]) for d in fs.list_dirs(spark, base)
+                   if d.rstrip("/").rsplit("/", 1)[-1].startswith("v="))
+    old = [v for v in there if v <= current][:-keep]
+    for v in old:
+        fs.delete(spark, f"{base}/v={v}")
+    return old
+
+
+def snapshot_sink(base: str, bucket_size: int = 200, keep: int = 2):
+    """``foreachBatch`` function writing each micro-batch's complete result as the next version.
+
+    Versions go on from what the table has, so a stream with a new checkpoint, whose batches start
+    at 0 again, never moves the pointer back; a replayed batch writes the same result once more.
+    The table records its Elo bucket size; versions but the latest ``keep`` are removed.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, base, version=batch_id)
+        check_bucket_size(batch.sparkSession, base, bucket_size)
+        write_version(batch, base)
+        drop_versions(batch.sparkSession, base, keep)
 
     return sink

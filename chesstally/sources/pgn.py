@@ -17,6 +17,7 @@ cannot be told apart from the others, and re-prefixing a preamble would corrupt
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,7 +54,7 @@ def read_games(
     with_source: bool = True,
     rebalance: int | None = None,
     recursive: bool = False,
-    exact_tail: bool = False,
+    exact_tail: bool = True,
 ) -> DataFrame:
     """One row per game: ``game string`` (+ ``source_file``, ``source_month``).
 
@@ -69,10 +70,10 @@ def read_games(
     ``recursive=True`` reads every file below the given directories (e.g. ``dumps/2013/07/``);
     ``key=value`` partition directories are then not turned into columns.
 
-    ``exact_tail=True`` also counts the bare last game of an uncompressed file that ends exactly
-    with the separator (a truncated ``[Event `` line), which the record reader drops: per file,
-    ``size - record bytes - 8 * (records - 1) == 8`` shows that trailing separator. It costs one
-    extra per-file aggregation over the records (no parsing).
+    A file that ends exactly with the separator (a truncated ``[Event `` line) has one bare game
+    more than the record reader emits. The last bytes of every uncompressed file are looked at
+    before the scan, and such games are added as rows; ``exact_tail=False`` leaves them out.
+    Compressed dumps would have to be decompressed to their end, so theirs are not added.
     """
     paths = _as_list(paths)
     empty_schema = "game string" + (", source_file string, source_month string"
@@ -95,29 +96,36 @@ def read_games(
         raise
     games = _shape(raw, with_source)
     if exact_tail:
-        games = games.unionByName(_trailing_separator_games(raw, with_source))
+        bare = truncated_files(spark, fs.input_files(raw))
+        if bare:
+            games = games.unionByName(bare_games(spark, bare, with_source))
     return games.repartition(rebalance) if rebalance else games
 
 
 COMPRESSED_SUFFIXES = (".gz", ".bz2", ".zst", ".zstd", ".lz4", ".snappy", ".deflate", ".xz", ".br")
 
 
-def _trailing_separator_games(raw: DataFrame, with_source: bool) -> DataFrame:
-    """One bare ``[Event `` game per uncompressed file whose bytes end with the separator."""
-    sep = len(GAME_SEPARATOR.encode("utf-8"))
-    path = F.col("_metadata.file_path")
-    per_file = raw.groupBy(path.alias("source_file")).agg(
-        F.count(F.lit(1)).alias("records"),
-        F.sum(F.octet_length("value")).alias("record_bytes"),
-        F.max(F.col("_metadata.file_size")).alias("file_size"))
-    plain = ~F.lower(F.col("source_file")).rlike(
-        "(" + "|".join(x.replace(".", r"\.") for x in COMPRESSED_SUFFIXES) + r")\z")
-    tail = F.col("file_size") - F.col("record_bytes") - F.lit(sep) * (F.col("records") - 1)
-    flagged = per_file.where(plain & (tail == F.lit(sep)))
-    cols = [F.lit(GAME_SEPARATOR.lstrip("\n")).alias("game")]
-    if with_source:
-        cols += ["source_file", source_month_from_path(F.col("source_file")).alias("source_month")]
-    return flagged.select(*cols)
+_LOOKERS = 16  # threads that look at file ends
+
+
+def truncated_files(spark: SparkSession, files: Iterable[str]) -> list[str]:
+    """The uncompressed files among ``files`` whose bytes end with the separator."""
+    sep = GAME_SEPARATOR.encode("utf-8")
+    plain = [f for f in files if not f.lower().endswith(COMPRESSED_SUFFIXES)]
+    if not plain:
+        return []
+    with ThreadPoolExecutor(min(_LOOKERS, len(plain))) as pool:
+        ends = pool.map(lambda f: fs.file_tail(spark, f, len(sep))[1] == sep, plain)
+        return [f for f, bare in zip(plain, ends) if bare]
+
+
+def bare_games(spark: SparkSession, files: list[str], with_source: bool = True) -> DataFrame:
+    """One bare ``[Event `` game per file (see :func:`truncated_files`)."""
+    rows = spark.createDataFrame([(GAME_SEPARATOR.lstrip("\n"), f) for f in files],
+                                 "game string, source_file string")
+    if not with_source:
+        return rows.select("game")
+    return rows.withColumn("source_month", source_month_from_path(F.col("source_file")))
 
 
 def stream_games(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None,

@@ -11,19 +11,23 @@ run); a processing-time trigger keeps the query running.
 
 :func:`start_running_totals` is the stateful alternative: a streaming ``groupBy`` whose state
 store holds one row per key (bounded by months x groups x bucket pairs, no watermark needed as
-nothing ever expires), emitting updated totals per micro-batch to a callback.
+nothing ever expires), emitting updated totals per micro-batch to a callback. It sees records
+only, so a file that ends with a bare ``[Event `` line counts one game fewer there than elsewhere.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from chesstally.operators.aggregate import aggregate_games
-from chesstally.sinks.store import aggregate_by_source, write_by_source
-from chesstally.sources.pgn import stream_games
+from chesstally import fs
+from chesstally.operators.aggregate import aggregate_games, merge_aggregates, rebalance_games
+from chesstally.session import scratch_path
+from chesstally.sinks.store import SOURCE_COLUMNS, aggregate_by_source, write_by_source
+from chesstally.sources.pgn import bare_games, stream_games, truncated_files
 
 
 def _trigger(writer, trigger: str | None):
@@ -45,19 +49,27 @@ def start_ingest(
     on_batch: Callable[[DataFrame, int], None] | None = None,
     rebalance: int | None = None,
 ) -> StreamingQuery:
-    """Stream ``source_dir`` into the by-source ``store``; returns the running query.
+    """Stream ``source_dir`` into the by-source ``store``; returns the running query. ``on_batch``
+    gets each micro-batch's aggregate per source, a written table that lasts for the call.
 
     ``rebalance=N`` deals each micro-batch's games round-robin to N tasks before parsing (see
     :func:`chesstally.sources.pgn.read_games`), for unsplittable compressed dumps."""
     games = stream_games(spark, source_dir, max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if rebalance:
-            batch = batch.repartition(rebalance)
-        agg = aggregate_by_source(batch, bucket_size)
+        # Written once: the store, the ends of files and on_batch all read this small table.
+        path = scratch_path(spark, "runs", f"batch-{uuid.uuid4().hex[:12]}")
+        aggregate_by_source(rebalance_games(batch, rebalance), bucket_size).write.parquet(path)
+        agg = spark.read.parquet(path)
+        files = [r.source_file for r in agg.select("source_file").distinct().toLocalIterator()]
+        bare = truncated_files(spark, files)
+        if bare:
+            more = aggregate_by_source(bare_games(spark, bare), bucket_size)
+            agg = merge_aggregates(agg, more, by=SOURCE_COLUMNS)
         write_by_source(agg, store, bucket_size)
         if on_batch is not None:
             on_batch(agg, batch_id)
+        fs.delete(spark, path)
 
     writer = games.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()

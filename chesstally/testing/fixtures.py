@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from chesstally import fs
 from chesstally.operators.aggregate import aggregate_games
 from chesstally.session import scratch_path
-from chesstally.sources.pgn import read_games
+from chesstally.sources.pgn import GAME_SEPARATOR, read_games
 
 GENERATOR_VERSION = "g4"
 _LOCK = threading.RLock()  # re-entrant: aggregate_table builds on pgn_dataset
@@ -117,8 +117,10 @@ def _code_digest() -> str:
     return h.hexdigest()[:10]
 
 
-def _key(sf_dir: str, layout: str) -> str:
-    digest = hashlib.sha1(f"{str(sf_dir).rstrip('/')}|{layout}".encode()).hexdigest()[:12]
+def _key(spark: SparkSession, sf_dir: str, layout: str, table: str = "lineitem") -> str:
+    """Key of a cached input: code, layout, and the table's files with their lengths and times."""
+    path = f"{str(sf_dir).rstrip('/')}/{table}.parquet"
+    digest = hashlib.sha1(f"{layout}|{fs.signature(spark, path)}".encode()).hexdigest()[:12]
     return f"{GENERATOR_VERSION}-{_code_digest()}-{layout}-{digest}"
 
 
@@ -129,7 +131,7 @@ def pgn_dataset(spark: SparkSession, sf_dir: str, layout: str = "monthly") -> st
     on ``(source_month, l_orderkey)`` balances the write even when one month holds most games,
     and samples integers rather than game texts).
     """
-    target = scratch_path(spark, "pgn", _key(sf_dir, layout))
+    target = scratch_path(spark, "pgn", _key(spark, sf_dir, layout))
     with _LOCK:
         if fs.exists(spark, target + "/_SUCCESS"):
             return target
@@ -141,22 +143,56 @@ def pgn_dataset(spark: SparkSession, sf_dir: str, layout: str = "monthly") -> st
              .sortWithinPartitions("source_month", "l_orderkey")
              .select("source_month", "game")
              .write.partitionBy("source_month").text(staging))
-        elif layout == "flat":
-            games.select("game").repartition(n).write.text(staging)
+        elif layout == "halves":  # run=0 and run=1 hold games of every month
+            (games.withColumn("run", F.col("l_orderkey") % 2)
+             .repartitionByRange(n, "run", "source_month", "l_orderkey")
+             .select("run", "source_month", "game")
+             .write.partitionBy("run", "source_month").text(staging))
+        elif layout == "gzip":
+            (games.repartitionByRange(n, "source_month", "l_orderkey").select("source_month", "game")
+             .write.option("compression", "gzip").partitionBy("source_month").text(staging))
+        elif layout == "tails":  # one file a month; those of even months end in a bare "[Event "
+            _one_file_a_month(games.where(~_even_month()), n).write.partitionBy("source_month").text(staging)
+            rest = F.substr("game", F.lit(len("[Event ") + 1)).alias("game")
+            (_one_file_a_month(games.where(_even_month()), n).select("source_month", rest)
+             .write.mode("append").option("lineSep", GAME_SEPARATOR).partitionBy("source_month").text(staging))
         else:
             raise ValueError(f"unknown layout {layout!r}")
         fs.rename_if_absent(spark, staging, target)  # another writer may have won: keep theirs
         return target
 
 
+def _even_month() -> Column:
+    return F.substring("source_month", 6, 2).cast("int") % 2 == 0
+
+
+def _one_file_a_month(games: DataFrame, n: int) -> DataFrame:
+    return games.select("source_month", "game").repartition(n, "source_month")
+
+
+def write_dumps(spark: SparkSession, games: DataFrame, root: str) -> dict[str, str]:
+    """One dump file per month of ``games(source_month, game)`` at ``root``, named like published
+    dumps; an existing file is replaced. Returns ``{month: path}``."""
+    staging = f"{root}.tmp-{uuid.uuid4().hex}"
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+    _one_file_a_month(games, n).write.partitionBy("source_month").text(staging)
+    fs.mkdirs(spark, root)
+    out = {}
+    for d in fs.list_dirs(spark, staging):
+        month = d.rstrip("/").rsplit("source_month=", 1)[-1]
+        out[month] = f"{root}/games_rated_{month}.pgn"
+        fs.move_file(spark, next(f for f in fs.list_files(spark, d) if "/part-" in f), out[month])
+    fs.delete(spark, staging)
+    return out
+
+
 def aggregate_table(spark: SparkSession, sf_dir: str) -> str:
     """The aggregate of all generated games, written once as parquet and reused.
 
-    Trend queries read this table, as they would read the store in production: key filters
-    then push into a cheap parquet scan instead of into the text parse, where Catalyst would
-    inline (and so repeat) the whole header parse inside the pushed filter.
+    Trend queries read this table, as they would read the store in production: key filters then
+    push into a cheap parquet scan, and the games are parsed once for all queries.
     """
-    target = scratch_path(spark, "agg", _key(sf_dir, "aggregate"))
+    target = scratch_path(spark, "agg", _key(spark, sf_dir, "aggregate"))
     pgn = pgn_dataset(spark, sf_dir)
     with _LOCK:
         if fs.exists(spark, target + "/_SUCCESS"):

@@ -238,7 +238,7 @@ s AS (SELECT white_bucket, black_bucket, CAST(sum(games) AS BIGINT) AS games,
              CAST(sum(white_wins) AS BIGINT) AS white_wins,
              CAST(sum(black_wins) AS BIGINT) AS black_wins,
              CAST(sum(draws) AS BIGINT) AS draws
-      FROM a WHERE white_bucket > 0 AND black_bucket > 0 GROUP BY 1, 2)
+      FROM a GROUP BY 1, 2)
 SELECT white_bucket, black_bucket, CAST(white_bucket - black_bucket AS INTEGER) AS gap,
        games, white_wins, black_wins, draws,
        CASE WHEN white_wins + black_wins + draws = 0 THEN NULL
@@ -295,7 +295,7 @@ s AS (SELECT CAST(white_bucket - black_bucket AS INTEGER) AS gap,
              CAST(sum(white_wins) AS BIGINT) AS white_wins,
              CAST(sum(black_wins) AS BIGINT) AS black_wins,
              CAST(sum(draws) AS BIGINT) AS draws
-      FROM a WHERE white_bucket > 0 AND black_bucket > 0 GROUP BY 1)
+      FROM a GROUP BY 1)
 SELECT gap, games, white_wins, black_wins, draws,
        CASE WHEN white_wins + black_wins + draws = 0 THEN NULL
             ELSE CAST(white_wins * 2 + draws AS DOUBLE)
@@ -363,3 +363,71 @@ FROM ingestions
 GROUP BY status
 """
 ORACLE_SQL["sql_on_ingestions"] = f"WITH ingestions AS ({LEDGER_STATE}) {SQL_INGESTION_STATUS}"
+
+ORACLE_SQL["landed_two_runs"] = aggregate_sql(100)
+ORACLE_SQL["scan_compressed"] = AGG
+
+# One more game for every file that ends in the separator: one file per even month.
+ORACLE_SQL["scan_tail"] = f"""
+WITH a AS ({AGG}),
+t AS (SELECT count(DISTINCT strftime(l_shipdate, '%Y-%m')) AS n FROM lineitem
+      WHERE month(l_shipdate) % 2 = 0),
+u AS (SELECT * FROM a UNION ALL
+      SELECT 'unknown', 'U00', 0, 0, CAST(n AS BIGINT), 0, 0, 0 FROM t)
+SELECT month, eco_group, white_bucket, black_bucket, CAST(sum(games) AS BIGINT) AS games,
+       CAST(sum(white_wins) AS BIGINT) AS white_wins, CAST(sum(black_wins) AS BIGINT) AS black_wins,
+       CAST(sum(draws) AS BIGINT) AS draws
+FROM u WHERE games > 0 GROUP BY month, eco_group, white_bucket, black_bucket
+"""
+
+ORACLE_SQL["ingest_resume"] = """
+SELECT strftime(date_trunc('quarter', l_shipdate), '%Y-%m') AS month, 'success' AS status, CAST(count(*) AS BIGINT) AS games,
+       CAST(count(*) AS BIGINT) AS stored
+FROM lineitem GROUP BY 1
+UNION ALL SELECT '2030-01', 'success', 0, 0
+"""
+
+ORACLE_SQL["store_reingest_changed"] = aggregate_sql().replace(
+    "FROM lineitem", """FROM (SELECT * FROM lineitem
+      WHERE month(l_shipdate) % 3 = 2 OR (month(l_shipdate) % 3 = 1 AND l_orderkey % 2 = 0)) lineitem""")
+
+ORACLE_SQL["csv_order"] = f"""
+SELECT *, CAST(row_number() OVER (ORDER BY games DESC, month, eco_group, white_bucket, black_bucket)
+               AS INTEGER) AS position
+FROM ({AGG}) a
+"""
+
+# The index lists orders in key order; a stable sort by month keeps that order within a month.
+ORACLE_SQL["plan_order"] = plan_sql().replace(
+    "AS url", """AS url,
+           CAST(row_number() OVER (ORDER BY m, o_orderkey) AS INTEGER) AS position""").replace(
+    _INDEX, _INDEX.replace("SELECT", "SELECT o_orderkey,"))
+
+# Replay: the events of each month one after another, each changing the row as a statement would.
+ORACLE_SQL["ledger_appends"] = """
+WITH RECURSIVE e AS (
+  SELECT strftime(o_orderdate, '%Y-%m') AS month,
+         row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m') ORDER BY o_orderkey) AS k,
+         o_orderkey % 5 < 2 AS is_start,
+         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS at,
+         o_custkey % 1000 AS games, CAST(floor(o_totalprice) AS BIGINT) AS duration_ms,
+         CASE WHEN o_orderkey % 5 = 4 THEN 'failed' ELSE 'success' END AS fstatus
+  FROM orders),
+s AS (
+  SELECT DISTINCT month, CAST(0 AS BIGINT) AS k, false AS there, CAST(NULL AS VARCHAR) AS started_at,
+         CAST(NULL AS VARCHAR) AS finished_at, CAST(0 AS BIGINT) AS games,
+         CAST(0 AS BIGINT) AS duration_ms, CAST(NULL AS VARCHAR) AS status
+  FROM e
+  UNION ALL
+  SELECT s.month, e.k, s.there OR e.is_start,
+         CASE WHEN e.is_start THEN e.at ELSE s.started_at END,
+         CASE WHEN NOT e.is_start AND s.there THEN e.at ELSE s.finished_at END,
+         CASE WHEN NOT e.is_start AND s.there THEN e.games ELSE s.games END,
+         CASE WHEN NOT e.is_start AND s.there THEN e.duration_ms ELSE s.duration_ms END,
+         CASE WHEN e.is_start THEN 'started' WHEN s.there THEN e.fstatus ELSE s.status END
+  FROM s JOIN e ON e.month = s.month AND e.k = s.k + 1)
+SELECT s.month, 'https://example.org/standard/games_rated_' || s.month || '.pgn.zst' AS url,
+       started_at, finished_at, games, duration_ms, status
+FROM s JOIN (SELECT month, max(k) AS k FROM e GROUP BY month) l ON s.month = l.month AND s.k = l.k
+WHERE there
+"""

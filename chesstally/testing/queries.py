@@ -10,22 +10,24 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chesstally import fs
 from chesstally.functions.eco import with_eco_group
 from chesstally.functions.keys import bucket_of, eco_code, elo_value, result_class
+from chesstally.jobs import ingest_plan
 from chesstally.operators import trends
 from chesstally.operators.aggregate import (
     aggregate_games,
     game_keys,
     game_tags,
     merge_aggregates,
+    rebalance_games,
     total_games,
     upsert_additive,
 )
-from chesstally.plans.ingest import build_plan
+from chesstally.plans.ingest import build_plan, exclude_done, filter_months
 from chesstally.session import scratch_path
 from chesstally.sinks import ledger, store, versioned
 from chesstally.sinks.csv import (
@@ -43,6 +45,7 @@ from chesstally.testing.oracle import SQL_INGESTION_STATUS, SQL_OPENING_RESULTS
 PLAN_SINCE, PLAN_UNTIL = "1996-3", "2000/10"
 MERGE_SPLIT_MONTH = "1998-06"
 CUSTOM_BUCKETS = (0, 100, 400)
+EMPTY_MONTH = "2030-01"  # beyond all generated months
 
 
 def _run_dir(spark: SparkSession, kind: str) -> str:
@@ -177,6 +180,89 @@ def landed_agg_100(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.aggregate_landed(spark, path, bucket_size=100)
 
 
+def landed_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of every month landed in two calls; then one call again (replaces its own files)."""
+    path, base = _run_dir(spark, "landed2"), fixtures.pgn_dataset(spark, sf_dir, "halves")
+    for run in (0, 1, 0):
+        store.land_games(read_games(spark, f"{base}/run={run}"), path)
+    return store.aggregate_landed(spark, path, bucket_size=100)
+
+
+def scan_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregate_games(read_games(spark, fixtures.pgn_dataset(spark, sf_dir, "tails"), with_source=False))
+
+
+def scan_compressed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """gzip dumps, dealt to more tasks for parsing, with a missing path in the list."""
+    gz = fixtures.pgn_dataset(spark, sf_dir, "gzip")
+    g = read_games(spark, [gz, gz + "-missing"], skip_missing=True)
+    return aggregate_games(rebalance_games(g, 8))
+
+
+def ingest_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A plan of one dump per quarter (named by its first month), one of them empty: the dumps up to a
+    bound, then all that the ledger leaves, then nothing any more. The ledger's month, status and
+    games beside the store's games. (Spark reads zstd but does not write it: plain text.)"""
+    run = _run_dir(spark, "resume")
+    quarter = F.date_format(F.date_trunc("quarter", F.to_date("source_month", "yyyy-MM")), "yyyy-MM")
+    games = fixtures.generated_games(spark, sf_dir).withColumn("source_month", quarter)
+    dumps = fixtures.write_dumps(spark, games, run + "/dumps")
+    dumps[EMPTY_MONTH] = f"{run}/dumps/games_rated_{EMPTY_MONTH}.pgn"
+    fs.write_text_file(spark, dumps[EMPTY_MONTH], "")
+    plan = spark.createDataFrame(sorted(dumps.items()), "month string, url string")
+    for until in (MERGE_SPLIT_MONTH, None, None):
+        done = ledger.ingested_months(ledger.current_state(spark, run + "/ledger"))
+        ingest_plan(spark, exclude_done(filter_months(plan, until=until), done), run + "/store",
+                    run + "/ledger", months_at_once=8)
+    state = ledger.current_state(spark, run + "/ledger").select("month", "status", "games")
+    held = (store.read_store_by_source(spark, run + "/store").groupBy(F.col("source_month").alias("month"))
+            .agg(F.sum("games").alias("stored")))
+    return state.join(held, "month", "left").select(
+        "month", "status", "games", F.coalesce("stored", F.lit(0)).alias("stored"))
+
+
+def store_reingest_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every month's file ingested; then a third of the files have no games any more, a third has
+    half of them, and all are ingested again."""
+    run = _run_dir(spark, "changed")
+    g = fixtures.generated_games(spark, sf_dir, with_key=True)
+    dumps = fixtures.write_dumps(spark, g, run + "/dumps")
+    store.ingest_games(read_games(spark, run + "/dumps"), run + "/store")
+    third = F.substring("source_month", 6, 2).cast("int") % 3
+    fixtures.write_dumps(spark, g.where((third == 1) & (F.col("l_orderkey") % 2 == 0)), run + "/dumps")
+    for month, path in dumps.items():
+        if int(month[5:7]) % 3 == 0:
+            fs.write_text_file(spark, path, "")
+    store.ingest_games(read_games(spark, run + "/dumps"), run + "/store")
+    return store.read_store(spark, run + "/store")
+
+
+def csv_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the written CSV with their position in the file."""
+    path = _run_dir(spark, "csvo") + "/agg.csv"
+    write_csv(stored_aggregate(spark, sf_dir), path)
+    return _numbered(read_aggregates_csv(spark, path))
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """Position of every row, from 1: ids grow over the partitions in their order."""
+    at = Window.orderBy(F.monotonically_increasing_id())
+    return df.withColumn("position", F.row_number().over(at))
+
+
+def plan_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _numbered(plan_range(spark, sf_dir))
+
+
+def ledger_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events appended to the ledger in three calls, out of order; its state afterwards."""
+    path = _run_dir(spark, "appends")
+    events = fixtures.generated_ledger_events(spark, sf_dir)
+    for part in (2, 0, 1):
+        ledger.append_events(events.where(F.col("seq") % 3 == part), path)
+    return ledger.current_state(spark, path)
+
+
 def plan_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_plan(fixtures.generated_index_lines(spark, sf_dir), PLAN_SINCE, PLAN_UNTIL)
 
@@ -275,4 +361,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_versioned": upsert_versioned,
     "sql_on_aggregates": sql_on_aggregates,
     "sql_on_ingestions": sql_on_ingestions,
+    "landed_two_runs": landed_two_runs,
+    "scan_tail": scan_tail,
+    "scan_compressed": scan_compressed,
+    "ingest_resume": ingest_resume,
+    "store_reingest_changed": store_reingest_changed,
+    "csv_order": csv_order,
+    "plan_order": plan_order,
+    "ledger_appends": ledger_appends,
 }

@@ -124,12 +124,3 @@ def test_ledger_versions_stay_compact(spark, tmp_dir):
     files = [f for f in os.listdir(os.path.join(path, f"v={latest}")) if f.endswith(".parquet")]
     assert len(files) == 1
     assert ledger.read_events(spark, path).count() == 3
-
-
-def test_plan_urls_and_guard(spark):
-    from chesstally.plans.ingest import plan_urls
-
-    plan = build_plan(_lines(spark, [f"h/x_2013-{m:02d}.pgn.zst" for m in (3, 1, 2)]))
-    assert plan_urls(plan) == ["h/x_2013-01.pgn.zst", "h/x_2013-02.pgn.zst", "h/x_2013-03.pgn.zst"]
-    with pytest.raises(ValueError):
-        plan_urls(plan, limit=2)

@@ -108,6 +108,59 @@ def test_landed_games_any_bucket(spark, tmp_dir):
             _tuples(aggregate_games(games, size))
 
 
+def test_landing_a_month_in_several_calls(spark, tmp_dir):
+    a, b = dump(tmp_dir, "2013-07", 3, sub="one"), dump(tmp_dir, "2013-07", 2, sub="two")
+    path = os.path.join(tmp_dir, "landed")
+    for p in (a, b, a):  # landing a file again replaces its own games
+        store.land_games(read_games(spark, p), path)
+    assert store.aggregate_landed(spark, path).agg(F.sum("games")).first()[0] == 5
+    nameless = [write(os.path.join(tmp_dir, "n", f"{i}.txt"), '[Event "x"]\n' * n) for i, n in enumerate((3, 2))]
+    path = os.path.join(tmp_dir, "landed2")
+    for p in nameless:
+        store.land_games(read_games(spark, p), path)
+    assert store.aggregate_landed(spark, path).agg(F.sum("games")).first()[0] == 5
+
+
+def test_emptied_file_leaves_the_store(spark, tmp_dir):
+    p, q = dump(tmp_dir, "2013-07", 3), dump(tmp_dir, "2013-08", 2)
+    st = os.path.join(tmp_dir, "store")
+    store.ingest_games(read_games(spark, [p, q]), st)
+    write(p, "")
+    store.ingest_games(read_games(spark, [p, q]), st)
+    assert store.read_store(spark, st).agg(F.sum("games")).first()[0] == 2
+
+
+def test_corrupt_and_empty_dumps(spark, tmp_dir):
+    """One corrupt dump: its month is failed and planned again; the others are committed, the empty
+    one with no games."""
+    good = dump(tmp_dir, "2013-01", 4, sub="plain")
+    with open(good, "rb") as f:
+        data = zstandard.ZstdCompressor().compress(f.read())
+    urls = ["file://" + write(os.path.join(tmp_dir, "z", f"games_rated_{m}.pgn.zst"), d) for m, d in (
+        ("2013-01", data), ("2013-02", b"not zstd at all"), ("2013-03", b""))]
+    index = write(os.path.join(tmp_dir, "list.txt"), "\n".join(urls))
+    st, led = os.path.join(tmp_dir, "store"), os.path.join(tmp_dir, "ledger")
+    plan = plan_from_index(spark, index, ledger_path=led)
+    assert ingest_plan(spark, plan, st, led) == {"2013-01": 4, "2013-03": 0}
+    rows = {r.month: (r.status, r.games) for r in ledger.current_state(spark, led).collect()}
+    assert rows == {"2013-01": ("success", 4), "2013-02": ("failed", 0), "2013-03": ("success", 0)}
+    assert [r.month for r in plan_from_index(spark, index, ledger_path=led).collect()] == ["2013-02"]
+    assert store.read_store(spark, st).agg(F.sum("games")).first()[0] == 4
+
+
+def test_stream_counts_bare_last_games_and_reads_once(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    write(os.path.join(src, "a.pgn"), '[Event "a"]\n[Event ')
+    write(os.path.join(src, "b.pgn"), '[Event "b"]\n')
+    seen = []
+    from chesstally.streaming.ingest import start_ingest
+    q = start_ingest(spark, src, os.path.join(tmp_dir, "st"), os.path.join(tmp_dir, "ck"),
+                     on_batch=lambda agg, i: seen.append(agg.agg(F.sum("games")).first()[0]))
+    q.awaitTermination()
+    assert sum(seen) == 3
+    assert store.read_store(spark, os.path.join(tmp_dir, "st")).agg(F.sum("games")).first()[0] == 3
+
+
 def test_jdbc_backend_and_sql():
     assert jdbc.detect_backend("POSTGRES://u@h/db") == "postgres"
     assert jdbc.detect_backend("postgresql://h/db") == "postgres"
@@ -200,10 +253,10 @@ def test_run_files_and_run_index(spark, tmp_dir):
 
     a = parse_args(["--index", "l.txt", "--since", "2013-01", "-o", "out/"])
     assert (a.index, a.since, a.out, a.bucket_size) == ("l.txt", "2013-01", "out/", 200)
-    assert not a.exact_tail and parse_args(["f.pgn", "--exact-tail"]).exact_tail
+    assert a.exact_tail and not parse_args(["f.pgn", "--no-exact-tail"]).exact_tail
     truncated = write(os.path.join(tmp_dir, "trunc.pgn"), '[Event "a"]\n[Result "1-0"]\n[Event ')
-    assert run_files(spark, [truncated]) == 1
-    assert run_files(spark, [truncated], exact_tail=True) == 2
+    assert run_files(spark, [truncated]) == 2
+    assert run_files(spark, [truncated], exact_tail=False) == 1
     with pytest.raises(SystemExit):
         parse_args([])
     cfg = write(os.path.join(tmp_dir, "config.toml"),
@@ -230,7 +283,7 @@ def test_land_games_caps_file_size(spark, tmp_dir):
     games = read_games(spark, os.path.join(tmp_dir, "dumps")).coalesce(1)
     path = os.path.join(tmp_dir, "landed_small")
     store.land_games(games, path, rows_per_file=7)
-    files = [f for f in os.listdir(os.path.join(path, "source_month=2013-07"))
+    files = [f for _, _, names in os.walk(os.path.join(path, "source_month=2013-07")) for f in names
              if f.endswith(".parquet")]
     assert len(files) == 8  # ceil(50 / 7) files from one task
     assert _tuples(store.aggregate_landed(spark, path)) == _tuples(aggregate_games(games))
@@ -282,8 +335,11 @@ def test_versioned_table(spark, tmp_dir):
         assert latest[r[:4]] == tuple(2 * x for x in r[4:])
     sink = versioned.snapshot_sink(base)
     sink(agg, 5)
-    sink(agg, 5)  # a replayed batch rewrites its own version
-    assert versioned.latest_version(spark, base) == 5
+    sink(agg, 5)  # a replayed batch writes the same result once more
+    versioned.snapshot_sink(base)(agg, 0)  # a new checkpoint counts its batches from 0
+    assert versioned.latest_version(spark, base) == 4
+    assert sorted(d for d in os.listdir(base) if d.startswith("v=")) == ["v=3", "v=4"]
+    assert versioned.drop_versions(spark, base, keep=1) == [3]
     assert _tuples(versioned.read_latest(spark, base)) == _tuples(agg)
     assert not [f for f in os.listdir(base) if f.startswith(".") and not f.endswith(".crc")]
 

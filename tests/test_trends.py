@@ -19,8 +19,9 @@ def _agg(spark):
 
 def test_elo_performance_zero_finished_is_null(spark):
     rows = {(r.white_bucket, r.black_bucket): r for r in
-            trends.elo_performance(_agg(spark)).collect()}
-    assert set(rows) == {(1600, 1400), (1800, 1600)}  # bucket 0 excluded
+            trends.elo_performance(_agg(spark), exclude_unrated=True).collect()}
+    assert set(rows) == {(1600, 1400), (1800, 1600)}  # bucket 0 excluded on request
+    assert trends.elo_performance(_agg(spark)).where("white_bucket = 0").count() == 2
     r = rows[(1600, 1400)]
     assert (r.games, r.white_wins, r.draws, r.gap) == (8, 2, 1, 200)
     assert r.white_score == 5 / 8  # (2*2 + 1) / (2*4): finished games only
