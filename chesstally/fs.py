@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 
@@ -140,20 +142,32 @@ def read_text_file(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def file_tail(spark: SparkSession, path: str, n: int) -> tuple[int, bytes]:
-    """Size of a file, named as :func:`input_files` does, and its last ``n`` bytes (all of it if
-    shorter)."""
+def file_tails(spark: SparkSession, files: list[str], n: int, threads: int = 16) -> list[bytes]:
+    """The last ``n`` bytes (all of a shorter file) of files named as :func:`input_files` does."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    size = fs.getFileStatus(p).getLen()
-    stream = fs.open(p)
-    try:
-        stream.seek(max(0, size - n))
-        data = jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
-    finally:
-        stream.close()
-    return size, bytes(data)
+    path, uri, read = jvm.org.apache.hadoop.fs.Path, jvm.java.net.URI, jvm.org.apache.commons.io.IOUtils.toByteArray
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    systems: dict[str, object] = {}  # by scheme and authority
+
+    def tail(name: str) -> bytes:
+        p = path(uri(name) if "%" in name else name)
+        root = "/".join(name.split("/", 3)[:3]) if "://" in name else name.split("/", 1)[0]
+        fs = systems.get(root)
+        if fs is None:
+            fs = systems.setdefault(root, p.getFileSystem(conf))
+        size = fs.getFileStatus(p).getLen()
+        stream = fs.open(p)
+        try:
+            if size > n:
+                stream.seek(size - n)
+            return bytes(read(stream))
+        finally:
+            stream.close()
+
+    if not files:
+        return []
+    with ThreadPoolExecutor(min(threads, len(files))) as pool:
+        return list(pool.map(tail, files))
 
 
 def input_files(df) -> list[str]:
@@ -161,7 +175,13 @@ def input_files(df) -> list[str]:
     them on the driver to plan the scan; nothing is read."""
     jvm = df.sparkSession.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
-    return [path(path(jvm.java.net.URI(f)).toString()).toUri().toString() for f in df.inputFiles()]
+
+    def spelt(name: str) -> str:
+        if "%" in name:  # inputFiles escapes more than the metadata column does
+            return path(path(jvm.java.net.URI(name)).toString()).toUri().toString()
+        return name.replace(":///", ":/", 1)
+
+    return [spelt(f) for f in df.inputFiles()]
 
 
 def signature(spark: SparkSession, path: str) -> str:

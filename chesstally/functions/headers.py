@@ -100,17 +100,6 @@ def with_tags(df: DataFrame, game_col: str = "game", tags: Sequence[str] = KEY_T
     return arrays.select(*keep, *out)
 
 
-def header_block(game: Column | str) -> Column:
-    """The game's text without what cannot hold a header line.
-
-    A header line needs a quote. If no quote follows the first blank line, the text up to it has all
-    header lines; otherwise the whole text is kept. The same tags are found in either."""
-    game = F.col(game) if isinstance(game, str) else game
-    end = F.regexp_instr(game, F.lit(r"\n\r?\n"))
-    rest = F.substr(game, end)
-    return F.when((end > 0) & (F.instr(rest, '"') == 0), F.substr(game, F.lit(1), end)).otherwise(game)
-
-
 def tag_value(entries: Column, tag: str) -> Column:
     """Lookup in an ``array<struct<tag,value>>`` built by :func:`header_entries`."""
     matches = F.filter(entries, lambda e: e["tag"] == F.lit(tag))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chesstally.functions.eco import eco_group_of_code, with_eco_group
-from chesstally.functions.headers import KEY_TAGS, header_block, with_tags
+from chesstally.functions.headers import KEY_TAGS, with_tags
 from chesstally.functions.keys import (
     BLACK_WIN,
     DRAW,
@@ -84,12 +84,10 @@ def game_keys(
     return keyed.select(*keep, *KEY_COLUMNS, "result")
 
 
-def rebalance_games(games: DataFrame, tasks: int | None, game_col: str = "game") -> DataFrame:
-    """Deal games round-robin to ``tasks`` tasks for parsing, shipping only header blocks (None: as
-    they are). For unsplittable dumps, of which one task reads each."""
-    if not tasks:
-        return games
-    return games.withColumn(game_col, header_block(game_col)).repartition(tasks)
+def rebalance_games(games: DataFrame, tasks: int | None) -> DataFrame:
+    """Deal games round-robin to ``tasks`` tasks for parsing (None: as they are). For unsplittable
+    dumps, of which one task reads each; that task then only cuts records."""
+    return games.repartition(tasks) if tasks else games
 
 
 def aggregate_keys(keys: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +32,6 @@ from chesstally.functions.keys import (
     result_value,
     validate_bucket_size,
 )
-from chesstally.session import scratch_path
 from chesstally.sources.pgn import source_month_from_path
 from chesstally.operators.aggregate import (
     KEY_COLUMNS,
@@ -93,7 +91,8 @@ STORE_ROWS_PER_FILE = 5_000_000
 
 def write_by_source(agg_by_source: DataFrame, store: str, bucket_size: int = 200,
                     files: Sequence[str] | None = None) -> None:
-    """Replace the partitions of the sources in ``agg_by_source``; others stay.
+    """Replace the partitions of the sources in ``agg_by_source``; others stay. Writers of different
+    sources may run at the same time.
 
     ``files`` are the files that were read (:func:`chesstally.fs.input_files`): those without a row
     now hold no game, and a partition that an earlier ingest left for them is removed. The rebalance
@@ -101,8 +100,11 @@ def write_by_source(agg_by_source: DataFrame, store: str, bucket_size: int = 200
     """
     spark = agg_by_source.sparkSession
     check_bucket_size(spark, store, bucket_size)
-    if files and len(files) <= 64:  # a look at a few folders saves a job: most files are new
-        files = [f for f in files if fs.exists(spark, f"{store}/source_id={_id_of(f)}")]
+    held = {}
+    if files:  # folder names only: which of the files have a partition, and of which parts
+        there = {d.rstrip("/").rsplit("/", 1)[-1] for d in fs.list_dirs(spark, store)}
+        held = {p: fs.list_files(spark, f"{store}/{p}") for f in files
+                if (p := f"source_id={_id_of(f)}") in there}
     (agg_by_source.select(*SOURCE_COLUMNS, *KEY_COLUMNS, *MEASURE_COLUMNS)
      .hint("rebalance", "source_id")
      .write.mode("overwrite")
@@ -110,22 +112,15 @@ def write_by_source(agg_by_source: DataFrame, store: str, bucket_size: int = 200
      .option("maxRecordsPerFile", STORE_ROWS_PER_FILE)
      .partitionBy("source_id")
      .parquet(store))
-    if files:
-        read = spark.createDataFrame([(f,) for f in files], "source_file string")
-        empty = read.join(agg_by_source.select("source_file").distinct(), "source_file", "left_anti")
-        for r in empty.select(source_id(F.col("source_file")).alias("id")).collect():  # emptied files
-            fs.delete(spark, f"{store}/source_id={r.id}")
+    for p, parts in held.items():
+        if fs.list_files(spark, f"{store}/{p}") == parts:  # not rewritten: its file has no games now
+            fs.delete(spark, f"{store}/{p}")
 
 
 def ingest_games(games: DataFrame, store: str, bucket_size: int = 200) -> None:
     """Aggregate per source file and replace those sources in the store; a file without games any
-    more leaves it. The aggregate is written once and used for both."""
-    spark = games.sparkSession
-    files = fs.input_files(games)
-    path = scratch_path(spark, "runs", f"ingest-{uuid.uuid4().hex[:12]}")
-    aggregate_by_source(games, bucket_size).write.parquet(path)
-    write_by_source(spark.read.parquet(path), store, bucket_size, files)
-    fs.delete(spark, path)
+    more leaves it."""
+    write_by_source(aggregate_by_source(games, bucket_size), store, bucket_size, fs.input_files(games))
 
 
 def read_store(spark: SparkSession, store: str) -> DataFrame:

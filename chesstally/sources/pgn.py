@@ -17,7 +17,6 @@ cannot be told apart from the others, and re-prefixing a preamble would corrupt
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -105,18 +104,11 @@ def read_games(
 COMPRESSED_SUFFIXES = (".gz", ".bz2", ".zst", ".zstd", ".lz4", ".snappy", ".deflate", ".xz", ".br")
 
 
-_LOOKERS = 16  # threads that look at file ends
-
-
 def truncated_files(spark: SparkSession, files: Iterable[str]) -> list[str]:
     """The uncompressed files among ``files`` whose bytes end with the separator."""
     sep = GAME_SEPARATOR.encode("utf-8")
     plain = [f for f in files if not f.lower().endswith(COMPRESSED_SUFFIXES)]
-    if not plain:
-        return []
-    with ThreadPoolExecutor(min(_LOOKERS, len(plain))) as pool:
-        ends = pool.map(lambda f: fs.file_tail(spark, f, len(sep))[1] == sep, plain)
-        return [f for f, bare in zip(plain, ends) if bare]
+    return [f for f, tail in zip(plain, fs.file_tails(spark, plain, len(sep))) if tail == sep]
 
 
 def bare_games(spark: SparkSession, files: list[str], with_source: bool = True) -> DataFrame:
