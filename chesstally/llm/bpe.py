@@ -327,8 +327,9 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     pieces = known.where("chunks is not null").select("rk", F.posexplode("chunks").alias("idx", "hash"))
     # A chunk's owner is one of its texts; should two texts' short digests agree, both encode it.
     short = F.xxhash64("rk")
-    shared = (pieces.groupBy("hash").agg(F.min(short).alias("own"), F.max(short).alias("end"))
-              .where("own != end").select("hash", "own"))
+    # Written, so that the join can split the places of a chunk that very many texts hold.
+    shared = materialize(pieces.groupBy("hash").agg(F.min(short).alias("own"), F.max(short).alias("end"))
+                         .where("own != end").select("hash", "own"), "bpe-shared")
     # Where each text meets shared chunks; the owner encodes and publishes.
     refs = (pieces.join(shared, "hash")
             .select("rk", F.struct("idx", "hash", (short == F.col("own")).alias("own")).alias("ref"))
