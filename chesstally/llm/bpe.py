@@ -367,7 +367,8 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     texts = src.mapInArrow(blobs, "rk binary, blob binary")
     stage = materialize(texts.join(refs, "rk", "left").select("rk", "blob", "refs")
                         .mapInArrow(first, _DONE + ", hash binary, words binary, blob binary"), "bpe-first")
-    book = stage.where("hash is not null").select("hash", "words").dropDuplicates(["hash"])
+    book = materialize(stage.where("hash is not null").select("hash", "words").dropDuplicates(["hash"]),
+                       "bpe-book")
     waiting = stage.where("blob is not null").select("rk", "blob")
     fetched = (refs.join(waiting.select("rk"), "rk", "left_semi").select("rk", F.inline("refs"))
                .select("rk", "idx", "hash").join(book, "hash")
