@@ -54,7 +54,7 @@ def source_id(path_col) -> F.Column:
     return F.concat(F.lit("s"), F.substring(F.sha2(path_col, 256), 1, 16))
 
 
-def _id_of(path: str) -> str:
+def id_of(path: str) -> str:
     """:func:`source_id` of a literal path."""
     return "s" + hashlib.sha256(path.encode()).hexdigest()[:16]
 
@@ -104,7 +104,7 @@ def write_by_source(agg_by_source: DataFrame, store: str, bucket_size: int = 200
     if files:  # folder names only: which of the files have a partition, and of which parts
         there = {d.rstrip("/").rsplit("/", 1)[-1] for d in fs.list_dirs(spark, store)}
         held = {p: fs.list_files(spark, f"{store}/{p}") for f in files
-                if (p := f"source_id={_id_of(f)}") in there}
+                if (p := f"source_id={id_of(f)}") in there}
     (agg_by_source.select(*SOURCE_COLUMNS, *KEY_COLUMNS, *MEASURE_COLUMNS)
      .hint("rebalance", "source_id")
      .write.mode("overwrite")

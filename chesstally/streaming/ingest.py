@@ -20,13 +20,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chesstally import fs
-from chesstally.operators.aggregate import aggregate_games, merge_aggregates, rebalance_games
+from chesstally.operators.aggregate import (
+    KEY_COLUMNS,
+    MEASURE_COLUMNS,
+    aggregate_games,
+    merge_aggregates,
+    rebalance_games,
+)
 from chesstally.session import scratch_path
-from chesstally.sinks.store import SOURCE_COLUMNS, aggregate_by_source, write_by_source
+from chesstally.sinks.store import SOURCE_COLUMNS, aggregate_by_source, id_of, write_by_source
 from chesstally.sources.pgn import bare_games, stream_games, truncated_files
 
 
@@ -50,26 +57,32 @@ def start_ingest(
     rebalance: int | None = None,
 ) -> StreamingQuery:
     """Stream ``source_dir`` into the by-source ``store``; returns the running query. ``on_batch``
-    gets each micro-batch's aggregate per source, a written table that lasts for the call.
+    gets each micro-batch's aggregate per source, read from the partitions just written.
 
     ``rebalance=N`` deals each micro-batch's games round-robin to N tasks before parsing (see
     :func:`chesstally.sources.pgn.read_games`), for unsplittable compressed dumps."""
     games = stream_games(spark, source_dir, max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # Written once: the store, the ends of files and on_batch all read this small table.
-        path = scratch_path(spark, "runs", f"batch-{uuid.uuid4().hex[:12]}")
-        aggregate_by_source(rebalance_games(batch, rebalance), bucket_size).write.parquet(path)
-        agg = spark.read.parquet(path)
-        files = [r.source_file for r in agg.select("source_file").distinct().toLocalIterator()]
+        # The games are parsed once: the write also notes the batch's files.
+        seen = Observation()
+        agg = aggregate_by_source(rebalance_games(batch, rebalance), bucket_size)
+        write_by_source(agg.observe(seen, F.collect_set("source_file").alias("files")), store, bucket_size)
+        files = list(seen.get["files"] or ())
+
+        def written(paths: list[str]) -> DataFrame:
+            return (spark.read.parquet(store).where(F.col("source_id").isin([id_of(p) for p in paths]))
+                    .select(*SOURCE_COLUMNS, *KEY_COLUMNS, *MEASURE_COLUMNS))
+
         bare = truncated_files(spark, files)
-        if bare:
+        if bare:  # their last games, which are no records; a replayed batch starts over
+            path = scratch_path(spark, "runs", f"batch-{uuid.uuid4().hex[:12]}")
             more = aggregate_by_source(bare_games(spark, bare), bucket_size)
-            agg = merge_aggregates(agg, more, by=SOURCE_COLUMNS)
-        write_by_source(agg, store, bucket_size)
+            merge_aggregates(written(bare), more, by=SOURCE_COLUMNS).write.parquet(path)
+            write_by_source(spark.read.parquet(path), store, bucket_size)
+            fs.delete(spark, path)
         if on_batch is not None:
-            on_batch(agg, batch_id)
-        fs.delete(spark, path)
+            on_batch(written(files), batch_id)
 
     writer = games.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
