@@ -95,8 +95,8 @@ _DOTTED = re.compile(r"(?<![0-9.])[0-9]{1,5}(?:\.[0-9]{1,5}){2,7}")
 _HEXES = re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){4,7}")
 _NUMBER = re.compile(r"\+?\(?(?<![0-9])[0-9](?:[ ().\-]{0,2}[0-9]){7,18}")
 _KEYED = re.compile(r"(?i:pass(?:word|wd)?|pwd|token|secret|api[_-]?key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?"
-                    r"([^\s\"']{6,200})")
-_DENSE = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,200}(?![A-Za-z0-9_+/=-])")
+                    r"([^\s\"']{6,})")
+_DENSE = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}")
 
 
 def candidates(text: str) -> set[tuple[int, int, str]]:
@@ -154,7 +154,7 @@ def strict(before: str, span: str, after: str, kind: str) -> bool:
     mixed = any(c.isdigit() for c in span) and any(c.isalpha() for c in span)
     keyed = bool(re.search(r"(?i)(pass(word|wd)?|pwd|token|secret|api[_-]?key)[\"']?\s*[=:]\s*[\"']?$", before))
     return mixed and (keyed and len(span) >= 8 or bool(re.fullmatch(r"AKIA[0-9A-Z]{16}", span))
-                      or bool(re.fullmatch(r"[0-9a-f]{32,64}", span)))
+                      or bool(re.fullmatch(r"[0-9a-f]{32,}", span)))
 
 
 def corrupted(span: str, kind: str, seed: int) -> list[str]:
@@ -170,7 +170,7 @@ def corrupted(span: str, kind: str, seed: int) -> list[str]:
     if kind == "phone":
         out += [span.lstrip("+"), span + " 555 " + span[-4:]]
     if kind == "secret":
-        out += ["".join(c for c in span if c.isalpha())[:12] or "word", span[:5]]
+        out += ["".join(c for c in span if c.isalpha())[:12] or "word", span[:5], span * (2 + seed % 60)]
     return out
 
 
@@ -254,29 +254,38 @@ def fit(docs: DataFrame, text_col: str = "text", max_candidates: int = MAX_CANDI
                 for a, b, kind in candidates(text or ""):
                     before, span, after = _around(text, a, b)
                     key = xxhash.xxh64_intdigest(f"{kind}|{before}|{span}|{after}".encode()) >> 1
-                    rows.add((key, kind, before, span[:400], after))
+                    rows.add((key, kind, before, span, after))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, (pa.int64(), *[pa.string()] * 4))],
                 ["key", "kind", "before", "span", "after"])
 
     found = (docs.select(F.col(text_col).alias("text"))
              .mapInArrow(run, "key long, kind string, before string, span string, after string").distinct())
-    rows = sample_by_hash(materialize(found, "pii-candidates"), "key", max_candidates, seed=5).collect()
-    x: list[list[float]] = []
-    y: list[bool] = []
-    half: list[bool] = []
-    kinds: list[str] = []
-    for r in rows:
-        versions = [r["span"]]
-        if strict(r["before"], r["span"], r["after"], r["kind"]):
-            versions += [c for c in corrupted(r["span"], r["kind"], r["key"]) if c != r["span"]]
-        for span in versions:
-            x.append(features(r["before"], span, r["after"], r["kind"]))
-            y.append(strict(r["before"], span, r["after"], r["kind"]))
-            half.append(bool(r["key"] & 1))  # a candidate and its corruptions stay together
-            kinds.append(r["kind"])
-    data, truth, fold = np.array(x, float), np.array(y, float), np.array(half, bool)
-    if len(rows) < 20 or len(set(truth[fold])) < 2 or len(set(truth[~fold])) < 2:
+
+    def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Features of a candidate and of its corruptions, so that no long span goes to the driver."""
+        for part in slices(batches):
+            x, y, keys, kinds = [], [], [], []
+            for r in part.to_pylist():
+                before, span, after, kind = r["before"], r["span"], r["after"], r["kind"]
+                versions = [span]
+                if strict(before, span, after, kind):
+                    versions += [c for c in corrupted(span, kind, r["key"]) if c != span]
+                x += [[float(f) for f in features(before, v, after, kind)] for v in versions]
+                y += [strict(before, v, after, kind) for v in versions]
+                keys += [r["key"]] * len(versions)
+                kinds += [kind] * len(versions)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(kinds, pa.string()), pa.array(x, pa.list_(pa.float64())),
+                 pa.array(y, pa.bool_())], ["key", "kind", "x", "y"])
+
+    sample = sample_by_hash(materialize(found, "pii-candidates"), "key", max_candidates, seed=5)
+    rows = sample.mapInArrow(examples, "key long, kind string, x array<double>, y boolean").collect()
+    rows.sort(key=lambda r: (r["key"], r["x"]))
+    kinds = [r["kind"] for r in rows]
+    data, truth = np.array([r["x"] for r in rows], float), np.array([r["y"] for r in rows], float)
+    fold = np.array([r["key"] & 1 for r in rows], bool)  # a candidate and its corruptions stay together
+    if len({r["key"] for r in rows}) < 20 or len(set(truth[fold])) < 2 or len(set(truth[~fold])) < 2:
         return Model()
     trees = Trees().fit(data[fold], truth[fold])
     score, test = trees.predict(data[~fold]), truth[~fold]

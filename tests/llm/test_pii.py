@@ -119,3 +119,14 @@ def test_little_or_nothing_to_learn_from(make):
     assert [o.spans for o in pii.digest_columns(pii.find_spans(docs, model)).collect()].count("email:2:8") == 1
     empty = docs.where("1 = 0")
     assert pii.find_spans(empty, pii.fit(empty)).count() == 0
+
+
+def test_long_secrets_go_whole(make, corpus):
+    r = random.Random(4)
+    rows, _ = corpus
+    token = "".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(1000))
+    docs = make(rows + [(700, f"see token={token} there", "s"), (701, f"key {token * 3} there", "s")])
+    spans = pii.candidates(f"key {token * 3} there")
+    assert (4, 4 + 3000, "secret") in spans
+    clean = {x.doc_id: x.text for x in pii.redact(docs, pii.fit(docs)).collect() if x.doc_id == 700}
+    assert token[-40:] not in clean[700] and token[:40] not in clean[700] and clean[700].endswith(" there")
