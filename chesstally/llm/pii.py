@@ -9,7 +9,10 @@ base rules (below) always stay, and candidates that touch one of them are left o
 No labels exist for spans, so the trees learn from the corpus by distant supervision: a candidate is
 positive if a strict rule for its kind accepts it as it stands, and every positive candidate also
 gives corrupted copies (a changed digit, a missing dot, a short number, a plain word) which the rule
-rejects. The sample is bounded: ``MAX_CANDIDATES`` candidates, chosen by a hash of their text.
+rejects. Each kind has its own trees, so that it does not depend on how frequent the others are. They
+learn from a sample of about ``MAX_CANDIDATES`` candidates, chosen by a hash of their text in equal
+parts from true and false candidates of each kind; a threshold counts all candidates of its kind
+(``_ENOUGH`` examples given, those of the half that the trees have not seen).
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chesstally.llm.common import materialize, sample_by_hash, slices
+from chesstally.llm.common import materialize, slices
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = KINDS[:4]
@@ -35,6 +38,9 @@ MAX_CANDIDATES = 12_000
 PRECISION = 0.99  # asked of a kind's threshold on the calibration half
 _TREES, _DEPTH, _BINS, _SHRINK = 40, 3, 32, 0.25
 _BEFORE, _AFTER = 24, 4
+_ENOUGH = 20  # examples of either label in either half from which a half is kept for calibration
+_LEAST = 200  # rows of a label in training; fewer are repeated
+_STEPS = 4000  # bins of scores
 
 # ---- base rules -------------------------------------------------------------------------------
 
@@ -236,7 +242,7 @@ class Trees:
 
 @dataclass
 class Model:
-    trees: Trees | None = None  # None: nothing to learn from; the base rules alone
+    trees: dict[str, Trees] | None = None  # by kind; None: nothing to learn from; the base rules alone
     cuts: dict[str, float] = field(default_factory=dict)  # kinds without a cut select nothing
 
 
@@ -244,6 +250,18 @@ def _around(text: str, a: int, b: int) -> tuple[str, str, str]:
     return text[max(0, a - _BEFORE):a], text[a:b], text[b:b + _AFTER]
 
 
+def _balanced(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the rarer label repeated, so that a few true spans count among many false ones."""
+    n = np.array([(y == 0).sum(), (y == 1).sum()])
+    times = np.ceil(max(_LEAST, n.max()) / n).astype(int)
+    at = np.repeat(np.arange(len(y)), times[y.astype(int)])
+    return x[at], y[at]
+
+
+def _bins(scores: np.ndarray) -> np.ndarray:
+    return (scores * _STEPS).astype(int)
+
+
 def fit(docs: DataFrame, text_col: str = "text", max_candidates: int = MAX_CANDIDATES) -> Model:
     """Trees and thresholds from the corpus's candidates (see the module's text)."""
 
@@ -255,50 +273,95 @@ def fit(docs: DataFrame, text_col: str = "text", max_candidates: int = MAX_CANDI
                     before, span, after = _around(text, a, b)
                     key = xxhash.xxh64_intdigest(f"{kind}|{before}|{span}|{after}".encode()) >> 1
                     rows.add((key, kind, before, span, after))
+            cols = list(zip(*rows)) if rows else [()] * 5
+            true = [strict(before, span, after, kind) for _, kind, before, span, after in rows]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, (pa.int64(), *[pa.string()] * 4))],
-                ["key", "kind", "before", "span", "after"])
-
-    found = (docs.select(F.col(text_col).alias("text"))
-             .mapInArrow(run, "key long, kind string, before string, span string, after string").distinct())
+                [*[pa.array(c, t) for c, t in zip(cols, (pa.int64(), *[pa.string()] * 4))], pa.array(true, pa.bool_())],
+                ["key", "kind", "before", "span", "after", "true"])
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Features of a candidate and of its corruptions, so that no long span goes to the driver."""
         for part in slices(batches):
-            x, y, keys, kinds = [], [], [], []
+            out = []
             for r in part.to_pylist():
-                before, span, after, kind = r["before"], r["span"], r["after"], r["kind"]
-                versions = [span]
-                if strict(before, span, after, kind):
-                    versions += [c for c in corrupted(span, kind, r["key"]) if c != span]
-                x += [[float(f) for f in features(before, v, after, kind)] for v in versions]
-                y += [strict(before, v, after, kind) for v in versions]
-                keys += [r["key"]] * len(versions)
-                kinds += [kind] * len(versions)
+                key, kind, before, span, after = (r[c] for c in ("key", "kind", "before", "span", "after"))
+                versions = [(span, r["true"], False)]
+                if r["true"]:
+                    versions += [(c, strict(before, c, after, kind), True)
+                                 for c in corrupted(span, kind, key) if c != span]
+                out += [(key, kind, r["true"], [float(f) for f in features(before, v, after, kind)], y, made)
+                        for v, y, made in versions]
+            types = (pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.float64()), pa.bool_(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(kinds, pa.string()), pa.array(x, pa.list_(pa.float64())),
-                 pa.array(y, pa.bool_())], ["key", "kind", "x", "y"])
-
-    sample = sample_by_hash(materialize(found, "pii-candidates"), "key", max_candidates, seed=5)
-    rows = sample.mapInArrow(examples, "key long, kind string, x array<double>, y boolean").collect()
+                [pa.array(c, t) for c, t in zip(list(zip(*out)) if out else [()] * 6, types)],
+                ["key", "kind", "true", "x", "y", "made"])
+
+    found = materialize(
+        docs.select(F.col(text_col).alias("text")).mapInArrow(
+            run, "key long, kind string, before string, span string, after string, true boolean").distinct(),
+        "pii-candidates")
+    sizes = {(r["kind"], r["true"]): r["n"]
+             for r in found.groupBy("kind", "true").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if sum(sizes.values()) < 20:
+        return Model()
+    most = max(1, max_candidates // (2 * len(KINDS)))
+    order, chosen = F.xxhash64(F.lit(5), F.col("key")), F.lit(False)
+    for (kind, true), n in sorted(sizes.items()):
+        # A sample of small strata would differ from its expected size.
+        below = F.lit(True) if n <= 2 * most else order < F.lit(int(2.0 ** 64 * most / n) - 2 ** 63)
+        chosen = chosen | ((F.col("kind") == kind) & (F.col("true") == true) & below)
+    rows = found.where(chosen).mapInArrow(
+        examples, "key long, kind string, true boolean, x array<double>, y boolean, made boolean").collect()
     rows.sort(key=lambda r: (r["key"], r["x"]))
-    kinds = [r["kind"] for r in rows]
-    data, truth = np.array([r["x"] for r in rows], float), np.array([r["y"] for r in rows], float)
-    fold = np.array([r["key"] & 1 for r in rows], bool)  # a candidate and its corruptions stay together
-    if len({r["key"] for r in rows}) < 20 or len(set(truth[fold])) < 2 or len(set(truth[~fold])) < 2:
+    taken = Counter((r["kind"], r["true"]) for r in rows if not r["made"])
+    trees: dict[str, Trees] = {}
+    unseen: dict[str, bool] = {}  # whether the trees have seen but the half of the odd keys
+    # Corruptions count in calibration for as many as their candidate stands for.
+    good, all_ = ({k: np.zeros(_STEPS + 1) for k in KINDS} for _ in range(2))
+    for kind in KINDS:
+        own = [r for r in rows if r["kind"] == kind]
+        x, y = np.array([r["x"] for r in own], float), np.array([r["y"] for r in own], float)
+        if len(set(y)) < 2:
+            continue
+        odd = np.array([r["key"] & 1 for r in own], bool)  # a candidate and its corruptions stay together
+        unseen[kind] = min((y[f] == t).sum() for f in (odd, ~odd) for t in (0, 1)) >= _ENOUGH
+        use = odd if unseen[kind] else np.ones(len(y), bool)
+        trees[kind] = Trees().fit(*_balanced(x[use], y[use]))
+        made = np.array([r["made"] for r in own], bool) & (~odd | (not unseen[kind]))
+        weight = np.array([sizes[kind, r["true"]] / taken[kind, r["true"]] for r in own])[made]
+        at = _bins(trees[kind].predict(x[made]))
+        good[kind] += np.bincount(at, weight * y[made], _STEPS + 1)
+        all_[kind] += np.bincount(at, weight, _STEPS + 1)
+    if not trees:
         return Model()
-    trees = Trees().fit(data[fold], truth[fold])
-    score, test = trees.predict(data[~fold]), truth[~fold]
-    names = np.array(kinds)[~fold]
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[tuple[str, bool, int]] = Counter()
+        for part in slices(batches):
+            asked: dict[str, list] = {}
+            for r in part.to_pylist():
+                if r["kind"] in trees and not (unseen[r["kind"]] and r["key"] & 1):
+                    asked.setdefault(r["kind"], []).append(r)
+            for kind, rs in asked.items():
+                got = trees[kind].predict(np.array(
+                    [features(r["before"], r["span"], r["after"], kind) for r in rs], float))
+                held.update(zip([kind] * len(rs), [r["true"] for r in rs], _bins(got).tolist()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.bool_()),
+             pa.array([k[2] for k in held], pa.int64()), pa.array(held.values(), pa.int64())],
+            ["kind", "true", "bin", "n"])
+
+    counted = (found.mapInArrow(scores, "kind string, true boolean, bin long, n long")
+               .groupBy("kind", "true", "bin").agg(F.sum("n").alias("n")).collect())
+    for r in counted:
+        all_[r["kind"]][r["bin"]] += r["n"]
+        good[r["kind"]][r["bin"]] += r["n"] * r["true"]
     cuts = {}
-    for kind in KINDS:
-        s, t = score[names == kind], test[names == kind]
-        order = np.argsort(-s, kind="stable")
-        good = np.cumsum(t[order])
-        precise = good / np.arange(1, len(order) + 1) >= PRECISION
-        last = np.flatnonzero(precise & (np.r_[s[order][1:], -1] < s[order]))  # not between equal scores
-        if len(last) and good[last[-1]] > 0:
-            cuts[kind] = max(0.5, float(s[order][last[-1]]))
+    for kind in trees:
+        right, n = np.cumsum(good[kind][::-1])[::-1], np.cumsum(all_[kind][::-1])[::-1]  # at or above a bin
+        fit_for = np.flatnonzero((right > 0) & (right >= PRECISION * n - 1e-9))
+        if len(fit_for):
+            cuts[kind] = max(0.5, float(fit_for[0]) / _STEPS)
     return Model(trees, cuts)
 
 
@@ -314,9 +377,13 @@ def select(model: Model, texts: list[str]) -> list[list[tuple[int, int, str, flo
             if kind in model.cuts and all(b <= s or e <= a for s, e, _ in base):
                 asked.append((i, a, b, kind))
     if asked:
-        scores = model.trees.predict(np.array(
-            [features(*_around(texts[i], a, b), kind) for i, a, b, kind in asked], float))
-        best = sorted(zip(scores.tolist(), asked), key=lambda r: (-r[0], r[1]))
+        best = []
+        for k in model.cuts:
+            own = [s for s in asked if s[3] == k]
+            if own:
+                best += zip(model.trees[k].predict(np.array(
+                    [features(*_around(texts[i], a, b), k) for i, a, b, _ in own], float)).tolist(), own)
+        best.sort(key=lambda r: (-r[0], r[1]))
         for score, (i, a, b, kind) in best:
             if score >= model.cuts[kind] and all(b <= s[0] or s[1] <= a for s in out[i]):
                 out[i].append((a, b, kind, score, False))

@@ -130,3 +130,20 @@ def test_long_secrets_go_whole(make, corpus):
     assert (4, 4 + 3000, "secret") in spans
     clean = {x.doc_id: x.text for x in pii.redact(docs, pii.fit(docs)).collect() if x.doc_id == 700}
     assert token[-40:] not in clean[700] and token[:40] not in clean[700] and clean[700].endswith(" there")
+
+
+def test_few_secrets_among_many_emails(make):
+    r = random.Random(11)
+
+    def token():
+        return "".join(r.choice("0123456789abcdef") for _ in range(20))
+
+    mails = [" ".join(f"u{r.randrange(10**6)}@mail{r.randrange(99)}.example.com" for _ in range(40)) for _ in range(75)]
+    keys = [token() for _ in range(3)]
+    rows = [(i, t, "s") for i, t in enumerate(mails)]
+    rows += [(100 + i, f"the password={k} of", "s") for i, k in enumerate(keys)]
+    docs = make(rows)
+    model = pii.fit(docs, max_candidates=100)
+    assert "secret" in model.cuts
+    clean = {x.doc_id: x.text for x in pii.redact(docs, model).collect()}
+    assert all(k not in clean[100 + i] for i, k in enumerate(keys))
