@@ -7,8 +7,10 @@ not seen, and the candidates above them are redacted, best first and without ove
 base rules (below) always stay, and candidates that touch one of them are left out.
 
 No labels exist for spans, so the trees learn from the corpus by distant supervision: a candidate is
-positive if a strict rule for its kind accepts it as it stands, and every positive candidate also
-gives corrupted copies (a changed digit, a missing dot, a short number, a plain word) which the rule
+positive if a base rule finds it or if it is valid in another usual format of its kind (``genuine``:
+addresses with [at] and [dot], IPv6, cards with dots, phones without "+" by their grouping or the word
+before them). Base spans are also written in these formats as further positives, and every positive
+candidate gives corrupted copies (a changed digit, a missing dot, a short number, a plain word) which the rule
 rejects. Each kind has its own trees, so that it does not depend on how frequent the others are. They
 learn from a sample of about ``MAX_CANDIDATES`` candidates, chosen by a hash of their text in equal
 parts from true and false candidates of each kind; a threshold counts all candidates of its kind
@@ -17,6 +19,7 @@ parts from true and false candidates of each kind; a threshold counts all candid
 
 from __future__ import annotations
 
+import ipaddress
 import math
 import re
 from collections import Counter
@@ -94,11 +97,17 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 # ---- candidates -------------------------------------------------------------------------------
 
-_ANY = re.compile(r"[0-9@=]")
+_ANY = re.compile(r"(?i)[0-9@=]|[\[(]at[\])]| dot |::")
 _OUTER = frozenset(" \t\n\r\x0b\f<>\"'(),;:[]{}|")
-_AT = re.compile(r"[\w.+-]{1,64} ?(?:\[at\]|\(at\)) ?[\w-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\.) ?[\w-]{1,63}){1,4}")
+_AT = re.compile(r"(?i)[\w.+-]{1,64} ?(?:\[at\]|\(at\)) ?[\w-]{1,63}(?:(?: ?(?:\[dot\]|\(dot\)) ?| dot |\.)[\w-]{1,63}){1,4}"
+                 r"|(?<![\w.+-])[\w.+-]{1,64} at [\w-]{1,63}(?: dot [\w-]{1,63}){1,4}")
 _DOTTED = re.compile(r"(?<![0-9.])[0-9]{1,5}(?:\.[0-9]{1,5}){2,7}")
 _HEXES = re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){4,7}")
+_COLONS = re.compile(r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]{0,4}:[0-9A-Fa-f:]{1,38}(?![0-9A-Za-z])")
+_CARDS = re.compile(r"(?<![0-9])(?:[3-6][0-9]{3}([ .-])[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}|3[0-9]{3}([ .-])[0-9]{6}\2[0-9]{4,5})(?![0-9])")
+_PHONES = re.compile(r"(?<![0-9])(?:(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{3,4}\)[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}"
+                     r"|[0-9]{3,4}([ .-])[0-9]{3,4}\1[0-9]{4}))(?![0-9])")
+_CALLED = re.compile(r"(?i)\b(?:tele)?(?:phone|tel|call|mobile|cell|fax|whatsapp)\b\W{0,3}(?:no\.?|number)?\W{0,3}$")
 _NUMBER = re.compile(r"\+?\(?(?<![0-9])[0-9](?:[ ().\-]{0,2}[0-9]){7,18}")
 _KEYED = re.compile(r"(?i:pass(?:word|wd)?|pwd|token|secret|api[_-]?key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?"
                     r"([^\s\"']{6,})")
@@ -124,8 +133,14 @@ def candidates(text: str) -> set[tuple[int, int, str]]:
         at = text.find("@", at + 1)
     out.update((*m.span(), "email") for m in _AT.finditer(text))
     out.update((*m.span(), "ip") for r in (_DOTTED, _HEXES) for m in r.finditer(text))
-    for m in _NUMBER.finditer(text):
-        out.update((*m.span(), k) for k in ("card", "phone"))
+    for m in _COLONS.finditer(text):
+        a, b = m.span()
+        b -= m.group().endswith(":") and not m.group().endswith("::")
+        if text.count(":", a, b) >= 2:
+            out.add((a, b, "ip"))
+    for r in (_NUMBER, _CARDS, _PHONES):
+        for m in r.finditer(text):
+            out.update((*m.span(), k) for k in ("card", "phone"))
     out.update((*m.span(1), "secret") for m in _KEYED.finditer(text))
     out.update((*m.span(), "secret") for m in _DENSE.finditer(text)
                if any(c.isdigit() for c in m.group()) and any(c.isalpha() for c in m.group()))
@@ -141,6 +156,7 @@ def features(before: str, span: str, after: str, kind: str) -> list[float]:
     d = _digits(span)
     parts = span.split(".")
     tail = span.rsplit("@", 1)[-1] if "@" in span else ""
+    mail = plain_email(span) if kind == "email" else ""
     share = [c / n for c in Counter(span).values()]
     octets = [int(p) for p in parts if p.isascii() and p.isdigit() and len(p) < 6]
     return [
@@ -148,21 +164,67 @@ def features(before: str, span: str, after: str, kind: str) -> list[float]:
         sum(c in "0123456789abcdef" for c in span) / n, sum(c in " -()." for c in span), len(parts),
         span.count("@"), span.startswith("+"), -sum(p * math.log2(p) for p in share),
         len(d) >= 12 and luhn(d), len(octets) == len(parts) == 4 and max(octets) <= 255,
-        "." in tail.strip("."), len(share) / n, bool(_HINT.search(before[-14:])),
+        "." in tail.strip("."), bool(re.fullmatch(r"[\w.%+-]+@[\w-]+(\.[\w-]+)+", mail)) if kind == "email" else 0.0,
+        kind == "ip" and ":" in span and _ipv6(span), kind == "phone" and bool(_PHONES.fullmatch(span)),
+        kind == "phone" and bool(_CALLED.search(before)), kind == "card" and bool(_CARDS.fullmatch(span)),
+        len(share) / n, bool(_HINT.search(before[-14:])),
         before[-1:].isalnum(), after[:1].isalnum(), before[-1:] in ("=", ":", '"', "'"),
         span.isalpha(), *(kind == k for k in KINDS)]
 
 
+def _ipv6(span: str) -> bool:
+    try:
+        ip = ipaddress.IPv6Address(span)
+    except ValueError:
+        return False
+    return not (ip.is_reserved or ip.is_multicast or ip.is_unspecified or ip.is_loopback)
+
+
+def plain_email(span: str) -> str:
+    """An address without its disguise."""
+    span = re.sub(r"(?i) ?(?:\[at\]|\(at\)) ?| at ", "@", span)
+    return re.sub(r"(?i) ?(?:\[dot\]|\(dot\)) ?| dot ", ".", span)
+
+
+def genuine(before: str, span: str, kind: str) -> bool:
+    """Whether a span that need not follow the base rule is valid by its parts, checksum or context."""
+    if kind == "email":
+        return bool(re.fullmatch(r"[\w.%+-]+@[\w-]+(\.[\w-]+)*\.[A-Za-z]{2,}", plain_email(span)))
+    if kind == "ip":
+        return _ipv6(span)
+    if kind == "card":
+        return bool(_CARDS.fullmatch(span)) and 14 <= len(d := _digits(span)) <= 19 and luhn(d)
+    return 10 <= len(_digits(span)) <= 15 and bool(_PHONES.fullmatch(span) or _CALLED.search(before))
+
+
 def strict(before: str, span: str, after: str, kind: str) -> bool:
     """The rule that labels a candidate of the training sample."""
     if kind != "secret":
-        return (0, len(span), kind) in base_spans(span)
+        return (0, len(span), kind) in base_spans(span) or genuine(before, span, kind)
     mixed = any(c.isdigit() for c in span) and any(c.isalpha() for c in span)
     keyed = bool(re.search(r"(?i)(pass(word|wd)?|pwd|token|secret|api[_-]?key)[\"']?\s*[=:]\s*[\"']?$", before))
     return mixed and (keyed and len(span) >= 8 or bool(re.fullmatch(r"AKIA[0-9A-Z]{16}", span))
                       or bool(re.fullmatch(r"[0-9a-f]{32,}", span)))
 
 
+def variants(span: str, kind: str, seed: int) -> list[str]:
+    """A base span, or one like it, in other formats of its kind: positives whatever finds them."""
+    d = _digits(span)
+    if kind == "email" and "@" in span:
+        local, domain = span.rsplit("@", 1)
+        return [f"{local} [at] {domain.replace('.', ' [dot] ')}", f"{local}(at){domain}",
+                f"{local} at {domain.replace('.', ' dot ')}"]
+    if kind == "ip":
+        g = [f"{seed >> 4 * i & 0xffff:x}" for i in range(6)]
+        return [f"2001:db8:{':'.join(g)}", f"fe80::{g[0]}:{g[1]}:{g[2]}", f"2a02:{g[3]}::{g[4]}"]
+    if kind == "card":
+        return [f"{d[:4]}{c}{d[4:8]}{c}{d[8:12]}{c}{d[12:]}" for c in ". -"]
+    if kind == "phone" and len(d) >= 10:
+        a, b, c = d[-10:-7], d[-7:-4], d[-4:]
+        return [f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}"]
+    return []
+
+
 def corrupted(span: str, kind: str, seed: int) -> list[str]:
     """Look-alikes of a true span; ``strict`` decides their label too."""
     at = seed % len(span)
@@ -289,6 +351,7 @@ def fit(docs: DataFrame, text_col: str = "text", max_candidates: int = MAX_CANDI
                 if r["true"]:
                     versions += [(c, strict(before, c, after, kind), True)
                                  for c in corrupted(span, kind, key) if c != span]
+                    versions += [(v, True, True) for v in variants(span, kind, key) if v != span]
                 out += [(key, kind, r["true"], [float(f) for f in features(before, v, after, kind)], y, made)
                         for v, y, made in versions]
             types = (pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.float64()), pa.bool_(), pa.bool_())

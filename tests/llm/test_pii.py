@@ -147,3 +147,22 @@ def test_few_secrets_among_many_emails(make):
     assert "secret" in model.cuts
     clean = {x.doc_id: x.text for x in pii.redact(docs, model).collect()}
     assert all(k not in clean[100 + i] for i, k in enumerate(keys))
+
+
+def test_other_formats_are_found(make, corpus):
+    r = random.Random(12)
+    rows, _ = corpus
+    want = {}
+    for i in range(800, 860):
+        d, c = "".join(str(r.randrange(10)) for _ in range(4)), card(r, 15)
+        c = next(x for x in ("4" + c[:14] + str(k) for k in range(10)) if luhn(x))
+        g = f"{r.randrange(1, 65536):x}"
+        want[i] = [f"bob{d} [at] mail{d} [dot] org", f"amy{d}(at)host.net", f"(217) 555-{d}", f"317-555-{d}",
+                   f"2001:db8:{g}::{g}", f"2001:db8:1:2:3:4:5:{g}", ".".join(c[k:k + 4] for k in range(0, 16, 4))][i % 7]
+    plain = ["std::vector<int> a::b", "at 12:34:56 on 2024-01-02", "lines 100.200.300 and 12345678 of", "1.2.3", "look at it"]
+    docs = make(rows + [(i, f"the {p} of that", "s") for i, p in want.items()]
+                + [(900 + i, t, "s") for i, t in enumerate(plain)])
+    clean = {x.doc_id: x.text for x in pii.redact(docs, pii.fit(docs)).collect()}
+    missed = [p for i, p in want.items() if p in clean[i]]
+    assert len(missed) <= 0.1 * len(want), missed
+    assert [clean[900 + i] for i in range(len(plain))] == plain
