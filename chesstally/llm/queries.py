@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chesstally.llm import (
-    bpe, decontam, line_dedup, lm, minhash, packing, pii, quality, simhash, token_scan)
+    bpe, decontam, line_dedup, lm, minhash, mixing, packing, pii, quality, repair, search, simhash,
+    token_scan)
 from chesstally.llm.common import table
 from chesstally.llm.tokens import RANKS
 
@@ -57,11 +58,24 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mix(table(spark, sf_dir, "documents")).taken()
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_bpe_encode_decode, op3_simhash_near_dedup, op4_quality_classifier, op5_pii,
     op6_benchmark_decontamination, op7_document_fingerprints, op8_token_counts, op9_lm_scoring,
-    op10_token_id_output)}
+    op10_token_id_output, op11_source_mixing, op12_conversation_repair, op13_lexical_search)}
 
 #: The others cannot be told in SQL: hashes, tokenizers and fitted models. tests/llm holds them
 #: against brute-force versions.
-ORACLE_SQL = {"op1_line_dedup": line_dedup.ORACLE}
+ORACLE_SQL = {"op1_line_dedup": line_dedup.ORACLE, "op12_conversation_repair": repair.ORACLE,
+              "op13_lexical_search": search.ORACLE}
