@@ -5,24 +5,29 @@ line is a game of its own, an empty file has none. Spark's text source with the
 ``"\\n[Event "`` yields exactly these records, and Hadoop's line reader keeps records whole
 across split boundaries, so plain text files are read in parallel splits. Compressed files
 (``.zst``, ``.gz``, ``.bz2``) are decoded by the Hadoop codecs; ``.bz2`` stays splittable,
-``.zst``/``.gz`` are not (one task per file): ``read_games(..., rebalance=N)`` then parses in N
-tasks, and :func:`chesstally.sinks.store.land_games` keeps a parsed copy for later jobs.
+``.zst``/``.gz`` are not (one task per file): ``read_games(..., zst_frames=True)`` reads the frames of
+a ``.zst`` file in parallel, ``rebalance=N`` parses in N tasks, and
+:func:`chesstally.sinks.store.land_games` keeps a parsed copy for later jobs.
 
 The separator is consumed by the reader, so every record except a file's first begins with the
 rest of the ``Event`` line (``"Rated game"]``). That line no longer looks like a header, which is
-harmless: ``Event`` is not part of any key. It is not re-prefixed, because a file's first record
-cannot be told apart from the others, and re-prefixing a preamble would corrupt its first line.
+harmless: ``Event`` is not part of any key. It is not re-prefixed, because the text source does not
+tell a file's first record from the others, and re-prefixing a preamble would corrupt its first
+line; :func:`read_games_positioned` does know, for plain and zstd files.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chesstally import fs
+from chesstally.sources.pgn_source import SPLIT_BYTES, PgnDataSource, frame_end, is_zstd, open_file
 
 GAME_SEPARATOR = "\n[Event "
 
@@ -54,6 +59,8 @@ def read_games(
     rebalance: int | None = None,
     recursive: bool = False,
     exact_tail: bool = True,
+    zst_frames: bool = False,
+    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """One row per game: ``game string`` (+ ``source_file``, ``source_month``).
 
@@ -73,6 +80,11 @@ def read_games(
     more than the record reader emits. The last bytes of every uncompressed file are looked at
     before the scan, and such games are added as rows; ``exact_tail=False`` leaves them out.
     Compressed dumps would have to be decompressed to their end, so theirs are not added.
+
+    ``zst_frames=True`` reads ``.zst`` files by :mod:`chesstally.sources.pgn_source`: a task per
+    ``split_bytes`` of compressed input, each decoding the frames that begin there, bare last games
+    included. Files of one frame gain nothing from that: without ``exact_tail`` they are left to the
+    codec, with it one task decodes them whole.
     """
     paths = _as_list(paths)
     empty_schema = "game string" + (", source_file string, source_month string"
@@ -93,14 +105,82 @@ def read_games(
             print(f"PGN file(s) not found, skipped: {', '.join(paths)}")
             return spark.createDataFrame([], empty_schema)
         raise
-    games = _shape(raw, with_source)
-    if exact_tail:
-        bare = truncated_files(spark, fs.input_files(raw))
-        if bare:
-            games = games.unionByName(bare_games(spark, bare, with_source))
+    framed: list[tuple[str, int]] = []
+    if zst_frames:
+        framed = zst_files(spark, paths, recursive)
+        if not exact_tail:
+            framed = several_frames(spark, framed)
+    if framed:
+        taken = {f for f, _ in framed}
+        rest = [f for f in fs.input_files(raw) if f not in taken]
+        raw = reader.text(rest) if rest else None
+    games = read_pgn_source(spark, framed, split_bytes, with_source) if framed else None
+    if raw is not None:
+        plain = _shape(raw, with_source)
+        games = plain if games is None else games.unionByName(plain)
+        if exact_tail:
+            bare = truncated_files(spark, fs.input_files(raw))
+            if bare:
+                games = games.unionByName(bare_games(spark, bare, with_source))
     return games.repartition(rebalance) if rebalance else games
 
 
+def zst_files(spark: SparkSession, paths: list[str], recursive: bool = False) -> list[tuple[str, int]]:
+    """Zstd files below ``paths`` and their lengths; nothing of their content is read."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.{zst,zstd}")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    found = reader.load(paths).select(F.col("_metadata.file_path"), "length")
+    return sorted((r[0], r[1]) for r in found.collect())  # one row per file
+
+
+def several_frames(spark: SparkSession, files: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """Those of the files that hold more than one frame: each task walks its files' first headers."""
+    def walk(batches):
+        for batch in batches:
+            path, size = (c.to_pylist() for c in batch.columns)
+            more = []
+            for p, n in zip(path, size):
+                with open_file(p) as f:
+                    end = frame_end(f, 0, n)
+                    more.append(end is not None and end < n)
+            yield batch.filter(pa.array(more, pa.bool_()))
+
+    if not files:
+        return []
+    schema = "file string, length long"
+    dealt = spark.createDataFrame(files, schema).repartition(min(len(files), 1024), "file")
+    return sorted(map(tuple, dealt.mapInArrow(walk, schema).collect()))
+
+
+def read_pgn_source(spark: SparkSession, files: list[tuple[str, int]], split_bytes: int = SPLIT_BYTES,
+                    with_source: bool = True, with_first: bool = False) -> DataFrame:
+    """Games of the files (path and length) by the Python data source; ``with_first`` adds the flag of a
+    file's first record."""
+    spark.dataSource.register(PgnDataSource)
+    raw = (spark.read.format("pgn").option("files", json.dumps(files))
+           .option("splitBytes", str(split_bytes)).load())
+    cols = [F.col("value").alias("game")]
+    if with_source:
+        cols += [F.col("file_path").alias("source_file"), source_month_from_path("file_path").alias("source_month")]
+    return raw.select(*cols, *(["first"] if with_first else []))
+
+
+def read_games_positioned(spark: SparkSession, paths: str | Sequence[str],
+                          split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Games of plain and zstd files with their whole text: a record after a separator gets its ``[Event ``
+    back, a file's first record is as it is. All tags, ``Event`` too, can then be read from it.
+    ``game, source_file, source_month, first``."""
+    found = (spark.read.format("binaryFile").load(_as_list(paths))
+             .select(F.col("_metadata.file_path"), "length").collect())
+    other = [r[0] for r in found if r[0].lower().endswith(COMPRESSED_SUFFIXES) and not is_zstd(r[0])]
+    if other:
+        raise ValueError(f"record positions are known for plain and zstd files only: {other[0]}")
+    games = read_pgn_source(spark, sorted((r[0], r[1]) for r in found), split_bytes, with_first=True)
+    return games.withColumn("game", F.when(F.col("first"), F.col("game")).otherwise(
+        F.concat(F.lit(GAME_SEPARATOR[1:]), F.col("game"))))
+
+
 COMPRESSED_SUFFIXES = (".gz", ".bz2", ".zst", ".zstd", ".lz4", ".snappy", ".deflate", ".xz", ".br")
 
 

@@ -25,6 +25,7 @@ from chesstally import fs
 from chesstally.operators.aggregate import aggregate_games
 from chesstally.session import scratch_path
 from chesstally.sources.pgn import GAME_SEPARATOR, read_games
+from chesstally.sources.pgn_source import filesystem
 
 GENERATOR_VERSION = "g4"
 _LOCK = threading.RLock()  # re-entrant: aggregate_table builds on pgn_dataset
@@ -156,12 +157,66 @@ def pgn_dataset(spark: SparkSession, sf_dir: str, layout: str = "monthly") -> st
             rest = F.substr("game", F.lit(len("[Event ") + 1)).alias("game")
             (_one_file_a_month(games.where(_even_month()), n).select("source_month", rest)
              .write.mode("append").option("lineSep", GAME_SEPARATOR).partitionBy("source_month").text(staging))
+        elif layout == "zst":  # like "tails", as zstd files of many frames
+            _write_zst(games.withColumn("tail", _even_month()), n, staging)
+        elif layout == "events":  # every seventh game's Event line holds a header
+            tag = F.when(F.col("l_orderkey") % 7 == 3, '[Event [ECO "B45"]').when(
+                F.col("l_orderkey") % 7 == 5, F.lit('[Event "Open, round "1""]')).otherwise('[Event "Rated game"]')
+            line = F.regexp_replace("game", r"^\[Event \"Rated game\"\]", "")
+            (games.repartitionByRange(n, "source_month", "l_orderkey")
+             .sortWithinPartitions("source_month", "l_orderkey")
+             .select("source_month", F.concat(tag, line).alias("game"))
+             .write.partitionBy("source_month").text(staging))
         else:
             raise ValueError(f"unknown layout {layout!r}")
         fs.rename_if_absent(spark, staging, target)  # another writer may have won: keep theirs
         return target
 
 
+_FRAME_BYTES = 20_000
+
+
+def _write_zst(games: DataFrame, n: int, path: str) -> None:
+    """``source_month=YYYY-MM/games.pgn.zst`` below ``path``: frames cut without regard to games, every
+    third one preceded by a skippable frame; files whose ``tail`` is true end in a bare ``[Event ``."""
+    def write(batches):
+        import zstandard
+
+        out, month, ends, held, count = None, None, b"", b"", 0
+
+        def put(data: bytes) -> None:
+            nonlocal count
+            if count % 3 == 0:
+                out.write(b"\x50\x2a\x4d\x18\x04\x00\x00\x00" + len(data).to_bytes(4, "little"))
+            out.write(zstandard.ZstdCompressor(3, write_checksum=count % 2 == 0).compress(data))
+            count += 1
+
+        for batch in batches:
+            for key, game, tail in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != month:
+                    if out:
+                        put(held + ends)
+                        out.close()
+                    month, held = key, b""
+                    files, inner = filesystem(f"{path}/source_month={key}/games.pgn.zst")
+                    files.create_dir(inner.rsplit("/", 1)[0])
+                    out = files.open_output_stream(inner, compression=None)
+                held += game.encode() + b"\n"
+                ends = b"[Event " if tail else b""
+                while len(held) > _FRAME_BYTES:
+                    put(held[:_FRAME_BYTES])
+                    held = held[_FRAME_BYTES:]
+        if out:
+            put(held + ends)
+            out.close()
+        yield from ()
+
+    rows = games.repartition(n, "source_month").sortWithinPartitions("source_month", "l_orderkey")
+    (rows.select("source_month", "game", "tail").mapInArrow(write, "done int")
+     .write.format("noop").mode("overwrite").save())
+    fs.write_text_file(games.sparkSession, f"{path}/_SUCCESS", "")
+
+
 def _even_month() -> Column:
     return F.substring("source_month", 6, 2).cast("int") % 2 == 0
 

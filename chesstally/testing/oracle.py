@@ -380,6 +380,16 @@ SELECT month, eco_group, white_bucket, black_bucket, CAST(sum(games) AS BIGINT)
 FROM u WHERE games > 0 GROUP BY month, eco_group, white_bucket, black_bucket
 """
 
+ORACLE_SQL["scan_zst_frames"] = ORACLE_SQL["scan_tail"]
+
+# The header inside an Event line is part of the Event's value; the game's own ECO line counts.
+ORACLE_SQL["event_tag"] = f"""
+SELECT CASE l_orderkey % 7 WHEN 3 THEN 'B45' WHEN 5 THEN 'Open, round "1"' ELSE 'Rated game' END AS event,
+       CASE WHEN l_orderkey % 13 = 0 OR l_partkey % 17 = 0 THEN NULL ELSE {_CODE} END AS eco_code,
+       CAST(count(*) AS BIGINT) AS games
+FROM lineitem GROUP BY 1, 2
+"""
+
 ORACLE_SQL["ingest_resume"] = """
 SELECT strftime(date_trunc('quarter', l_shipdate), '%Y-%m') AS month, 'success' AS status, CAST(count(*) AS BIGINT) AS games,
        CAST(count(*) AS BIGINT) AS stored

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from chesstally import fs
 from chesstally.functions.eco import with_eco_group
+from chesstally.functions.headers import with_tags
 from chesstally.functions.keys import bucket_of, eco_code, elo_value, result_class
 from chesstally.jobs import ingest_plan
 from chesstally.operators import trends
@@ -36,7 +37,7 @@ from chesstally.sinks.csv import (
     write_csv,
     write_csv_per_source_month,
 )
-from chesstally.sources.pgn import read_games
+from chesstally.sources.pgn import read_games, read_games_positioned
 from chesstally.sources.tables import register_tables
 from chesstally.streaming.ingest import run_ingest, start_running_totals
 from chesstally.testing import fixtures
@@ -46,6 +47,8 @@ PLAN_SINCE, PLAN_UNTIL = "1996-3", "2000/10"
 MERGE_SPLIT_MONTH = "1998-06"
 CUSTOM_BUCKETS = (0, 100, 400)
 EMPTY_MONTH = "2030-01"  # beyond all generated months
+ZST_SPLIT = 1 << 14
+EVENT_SPLIT = 1 << 16
 
 
 def _run_dir(spark: SparkSession, kind: str) -> str:
@@ -192,6 +195,19 @@ def scan_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate_games(read_games(spark, fixtures.pgn_dataset(spark, sf_dir, "tails"), with_source=False))
 
 
+def scan_zst_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zstd dumps of many frames, a few frames to a task."""
+    dumps = fixtures.pgn_dataset(spark, sf_dir, "zst")
+    return aggregate_games(read_games(spark, dumps, with_source=False, zst_frames=True, split_bytes=ZST_SPLIT))
+
+
+def event_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event and opening of every game, where Event lines hold quotes and headers."""
+    games = read_games_positioned(spark, fixtures.pgn_dataset(spark, sf_dir, "events"), split_bytes=EVENT_SPLIT)
+    tags = with_tags(games, "game", ("Event", "ECO")).select(F.col("Event").alias("event"), eco_code("ECO").alias("eco_code"))
+    return tags.groupBy("event", "eco_code").agg(F.count(F.lit(1)).alias("games"))
+
+
 def scan_compressed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """gzip dumps, dealt to more tasks for parsing, with a missing path in the list."""
     gz = fixtures.pgn_dataset(spark, sf_dir, "gzip")
@@ -364,6 +380,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landed_two_runs": landed_two_runs,
     "scan_tail": scan_tail,
     "scan_compressed": scan_compressed,
+    "scan_zst_frames": scan_zst_frames,
+    "event_tag": event_tag,
     "ingest_resume": ingest_resume,
     "store_reingest_changed": store_reingest_changed,
     "csv_order": csv_order,
