@@ -2,17 +2,18 @@
 
 What the corpus gives: the count of every token over all training documents, by one aggregation.
 The counts alone give the base score (add-one unigram); they choose the network's vocabulary, its
-classes and the starting point of its output layer, and the byte trigrams of all other words. The
-recurrent weights are fitted by truncated backpropagation on all training documents, whole: in rounds,
-each task goes on from the broadcast weights over its partition's documents, and the round's result is
-the tasks' mean, weighted by tokens. A round takes a share of the documents by a hash of their id (the
-shares grow and add up to one pass); a small corpus (``SMALL`` tokens) is gone through in each round.
-The fitted weights depend on how the table is partitioned.
+classes and the starting point of its output layer, and the byte four-grams of all other words. The
+recurrent weights are fitted by truncated backpropagation on all training documents, whole, in one
+pass at every size: ids are written once, in the order of a hash of id and text, and cut by a running
+sum of lengths into shards of ``SHARD_TOKENS``. A round takes a share of the documents by that hash (the
+shares grow and add up to the whole); each of its shards goes on from the round's weights, and their
+mean, weighted by tokens and added up in a tree, begins the next round. Shards depend on the documents
+alone, not on how the table is partitioned.
 
 A document is scored as a whole: its tokens run through the network in windows, and the state is
 carried from window to window. A word outside the network's vocabulary costs the probability of
 "other word" times that of the word among others: a mixture of its share of all other training tokens
-and a byte trigram spelling model, weighted by the share of tokens seen once (Good-Turing), so every
+and a byte four-gram spelling model of distinct words, weighted by the share of tokens seen once (Good-Turing), so every
 text has a proper probability.
 
 Counts of frequent words travel to the tasks as a table of at most ``KNOWN_WORDS`` rows; all other
@@ -21,11 +22,13 @@ words are joined with their counts by a shuffle, in which no word is hot any mor
 
 from __future__ import annotations
 
+import heapq
 import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,18 +37,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chesstally.llm.common import materialize, slices, text_of
+from chesstally.llm.ordered import lay_out, running
 
 FOLDS, HELD_OUT = 7, 2
 KNOWN_WORDS = 1 << 16
 ROUNDS = (1, 2, 4, 8)  # shares of the training documents
-SMALL = 2_000_000
-GROUPS = 32  # tasks' weights are added up in so many groups, and those by the driver
+SHARD_TOKENS = 2_000_000
+FAN = 64  # weights added up by one task
 VOCAB, CLASSES, HIDDEN = 1024, 32, 16
-STEPS, STREAMS, LEAST_WINDOWS, RATE = 24, 48, 400, 0.01
+STEPS, RATE = 24, 0.01
+LANES, LANE_TOKENS = 128, 8192  # documents read side by side: one for so many tokens of a shard
 END, OTHER = 0, 1  # ids of the end of a text (also what precedes its first token) and of other words
 _FLUSH = 200_000  # distinct words that a task holds before it hands its counts on
-_BUFFER = 2_000_000  # tokens that a task holds to sort documents by length
-_ALPHABET = 63
+_BUFFER = 2_000_000  # tokens that a scoring task holds to sort documents by length
+_ALPHABET = 40
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -89,33 +94,31 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 class Spelling:
-    """Byte trigrams of words, each ended by a line feed (which no word holds); rare bytes share one
-    symbol and are then equally likely."""
+    """Byte four-grams of distinct words, each ended by a line feed (which no word holds); rare bytes
+    share one symbol and are then equally likely."""
 
     def __init__(self, words: list[bytes]):
-        self._alphabet(self.bytes_of(words, np.ones(len(words))))
-        self._estimate(self.trigrams(words, np.ones(len(words))))
+        self._alphabet(self.bytes_of(words))
+        self._estimate(self.grams(words))
 
     @staticmethod
-    def bytes_of(words: list[bytes], times: np.ndarray) -> np.ndarray:
-        """How often each byte occurs in words that occur ``times``."""
-        data = np.frombuffer(b"".join(words), np.uint8)
-        return np.bincount(data, np.repeat(times, [len(w) for w in words]), 256)
+    def bytes_of(words: list[bytes]) -> np.ndarray:
+        return np.bincount(np.frombuffer(b"".join(words), np.uint8), minlength=256).astype(float)
 
     @classmethod
     def of_counts(cls, counts: DataFrame) -> Spelling:
-        """From all rows of ``word, c``."""
+        """From all rows of ``word, c``; each word counts once, as unseen words are unlike frequent ones."""
 
         def added(kernel) -> DataFrame:
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total = 0
-                for part in slices(batches, 8192):
-                    total = total + kernel(part.column(0).to_pylist(), part.column(1).to_numpy().astype(float))
+                for part in slices(batches, 1 << 16):
+                    total = total + kernel(part.column(0).to_pylist())
                 at = np.flatnonzero(total) if np.ndim(total) else np.empty(0, int)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(at, pa.int64()), pa.array(total[at] if len(at) else [], pa.float64())], ["at", "n"])
 
-            return counts.select("word", "c").mapInArrow(run, "at long, n double").groupBy("at").agg(
+            return counts.select("word").mapInArrow(run, "at long, n double").groupBy("at").agg(
                 F.sum("n").alias("n"))
 
         def collected(df: DataFrame, size: int) -> np.ndarray:
@@ -125,7 +128,7 @@ class Spelling:
 
         self = cls.__new__(cls)
         self._alphabet(collected(added(cls.bytes_of), 256))
-        self._estimate(collected(added(self.trigrams), self.n ** 3))
+        self._estimate(collected(added(self.grams), self.n ** 4))
         return self
 
     def _alphabet(self, seen: np.ndarray) -> None:
@@ -137,36 +140,44 @@ class Spelling:
             self.symbol[b] = i + 2
         self.n = len(top) + 2
 
-    def trigrams(self, words: list[bytes], times: np.ndarray) -> np.ndarray:
+    def grams(self, words: list[bytes]) -> np.ndarray:
         data = np.frombuffer(b"".join(w + b"\n" for w in words), np.uint8)
-        s, p, q = self._context(data)
-        return np.bincount((q * self.n + p) * self.n + s, np.repeat(times, [len(w) + 1 for w in words]), self.n ** 3)
+        return np.bincount(self._context(data), minlength=self.n ** 4).astype(float)
 
-    def _estimate(self, trigrams: np.ndarray) -> None:
+    def _estimate(self, grams: np.ndarray) -> None:
         n = self.n
-        three = trigrams.reshape(n, n, n)
-        two = three.sum(0)
-        one = two.sum(0) + 0.5
-        one = one / one.sum()
-        two = (two + 5 * one) / (two.sum(1, keepdims=True) + 5)
-        three = (three + 5 * two[None]) / (three.sum(2, keepdims=True) + 5)
-        self.log = np.log(three).ravel()
-
-    def _context(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        held = [grams.reshape((n,) * 4)]
+        for _ in range(3):
+            held.append(held[-1].sum(0))
+        share = held.pop() + 0.5
+        share = share / share.sum()
+        while held:  # from single bytes to four in a row
+            more = held.pop()
+            share = (more + 5 * share[None]) / (more.sum(-1, keepdims=True) + 5)
+        self.log = np.log(share).ravel().astype(np.float32)
+
+    def _context(self, data: np.ndarray) -> np.ndarray:
+        """Each byte with the three before it in its word, as one number."""
         s = self.symbol[data]
-        p, q = np.zeros_like(s), np.zeros_like(s)
-        p[1:] = s[:-1]
-        q[2:] = s[:-2]
-        q[p == 0] = 0
-        return s, p, q
+        past = []
+        for back in (1, 2, 3):
+            p = np.zeros_like(s)
+            p[back:] = s[:-back]
+            for q in past:
+                p[q == 0] = 0
+            past.append(p)
+        at = past[2]
+        for symbol in (past[1], past[0], s):
+            at = at * self.n + symbol
+        return at
 
     def log_probability(self, words: list[bytes]) -> np.ndarray:
         """Natural logarithm of each word's probability."""
         if not words:
             return np.empty(0)
         data = np.frombuffer(b"\n".join(words) + b"\n", np.uint8)
-        s, p, q = self._context(data)
-        each = self.log[(q * self.n + p) * self.n + s] - np.where(s == 1, math.log(256), 0.0)
+        at = self._context(data)
+        each = self.log[at].astype(np.float64) - np.where(at % self.n == 1, math.log(256), 0.0)
         ends = np.flatnonzero(data == 10)
         return np.add.reduceat(each, np.concatenate([[0], ends[:-1] + 1]))
 
@@ -176,8 +187,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(-1, keepdims=True))
+    """In place."""
+    x -= x.max(-1, keepdims=True)
+    x -= np.log(np.exp(x).sum(-1, keepdims=True))
+    return x
 
 
 class Network:
@@ -202,147 +215,166 @@ class Network:
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
     def states(self, ids: np.ndarray, h: np.ndarray, keep: np.ndarray | None = None):
-        """``ids[t, b]`` -> states after each input; ``keep`` (0 where a text begins) resets them."""
-        u, b, n = self.p["u"], self.p["b"], HIDDEN
-        steps, trace = [], []
-        x = self.p["x"][ids] + b
+        """``ids[t, b]`` -> states after each input; ``keep`` (0 where a text begins) resets them and
+        asks for what the gradients need."""
+        u, n = self.p["u"], HIDDEN
+        x = self.p["x"][ids] + self.p["b"]
+        out = np.empty((*ids.shape, n), x.dtype)
+        trace = None if keep is None else [np.empty((*ids.shape, k), x.dtype) for k in (n, 2 * n, n, n)]
+        resets = None if keep is None else (keep == 0).any(1)
         for t in range(len(ids)):
-            if keep is not None:
+            if keep is not None and resets[t]:
                 h = h * keep[t][:, None]
             g = h @ u
             zr = _sigmoid(x[t, :, :2 * n] + g[:, :2 * n])
             z, r = zr[:, :n], zr[:, n:]
             c = np.tanh(x[t, :, 2 * n:] + r * g[:, 2 * n:])
-            if keep is not None:
-                trace.append((h, z, r, c, g[:, 2 * n:]))
+            if trace is not None:
+                trace[0][t], trace[1][t], trace[2][t], trace[3][t] = h, zr, c, g[:, 2 * n:]
             h = c + z * (h - c)
-            steps.append(h)
-        return np.stack(steps), h, trace
+            out[t] = h
+        return out, h, trace
 
     def log_probability(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None):
         """Log-probabilities of targets after states ``h``; with ``grads``, also the loss's gradient
         by ``h`` (sum of negative log-probabilities)."""
-        p, cls, word = self.p, target // self.width, target % self.width
+        p = self.p
+        order = np.argsort((target // self.width).astype(np.uint8), kind="stable")
+        h, target = h[order], target[order]
+        cls, word = target // self.width, target % self.width
         rows = np.arange(len(target))
         lc = _log_softmax(h @ p["c"] + p["cb"])
-        out = lc[rows, cls].astype(np.float64)
+        mine = lc[rows, cls].astype(np.float64)
         dh = None
         if grads is not None:
             d = np.exp(lc)
             d[rows, cls] -= 1
             dh = d @ p["c"].T
-            grads["c"] += h.T @ d
-            grads["cb"] += d.sum(0)
-        order = np.argsort(cls, kind="stable")
-        ends = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for k in range(CLASSES):
-            at = order[ends[k]:ends[k + 1]]
-            if len(at):
-                lw = _log_softmax(h[at] @ p["o"][k] + p["ob"][k])
-                mine = np.arange(len(at))
-                out[at] += lw[mine, word[at]]
-                if grads is not None:
-                    d = np.exp(lw)
-                    d[mine, word[at]] -= 1
-                    dh[at] += d @ p["o"][k].T
-                    grads["o"][k] += h[at].T @ d
-                    grads["ob"][k] += d.sum(0)
+            grads["c"] = h.T @ d
+            grads["cb"] = d.sum(0)
+            grads["o"], grads["ob"] = np.zeros_like(p["o"]), np.zeros_like(p["ob"])
+        ends = np.searchsorted(cls, np.arange(CLASSES + 1))
+        for k in np.flatnonzero(np.diff(ends)):
+            at = slice(ends[k], ends[k + 1])
+            lw = _log_softmax(h[at] @ p["o"][k] + p["ob"][k])
+            own = rows[:len(lw)], word[at]
+            mine[at] += lw[own]
+            if grads is not None:
+                d = np.exp(lw, out=lw)
+                d[own] -= 1
+                dh[at] += d @ p["o"][k].T
+                grads["o"][k] = h[at].T @ d
+                grads["ob"][k] = d.sum(0)
+        out = np.empty_like(mine)
+        out[order] = mine
+        if dh is not None:
+            back = np.empty_like(dh)
+            back[order] = dh
+            dh = back
         return out, dh
 
     def gradients(self, ids, keep, target, mask, h0):
         """Loss and gradients of one window (truncated: the incoming state is a constant)."""
         p, n = self.p, HIDDEN
-        hs, h_last, trace = self.states(ids, h0, keep)
-        grads = {k: np.zeros_like(v) for k, v in p.items()}
+        hs, h_last, (before, zr, c, gc) = self.states(ids, h0, keep)
+        grads: dict[str, np.ndarray] = {}
         live = np.flatnonzero(mask.ravel())
         logp, dlive = self.log_probability(hs.reshape(-1, n)[live], target.ravel()[live], grads)
-        dout = np.zeros((mask.size, n), np.float32)
+        dout = np.zeros((mask.size, n), hs.dtype)
         dout[live] = dlive
         dout = dout.reshape(hs.shape)
-        dx = np.zeros((*ids.shape, 3 * n), np.float32)
+        z, r = zr[..., :n], zr[..., n:]
+        by_c = (1 - z) * (1 - c * c)
+        # What a unit of the state's gradient gives for the two gates and the candidate's recurrent part.
+        by = np.concatenate([(before - c) * z * (1 - z), by_c * gc * r * (1 - r), by_c * r], 2).reshape(*ids.shape, 3, n)
+        dg = np.empty((*ids.shape, 3 * n), hs.dtype)
+        back, resets = p["u"].T, (keep == 0).any(1)
         dh = np.zeros_like(h0)
         for t in range(len(ids) - 1, -1, -1):
-            h, z, r, c, gc = trace[t]
-            dh = dh + dout[t]
-            dc = dh * (1 - z) * (1 - c * c)
-            dz = dh * (h - c) * z * (1 - z)
-            dr = dc * gc * r * (1 - r)
-            dg = np.concatenate([dz, dr, dc * r], 1)
-            dx[t] = np.concatenate([dz, dr, dc], 1)
-            grads["u"] += h.T @ dg
-            dh = (dh * z + dg @ p["u"].T) * keep[t][:, None]
-        flat = dx.reshape(-1, 3 * n)
-        np.add.at(grads["x"], ids.ravel(), flat)
-        grads["b"] += flat.sum(0)
+            dh = dout[t] = dout[t] + dh
+            dg[t] = (dh[:, None, :] * by[t]).reshape(-1, 3 * n)
+            dh = dh * z[t] + dg[t] @ back
+            if resets[t]:
+                dh = dh * keep[t][:, None]
+        grads["u"] = before.reshape(-1, n).T @ dg.reshape(-1, 3 * n)
+        dx = dg
+        dx[..., 2 * n:] = dout * by_c
+        flat, at = dx.reshape(-1, 3 * n), ids.ravel()
+        order = np.argsort(at.astype(np.uint16), kind="stable")
+        at = at[order]
+        starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        grads["x"] = np.zeros_like(p["x"])
+        grads["x"][at[starts]] = np.add.reduceat(flat[order], starts, axis=0)
+        grads["b"] = flat.sum(0)
         return -logp.sum(), len(live), grads, h_last
 
-    def fit(self, texts: list[np.ndarray], least: int = LEAST_WINDOWS, top: float = RATE) -> None:
-        """Adam over one pass (more where it has fewer than ``least`` windows); ``STREAMS`` rows of documents one after another, in windows of
-        ``STEPS`` tokens, with the state carried over windows and reset where a document begins."""
+    def fit(self, texts: list[np.ndarray], top: float = RATE) -> None:
+        """Adam over one pass: lanes of documents one after another (the longest first, each to the
+        emptiest lane), in windows of ``STEPS`` tokens, with the state carried over windows and reset
+        where a document begins. A lane that has ended is dropped."""
         if not texts:
             return
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}
-        step, total = 0, sum(map(len, texts)) + 2 * len(texts)
-        width = min(STREAMS, len(texts))
-        windows = -(-max(max(map(len, texts)) + 2, -(-total // width)) // STEPS)  # of a pass, about
-        passes = max(1, -(-least // windows))
-        rng = np.random.default_rng(5)
-        for _ in range(passes):
-            rows: list[list[np.ndarray]] = [[] for _ in range(width)]
-            size = [0] * width
-            for i in rng.permutation(len(texts)):
-                k = size.index(min(size))
-                rows[k].append(np.concatenate([[END], texts[i], [-1]]))
-                size[k] += len(texts[i]) + 2
-            longest = max(size)
-            grid = np.full((longest, width), -1, np.int64)
-            for k, parts in enumerate(rows):
-                grid[:size[k], k] = np.concatenate(parts)
-            # Inputs: END, w1 .. wn; targets: w1 .. wn, END. The -1 between documents is skipped.
-            nxt = np.vstack([grid[1:], np.full((1, width), -1)])
-            first = np.vstack([np.full((1, width), True), grid[:-1] == -1])
-            h = np.zeros((width, HIDDEN), np.float32)
-            for a in range(0, longest, STEPS):
-                ids, to = grid[a:a + STEPS], nxt[a:a + STEPS]
-                mask = ids >= 0
-                keep = (~first[a:a + STEPS]).astype(np.float32)
-                if not mask.any():
-                    break
-                _, count, grads, h = self.gradients(np.maximum(ids, 0), keep, np.where(to < 0, END, to), mask, h)
-                step += 1
-                rate = top * min(1.0, step / 20) * max(0.05, 1 - step / (1.1 * passes * windows))
-                norm = math.sqrt(sum(float((g * g).sum()) for g in grads.values())) / count
-                clip = min(1.0, 1.0 / max(norm, 1e-9)) / count
-                for k, g in grads.items():
-                    g *= clip
-                    m[k] += 0.1 * (g - m[k])
-                    v[k] += 0.01 * (g * g - v[k])
-                    fixed = (1 - 0.9 ** step), (1 - 0.99 ** step)
-                    self.p[k] -= rate * (m[k] / fixed[0]) / (np.sqrt(v[k] / fixed[1]) + 1e-8)
+        total = sum(map(len, texts)) + len(texts)
+        width = min(max(1, min(LANES, total // LANE_TOKENS)), len(texts))
+        lanes: list[list[np.ndarray]] = [[] for _ in range(width)]
+        room = [(0, k) for k in range(width)]
+        for text in sorted(texts, key=len, reverse=True):
+            size, k = heapq.heappop(room)
+            lanes[k].append(text)
+            heapq.heappush(room, (size + len(text) + 1, k))
+        sizes = sorted(room, reverse=True)
+        n = np.array([size for size, _ in sizes])
+        # Inputs: END, w1 .. wn of each document; targets: w1 .. wn, END.
+        ids, to = (np.full((n[0], width), END, np.uint16) for _ in range(2))
+        keep = np.ones((n[0], width), np.float32)
+        for k, (_, lane) in enumerate(sizes):
+            at = 0
+            for text in lanes[lane]:
+                ids[at + 1:at + 1 + len(text), k] = to[at:at + len(text), k] = text
+                keep[at, k] = 0
+                at += len(text) + 1
+        windows = -(-int(n[0]) // STEPS)
+        h = np.zeros((width, HIDDEN), np.float32)
+        for step, a in enumerate(range(0, int(n[0]), STEPS), 1):
+            live = int((n > a).sum())
+            here = slice(a, a + STEPS), slice(0, live)
+            mask = np.arange(a, min(a + STEPS, n[0]))[:, None] < n[:live]
+            _, count, grads, h = self.gradients(ids[here], keep[here], to[here], mask, h[:live])
+            rate = top * min(1.0, step / 20) * max(0.05, 1 - step / (1.1 * windows))
+            norm = math.sqrt(sum(float(np.vdot(g, g)) for g in grads.values())) / count
+            clip = min(1.0, 1.0 / max(norm, 1e-9)) / count
+            fixed = rate / (1 - 0.9 ** step), 1 / (1 - 0.99 ** step)
+            for k, g in grads.items():
+                g *= clip
+                m[k] += 0.1 * (g - m[k])
+                v[k] += 0.01 * (g * g - v[k])
+                self.p[k] -= fixed[0] * m[k] / (np.sqrt(v[k] * fixed[1]) + 1e-8)
 
     def score(self, texts: list[np.ndarray], steps: int = 32, batch: int = 512) -> np.ndarray:
         """Log-probability of each whole document (end included), in natural logarithms."""
         out = np.zeros(len(texts))
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
         for a in range(0, len(order), batch):
-            group = order[a:a + batch]
+            group = np.array(order[a:a + batch])
             n = np.array([len(texts[i]) + 1 for i in group])  # descending
+            flat = np.concatenate([*(texts[i] for i in group), [END]]).astype(np.uint16)
+            begin = np.concatenate([[0], np.cumsum(n[:-1] - 1)])
             h = np.zeros((len(group), HIDDEN), np.float32)
-            last = np.full(len(group), END)
+            last = np.full(len(group), END, np.uint16)
             for t in range(0, int(n[0]), steps):
                 live = int((n > t).sum())
                 h, last = h[:live], last[:live]
-                span = min(steps, int(n[0]) - t)
-                to = np.zeros((span, live), np.int64)
-                for k in range(live):
-                    part = texts[group[k]][t:t + span]
-                    to[:len(part), k] = part  # beyond the text: END, and after that not counted
+                at = np.arange(t, min(t + steps, int(n[0])))[:, None]
+                inside = at < n[:live] - 1  # beyond a text: END, and after that not counted
+                to = np.where(inside, flat[np.where(inside, begin[:live] + at, 0)], END).astype(np.uint16)
                 ids = np.vstack([last[None], to[:-1]])
                 hs, h, _ = self.states(ids, h)
-                count = (np.arange(t, t + span)[:, None] < n[:live]).ravel()
-                got, _ = self.log_probability(hs.reshape(-1, HIDDEN)[count], to.ravel()[count])
-                np.add.at(out, np.array(group[:live])[np.tile(np.arange(live), span)[count]], got)
+                count = (at < n[:live]).ravel()
+                got = np.zeros(to.size)
+                got[count], _ = self.log_probability(hs.reshape(-1, HIDDEN)[count], to.ravel()[count])
+                out[group[:live]] += got.reshape(to.shape).sum(0)
                 last = to[-1]
         return out
 
@@ -362,7 +394,7 @@ class Model:
 
     def encode(self, words: list[bytes]) -> np.ndarray:
         get = self.ids.get
-        return np.fromiter((get(w, OTHER) for w in words), np.int32, len(words))
+        return np.fromiter(map(get, words, repeat(OTHER)), np.uint16, len(words))
 
     def log_spelt(self, words: list[bytes]) -> np.ndarray:
         """Logarithm of the spelling model's part of other words' probabilities: long words' parts are
@@ -409,54 +441,70 @@ def _unpack(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
     return out
 
 
-def _train(network: Network, src: DataFrame, ids: dict[bytes, int], total: int) -> None:
-    """Rounds over all training rows of ``src`` (``id, text``); see the module's text."""
-    sc, parts = src.sparkSession.sparkContext, sum(ROUNDS)
-    place = F.pmod(F.xxhash64(F.lit(3), F.col("id")), F.lit(parts))
-    words, done = sc.broadcast(ids), 0
+def _coded(src: DataFrame, ids: dict[bytes, int]) -> DataFrame:
+    """Training rows of ``src`` (``id, text``) as ``round, shard, h, data`` (16-bit ids), written once."""
+    words = src.sparkSession.sparkContext.broadcast(ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get = words.value.get
+        for part in slices(batches, 256):
+            texts = [tokens(t) for t in part.column(1).to_pylist()]
+            data = [np.fromiter(map(get, t, repeat(OTHER)), "<u2", len(t)).tobytes() for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([len(t) + 1 for t in texts], pa.int64()), pa.array(data, pa.binary())],
+                ["h", "n", "data"])
+
     able = src.where(F.col("id").isNotNull() & ~held_out("id"))
-    for i, share in enumerate(ROUNDS):
-        mine = able if total <= SMALL else able.where((place >= done) & (place < done + share))
-        done += share
-        start, top = sc.broadcast(network), RATE / (1 + i)
-
-        def run(batches: Iterator[pa.RecordBatch], start=start, top=top) -> Iterator[pa.RecordBatch]:
-            net, get = start.value, words.value.get
-            net = _copied(net)
-            texts: list[np.ndarray] = []
-            size = seen = 0
-
-            def learn():
-                net.fit(texts, LEAST_WINDOWS // len(ROUNDS), top)
-
-            for part in slices(batches, 256):
-                for text in part.column(1).to_pylist():
-                    texts.append(np.fromiter((get(w, OTHER) for w in tokens(text)), np.int32))
-                    size += len(texts[-1]) + 1
-                if size >= _BUFFER:
-                    learn()
-                    texts, seen, size = [], seen + size, 0
-            if texts:
-                learn()
-                seen += size
-            if seen:
-                task = TaskContext.get().partitionId()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([task % GROUPS]), pa.array([task]), pa.array([float(seen)]),
-                     pa.array([_pack(net.p).tobytes()], pa.binary())], ["g", "task", "n", "w"])
+    rows = able.select(F.xxhash64("id", "text").alias("h"), "text").mapInArrow(run, "h long, n long, data binary")
+    place = F.pmod(F.xxhash64("h"), F.lit(sum(ROUNDS)))
+    turn = F.lit(len(ROUNDS) - 1)
+    for i in reversed(range(len(ROUNDS))):
+        turn = F.when(place < sum(ROUNDS[:i + 1]), i).otherwise(turn)
+    laid = lay_out(rows, [F.col("h")], [F.col("h"), F.col("data")], "lm-ids").withColumn("round", turn)
+    start = running(laid.drop("data"), ["round"], F.col("n"), "start")
+    numbered = start.select("pos", (F.expr(f"start div {SHARD_TOKENS}")).alias("shard"))
+    return materialize(laid.join(numbered, "pos").select("round", "shard", "h", "pos", "data"), "lm-shards")
+
+
+def _train(network: Network, src: DataFrame, ids: dict[bytes, int]) -> None:
+    """Rounds over all training rows of ``src`` (``id, text``); see the module's text."""
+    sc, coded = src.sparkSession.sparkContext, _coded(src, ids)
+    shards = dict(coded.groupBy("round").agg(F.max("shard") + 1).collect())
+    kind = "g long, n double, w binary"
+    for i in range(len(ROUNDS)):
+        left = shards.get(i, 0)
+        if not left:
+            continue
+        got = (coded.where(F.col("round") == i).repartition(2 * left, "shard")
+               .groupBy("shard").applyInArrow(_learner(sc.broadcast(network), RATE / (1 + i)), kind))
+        while left > 1:
+            got = got.groupBy(F.expr(f"g div {FAN}")).applyInArrow(_mean, kind)
+            left = -(-left // FAN)
+        network.p = _unpack(np.frombuffer(got.first()["w"]), network.p)
+
+
+def _learner(start, top: float):
+    """Trains on one shard from the broadcast weights."""
+
+    def learn(table: pa.Table) -> pa.Table:
+        net = _copied(start.value)
+        order = np.argsort(table["pos"].to_numpy())
+        texts = [np.frombuffer(b, "<u2") for b in table["data"].take(pa.array(order)).to_pylist()]
+        net.fit(texts, top)
+        return _weights(table["shard"][0].as_py(), sum(map(len, texts)) + len(texts), _pack(net.p))
+
+    return learn
+
+
+def _mean(table: pa.Table) -> pa.Table:
+    """The mean of at most ``FAN`` weights, added in the same order in every run."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["g"])
+    size = sum(r["n"] for r in rows)
+    return _weights(rows[0]["g"] // FAN, size, sum(np.frombuffer(r["w"]) * (r["n"] / size) for r in rows))
 
-        def add(table: pa.Table) -> pa.Table:
-            rows = sorted(table.to_pylist(), key=lambda r: r["task"])  # the same sum in every run
-            flat = sum(np.frombuffer(r["w"]) * r["n"] for r in rows)
-            return pa.table({"g": [rows[0]["g"]], "n": [sum(r["n"] for r in rows)],
-                             "w": pa.array([flat.tobytes()], pa.binary())})
 
-        got = (mine.mapInArrow(run, "g long, task long, n double, w binary")
-               .groupBy("g").applyInArrow(add, "g long, n double, w binary").collect())
-        got.sort(key=lambda r: r["g"])
-        if got:
-            flat = sum(np.frombuffer(r["w"]) for r in got) / sum(r["n"] for r in got)
-            network.p = _unpack(flat, network.p)
+def _weights(g: int, n: float, flat: np.ndarray) -> pa.Table:
+    return pa.table({"g": pa.array([g], pa.int64()), "n": pa.array([float(n)]), "w": pa.array([flat.tobytes()], pa.binary())})
 
 
 def _copied(network: Network) -> Network:
@@ -483,7 +531,7 @@ def fit(docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: st
     freq[2:] = [table[w] for w in words]
     freq[OTHER] = max(0, sums["n"] - freq.sum())
     network = Network(freq)
-    _train(network, src, ids, sums["n"])
+    _train(network, src, ids)
     spelling = Spelling.of_counts(counts.where((F.length("word") > 0) & ~F.col("word").isin(words)))
     others = int(freq[OTHER])
     spelled = min(1.0, (sums["once"] + 1) / (others + 2)) if others else 1.0

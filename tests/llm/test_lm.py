@@ -53,8 +53,8 @@ def test_probabilities_sum_to_one():
     got, _ = net.log_probability(np.repeat(h, 64, 0), np.arange(64))
     assert np.exp(got).sum() == pytest.approx(1.0, abs=1e-6)
     sp = lm.Spelling([b"abc", b"abd", b"\xc3\xa9a"] * 5)
-    each = sp.log.reshape(sp.n, sp.n, sp.n)
-    assert np.allclose(np.exp(each).sum(2), 1)
+    each = sp.log.reshape((sp.n,) * 4)
+    assert np.allclose(np.exp(each).sum(3), 1)
 
 
 def test_gradients_by_differences():
@@ -177,5 +177,47 @@ def test_learns_from_all_training_documents(make):
     words = [("".join(r.choice("abcdé") for _ in range(r.randint(1, 9))).encode(), r.randrange(1, 5)) for _ in range(90)]
     docs = make(["x"])
     counts = docs.sparkSession.createDataFrame([(bytearray(w), c) for w, c in words], "word binary, c long")
-    want = lm.Spelling([w for w, c in words for _ in range(c)])
+    want = lm.Spelling([w for w, _ in words])
     assert np.allclose(lm.Spelling.of_counts(counts).log, want.log)
+
+
+def test_scores_do_not_depend_on_partitions(make, monkeypatch):
+    """Several shards a round, a document given many times, and other orders and partitions."""
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 3000)
+    monkeypatch.setattr(lm, "LANE_TOKENS", 500)
+    monkeypatch.setattr(lm, "FAN", 2)
+    r = random.Random(11)
+    rows = [(i, sentence(r, r.randint(0, 120)), "s") for i in range(400)] + [(7, sentence(r, 300), "s")]
+    rows += [(8, rows[9][1], "hot")] * 60
+    got = [sorted((str(o.doc_id), o.n_tokens, o.score) for o in lm.score_documents(df).collect())
+           for df in (make(rows).coalesce(1), make(rows[::-1]).repartition(4))]
+    for a, b in zip(*got, strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-5)
+    src = make(rows).selectExpr("doc_id as id", "text")
+    coded = lm._coded(src, {b"the": 2})
+    sizes = {(x["round"], x.shard): x.n for x in coded.groupBy("round", "shard").agg(
+        lm.F.sum(lm.F.length("data") / 2 + 1).alias("n")).collect()}
+    assert {i for i, _ in sizes} == {0, 1, 2, 3} and max(s for _, s in sizes) > 2
+    assert max(sizes.values()) < 2 * 3000
+    train = [(i, t) for i, t, _ in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    assert sum(sizes.values()) == sum(len(lm.tokens(t)) + 1 for _, t in train)
+
+
+def test_lanes_lose_no_token():
+    """Long and short documents: each target is learnt from once, with the state reset between documents."""
+    net, seen = small_network(), []
+    r = np.random.default_rng(4)
+    texts = [r.integers(2, 40, n).astype(np.uint16) for n in (0, 1, 24, 25, 300, 7, 7, 60)]
+
+    def gradients(ids, keep, to, mask, h0):
+        seen.append((ids, keep, to, mask))
+        return 0.0, int(mask.sum()), {k: np.zeros_like(v) for k, v in net.p.items()}, h0
+
+    net.gradients = gradients
+    lm.LANE_TOKENS, kept = 100, lm.LANE_TOKENS
+    net.fit(texts)
+    lm.LANE_TOKENS = kept
+    assert sum(int(m.sum()) for *_, m in seen) == sum(len(t) + 1 for t in texts)
+    assert sum(int(((k == 0) & m).sum()) for _, k, _, m in seen) == len(texts)
+    bag = Counter(int(x) for _, _, to, m in seen for x in to[m])
+    assert bag == Counter([lm.END] * len(texts) + [int(x) for t in texts for x in t])
