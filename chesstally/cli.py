@@ -5,7 +5,7 @@
         --store /shared/agg-store --ledger /shared/ledger
 
 Default is a dry run: nothing is written unless ``--out``, ``--store`` or ``--jdbc-url`` is
-given. Index lines are file paths/URLs on a Hadoop filesystem (mirror dumps there first).
+given. The exit code is 1 if a month failed. Index lines are file paths/URLs on a Hadoop filesystem (mirror dumps there first).
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
                    help="read every file below the given folders (files mode)")
     p.add_argument("--no-exact-tail", dest="exact_tail", action="store_false",
                    help="leave out the bare last game of uncompressed files ending in '[Event '")
+    p.add_argument("--zst-frames", action="store_true",
+                   help="read the frames of .zst dumps in parallel (and their bare last games)")
     p.add_argument("--master", help="Spark master (default: from the environment)")
     p.add_argument("--verbose", "-v", action="store_true", help="print phase timings to stderr")
     args = p.parse_args(argv)
@@ -95,17 +97,23 @@ def main(argv: list[str] | None = None) -> int:
     if args.index:
         per_month = run_index(spark, args.index, args.since, args.until, args.out,
                               args.bucket_size, args.store, args.ledger, args.jdbc_url,
-                              args.rebalance, args.db_batch_rows, args.exact_tail)
+                              args.rebalance, args.db_batch_rows, args.exact_tail,
+                              zst_frames=args.zst_frames)
         seconds = time.perf_counter() - t1
         for month in sorted(per_month):
             print(f"{month} | games={per_month[month]}")
         print(f"Processed {len(per_month)} month(s) in {seconds:.3f}s.", file=sys.stderr)
+        if per_month.failed:
+            print(f"Failed: {', '.join(sorted(per_month.failed))}", file=sys.stderr)
+            return 1
     else:
         single_files = len(args.files) > 1 and not any(
             any(ch in f for ch in "*?[{") or fs.is_dir(spark, f) for f in args.files)
-        total, per_file = run_files_counted(
+        per_file: dict[str, int] = {}  # of the files named on the command line
+        total = run_files_counted(
             spark, args.files, args.out, args.bucket_size, args.store, args.jdbc_url, args.rebalance,
-            args.recursive, args.db_batch_rows, args.exact_tail, per_file=single_files)
+            args.recursive, args.db_batch_rows, args.exact_tail,
+            per_file=per_file.__setitem__ if single_files else None, zst_frames=args.zst_frames)
         if single_files:
             for f in args.files:  # one count per existing input file, as separate runs print
                 if fs.is_file(spark, f):

@@ -142,6 +142,17 @@ def read_text_file(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def lengths(spark: SparkSession, files: list[str]) -> list[int]:
+    """Lengths of files named as :func:`input_files` does."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in files:
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name) if "%" in name else name)
+        out.append(int(p.getFileSystem(conf).getFileStatus(p).getLen()))
+    return out
+
+
 def file_tails(spark: SparkSession, files: list[str], n: int, threads: int = 16) -> list[bytes]:
     """The last ``n`` bytes (all of a shorter file) of files named as :func:`input_files` does."""
     jvm = spark.sparkContext._jvm

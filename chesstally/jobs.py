@@ -5,9 +5,12 @@
 * :func:`run_index` / :func:`ingest_plan`: planned dump files, month by month on one path
   (:func:`_ingest_months`). Each month commits by itself: ledger ``started``, scan and aggregate,
   CSV, store, database, then ``success`` with the month's games (0 included) and its own duration.
-  A month that fails is recorded as ``failed`` and the others go on; both ``started`` and ``failed``
-  months are planned again. Several months run at a time in one session, so small months do not
-  leave executors idle; the store replaces sources, so a retry never double counts.
+  A month that fails is recorded as ``failed``, named in the result's ``failed``, and the others go on;
+  both ``started`` and ``failed`` months are planned again. Several months run at a time in one session,
+  so small months do not leave executors idle; each has a scheduler pool of its own (fair, if the
+  session's ``spark.scheduler.mode`` is ``FAIR``), so a large month does not hold up small ones, and a job
+  tag, by which what is left of a failed month is cancelled. The store replaces sources, so a retry
+  never double counts.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ import sys
 import threading
 import time
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -86,9 +90,8 @@ def run_files(spark: SparkSession, paths, out: str | None = None, bucket_size: i
               rebalance: int | None = None, recursive: bool = False,
               db_batch_rows: int = 1000, exact_tail: bool = True) -> int:
     """Local workflow: aggregate the given files (or folders); returns the number of games."""
-    total, _ = run_files_counted(spark, paths, out, bucket_size, store, jdbc_url, rebalance,
-                                 recursive, db_batch_rows, exact_tail, per_file=False)
-    return total
+    return run_files_counted(spark, paths, out, bucket_size, store, jdbc_url, rebalance,
+                             recursive, db_batch_rows, exact_tail)
 
 
 def run_files_counted(spark: SparkSession, paths, out: str | None = None, bucket_size: int = 200,
@@ -96,30 +99,38 @@ def run_files_counted(spark: SparkSession, paths, out: str | None = None, bucket
                       rebalance: int | None = None, recursive: bool = False,
                       db_batch_rows: int = 1000,
                       exact_tail: bool = True,
-                      per_file: bool = True) -> tuple[int, dict[str, int]]:
-    """:func:`run_files`, also returning games per source file (qualified path -> games) if
-    ``per_file``, read from the per-source table (one row per file and key; no second scan)."""
+                      per_file: Callable[[str, int], None] | None = None, zst_frames: bool = False) -> int:
+    """:func:`run_files`; ``per_file(path, games)`` is called for each source file (qualified path) with
+    games, read from the per-source table (one row per file and key; no second scan)."""
     _prepare_database(spark, jdbc_url)
-    games = read_games(spark, paths, skip_missing=True, recursive=recursive, exact_tail=exact_tail)
+    games = read_games(spark, paths, skip_missing=True, recursive=recursive, exact_tail=exact_tail,
+                       zst_frames=zst_frames)
     files = fs.input_files(games)
     by_source, path = _by_source_table(spark, rebalance_games(games, rebalance), bucket_size)
     agg = _outputs(spark, by_source, bucket_size, store, jdbc_url, db_batch_rows, files)
     if out:
         write_csv(agg, out)
-    counts: dict[str, int] = {}
-    if per_file:  # as many rows as files
-        counts = {r.source_file: int(r.games) for r in by_source.groupBy("source_file").agg(
-            F.sum("games").alias("games")).toLocalIterator()}
+    if per_file:  # as many rows as files, a partition of them at a time
+        for r in by_source.groupBy("source_file").agg(F.sum("games").alias("games")).toLocalIterator():
+            per_file(r.source_file, int(r.games))
     total = by_source.agg(F.coalesce(F.sum("games"), F.lit(0)).alias("games")).first()["games"]
     fs.delete(spark, path)
-    return int(total), counts
+    return int(total)
+
+
+class MonthCounts(dict[str, int]):
+    """Games of this run by month that succeeded; ``failed`` has the other months and why."""
+
+    def __init__(self, games: dict[str, int] | None = None, failed: dict[str, str] | None = None) -> None:
+        super().__init__(games or {})
+        self.failed = failed or {}
 
 
 @dataclass
 class _Ledgers:
     """Start and finish of months in the file ledger, the database, or neither.
 
-    Months run at the same time; each logs its own events (:func:`ledger.log_events`)."""
+    Months run at the same time; each appends its own events (:func:`ledger.append_rows`)."""
 
     spark: SparkSession
     path: str | None = None
@@ -129,7 +140,7 @@ class _Ledgers:
     def start(self, month: str, urls: list[str]) -> None:
         at = ledger_mod.utc_now_iso()
         if self.path:
-            ledger_mod.log_events(self.spark, ledger_mod.start_rows([(month, u) for u in urls], at), self.path)
+            ledger_mod.append_rows(self.spark, ledger_mod.start_rows([(month, u) for u in urls], at), self.path)
         if self.jdbc_url:
             with self.lock:
                 for u in urls:
@@ -137,7 +148,7 @@ class _Ledgers:
 
     def finish(self, month: str, games: int, ms: int, status: str) -> None:
         if self.path:
-            ledger_mod.log_events(self.spark, [ledger_mod.finish_row(month, games, ms, status)], self.path)
+            ledger_mod.append_rows(self.spark, [ledger_mod.finish_row(month, games, ms, status)], self.path)
         if self.jdbc_url:
             with self.lock:
                 jdbc.mark_ingestion_finish(self.spark, self.jdbc_url, month, games, ms, status,
@@ -151,12 +162,12 @@ class _Ledgers:
 def _ingest_months(spark: SparkSession, items: list[tuple[str, str]], ledgers: _Ledgers,
                    out: str | None = None, bucket_size: int = 200, store: str | None = None,
                    jdbc_url: str | None = None, rebalance: int | None = None, db_batch_rows: int = 1000,
-                   exact_tail: bool = True, months_at_once: int = 4) -> dict[str, int]:
-    """Ingest the planned ``(month, url)`` items; returns ``{month: games of this run}`` of the months
-    that succeeded. Games are those of the month's files of this run, whatever the store holds."""
+                   exact_tail: bool = True, months_at_once: int = 4, zst_frames: bool = False) -> MonthCounts:
+    """Ingest the planned ``(month, url)`` items. Games are those of the month's files of this run,
+    whatever the store holds."""
     if not items:
         print("No files to process.")
-        return {}
+        return MonthCounts()
     months: dict[str, list[str]] = {}
     for month, url in items:
         months.setdefault(month, []).append(url)
@@ -164,13 +175,19 @@ def _ingest_months(spark: SparkSession, items: list[tuple[str, str]], ledgers: _
     if store:
         check_bucket_size(spark, store, bucket_size)
 
+    failed: dict[str, str] = {}
+    sc = spark.sparkContext
+
     def one(month: str) -> int | None:
         urls = list(dict.fromkeys(months[month]))  # a repeated index line is not read twice
-        ledgers.start(month, months[month])
         t0 = time.time()
         path = None
+        tag = f"ingest-{month}-{uuid.uuid4().hex[:8]}"
+        sc.setLocalProperty("spark.scheduler.pool", f"ingest-{month}")  # of this thread's jobs
+        sc.addJobTag(tag)
         try:
-            games = read_games(spark, urls, exact_tail=exact_tail)
+            ledgers.start(month, months[month])
+            games = read_games(spark, urls, exact_tail=exact_tail, zst_frames=zst_frames)
             files = fs.input_files(games)
             by_source, path = _by_source_table(spark, rebalance_games(games, rebalance), bucket_size)
             if out:
@@ -178,27 +195,36 @@ def _ingest_months(spark: SparkSession, items: list[tuple[str, str]], ledgers: _
                 write_csv_per_source_month(per_month, out)
             n = by_source.agg(F.coalesce(F.sum("games"), F.lit(0)).alias("games")).first()["games"]
             # Recorded duration: scan, aggregation and CSV output, not the store/database writes.
-            ms = int((time.time() - t0) * 1000)
+            ms = max(1, int((time.time() - t0) * 1000))
             if store:  # each month replaces its own sources' partitions
                 write_by_source(by_source, store, bucket_size, files)
             if jdbc_url:
                 with database:
                     jdbc.upsert_aggregates(merge_aggregates(by_source), jdbc_url, batch_rows=db_batch_rows)
+            ledgers.finish(month, int(n), ms, "success")
+            return int(n)
         except Exception as exc:  # one month's failure must not lose the others
-            print(f"{month} failed: {str(exc).splitlines()[0] if str(exc) else type(exc).__name__}",
-                  file=sys.stderr)
-            ledgers.finish(month, 0, int((time.time() - t0) * 1000), "failed")
+            failed[month] = str(exc).splitlines()[0] if str(exc) else type(exc).__name__
+            print(f"{month} failed: {failed[month]}", file=sys.stderr)
+            sc.cancelJobsWithTag(tag)  # what it has left running
+            sc.removeJobTag(tag)
+            try:
+                ledgers.finish(month, 0, max(1, int((time.time() - t0) * 1000)), "failed")
+            except Exception as also:  # the ledger itself: the month stays ``started`` and is planned again
+                print(f"{month} not recorded as failed: {also}", file=sys.stderr)
             return None
         finally:
+            sc.removeJobTag(tag)
+            sc.setLocalProperty("spark.scheduler.pool", None)
             if path:
                 fs.delete(spark, path)
-        ledgers.finish(month, int(n), ms, "success")
-        return int(n)
 
-    with ThreadPoolExecutor(max(1, months_at_once)) as pool:  # in plan order: oldest first
-        done = dict(zip(months, pool.map(one, months)))
-    ledgers.close()
-    return {m: n for m, n in done.items() if n is not None}
+    try:
+        with ThreadPoolExecutor(max(1, months_at_once)) as pool:  # in plan order: oldest first
+            done = dict(zip(months, pool.map(one, months)))
+    finally:
+        ledgers.close()
+    return MonthCounts({m: n for m, n in done.items() if n is not None}, failed)
 
 
 def run_index(spark: SparkSession, index_path: str, since: str | None = None,
@@ -206,8 +232,9 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
               store: str | None = None, ledger_path: str | None = None,
               jdbc_url: str | None = None, rebalance: int | None = None,
               db_batch_rows: int = 1000, exact_tail: bool = True,
-              months_at_once: int = 4) -> dict[str, int]:
-    """Index workflow: plan dump files, then ingest month by month; returns ``{month: games}``."""
+              months_at_once: int = 4, zst_frames: bool = False) -> MonthCounts:
+    """Index workflow: plan dump files, then ingest month by month; returns ``{month: games}`` with
+    ``failed``."""
     _prepare_database(spark, jdbc_url)
     db_ledger = bool(jdbc_url) and not ledger_path  # ledger rows in the database
     if db_ledger:
@@ -218,12 +245,12 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
     items = [(r.month, r.url) for r in plan.collect()]  # one row per dump file
     ledgers = _Ledgers(spark, ledger_path, jdbc_url if db_ledger else None)
     return _ingest_months(spark, items, ledgers, out, bucket_size, store, jdbc_url, rebalance,
-                          db_batch_rows, exact_tail, months_at_once)
+                          db_batch_rows, exact_tail, months_at_once, zst_frames)
 
 
 def ingest_plan(spark: SparkSession, plan: DataFrame, store: str, ledger_path: str | None = None,
-                bucket_size: int = 200, months_at_once: int = 4) -> dict[str, int]:
-    """Ingest every planned file into the store; returns ``{month: games of this run}``."""
+                bucket_size: int = 200, months_at_once: int = 4) -> MonthCounts:
+    """Ingest every planned file into the store; returns ``{month: games of this run}`` with ``failed``."""
     items = [(r.month, r.url) for r in plan.select("month", "url").collect()]
     return _ingest_months(spark, items, _Ledgers(spark, ledger_path), None, bucket_size, store,
                           months_at_once=months_at_once)

@@ -1,8 +1,8 @@
 """Ingestion ledger: which months were ingested, when, and how many games.
 
-The ledger is kept as a table of events instead of rows updated in place (each append writes a
-new version with a pointer switch, see :mod:`chesstally.sinks.versioned`), which suits files on a
-shared filesystem (no partial update when a job dies) and makes the state a single aggregation:
+The ledger is an append-only table of events (:mod:`chesstally.sinks.appends`) instead of rows updated in
+place: each append is a partition of its own, which suits files on a shared filesystem (no partial
+update when a job dies, no rewriting of what is there) and makes the state a single aggregation:
 
 * ``start`` (month, url, at): creates the month's row or, if it exists, replaces ``url``,
   ``started_at`` and sets status ``started``; ``games``, ``duration_ms`` and ``finished_at`` of an
@@ -19,23 +19,20 @@ finish's status if it follows the latest start, else ``started``.
 from __future__ import annotations
 
 import datetime as _dt
-import json
 import time
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chesstally import fs
-from chesstally.sinks import versioned
+from chesstally.sinks import appends
 
 EVENT_SCHEMA = (
     "month string, seq bigint, kind string, url string, event_at string, "
     "games bigint, duration_ms bigint, status string"
 )
 STATE_COLUMNS = ["month", "url", "started_at", "finished_at", "games", "duration_ms", "status"]
-LEDGER_VERSIONS = 5  # older versions of the ledger that an append leaves for readers
+COMPACT_RUNS = 256  # appends that a job leaves before it compacts the ledger at its end
 STATUSES = ("started", "success", "failed")
 
 
@@ -88,51 +85,28 @@ def finish_events_from(per_month: DataFrame, duration_ms: int, status: str = "su
     )
 
 
-def append_events(events: DataFrame, ledger_path: str) -> None:
-    """Add events as a new version of the ledger (previous events + these, one file).
+def append_events(events: DataFrame, ledger_path: str, run: str | None = None) -> None:
+    """Add events as one run, of one file where they are few; a run repeated under its id replaces itself."""
+    appends.append(events.select(*_event_cols()).hint("rebalance"), ledger_path, run)
 
-    The ledger is small (one row per file and run), so rewriting it keeps it compact and makes
-    each append atomic: readers see the previous or the new version, never half of it. Events that
-    :func:`log_events` left beside the table are taken in.
-    """
-    spark = events.sparkSession
-    logs = _logs(spark, ledger_path)
-    merged = read_events(spark, ledger_path, logs).unionByName(events.select(*_event_cols()))
-    versioned.write_version(merged.coalesce(1), ledger_path)
-    for f in logs:  # a crash before this leaves repeated events, which change no state
-        fs.delete(spark, f)
-    versioned.drop_versions(spark, ledger_path, keep=LEDGER_VERSIONS)
 
+def append_rows(spark: SparkSession, rows: list[tuple], ledger_path: str, run: str | None = None) -> None:
+    """A few events of a running job, in the order of ``EVENT_SCHEMA``. Jobs may append at the same time."""
+    append_events(spark.createDataFrame(rows, EVENT_SCHEMA), ledger_path, run)
 
-def log_events(spark: SparkSession, rows: list[tuple], ledger_path: str) -> None:
-    """Add a few events of a running job as one small file beside the table: no Spark job, no lock.
-    The file appears whole, by a rename; :func:`compact` takes it into the table."""
-    name = f"{rows[0][1]}-{uuid.uuid4().hex[:8]}"
-    text = "".join(json.dumps(dict(zip(_event_cols(), r))) + "\n" for r in rows)
-    fs.mkdirs(spark, f"{ledger_path}/log")
-    fs.write_text_file(spark, f"{ledger_path}/log/.{name}", text)
-    fs.rename(spark, f"{ledger_path}/log/.{name}", f"{ledger_path}/log/{name}.json")
 
-
-def compact(spark: SparkSession, ledger_path: str) -> None:
-    """Take logged events into the table."""
-    if _logs(spark, ledger_path):
-        append_events(spark.createDataFrame([], EVENT_SCHEMA), ledger_path)
-
-
-def _logs(spark: SparkSession, ledger_path: str) -> list[str]:
-    return fs.list_files(spark, f"{ledger_path}/log", ".json")
+def compact(spark: SparkSession, ledger_path: str, least: int = COMPACT_RUNS) -> None:
+    """Rewrite the ledger as one partition if it has at least ``least``."""
+    if len(appends.runs(spark, ledger_path)) >= least:
+        appends.compact(spark, ledger_path, EVENT_SCHEMA)
 
 
 def _event_cols() -> list[str]:
     return [part.split()[0] for part in EVENT_SCHEMA.split(", ")]
 
 
-def read_events(spark: SparkSession, ledger_path: str, logs: list[str] | None = None) -> DataFrame:
-    """All events: the table's, and those logged beside it."""
-    table = versioned.read_latest(spark, ledger_path, EVENT_SCHEMA).select(*_event_cols())
-    logs = _logs(spark, ledger_path) if logs is None else logs
-    return table.unionByName(spark.read.schema(EVENT_SCHEMA).json(logs)) if logs else table
+def read_events(spark: SparkSession, ledger_path: str) -> DataFrame:
+    return appends.read(spark, ledger_path, EVENT_SCHEMA).select(*_event_cols())
 
 
 def ledger_state(events: DataFrame) -> DataFrame:

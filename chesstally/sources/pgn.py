@@ -27,7 +27,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chesstally import fs
-from chesstally.sources.pgn_source import SPLIT_BYTES, PgnDataSource, frame_end, is_zstd, open_file
+from chesstally.sources.pgn_source import (
+    COMPRESSED_SUFFIXES,
+    SPLIT_BYTES,
+    PgnDataSource,
+    frame_end,
+    is_zstd,
+    open_file,
+)
 
 GAME_SEPARATOR = "\n[Event "
 
@@ -181,9 +188,6 @@ def read_games_positioned(spark: SparkSession, paths: str | Sequence[str],
         F.concat(F.lit(GAME_SEPARATOR[1:]), F.col("game"))))
 
 
-COMPRESSED_SUFFIXES = (".gz", ".bz2", ".zst", ".zstd", ".lz4", ".snappy", ".deflate", ".xz", ".br")
-
-
 def truncated_files(spark: SparkSession, files: Iterable[str]) -> list[str]:
     """The uncompressed files among ``files`` whose bytes end with the separator."""
     sep = GAME_SEPARATOR.encode("utf-8")
@@ -201,11 +205,16 @@ def bare_games(spark: SparkSession, files: list[str], with_source: bool = True)
 
 
 def stream_games(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None,
-                 with_source: bool = True) -> DataFrame:
-    """Streaming variant of :func:`read_games` over the files arriving in ``directory``."""
+                 with_source: bool = True, max_bytes_per_trigger: int | str | None = None) -> DataFrame:
+    """Streaming variant of :func:`read_games` over the files arriving in ``directory``; a micro-batch is
+    bounded by files or by bytes (``"2g"``), not by both."""
     reader = spark.readStream.format("text").option("lineSep", GAME_SEPARATOR)
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("a micro-batch is bounded by files or by bytes")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return _shape(reader.load(directory), with_source)
 
 

@@ -28,6 +28,7 @@ import json
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -36,6 +37,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 SEPARATOR = b"\n[Event "
 SCHEMA = "value string, first boolean, file_path string"
 SPLIT_BYTES = 64 << 20
+COMPRESSED_SUFFIXES = (".gz", ".bz2", ".zst", ".zstd", ".lz4", ".snappy", ".deflate", ".xz", ".br")
 
 # Fixed values of the zstd frame format (RFC 8878).
 FRAME_MAGIC = b"\x28\xb5\x2f\xfd"
@@ -47,9 +49,10 @@ _BATCH_BYTES = 8 << 20
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a path (``/x``, ``file:/x``, ``hdfs://h/x`` ...) and the path in it."""
+    """The file system of a path (``/x``, ``file:/x``, ``hdfs://h/x`` ...) and the path in it. A path with
+    a scheme is a URI, as Spark names files: ``%20`` is a blank in it."""
     if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+        return pafs.LocalFileSystem(), "/" + unquote(path[5:]).lstrip("/")
     return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
 
@@ -58,6 +61,16 @@ def open_file(path: str) -> pa.NativeFile:
     return fs.open_input_file(inner)
 
 
+def ends_with_separator(path: str) -> bool:
+    """Whether an uncompressed file's last bytes are the separator: it has one bare game more than
+    the text source reads."""
+    if path.lower().endswith(COMPRESSED_SUFFIXES):
+        return False
+    with open_file(path) as f:
+        size = f.size()
+        return size >= len(SEPARATOR) and f.read_at(len(SEPARATOR), size - len(SEPARATOR)) == SEPARATOR
+
+
 def is_zstd(path: str) -> bool:
     return path.lower().endswith((".zst", ".zstd"))
 
@@ -258,10 +271,11 @@ def _batch(values: list[bytes], first: bool, path: str) -> pa.RecordBatch:
 def _listed(path: str) -> list[tuple[str, int]]:
     """Files (with lengths) at or below a path; hidden ones and markers are left out."""
     fs, inner = filesystem(path)
+    uri = path.startswith("file:") or "://" in path
     prefix = "file:" if path.startswith("file:") else path[:len(path) - len(inner)]
     info = fs.get_file_info(inner)
     found = [info] if info.is_file else fs.get_file_info(pafs.FileSelector(inner, recursive=True))
-    return sorted((prefix + i.path, i.size) for i in found
+    return sorted((prefix + (quote(i.path) if uri else i.path), i.size) for i in found
                   if i.is_file and not i.base_name.startswith(("_", ".")))
 
 

@@ -9,26 +9,23 @@ totals never double count. No streaming state store is used; the store *is* the
 ``trigger='availableNow'`` processes everything present and stops (the batch-style incremental
 run); a processing-time trigger keeps the query running.
 
-:func:`start_running_totals` is the stateful alternative: a streaming ``groupBy`` whose state
-store holds one row per key (bounded by months x groups x bucket pairs, no watermark needed as
-nothing ever expires), emitting updated totals per micro-batch to a callback. It sees records
-only, so a file that ends with a bare ``[Event `` line counts one game fewer there than elsewhere.
+:mod:`chesstally.streaming.totals` is the stateful alternative.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from chesstally import fs
 from chesstally.operators.aggregate import (
     KEY_COLUMNS,
     MEASURE_COLUMNS,
-    aggregate_games,
     merge_aggregates,
     rebalance_games,
 )
@@ -37,6 +34,36 @@ from chesstally.sinks.store import SOURCE_COLUMNS, aggregate_by_source, id_of, w
 from chesstally.sources.pgn import bare_games, stream_games, truncated_files
 
 
+@dataclass(frozen=True)
+class BatchSize:
+    """What a micro-batch admitted (files without any game are not counted)."""
+
+    batch_id: int
+    files: int
+    bytes: int
+
+
+class BatchTimes(StreamingQueryListener):
+    """Records of every micro-batch that ends, of all queries of the session it is added to:
+    ``(query id, batch id, rows, milliseconds)``."""
+
+    def __init__(self) -> None:
+        self.batches: list[tuple[str, int, int, int]] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.batches.append((str(p.id), p.batchId, p.numInputRows, p.batchDuration))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def _trigger(writer, trigger: str | None):
     if trigger in (None, "availableNow"):
         return writer.trigger(availableNow=True)
@@ -55,13 +82,18 @@ def start_ingest(
     max_files_per_trigger: int | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
     rebalance: int | None = None,
+    max_bytes_per_trigger: int | str | None = None,
+    on_size: Callable[[BatchSize], None] | None = None,
 ) -> StreamingQuery:
     """Stream ``source_dir`` into the by-source ``store``; returns the running query. ``on_batch``
     gets each micro-batch's aggregate per source, read from the partitions just written.
 
     ``rebalance=N`` deals each micro-batch's games round-robin to N tasks before parsing (see
-    :func:`chesstally.sources.pgn.read_games`), for unsplittable compressed dumps."""
-    games = stream_games(spark, source_dir, max_files_per_trigger)
+    :func:`chesstally.sources.pgn.read_games`), for unsplittable compressed dumps.
+
+    ``max_bytes_per_trigger`` admits files to a micro-batch up to that many bytes (a larger file has one
+    of its own); ``on_size`` gets each batch's files and bytes."""
+    games = stream_games(spark, source_dir, max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # The games are parsed once: the write also notes the batch's files.
@@ -69,6 +101,8 @@ def start_ingest(
         agg = aggregate_by_source(rebalance_games(batch, rebalance), bucket_size)
         write_by_source(agg.observe(seen, F.collect_set("source_file").alias("files")), store, bucket_size)
         files = list(seen.get["files"] or ())
+        if on_size is not None:
+            on_size(BatchSize(batch_id, len(files), sum(fs.lengths(spark, files))))
 
         def written(paths: list[str]) -> DataFrame:
             return (spark.read.parquet(store).where(F.col("source_id").isin([id_of(p) for p in paths]))
@@ -90,30 +124,14 @@ def start_ingest(
 
 def run_ingest(spark: SparkSession, source_dir: str, store: str, checkpoint: str,
                bucket_size: int = 200, max_files_per_trigger: int | None = None,
-               rebalance: int | None = None) -> None:
-    """Process all files present now (``availableNow``) and wait for the query to finish."""
+               rebalance: int | None = None, max_bytes_per_trigger: int | str | None = None) -> list[BatchSize]:
+    """Process all files present now (``availableNow``) and wait for the query to finish; returns the
+    sizes of the micro-batches."""
+    sizes: list[BatchSize] = []
     q = start_ingest(spark, source_dir, store, checkpoint, bucket_size, "availableNow",
-                     max_files_per_trigger, rebalance=rebalance)
+                     max_files_per_trigger, rebalance=rebalance,
+                     max_bytes_per_trigger=max_bytes_per_trigger, on_size=sizes.append)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-
-
-def start_running_totals(
-    spark: SparkSession,
-    source_dir: str,
-    checkpoint: str,
-    sink: Callable[[DataFrame, int], None],
-    bucket_size: int = 200,
-    trigger: str | None = "availableNow",
-    output_mode: str = "update",
-    max_files_per_trigger: int | None = None,
-) -> StreamingQuery:
-    """Stateful streaming aggregate; ``sink(batch_df, batch_id)`` gets the changed totals
-    (``update``) or the whole table (``complete``, e.g. with
-    :func:`chesstally.sinks.versioned.snapshot_sink`)."""
-    games = stream_games(spark, source_dir, max_files_per_trigger, with_source=False)
-    totals = aggregate_games(games, bucket_size)
-    writer = (totals.writeStream.outputMode(output_mode).foreachBatch(sink)
-              .option("checkpointLocation", checkpoint))
-    return _trigger(writer, trigger).start()
+    return sizes

@@ -333,7 +333,6 @@ ORACLE_SQL: dict[str, str] = {
     "csv_per_month": _per_source_month_sql(),
     "store_replay": AGG,
     "stream_agg": AGG,
-    "stream_running_totals": AGG,
     "landed_agg_100": aggregate_sql(100),
     "plan_range": plan_sql(),
     "plan_pending": plan_sql(pending=True),
@@ -381,6 +380,8 @@ FROM u WHERE games > 0 GROUP BY month, eco_group, white_bucket, black_bucket
 """
 
 ORACLE_SQL["scan_zst_frames"] = ORACLE_SQL["scan_tail"]
+ORACLE_SQL["stream_running_totals"] = ORACLE_SQL["scan_tail"]
+ORACLE_SQL["stream_bounded"] = f"SELECT *, 0 AS batches_over, 0 AS batches_missing FROM ({AGG}) a"
 
 # The header inside an Event line is part of the Event's value; the game's own ECO line counts.
 ORACLE_SQL["event_tag"] = f"""

@@ -30,7 +30,7 @@ from chesstally.operators.aggregate import (
 )
 from chesstally.plans.ingest import build_plan, exclude_done, filter_months
 from chesstally.session import scratch_path
-from chesstally.sinks import ledger, store, versioned
+from chesstally.sinks import appends, ledger, store
 from chesstally.sinks.csv import (
     CSV_COLUMNS,
     read_aggregates_csv,
@@ -39,7 +39,8 @@ from chesstally.sinks.csv import (
 )
 from chesstally.sources.pgn import read_games, read_games_positioned
 from chesstally.sources.tables import register_tables
-from chesstally.streaming.ingest import run_ingest, start_running_totals
+from chesstally.streaming.ingest import run_ingest
+from chesstally.streaming.totals import start_running_totals
 from chesstally.testing import fixtures
 from chesstally.testing.oracle import SQL_INGESTION_STATUS, SQL_OPENING_RESULTS
 
@@ -160,21 +161,37 @@ def stream_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _run_dir(spark, "running")
-    q = start_running_totals(spark, fixtures.pgn_dataset(spark, sf_dir), run + "/checkpoint",
-                             versioned.snapshot_sink(run + "/totals"), output_mode="complete",
-                             max_files_per_trigger=30)
-    q.awaitTermination()
-    return versioned.read_latest(spark, run + "/totals")
+    """Changes of files that end in a bare game, appended batch by batch; then the same files from a
+    new folder's stream whose state knows them (the second run finds nothing new)."""
+    run, dumps = _run_dir(spark, "running"), fixtures.pgn_dataset(spark, sf_dir, "tails")
+    for _ in range(2):
+        start_running_totals(spark, dumps, run + "/checkpoint", appends.totals_sink(run + "/totals"),
+                             max_files_per_trigger=30).awaitTermination()
+    return appends.read_totals(spark, run + "/totals")
+
+
+def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches bounded by bytes: files of very different lengths; beside the totals the number of
+    batches that exceed the bound although they hold several files."""
+    run, dumps = _run_dir(spark, "bounded"), fixtures.pgn_dataset(spark, sf_dir)
+    bound = max(1, sum(fs.lengths(spark, fs.input_files(spark.read.text(dumps)))) // 7)
+    sizes = run_ingest(spark, dumps, run + "/store", run + "/checkpoint", max_bytes_per_trigger=bound)
+    over = sum(s.files > 1 and s.bytes > bound for s in sizes)
+    return store.read_store(spark, run + "/store").withColumn("batches_over", F.lit(over)).withColumn(
+        "batches_missing", F.lit(max(0, 7 - len(sizes))))
 
 
 def upsert_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Additive upsert of the whole aggregate into a file table, twice (counts double)."""
-    base = _run_dir(spark, "versioned")
+    """Additive upsert of the whole aggregate into a file table, twice (counts double), one of them
+    repeated under its run id, with a compaction between."""
+    base = _run_dir(spark, "deltas")
     delta = stored_aggregate(spark, sf_dir)
-    versioned.additive_upsert(delta, base)
-    versioned.additive_upsert(delta, base)
-    return versioned.read_latest(spark, base)
+    appends.add_delta(delta, base, run="first")
+    appends.add_delta(delta, base, run="second")
+    appends.add_delta(delta, base, run="second")
+    appends.compact_totals(spark, base)
+    appends.add_delta(delta.where("1 = 0"), base)
+    return appends.read_totals(spark, base)
 
 
 def landed_agg_100(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,6 +378,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_replay": store_replay,
     "stream_agg": stream_agg,
     "stream_running_totals": stream_running_totals,
+    "stream_bounded": stream_bounded,
     "landed_agg_100": landed_agg_100,
     "plan_range": plan_range,
     "plan_pending": plan_pending,

@@ -114,13 +114,32 @@ def test_ledger_rerun_right_after_finish(spark, tmp_dir):
     assert all(state[m] == "success" for m, _ in months[3:])
 
 
-def test_ledger_versions_stay_compact(spark, tmp_dir):
+def test_an_append_does_not_rewrite_the_ledger(spark, tmp_dir):
     import os
 
-    path = tmp_dir + "/ledger_compact"
-    for run in range(3):
-        ledger.append_events(ledger.start_events(spark, [(f"2013-0{run + 1}", "u")]), path)
-    latest = open(os.path.join(path, "_LATEST")).read().strip()
-    files = [f for f in os.listdir(os.path.join(path, f"v={latest}")) if f.endswith(".parquet")]
-    assert len(files) == 1
-    assert ledger.read_events(spark, path).count() == 3
+    path = tmp_dir + "/ledger_appends"
+
+    def written() -> dict[str, float]:
+        return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+                for d, _, files in os.walk(path) for f in files if f.endswith(".parquet")}
+
+    new = []
+    for run in range(12):
+        before = written()
+        ledger.append_events(ledger.start_events(spark, [(f"2013-{run + 1:02d}", "u")] * (run + 1)), path)
+        after = written()
+        assert {f: after[f] for f in before} == before  # nothing there was touched
+        new.append(sum(os.path.getsize(f) for f in after if f not in before))
+        assert len(after) == len(before) + 1
+    assert max(new) < 1.2 * min(new)
+    assert ledger.read_events(spark, path).count() == sum(range(13))
+    state = sorted(ledger.current_state(spark, path).collect())
+    ledger.compact(spark, path, least=20)
+    assert len(written()) == 12
+    ledger.compact(spark, path, least=2)
+    assert len([d for d in os.listdir(path) if d.startswith("run=")]) == 1
+    assert sorted(ledger.current_state(spark, path).collect()) == state
+    ledger.append_rows(spark, [ledger.finish_row("2013-01", 5, 7)], path, run="once")
+    ledger.append_rows(spark, [ledger.finish_row("2013-01", 6, 7)], path, run="once")  # replaces itself
+    assert ledger.read_events(spark, path).where("kind = 'finish'").count() == 1
+    assert {r.month: r.games for r in ledger.current_state(spark, path).collect()}["2013-01"] == 6

@@ -319,31 +319,6 @@ def test_source_id_is_a_string_partition(spark, tmp_dir):
                for r in df.select("source_id").distinct().collect())
 
 
-def test_versioned_table(spark, tmp_dir):
-    from chesstally.sinks import versioned
-
-    dump(tmp_dir, "2013-07", 8)
-    agg = aggregate_games(read_games(spark, os.path.join(tmp_dir, "dumps")))
-    base = os.path.join(tmp_dir, "vt")
-    assert versioned.read_latest(spark, base) is None
-    assert versioned.additive_upsert(agg, base) == 0
-    assert versioned.additive_upsert(agg, base) == 1
-    with pytest.raises(ValueError):
-        versioned.additive_upsert(agg, base, bucket_size=100)
-    latest = {r[:4]: r[4:] for r in _tuples(versioned.read_latest(spark, base))}
-    for r in _tuples(agg):
-        assert latest[r[:4]] == tuple(2 * x for x in r[4:])
-    sink = versioned.snapshot_sink(base)
-    sink(agg, 5)
-    sink(agg, 5)  # a replayed batch writes the same result once more
-    versioned.snapshot_sink(base)(agg, 0)  # a new checkpoint counts its batches from 0
-    assert versioned.latest_version(spark, base) == 4
-    assert sorted(d for d in os.listdir(base) if d.startswith("v=")) == ["v=3", "v=4"]
-    assert versioned.drop_versions(spark, base, keep=1) == [3]
-    assert _tuples(versioned.read_latest(spark, base)) == _tuples(agg)
-    assert not [f for f in os.listdir(base) if f.startswith(".") and not f.endswith(".crc")]
-
-
 def test_store_write_survives_failed_task_attempts(tmp_dir):
     """A task that fails on its first attempt (as on a lost executor) is retried; the store's
     contents equal a run without failures (Spark's commit protocol, local[4,3] allows retries)."""
@@ -445,26 +420,6 @@ def test_cli_module_entry_point(tmp_dir):
     assert {r.split(",")[2] for r in rows[1:]} == {"1600"}  # 1650 with 100-point buckets
 
 
-def test_running_totals_with_rocksdb_state_store(spark, tmp_dir):
-    from chesstally.sinks import versioned
-    from chesstally.streaming.ingest import start_running_totals
-
-    src = os.path.join(tmp_dir, "rt")
-    dump(tmp_dir, "2013-07", 9, sub="rt")
-    dump(tmp_dir, "2013-08", 4, sub="rt")
-    key = "spark.sql.streaming.stateStore.providerClass"
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        q = start_running_totals(spark, src, os.path.join(tmp_dir, "rt_ck"),
-                                 versioned.snapshot_sink(os.path.join(tmp_dir, "rt_out")),
-                                 output_mode="complete", max_files_per_trigger=1)
-        q.awaitTermination()
-    finally:
-        spark.conf.unset(key)
-    got = versioned.read_latest(spark, os.path.join(tmp_dir, "rt_out"))
-    assert _tuples(got) == _tuples(aggregate_games(read_games(spark, src)))
-
-
 def test_cli_prints_one_count_per_file(tmp_dir):
     import subprocess
     import sys
