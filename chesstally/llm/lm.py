@@ -4,9 +4,9 @@ What the corpus gives: the count of every token over all training documents, by
 The counts alone give the base score (add-one unigram); they choose the network's vocabulary, its
 classes and the starting point of its output layer, and the byte four-grams of all other words. The
 recurrent weights are fitted by truncated backpropagation on all training documents, whole, in one
-pass at every size: ids are written once, in the order of a hash of id and text, and cut by a running
-sum of lengths into shards of ``SHARD_TOKENS``. A round takes a share of the documents by that hash (the
-shares grow and add up to the whole); each of its shards goes on from the round's weights, and their
+pass at every size: ids are written once, and dealt by a hash of id, text and number of the copy to
+rounds and shards. A round takes a share of the documents (the shares grow and add up to the whole)
+in shards of ``SHARD_TOKENS`` on average; each shard goes on from the round's weights, and their
 mean, weighted by tokens and added up in a tree, begins the next round. Shards depend on the documents
 alone, not on how the table is partitioned.
 
@@ -28,7 +28,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +37,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chesstally.llm.common import materialize, slices, text_of
-from chesstally.llm.ordered import lay_out, running
 
 FOLDS, HELD_OUT = 7, 2
 KNOWN_WORDS = 1 << 16
 ROUNDS = (1, 2, 4, 8)  # shares of the training documents
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 4_000_000
 FAN = 64  # weights added up by one task
 VOCAB, CLASSES, HIDDEN = 1024, 32, 16
 STEPS, RATE = 24, 0.01
@@ -183,14 +182,16 @@ class Spelling:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    x -= x.max(-1, keepdims=True)
-    x -= np.log(np.exp(x).sum(-1, keepdims=True))
-    return x
+def _bounded(x: np.ndarray) -> np.ndarray:
+    """Logits, in place, kept where their exponentials and sums of these are finite: softmax then needs
+    no maximum of each row."""
+    return np.clip(x, -60, 60, out=x)
 
 
 class Network:
@@ -243,28 +244,38 @@ class Network:
         h, target = h[order], target[order]
         cls, word = target // self.width, target % self.width
         rows = np.arange(len(target))
-        lc = _log_softmax(h @ p["c"] + p["cb"])
-        mine = lc[rows, cls].astype(np.float64)
+        ones = np.ones(max(CLASSES, self.width), h.dtype)
+        x = h @ p["c"]
+        x = _bounded(np.add(x, p["cb"], out=x))
+        mine = x[rows, cls].astype(np.float64)
+        e = np.exp(x, out=x)
+        total = e @ ones[:CLASSES]
+        mine -= np.log(total)
         dh = None
         if grads is not None:
-            d = np.exp(lc)
-            d[rows, cls] -= 1
-            dh = d @ p["c"].T
-            grads["c"] = h.T @ d
-            grads["cb"] = d.sum(0)
+            e /= total[:, None]
+            e[rows, cls] -= 1
+            dh = e @ p["c"].T
+            grads["c"] = h.T @ e
+            grads["cb"] = e.sum(0)
             grads["o"], grads["ob"] = np.zeros_like(p["o"]), np.zeros_like(p["ob"])
         ends = np.searchsorted(cls, np.arange(CLASSES + 1))
         for k in np.flatnonzero(np.diff(ends)):
             at = slice(ends[k], ends[k + 1])
-            lw = _log_softmax(h[at] @ p["o"][k] + p["ob"][k])
-            own = rows[:len(lw)], word[at]
-            mine[at] += lw[own]
+            hk = h[at]
+            x = hk @ p["o"][k]
+            x = _bounded(np.add(x, p["ob"][k], out=x))
+            own = rows[:len(x)], word[at]
+            part = x[own]
+            e = np.exp(x, out=x)
+            total = e @ ones[:self.width]
+            mine[at] += part - np.log(total)
             if grads is not None:
-                d = np.exp(lw, out=lw)
-                d[own] -= 1
-                dh[at] += d @ p["o"][k].T
-                grads["o"][k] = h[at].T @ d
-                grads["ob"][k] = d.sum(0)
+                e /= total[:, None]
+                e[own] -= 1
+                dh[at] += e @ p["o"][k].T
+                np.matmul(hk.T, e, out=grads["o"][k])
+                np.add.reduce(e, 0, out=grads["ob"][k])
         out = np.empty_like(mine)
         out[order] = mine
         if dh is not None:
@@ -441,8 +452,9 @@ def _unpack(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
     return out
 
 
-def _coded(src: DataFrame, ids: dict[bytes, int]) -> DataFrame:
-    """Training rows of ``src`` (``id, text``) as ``round, shard, h, data`` (16-bit ids), written once."""
+def _coded(src: DataFrame, ids: dict[bytes, int], total: int) -> DataFrame:
+    """Training rows of ``src`` (``id, text``) as ``round, shard, h, copy, data`` (16-bit ids), written once.
+    A round of n tokens has n / ``SHARD_TOKENS`` shards, to which rows are dealt by hash."""
     words = src.sparkSession.sparkContext.broadcast(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -456,20 +468,25 @@ def _coded(src: DataFrame, ids: dict[bytes, int]) -> DataFrame:
 
     able = src.where(F.col("id").isNotNull() & ~held_out("id"))
     rows = able.select(F.xxhash64("id", "text").alias("h"), "text").mapInArrow(run, "h long, n long, data binary")
-    place = F.pmod(F.xxhash64("h"), F.lit(sum(ROUNDS)))
-    turn = F.lit(len(ROUNDS) - 1)
-    for i in reversed(range(len(ROUNDS))):
+    # Equal rows become one with their number, then copies dealt one by one: a row that is there very many
+    # times is in every shard.
+    rows = (rows.groupBy("h", "n", "data").agg(F.count(F.lit(1)).alias("times"))
+            .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "times"))))
+    place = F.pmod(F.xxhash64("h", "copy"), F.lit(sum(ROUNDS)))
+    turn, size = F.lit(len(ROUNDS) - 1), F.lit(total * ROUNDS[-1] // sum(ROUNDS))
+    for i in reversed(range(len(ROUNDS) - 1)):
         turn = F.when(place < sum(ROUNDS[:i + 1]), i).otherwise(turn)
-    laid = lay_out(rows, [F.col("h")], [F.col("h"), F.col("data")], "lm-ids").withColumn("round", turn)
-    start = running(laid.drop("data"), ["round"], F.col("n"), "start")
-    numbered = start.select("pos", (F.expr(f"start div {SHARD_TOKENS}")).alias("shard"))
-    return materialize(laid.join(numbered, "pos").select("round", "shard", "h", "pos", "data"), "lm-shards")
+        size = F.when(place < sum(ROUNDS[:i + 1]), total * ROUNDS[i] // sum(ROUNDS)).otherwise(size)
+    shards = F.ceil(size / F.lit(SHARD_TOKENS))
+    return materialize(rows.select(
+        turn.alias("round"), F.pmod(F.xxhash64(F.lit(7), "h", "copy"), F.greatest(shards, F.lit(1))).alias("shard"),
+        "h", "copy", "data"), "lm-shards")
 
 
-def _train(network: Network, src: DataFrame, ids: dict[bytes, int]) -> None:
+def _train(network: Network, src: DataFrame, ids: dict[bytes, int], total: int) -> None:
     """Rounds over all training rows of ``src`` (``id, text``); see the module's text."""
-    sc, coded = src.sparkSession.sparkContext, _coded(src, ids)
-    shards = dict(coded.groupBy("round").agg(F.max("shard") + 1).collect())
+    sc, coded = src.sparkSession.sparkContext, _coded(src, ids, total)
+    shards = dict(coded.groupBy("round").agg(F.max("shard") + 1).collect())  # a row per round
     kind = "g long, n double, w binary"
     for i in range(len(ROUNDS)):
         left = shards.get(i, 0)
@@ -488,7 +505,7 @@ def _learner(start, top: float):
 
     def learn(table: pa.Table) -> pa.Table:
         net = _copied(start.value)
-        order = np.argsort(table["pos"].to_numpy())
+        order = np.lexsort((table["copy"].to_numpy(), table["h"].to_numpy()))
         texts = [np.frombuffer(b, "<u2") for b in table["data"].take(pa.array(order)).to_pylist()]
         net.fit(texts, top)
         return _weights(table["shard"][0].as_py(), sum(map(len, texts)) + len(texts), _pack(net.p))
@@ -531,7 +548,7 @@ def fit(docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: st
     freq[2:] = [table[w] for w in words]
     freq[OTHER] = max(0, sums["n"] - freq.sum())
     network = Network(freq)
-    _train(network, src, ids)
+    _train(network, src, ids, sums["n"])
     spelling = Spelling.of_counts(counts.where((F.length("word") > 0) & ~F.col("word").isin(words)))
     others = int(freq[OTHER])
     spelled = min(1.0, (sums["once"] + 1) / (others + 2)) if others else 1.0
@@ -556,46 +573,49 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         task, at = TaskContext.get().partitionId(), 0
-        logs = {w: math.log10(c + 1) for w, c in m.counts.items()}
+        # Per word of the table: its place, the base's logarithm, the network's id, what it costs as another word.
+        place = {w: i for i, w in enumerate(m.counts)}
+        logs = np.log10(np.fromiter(m.counts.values(), float, len(place)) + 1)
+        ids = np.fromiter(map(m.ids.get, place, repeat(OTHER)), np.uint16, len(place))
+        near = [w for w in place if w and w not in m.ids]
+        other = np.zeros(len(place) + 1)
+        other[[place[w] for w in near]] = m.log_other(near, [m.counts[w] for w in near])
         end = m.counts.get(b"", 0)
         held: list[tuple[dict, np.ndarray]] = []  # columns of a slice, what other words add to scores
         texts: list[np.ndarray] = []
         size = 0
 
-        def columns(docs, texts) -> tuple[dict, np.ndarray]:
+        def columns(docs, words: list[list[bytes]]) -> int:
             """All but the network's part; words whose counts are not here go on as lists."""
             nonlocal at
-            seen = [Counter(words) for words in texts]
-            own = set().union(*seen)
-            near = [w for w in own if w in logs and w not in m.ids]
-            other = dict(zip(near, m.log_other(near, [m.counts[w] for w in near]).tolist()))
-            far = [w for w in own if w not in logs]
-            spelt = dict(zip(far, m.log_spelt(far).tolist()))
-            known, sums, extra, lists = [], [], [], ([], [], [])
-            for words in seen:
-                n, x, y, rare = int(end > 0), math.log10(end + 1), 0.0, []
-                for w, k in words.items():
-                    if w in spelt:
-                        rare.append(w)
-                    else:
-                        n += k
-                        x += logs[w] * k
-                        if w in other:
-                            y += other[w] * k
-                known.append(n)
-                sums.append(x)
-                extra.append(y)
-                lists[0].append(rare)
-                lists[1].append([words[w] for w in rare])
-                lists[2].append([spelt[w] for w in rare])
+            ends = np.cumsum([len(w) for w in words])
+            begins = np.concatenate([[0], ends[:-1]])
+            flat = list(chain.from_iterable(words))
+            spot = np.fromiter(map(place.get, flat, repeat(-1)), np.int32, len(flat))
+            here = spot >= 0
+
+            def sums(values: np.ndarray) -> np.ndarray:
+                total = np.concatenate([[0], np.cumsum(values)])
+                return total[ends] - total[begins]
+
+            far = np.flatnonzero(~here)
+            rare = [flat[i] for i in far]
+            kinds = list(dict.fromkeys(rare))
+            spelt = dict(zip(kinds, m.log_spelt(kinds).tolist()))
+            offsets = pa.array(np.concatenate([[0], np.searchsorted(far, ends)]), pa.int32())
+            net = np.where(here, ids[spot], OTHER).astype(np.uint16)
+            texts.extend(net[a:b] for a, b in zip(begins, ends))
             rid = (task << 36) + at
             at += len(docs)
-            return {"rid": pa.array(range(rid, rid + len(docs)), pa.int64()), "doc_id": docs,
-                    "n_tokens": pa.array([len(t) + 1 for t in texts], pa.int64()),
-                    "known": pa.array(known, pa.int64()), "logs": pa.array(sums, pa.float64()),
-                    "words": pa.array(lists[0], pa.list_(pa.binary())),
-                    "times": pa.array(lists[1], pa.list_(pa.int64())),
-                    "spelt": pa.array(lists[2], pa.list_(pa.float64()))}, np.array(extra)
+            held.append(({
+                "rid": pa.array(range(rid, rid + len(docs)), pa.int64()), "doc_id": docs,
+                "n_tokens": pa.array(ends - begins + 1, pa.int64()),
+                "known": pa.array(sums(here) + (end > 0), pa.int64()),
+                "logs": pa.array(sums(np.where(here, logs[spot], 0.0)) + math.log10(end + 1), pa.float64()),
+                "words": pa.ListArray.from_arrays(offsets, pa.array(rare, pa.binary())),
+                "spelt": pa.ListArray.from_arrays(offsets, pa.array([spelt[w] for w in rare], pa.float64()))},
+                sums(np.where(here, other[spot], 0.0))))
+            return len(flat) + len(docs)
 
         def flush():
             scores, done = m.network.score(texts), 0
@@ -604,12 +624,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 done += len(extra)
                 yield pa.RecordBatch.from_arrays([cols[c] for c in order], order)
 
-        order = ["rid", "doc_id", "n_tokens", "known", "logs", "ln", "words", "times", "spelt"]
+        order = ["rid", "doc_id", "n_tokens", "known", "logs", "ln", "words", "spelt"]
         for part in slices(batches, 256):
-            words = [tokens(t) for t in part.column(1).to_pylist()]
-            held.append(columns(part.column(0), words))
-            texts += [m.encode(w) for w in words]
-            size += sum(map(len, words)) + len(words)
+            size += columns(part.column(0), [tokens(t) for t in part.column(1).to_pylist()])
             if size >= _BUFFER:
                 yield from flush()
                 held, texts, size = [], [], 0
@@ -618,19 +635,18 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     rows = materialize(src.mapInArrow(
         run, "rid long, doc_id long, n_tokens long, known long, logs double, ln double, "
-             "words array<binary>, times array<long>, spelt array<double>"), "lm-rows")
+             "words array<binary>, spelt array<double>"), "lm-rows")
     # Words that are not in the table of frequent ones meet their counts here.
     found = F.coalesce("c", F.lit(0))
     share = found * F.lit(model.share(1.0))
     both = F.greatest("spelt", F.log(share)) + F.log1p(F.exp(-F.abs(F.col("spelt") - F.log(share))))
     ln = F.when(share > 0, both).otherwise(F.col("spelt"))
     rare = (rows.where(F.size("words") > 0)
-            .select("rid", F.inline(F.arrays_zip("words", "times", "spelt")))
+            .select("rid", F.inline(F.arrays_zip("words", "spelt")))
             .join(counts.withColumnRenamed("word", "words"), "words", "left")
             .groupBy("rid").agg(
-                F.sum(F.when(found > 0, F.col("times")).otherwise(0)).alias("more"),
-                F.sum(F.col("times") * F.log10(found + 1)).alias("more_logs"),
-                F.sum(F.col("times") * ln).alias("more_ln")))
+                F.count_if(found > 0).alias("more"), F.sum(F.log10(found + 1)).alias("more_logs"),
+                F.sum(ln).alias("more_ln")))
     zero = F.lit(0.0)
     base = F.col("logs") + F.coalesce("more_logs", zero) - F.col("n_tokens") * F.lit(log_total)
     score = (F.col("ln") + F.coalesce("more_ln", zero)) / F.lit(math.log(10))
