@@ -60,6 +60,39 @@ def move_file(spark: SparkSession, src: str, dst: str) -> None:
         delete(spark, sidecar, recursive=False)
 
 
+def join_files(spark: SparkSession, parts: list[str], dst: str) -> None:
+    """One file of the parts in their order, replacing ``dst``; the parts are consumed. HDFS links their
+    blocks together; elsewhere the driver's JVM copies streams, a megabyte at a time."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    parent, _, name = dst.rstrip("/").rpartition("/")
+    joined = f"{parent or '.'}/.{name}.joining"
+    fs, p = _path(spark, joined)
+    fs.mkdirs(p.getParent())
+    out = fs.create(p, True)
+    out.close()
+    if parts and fs.getScheme() == "hdfs":
+        sources = spark.sparkContext._gateway.new_array(path, len(parts))
+        for i, part in enumerate(parts):
+            sources[i] = path(part)
+        fs.concat(p, sources)
+    else:
+        out = fs.create(p, True)
+        try:
+            for part in parts:
+                source = fs.open(path(part))
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+                finally:
+                    source.close()
+        finally:
+            out.close()
+    move_file(spark, joined, dst)
+    sidecar = f"{parent or '.'}/..{name}.joining.crc"
+    if exists(spark, sidecar):
+        delete(spark, sidecar, recursive=False)
+
+
 def rename_if_absent(spark: SparkSession, src: str, dst: str) -> bool:
     """Rename ``src`` to ``dst`` only if ``dst`` does not exist (``FileContext`` rename without
     OVERWRITE); False if it exists. ``FileSystem.rename`` would instead move a directory *into*

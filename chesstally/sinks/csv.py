@@ -2,9 +2,9 @@
 
 Header ``month,eco_group,white_bucket,black_bucket,games,white_wins,black_wins,draws``, no
 quoting, rows by ``games`` descending (ties by key, ascending, so the file is deterministic).
-The aggregate is bounded by months x opening groups x bucket pairs, not by the number of games,
-so writing it through one task is cheap; the sort itself runs distributed (range partitioning)
-and ``coalesce(1)`` concatenates the sorted ranges in order.
+The sort is distributed by ranges of the order, so no task holds all rows even where the bucket width is
+1 and there are nearly as many keys as games; sorted ranges are written as parts without a header,
+and the file system joins a header and the parts, in their order, into the one file.
 """
 
 from __future__ import annotations
@@ -25,22 +25,28 @@ def csv_order(df: DataFrame) -> DataFrame:
     return df.select(*CSV_COLUMNS).orderBy(F.desc("games"), *[F.asc(c) for c in KEY_COLUMNS])
 
 
-def _writer(df: DataFrame):
-    return (df.write.mode("overwrite").option("header", True)
+def _writer(df: DataFrame, header: bool = True):
+    return (df.write.mode("overwrite").option("header", header)
             .option("quote", "").option("escape", "").option("quoteAll", False))
 
 
+def _parts(spark: SparkSession, folder: str) -> list[str]:
+    """Part files in the order of their tasks (numbers of any width)."""
+    return sorted(fs.list_files(spark, folder, ".csv"), key=lambda f: int(f.rsplit("/", 1)[-1].split("-")[1]))
+
+
+def _join(spark: SparkSession, parts: list[str], staging: str, path: str) -> None:
+    header = f"{staging}/.header-{uuid.uuid4().hex}"
+    fs.write_text_file(spark, header, ",".join(CSV_COLUMNS) + "\n")
+    fs.join_files(spark, [header, *parts], path)
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """Write one CSV file at ``path`` (truncating an existing file); returns ``path``."""
     spark = df.sparkSession
     staging = f"{path}.tmp-{uuid.uuid4().hex}"
-    _writer(csv_order(df).coalesce(1)).csv(staging)
-    parts = fs.list_files(spark, staging, ".csv")
-    if len(parts) != 1:
-        raise RuntimeError(f"expected one CSV part in {staging}, found {len(parts)}")
-    parent = path.rsplit("/", 1)[0] if "/" in path else "."
-    fs.mkdirs(spark, parent)
-    fs.move_file(spark, parts[0], path)
+    _writer(csv_order(df), header=False).csv(staging)
+    _join(spark, _parts(spark, staging), staging, path)
     fs.delete(spark, staging)
     return path
 
@@ -50,11 +56,15 @@ def write_csv_dir(df: DataFrame, directory: str, by: str | None = None) -> None:
     if by is None:
         _writer(csv_order(df)).csv(directory)
         return
-    # The partitioned writer needs rows ordered by ``by``; leading with it makes the writer keep
-    # this order instead of re-sorting (which would lose the games-descending order per file).
-    ordered = df.repartition(by).sortWithinPartitions(
-        F.asc(by), F.desc("games"), *[F.asc(c) for c in KEY_COLUMNS])
-    _writer(ordered).partitionBy(by).csv(directory)
+    _writer(_by_month(df, by)).partitionBy(by).csv(directory)
+
+
+def _by_month(df: DataFrame, by: str) -> DataFrame:
+    """Rows in the order of ``by`` and the CSV order, dealt by ranges of both, so a month with most rows is
+    sorted and written by several tasks. Leading with ``by`` is what the partitioned writer asks for; it
+    then keeps the order."""
+    order = [F.asc(by), F.desc("games"), *[F.asc(c) for c in KEY_COLUMNS]]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def monthly_output_path(base: str | None, month: str, base_is_dir: bool | None = None) -> str | None:
@@ -83,21 +93,19 @@ def write_csv_per_source_month(agg_by_month: DataFrame, base: str) -> list[str]:
     """One CSV per ``source_month`` named by :func:`monthly_output_path` (rows keep the month
     of their games, so one file can hold several ``month`` values).
 
-    Written as one partitioned job, then each partition's single part file is renamed (a
-    metadata operation); no data passes through the driver.
+    Written as one partitioned job; then each month's parts are joined behind a header by the file
+    system.
     """
     spark = agg_by_month.sparkSession
     staging = f"{base.rstrip('/')}.tmp-{uuid.uuid4().hex}"
-    write_csv_dir(agg_by_month.select("source_month", *CSV_COLUMNS), staging, by="source_month")
+    rows = _by_month(agg_by_month.select("source_month", *CSV_COLUMNS), "source_month")
+    _writer(rows, header=False).partitionBy("source_month").csv(staging)
     base_is_dir = fs.is_dir(spark, base)
     written = []
     for d in fs.list_dirs(spark, staging):
         month = d.rstrip("/").rsplit("source_month=", 1)[-1]
         target = monthly_output_path(base, month, base_is_dir)
-        parts = fs.list_files(spark, d, ".csv")
-        if len(parts) != 1:
-            raise RuntimeError(f"expected one CSV part in {d}, found {len(parts)}")
-        fs.move_file(spark, parts[0], target)
+        _join(spark, _parts(spark, d), staging, target)
         written.append(target)
     fs.delete(spark, staging)
     return written

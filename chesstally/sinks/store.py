@@ -1,10 +1,12 @@
 """Aggregate stores on a shared filesystem.
 
-``by-source`` store (default): aggregates are written per source file, partitioned by a short
-hash of the file path, with dynamic partition overwrite. Re-ingesting a file replaces its own
-partition instead of adding to the totals, so a retried job, a replayed micro-batch or a file
-ingested twice never double counts. The public aggregate is the sum over sources
-(:func:`read_store`), which Spark computes with a partial aggregation per task.
+``by-source`` store (default): aggregates are written per source file, partitioned by the month in the
+file's name and, below it, by a short hash of the file path, with dynamic partition overwrite.
+Re-ingesting a file replaces its own partition instead of adding to the totals, so a retried job, a
+replayed micro-batch or a file ingested twice never double counts. The public aggregate is the sum
+over sources (:func:`read_store`), which Spark computes with a partial aggregation per task; bounds
+on the source month prune folders at planning time. Stores whose sources are not below months
+are refused until :func:`migrate_store` has moved them.
 
 Landing: :func:`land_games` writes the per-game keys (raw Elo, not bucketed) as parquet
 partitioned by source month and source. Compressed dumps are scanned once, one task per file, and every
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +35,11 @@ from chesstally.functions.keys import (
     result_value,
     validate_bucket_size,
 )
-from chesstally.sources.pgn import source_month_from_path
+from chesstally.functions.months import require_month
+from chesstally.session import scratch_path
+from chesstally.sources.pgn import empty_files, month_of_path, source_month_from_path
 from chesstally.operators.aggregate import (
+    AGGREGATE_SCHEMA,
     KEY_COLUMNS,
     MEASURE_COLUMNS,
     aggregate_games,
@@ -44,6 +50,9 @@ from chesstally.operators.aggregate import (
 
 PROPS_FILE = "_chesstally.json"
 SOURCE_COLUMNS = ["source_id", "source_file", "source_month"]
+STORE_PARTITIONS = ["source_month", "source_id"]
+STORE_SCHEMA = f"source_file string, {AGGREGATE_SCHEMA}, source_month string, source_id string"
+_NO_MONTH = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a null
 
 
 def source_id(path_col) -> F.Column:
@@ -94,27 +103,66 @@ def write_by_source(agg_by_source: DataFrame, store: str, bucket_size: int = 200
     """Replace the partitions of the sources in ``agg_by_source``; others stay. Writers of different
     sources may run at the same time.
 
-    ``files`` are the files that were read (:func:`chesstally.fs.input_files`): those without a row
-    now hold no game, and a partition that an earlier ingest left for them is removed. The rebalance
+    ``files`` are the files that were read (:func:`chesstally.fs.input_files`): a partition that an earlier
+    ingest left for one of them is removed if the file is empty now (and stays if the games were
+    filtered, which leaves a file without rows just as well). The rebalance
     hint keeps a source's rows together but lets AQE split a large one.
     """
     spark = agg_by_source.sparkSession
     check_bucket_size(spark, store, bucket_size)
+    _refuse_old_layout(spark, store)
     held = {}
     if files:  # folder names only: which of the files have a partition, and of which parts
-        there = {d.rstrip("/").rsplit("/", 1)[-1] for d in fs.list_dirs(spark, store)}
-        held = {p: fs.list_files(spark, f"{store}/{p}") for f in files
-                if (p := f"source_id={id_of(f)}") in there}
-    (agg_by_source.select(*SOURCE_COLUMNS, *KEY_COLUMNS, *MEASURE_COLUMNS)
-     .hint("rebalance", "source_id")
+        folders = [partition_of(f) for f in files]
+        months = {p.split("/")[0] for p in folders}
+        there = {f"{m}/{d.rstrip('/').rsplit('/', 1)[-1]}" for m in months for d in fs.list_dirs(spark, f"{store}/{m}")}
+        held = {p: fs.list_files(spark, f"{store}/{p}") for p in folders if p in there}
+    (agg_by_source.select("source_file", *KEY_COLUMNS, *MEASURE_COLUMNS, *STORE_PARTITIONS)
+     .hint("rebalance", *STORE_PARTITIONS)
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", STORE_ROWS_PER_FILE)
-     .partitionBy("source_id")
+     .partitionBy(*STORE_PARTITIONS)
      .parquet(store))
-    for p, parts in held.items():
-        if fs.list_files(spark, f"{store}/{p}") == parts:  # not rewritten: its file has no games now
-            fs.delete(spark, f"{store}/{p}")
+    stale = [p for p, parts in held.items() if fs.list_files(spark, f"{store}/{p}") == parts]
+    if stale:  # not rewritten: their files have no games now, or the games were filtered
+        by_folder = {partition_of(f): f for f in files}
+        for f in empty_files(spark, [by_folder[p] for p in stale]):
+            fs.delete(spark, f"{store}/{partition_of(f)}")
+
+
+def partition_of(path: str) -> str:
+    """The folder of a source file's partition, below the store."""
+    return f"source_month={month_of_path(path) or _NO_MONTH}/source_id={id_of(path)}"
+
+
+def _old_sources(spark: SparkSession, store: str) -> list[str]:
+    return [d for d in fs.list_dirs(spark, store) if d.rstrip("/").rsplit("/", 1)[-1].startswith("source_id=")]
+
+
+def _refuse_old_layout(spark: SparkSession, store: str) -> None:
+    if _old_sources(spark, store):
+        raise ValueError(f"store {store} has sources without a month level; run migrate_store once")
+
+
+def migrate_store(spark: SparkSession, store: str) -> int:
+    """Move sources that lie directly below the store under their months; returns their number. Repeating
+    it after a crash is safe: sources replace themselves, and old folders go last."""
+    old = _old_sources(spark, store)
+    if not old:
+        return 0
+    rows = spark.read.schema(f"source_file string, {AGGREGATE_SCHEMA}").parquet(*old)
+    moved = scratch_path(spark, "runs", f"migrate-{uuid.uuid4().hex[:12]}")  # reads end before folders go
+    rows.select(source_id(F.col("source_file")).alias("source_id"), "source_file",
+                source_month_from_path("source_file").alias("source_month"), *KEY_COLUMNS, *MEASURE_COLUMNS
+                ).write.parquet(moved)
+    (spark.read.parquet(moved).hint("rebalance", *STORE_PARTITIONS)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", STORE_ROWS_PER_FILE).partitionBy(*STORE_PARTITIONS).parquet(store))
+    for d in old:
+        fs.delete(spark, d)
+    fs.delete(spark, moved)
+    return len(old)
 
 
 def ingest_games(games: DataFrame, store: str, bucket_size: int = 200) -> None:
@@ -123,14 +171,24 @@ def ingest_games(games: DataFrame, store: str, bucket_size: int = 200) -> None:
     write_by_source(aggregate_by_source(games, bucket_size), store, bucket_size, fs.input_files(games))
 
 
-def read_store(spark: SparkSession, store: str) -> DataFrame:
-    """Public aggregate of a by-source store: measures summed over sources per key."""
-    parts = spark.read.parquet(store)
-    return merge_aggregates(parts)
-
-
-def read_store_by_source(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.parquet(store)
+def read_store(spark: SparkSession, store: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Public aggregate of a by-source store: measures summed over sources per key. ``since`` and ``until``
+    (inclusive, as in ingest plans) keep the sources of those months only; files without a month in
+    their name are then left out."""
+    return merge_aggregates(read_store_by_source(spark, store, since, until))
+
+
+def read_store_by_source(spark: SparkSession, store: str, since: str | None = None,
+                         until: str | None = None) -> DataFrame:
+    """Counts per source and key; bounds on the month prune folders when the scan is planned."""
+    _refuse_old_layout(spark, store)
+    since, until = require_month(since, "since"), require_month(until, "until")
+    df = spark.read.schema(STORE_SCHEMA).parquet(store)
+    if since:
+        df = df.where(F.col("source_month") >= since)
+    if until:
+        df = df.where(F.col("source_month") <= until)
+    return df
 
 
 LANDED_ROWS_PER_FILE = 5_000_000

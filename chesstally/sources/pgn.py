@@ -19,6 +19,7 @@ line; :func:`read_games_positioned` does know, for plain and zstd files.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
@@ -242,3 +243,21 @@ def source_month_from_path(path: Column | str) -> Column:
     from_dir = F.regexp_extract(path, r"/source_month=(\d{4}-\d{2})/[^/]*\z", 1)
     return (F.when(from_name != F.lit(""), from_name)
             .when(from_dir != F.lit(""), from_dir))
+
+
+def empty_files(spark: SparkSession, files: list[str]) -> list[str]:
+    """The files that hold no game: those of no bytes, and compressed ones that decode to none."""
+    sizes = dict(zip(files, fs.lengths(spark, files)))
+    packed = [f for f, n in sizes.items() if n and f.lower().endswith(COMPRESSED_SUFFIXES)]
+    some: set[str] = set()
+    if packed:
+        rows = spark.read.option("lineSep", GAME_SEPARATOR).text(packed)
+        some = {r[0] for r in rows.select(F.col("_metadata.file_path")).distinct().collect()}  # a row per file
+    return [f for f, n in sizes.items() if not n or (f in packed and f not in some)]
+
+
+def month_of_path(path: str) -> str | None:
+    """:func:`source_month_from_path` of a literal path."""
+    found = (re.search(DUMP_MONTH_PATTERN + r"[^/]*\Z", path)
+             or re.search(r"/source_month=([0-9]{4}-[0-9]{2})/[^/]*\Z", path))
+    return found.group(1) if found else None

@@ -30,8 +30,14 @@ from chesstally.operators.aggregate import (
     rebalance_games,
 )
 from chesstally.session import scratch_path
-from chesstally.sinks.store import SOURCE_COLUMNS, aggregate_by_source, id_of, write_by_source
-from chesstally.sources.pgn import bare_games, stream_games, truncated_files
+from chesstally.sinks.store import (
+    SOURCE_COLUMNS,
+    aggregate_by_source,
+    id_of,
+    read_store_by_source,
+    write_by_source,
+)
+from chesstally.sources.pgn import bare_games, month_of_path, stream_games, truncated_files
 
 
 @dataclass(frozen=True)
@@ -105,7 +111,11 @@ def start_ingest(
             on_size(BatchSize(batch_id, len(files), sum(fs.lengths(spark, files))))
 
         def written(paths: list[str]) -> DataFrame:
-            return (spark.read.parquet(store).where(F.col("source_id").isin([id_of(p) for p in paths]))
+            months = {month_of_path(p) for p in paths}
+            wanted = F.col("source_id").isin([id_of(p) for p in paths])
+            if None not in months:
+                wanted &= F.col("source_month").isin(*months)
+            return (read_store_by_source(spark, store).where(wanted)
                     .select(*SOURCE_COLUMNS, *KEY_COLUMNS, *MEASURE_COLUMNS))
 
         bare = truncated_files(spark, files)

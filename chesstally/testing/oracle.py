@@ -408,6 +408,11 @@ SELECT *, CAST(row_number() OVER (ORDER BY games DESC, month, eco_group, white_b
 FROM ({AGG}) a
 """
 
+ORACLE_SQL["csv_order_width_1"] = ORACLE_SQL["csv_order"].replace(AGG, aggregate_sql(1))
+ORACLE_SQL["rollup_incremental"] = ROLLUP_COUNTS
+ORACLE_SQL["store_month_range"] = aggregate_sql().replace(
+    "g\n    GROUP BY", "g WHERE source_month BETWEEN '1996-03' AND '2000-10' GROUP BY")
+
 # The index lists orders in key order; a stable sort by month keeps that order within a month.
 ORACLE_SQL["plan_order"] = plan_sql().replace(
     "AS url", """AS url,

@@ -30,7 +30,7 @@ from chesstally.operators.aggregate import (
 )
 from chesstally.plans.ingest import build_plan, exclude_done, filter_months
 from chesstally.session import scratch_path
-from chesstally.sinks import appends, ledger, store
+from chesstally.sinks import appends, ledger, rollup, store
 from chesstally.sinks.csv import (
     CSV_COLUMNS,
     read_aggregates_csv,
@@ -270,6 +270,29 @@ def store_reingest_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_store(spark, run + "/store")
 
 
+def store_month_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored counts of a range of source months, whose folders alone are read."""
+    run = _run_dir(spark, "range")
+    store.ingest_games(games(spark, sf_dir, with_source=True), run + "/store")
+    return store.read_store(spark, run + "/store", PLAN_SINCE, PLAN_UNTIL)
+
+
+def rollup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roll-up after two ingests, the second of which refreshes its own months only."""
+    run, base = _run_dir(spark, "rollup"), fixtures.pgn_dataset(spark, sf_dir)
+    g = read_games(spark, base)
+    rollup.ingest_games(g.where(F.col("source_month") <= MERGE_SPLIT_MONTH), run + "/store", run + "/rollup")
+    rollup.ingest_games(g.where(F.col("source_month") >= MERGE_SPLIT_MONTH), run + "/store", run + "/rollup")
+    return rollup.read_rollup(spark, run + "/rollup")
+
+
+def csv_order_width_1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written CSV at bucket width 1, where nearly every game is a key of its own."""
+    path = _run_dir(spark, "csvw") + "/agg.csv"
+    write_csv(aggregate_games(games(spark, sf_dir), bucket_size=1), path)
+    return _numbered(read_aggregates_csv(spark, path))
+
+
 def csv_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the written CSV with their position in the file."""
     path = _run_dir(spark, "csvo") + "/agg.csv"
@@ -403,6 +426,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_resume": ingest_resume,
     "store_reingest_changed": store_reingest_changed,
     "csv_order": csv_order,
+    "csv_order_width_1": csv_order_width_1,
+    "store_month_range": store_month_range,
+    "rollup_incremental": rollup_incremental,
     "plan_order": plan_order,
     "ledger_appends": ledger_appends,
 }
