@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 from chesstally.llm import (
     bpe, decontam, line_dedup, lm, minhash, mixing, packing, pii, quality, repair, search, simhash,
     token_scan)
-from chesstally.llm.common import table
+from chesstally.llm.common import fresh, table
 from chesstally.llm.tokens import RANKS
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    out = line_dedup.dedup_lines(docs, counts=("n_lines", "n_removed"))
-    return out.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "n_lines", "n_removed")
+    n, gone = fresh(docs, "n_lines"), fresh(docs, "n_removed")
+    out = line_dedup.dedup_lines(docs, counts=(n, gone))
+    return out.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col(n).alias("n_lines"),
+                      F.col(gone).alias("n_removed"))
 
 
 def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chesstally.llm.common import materialize, slices
+from chesstally.llm.common import fresh, materialize, slices, text_of
 from chesstally.llm.graph import connected_components
 
 BITS = 64
@@ -53,16 +53,18 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` for every row; a null text is the empty text."""
+    """``(doc_id, th, fp)`` for every row, ``th`` a hash of the text; a null text is the empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()],
-                                          pa.int64())], ["doc_id", "fp"])
+                [part.column(0), part.column(1), pa.array(
+                    [fingerprint(t, shingle) for t in part.column(2).to_pylist()], pa.int64())],
+                ["doc_id", "th", "fp"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("th"),
+                        F.col(text_col).alias("text"))
+            .mapInArrow(run, "doc_id long, th long, fp long"))
 
 
 def _balls(width: int, radius: int) -> list[int]:
@@ -183,28 +185,41 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     component has no other (then the id is null); other columns are ignored; an empty table gives
     an empty result.
     """
+    fps, of = _components(docs, id_col, text_col, shingle, max_bits)
+    ids = of.groupBy("component").agg(F.min("id").alias("component_id"))
+    named = materialize(of.join(ids, "component").select("fp", "component_id"), "simhash-components")
+    return fps.join(named, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int,
+                max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows as ``doc_id, th, fp``, and per fingerprint ``fp, id`` (its least doc_id), ``component``."""
     fps = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     distinct = materialize(fps.select("fp").distinct(), "simhash-distinct")
     comps = connected_components(hamming_links(distinct, max_bits))
     # Components over fingerprints first; the ids enter as one minimum per fingerprint.
     least = fps.groupBy("fp").agg(F.min("doc_id").alias("id"))
-    named = (least.join(comps.withColumnRenamed("node", "fp"), "fp", "left")
-             .select("fp", "id", F.coalesce("component", "fp").alias("component")))
-    ids = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    of = materialize(named.join(ids, "component").select("fp", "component_id"), "simhash-components")
-    return fps.join(of, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their group: one document of each near-duplicate
-    group. Of repeated rows with one doc_id, one stays; rows without a doc_id all stay, since no
-    group can name them."""
-    groups = materialize(simhash_groups(docs, id_col, text_col, **kw), "simhash-groups")
-    keys = (groups.where("doc_id = component_id").groupBy("doc_id")
-            .agg(F.count(F.lit(1)).alias("n")))
-    keep = keys.select(F.col("doc_id").alias(id_col))
-    kept = docs.join(keep, id_col, "left_semi").select(*docs.columns)
-    if keys.where("n > 1").limit(1).count():
-        kept = kept.dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    return fps, (least.join(comps.withColumnRenamed("node", "fp"), "fp", "left")
+                 .select("fp", "id", F.coalesce("component", "fp").alias("component")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+             max_bits: int = 3) -> DataFrame:
+    """One document of each near-duplicate group: the one with the smallest doc_id, of several texts under
+    that id in the group the one with the least fingerprint. Rows that share an id but not a group are
+    documents of their own; equal rows are one. Rows without a doc_id all stay, since no group can
+    name them."""
+    fps, of = _components(docs, id_col, text_col, shingle, max_bits)
+    fps = fps.where("doc_id is not null")
+    first = (fps.groupBy("fp").agg(F.min(F.struct("doc_id", "fp", "th")).alias("first"))  # of each fingerprint
+             .join(of.select("fp", "component"), "fp").groupBy("component").agg(F.min("first").alias("first")))
+    i, t = fresh(docs, "kept_id"), fresh(docs, "kept_text")
+    keep = materialize(first.select(F.col("first.doc_id").alias(i), F.col("first.th").alias(t)), "simhash-keep")
+    keyed = docs.withColumn(i, F.col(id_col).cast("long")).withColumn(t, F.xxhash64(text_of(text_col)))
+    kept = keyed.join(keep, [i, t], "left_semi")
+    again = (fps.join(keep.toDF("doc_id", "th"), ["doc_id", "th"], "left_semi").groupBy("doc_id", "th")
+             .agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count())
+    if again:
+        kept = kept.dropDuplicates([i, t])
+    return kept.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))

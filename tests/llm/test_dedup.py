@@ -3,8 +3,9 @@ from collections import defaultdict
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
-from chesstally.llm import graph, line_dedup, simhash
+from chesstally.llm import graph, line_dedup, queries, simhash
 from tests.llm.conftest import sentence
 
 
@@ -110,19 +111,20 @@ def test_groups_and_kept_documents(make, rng):
     assert simhash.simhash_groups(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
-def brute_lines(rows, min_sites):
-    sites, first = defaultdict(set), {}
+def brute_lines(rows, min_sites, min_texts=3):
+    sites, texts, first = defaultdict(set), defaultdict(set), {}
     for i, t, s in rows:
         for p, line in enumerate((t or "").split("\n")):
             x = line.strip(" \t\r")
             if x:
                 sites[x].add(s or "")
+                texts[x].add(t)
                 spot = (2**63 - 1 if i is None else i, p)
                 first[x] = min(first.get(x, spot), spot)
     out = []
     for i, t, s in rows:
         ls = (t or "").split("\n")
-        gone = [len(sites[x.strip(" \t\r")]) >= min_sites
+        gone = [len(sites[x.strip(" \t\r")]) >= min_sites and len(texts[x.strip(" \t\r")]) >= min_texts
                 and first[x.strip(" \t\r")] != (2**63 - 1 if i is None else i, p) for p, x in enumerate(ls)]
         text = "\n".join(x for x, g in zip(ls, gone) if not g) if any(gone) else t
         out.append((str(i), str(text), len(ls), sum(gone)))
@@ -139,12 +141,53 @@ def test_lines_against_brute_force(make, rng):
              (402, "same everywhere", None), (402, "same everywhere", None),
              (403, "\n".join(["same everywhere"] * 20000), "s9")]
     docs = make(rows, extra=["id", "pos", "drop", "n"])
-    for t in (2, 10, 25):
-        out = line_dedup.dedup_lines(docs, min_sites=t, counts=("n_lines", "n_removed"))
+    for t, texts in ((2, 3), (3, 3), (10, 2), (25, 40), (3, 12)):
+        out = line_dedup.dedup_lines(docs, min_sites=t, min_texts=texts, counts=("n_lines", "n_removed"))
         got = sorted((str(r.doc_id), str(r.text), r.n_lines, r.n_removed) for r in out.collect())
-        assert got == brute_lines(rows, t)
+        assert got == brute_lines(rows, t, texts)
     plain = line_dedup.dedup_lines(docs)
     assert plain.columns == docs.columns
     assert line_dedup.dedup_lines(docs.where("1 = 0")).count() == 0
     code = plain._jdf.queryExecution().toString()
     assert "Python" not in code and "Pandas" not in code and "Arrow" not in code
+
+
+def test_passages_on_few_sites_go_and_copies_stay(spark, make, rng, tmp_dir):
+    """Passages of over 50 words on 3 to 9 sites, in otherwise different documents; a document copied to many
+    sites, a line that one site repeats, and names that clash with the query's."""
+    rows, passages = [], {n: sentence(rng, 55 + n) for n in range(2, 10)}
+    for n, passage in passages.items():
+        for k in range(n):
+            rows.append((len(rows), f"{sentence(rng, 12)}\n{passage}\n{sentence(rng, 9)}", f"site{k}"))
+    copied, own = sentence(rng, 60) + "\n" + sentence(rng, 60), sentence(rng, 60)
+    rows += [(1000 + k, copied, f"site{k}") for k in range(8)]
+    rows += [(2000 + k, f"{own}\n{sentence(rng, 8)}", "hot") for k in range(30)]
+    docs = make(rows)
+    left = {n: 0 for n in passages}
+    for r in line_dedup.dedup_lines(docs).collect():
+        for n, passage in passages.items():
+            left[n] += passage in r.text
+        if 1000 <= r.doc_id < 1008:
+            assert r.text == copied
+    assert left == {n: 2 if n == 2 else 1 for n in passages}
+    assert sum(own in r.text for r in line_dedup.dedup_lines(docs).collect()) == 30
+    docs.withColumn("n_lines", F.lit("x")).withColumn("N_Removed", F.lit("y")).write.parquet(tmp_dir + "/documents.parquet")
+    out = queries.op1_line_dedup(spark, tmp_dir)
+    assert out.columns == ["doc_id", "text", "n_lines", "n_removed"]
+    assert {r.doc_id: r.n_lines for r in out.collect()}[1000] == 2
+
+
+def test_keep_one_by_id_and_text(make, rng):
+    a, b, c = (sentence(rng, 40) for _ in range(3))
+
+    def kept(rows):
+        return sorted(((r.doc_id, r.text) for r in simhash.keep_one(make(rows)).collect()), key=str)
+
+    assert kept([(5, a, "s"), (5, b, "s")]) == sorted([(5, a), (5, b)], key=str)
+    assert kept([(2, b, "s"), (5, a, "s"), (5, b, "t")]) == sorted([(2, b), (5, a)], key=str)
+    assert kept([(5, a, "s"), (5, a, "s"), (6, a, "s"), (5, c, "s"), (5, c, "s")]) == sorted([(5, a), (5, c)], key=str)
+    near = a.replace(a.split()[3], "other", 1)
+    together = (brute_fp(a) ^ brute_fp(near)).bit_count() <= 3
+    assert len(kept([(5, a, "s"), (5, near, "s"), (7, near, "s")])) == (1 if together else 2)
+    assert kept([(None, a, "s"), (None, a, "s"), (3, a, "s")]) == sorted([(None, a), (None, a), (3, a)], key=str)
+    assert kept([(None, a, "s")]) == [(None, a)]

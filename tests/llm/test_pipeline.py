@@ -50,7 +50,7 @@ def plain_pipeline(docs, good, bench, tok):
     """``docs``: (doc_id, text, source) rows; ``good``: the classifier's verdict on a text."""
     docs = [d for d in docs if good[d[1] or ""]]
     assert sum(i is None for i, _, _ in docs) <= 1
-    cleaned = {i: t for i, t, _, _ in brute_lines(docs, 10)}
+    cleaned = {i: t for i, t, _, _ in brute_lines(docs, 3)}
     docs = [(i, cleaned[str(i)], s) for i, _, s in docs]
     docs = [(i, None if t == "None" else t, s) for i, t, s in docs]
     fps = [brute_fp(t) for _, t, _ in docs]
@@ -112,8 +112,13 @@ def test_pipeline_on_odd_rows(spark, tmp_dir):
         df = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
         df.unionByName(df.limit(1).select(*[F.lit(None).cast(d).alias(c) for c, d in df.dtypes])).write.parquet(
             os.path.join(tmp_dir, f"{t}.parquet"))
+    # one id on two texts, and a very long text
+    text = " ".join(r.text or "" for r in docs.select("text").collect())
+    long = (odd.unionByName(one.withColumn("text", F.lit("another text under an id that is there")))
+            .unionByName(one.withColumn("doc_id", F.lit(9004).cast("long")).withColumn("text", F.lit(text * 12))))
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, odd, tmp_dir)
         assert out.columns == odd.columns, name
+        assert stage(spark, long, tmp_dir).columns == odd.columns
         assert stage(spark, odd.where("1 = 0"), tmp_dir).count() == 0
     compare(spark, tmp_dir)
