@@ -6,25 +6,28 @@ normalised difference of the two compressed sizes, with the compression ratio be
 probability by a logistic calibration on labelled documents that the dictionaries have not seen.
 
 The model is fitted on the driver from a bounded sample: at most ``MAX_PER_CLASS`` documents per
-class, each of at most ``MAX_DOC_CHARS`` characters, chosen by a hash of their id. Class shares are
-counted over all training labels. Scoring compresses whole texts inside tasks, without a shuffle.
+class, each of at most ``MAX_DOC_CHARS`` characters and all of at most ``MAX_CLASS_CHARS``, chosen by a
+hash of their id among the labels that have a document. Class shares are counted over all of these
+labels. Scoring compresses whole texts inside tasks, without a shuffle.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chesstally.llm.common import sample_by_hash, text_of
+from chesstally.llm.common import materialize, sample_by_hash, text_of
 
 MAX_PER_CLASS = 1500
 MAX_DOC_CHARS = 200_000
+MAX_CLASS_CHARS = 20_000_000
 BLOCK = 1024
 LEVEL = 1
 DICT_BYTES = 1 << 16
@@ -101,28 +104,35 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-3)
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", max_per_class: int = MAX_PER_CLASS) -> Model:
-    """Fit on labelled documents outside the held-out fold. Null labels and ids are ignored; a
-    document labelled more than once counts with its largest label; without both classes the model
-    gives every text the share of label 1."""
+    """Fit on labelled documents outside the held-out fold. Null labels and ids and labels without a
+    document are ignored; a document labelled more than once counts with its largest label, an id
+    with several texts with the first by hash; without two documents of both classes the model gives
+    every text the share of label 1 and a warning says so."""
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
              .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("y")))
+    # Ids and lengths only: which labelled documents there are, before any is chosen.
+    have = (docs.select(F.col(id_col).alias("id"), F.length(text_of(text_col)).alias("n"))
+            .groupBy("id").agg(F.min("n").alias("low"), F.max("n").alias("n")))
+    known = materialize(known.join(have, "id"), "quality-labels")
     shares = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = shares.get(0, 0) + shares.get(1, 0)
-    if not total:
-        return Model(0.5)
-    prior = shares.get(1, 0) / total
-    if not (shares.get(0) and shares.get(1)):
-        return Model(prior)
+    prior = shares.get(1, 0) / total if total else 0.5
+    fit_for = known.where((F.col("low") > 0) & (F.col("n") <= MAX_DOC_CHARS))
     picked = None
     for y in (0, 1):
-        top = sample_by_hash(known.where(F.col("y") == y), "id", max_per_class, seed=7)
+        top = sample_by_hash(fit_for.where(F.col("y") == y), "id", max_per_class, seed=7)
         picked = top if picked is None else picked.union(top)
+    order = F.xxhash64(F.lit(7), F.col("id"))
+    so_far = Window.partitionBy("y").orderBy(order, "id")  # at most max_per_class rows per class
+    picked = picked.withColumn("so_far", F.sum("n").over(so_far)).where(F.col("so_far") <= MAX_CLASS_CHARS)
     rows = (docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-            .where(F.length("text").between(1, MAX_DOC_CHARS))
-            .join(F.broadcast(picked), "id").dropDuplicates(["id"])  # at most 2 * max_per_class ids
-            .orderBy(F.xxhash64(F.lit(7), F.col("id")), "id").collect())
+            .join(F.broadcast(picked.select("id", "y")), "id")  # at most 2 * max_per_class ids
+            .groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+            .orderBy(order, "id").collect())
     texts = {y: [r["text"] for r in rows if r["y"] == y] for y in (0, 1)}
     if min(map(len, texts.values())) < 2:
+        warnings.warn(f"quality classifier: {len(texts[0])} and {len(texts[1])} labelled documents to learn from; "
+                      f"every text scores {prior:.3f}", stacklevel=2)
         return Model(prior)
     half = {y: len(t) // 2 for y, t in texts.items()}
     lines = {y: dict.fromkeys(x for d in t[:half[y]] for x in d.encode().split(b"\n") if x.strip())
@@ -152,7 +162,9 @@ def score_column(model: Model, text_col: str = "text") -> Column:
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row of ``docs``; other columns are ignored."""
+    """``doc_id, held_out, score, predicted`` for every row of ``docs``; other columns are ignored. Null and
+    empty texts score the share of label 1; a null id is not held out; texts of any length are
+    scored whole; equal texts score alike; an empty table gives an empty result."""
     scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), score_column(model, text_col).alias("score"))
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
@@ -160,6 +172,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id",
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that score below 0.5; columns and other rows stay."""
+    """``docs`` without the documents that score below 0.5; columns and other rows stay, in any number of
+    repeats. Null and empty texts go or stay by the share of label 1; an empty table stays empty."""
     model = fit(docs, labels, id_col, text_col)
     return docs.where(score_column(model, text_col) >= 0.5)

@@ -1,9 +1,11 @@
 import hashlib
+import math
 import random
 import zlib
 
 import public_tokenizers
 import pytest
+import zstandard
 from tokenizers import Tokenizer
 
 from chesstally.llm import bpe, quality
@@ -119,3 +121,43 @@ def test_quality_without_labels(spark, make):
     assert [r.score for r in quality.score_documents(docs, quality.fit(docs, none)).collect()] == [.5, .5]
     assert {r.score for r in quality.score_documents(docs, quality.fit(docs, one)).collect()} <= {.5, 1.0}
     assert quality.score_documents(docs.where("1=0"), quality.fit(docs.where("1=0"), one)).count() == 0
+
+
+def test_quality_by_plain_python(spark, make, rng):
+    """Sizes, features and scores of some texts, from the dictionaries alone."""
+    rows, labels = corpus(rng, 300)
+    docs = make(rows)
+    model = quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    train = {i for i, _ in labels if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert model.prior == pytest.approx(sum(y for i, y in labels if i in train) / len(train))
+    texts = [rows[i][1] for i in range(12)] + ["x", "é" * 3000, sentence(rng, 5000)]
+    want = []
+    for text in texts:
+        data, sizes = text.encode(), []
+        for words in (model.good, model.bad):
+            held = zstandard.ZstdCompressionDict(words)
+            held.precompute_compress(level=1)
+            made = zstandard.ZstdCompressor(level=1, dict_data=held, write_checksum=False, write_content_size=False,
+                                            write_dict_id=False)
+            sizes.append(sum(len(made.compress(data[a:a + 1024])) for a in range(0, len(data), 1024)))
+        good, bad = sizes
+        x = [(bad - good) / (bad + good), min(sizes) / len(data)]
+        z = model.weights[0] + sum(w * (v - m) / s for w, v, m, s in zip(model.weights[1:], x, model.mean, model.scale))
+        want.append(1 / (1 + math.exp(-max(-30, min(30, z)))))
+    assert list(model.score_all(texts)) == pytest.approx(want)
+    got = {r.doc_id: r.score for r in quality.score_documents(docs, model).collect()}
+    assert [got[i] for i in range(12)] == pytest.approx(want[:12])
+
+
+def test_quality_samples_labels_that_have_documents(spark, make, rng, monkeypatch):
+    """Very many labels of absent documents, and a bound on the sample's characters."""
+    rows, labels = corpus(rng, 300)
+    absent = spark.range(10_000, 60_000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int")
+    alone, among = (quality.fit(make(rows), x, max_per_class=50) for x in (lab, lab.union(absent)))
+    assert alone.good is not None and among == alone
+    monkeypatch.setattr(quality, "MAX_CLASS_CHARS", 4000)
+    assert quality.fit(make(rows), lab).good is not None
+    with pytest.warns(UserWarning, match="labelled documents"):
+        model = quality.fit(make(rows), lab.where("quality = 1"))
+    assert model.good is None and model.prior == 1.0
