@@ -95,30 +95,53 @@ def likeness(a: Column, b: Column, bins: int = BINS) -> Column:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint`` of every row; other columns are ignored."""
+    """``doc_id, fingerprint`` of every row; other columns are ignored. Null, empty and blank texts have the
+    empty fingerprint; texts of any length are read whole; equal texts have equal fingerprints; an
+    empty table gives an empty result."""
     return docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col)).alias("fingerprint"))
 
 
+def _bucket(rows: DataFrame, rows_per_bucket: int, quantiles: int, most_per_quantile: int) -> Column:
+    """Number of a row's bucket: ascending in the order of descending ``doc_id``, then ascending ``tie``."""
+    sizes = rows.agg(F.count("doc_id").alias("ids"), F.count(F.lit(1)).alias("n")).first()
+    wanted = max(1, -(-sizes["ids"] // rows_per_bucket))
+    k = min(quantiles, wanted)
+    cuts = rows.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.percentile_approx(
+        "doc_id", [i / k for i in range(1, k)] or [0.5], 40 * quantiles).alias("q")).first()
+    bounds = F.array(*(F.lit(int(q)).cast("long") for q in cuts["q"] or [0]))
+    b, i = len(cuts["q"] or [0]), F.col("doc_id")
+    at = (F.col("tie").cast("double") + 2.0 ** 63) / 2.0 ** 64  # 0 to 1
+    lower = F.size(F.filter(bounds, lambda q: q < i))
+    same = F.size(F.filter(bounds, lambda q: q == i))
+    # An id that is several quantiles: later ties further down. Between two quantiles: equal widths.
+    place = F.lit(b) - (lower + same - F.floor(F.least(at, F.lit(1 - 1e-9)) * same))
+    fine = min(most_per_quantile, -(-wanted // k))
+    low = F.coalesce(F.get(bounds, lower - 1), F.lit(cuts["a"] or 0))
+    high = F.coalesce(F.get(bounds, lower), F.lit(cuts["b"] or 0))
+    step = F.floor((high - i).cast("double") / (high - low + 1).cast("double") * fine)
+    between = F.when(same > 0, F.lit(fine)).otherwise(F.greatest(F.lit(0), F.least(step, F.lit(fine - 1))))
+    nulls = max(1, min(quantiles * most_per_quantile, -(-(sizes["n"] - sizes["ids"]) // rows_per_bucket)))
+    last = F.lit((b + 1) * (fine + 1)) + F.floor(F.least(at, F.lit(1 - 1e-9)) * nulls)
+    return F.when(i.isNull(), last).otherwise(place * (fine + 1) + between).cast("long")
+
+
 def next_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    carry: dict[str, Column] | None = None, rows_per_bucket: int = 500,
-                   max_buckets: int = 65536) -> DataFrame:
+                   quantiles: int = 512, most_per_quantile: int = 128) -> DataFrame:
     """Every row with the next row in descending order of id (after the last: the first), as columns
     ``doc_id, text`` (null: empty), the columns of ``carry``, and each with the prefix ``next_``.
 
-    A window over all rows would be one task. Rows are bucketed by ranges of ids instead (at most
-    ``max_buckets`` of equal width), and the first row of each bucket is copied into the bucket
-    before it, where a window per bucket finds it. Rows without an id come last; rows that share an
-    id follow each other in the order of their texts' hashes.
+    A window over all rows would be one task. Rows are bucketed by quantiles of the ids instead, so an
+    outlying id widens no bucket; an id that fills several quantiles, and rows without an id, are cut
+    by ranges of their texts' hashes. The first row of each bucket is copied into the bucket before
+    it, where a window per bucket finds it. Rows without an id come last; rows that share an id follow
+    each other in the order of their texts' hashes.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    ends = rows.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count(F.lit(1)).alias("n")).first()
-    low, high, n = ends["a"] or 0, ends["b"] or 0, ends["n"]
-    width = max(1, -(-(high - low + 1) // max(1, min(max_buckets, -(-n // rows_per_bucket)))))
-    # Buckets count downwards in id, so the order of buckets is the order of rows.
-    bucket = F.coalesce(F.expr(f"({high}L - doc_id) div {width}L"), F.lit(high - low) / width + 1).cast("long")
-    rows = rows.withColumn("bucket", bucket).withColumn("tie", F.xxhash64("text"))
+    rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+            .withColumn("tie", F.xxhash64("text")))
+    rows = rows.withColumn("bucket", _bucket(rows, rows_per_bucket, quantiles, most_per_quantile))
     order = [F.col("doc_id").desc_nulls_last(), "tie"]
-    # One row per bucket, at most max_buckets of them: who comes first in each.
+    # One row per bucket, at most quantiles * most_per_quantile of them: who comes first in each.
     heads = rows.groupBy("bucket").agg(
         F.min(F.struct((-F.coalesce("doc_id", F.lit(0))).alias("neg"), "tie")).alias("head"))
     turn = Window.orderBy("bucket")

@@ -30,7 +30,9 @@ def write_documents(docs: DataFrame, path: str, tokenizer: str, id_col: str = "d
                     text_col: str = "text", block_ids: int = BLOCK_IDS) -> None:
     """Tokenize every row and write the flat files as a table of blocks at ``path``: one file per
     input partition. The list ``ends`` (the ids of the documents whose separator lies in the block)
-    serves to name counts afterwards; the scan does not read it."""
+    serves to name counts afterwards; the scan does not read it. A null or empty text is a separator
+    alone; a text of any length runs over as many blocks as it needs; repeated rows are written
+    each; an empty table writes no block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, block = TaskContext.get().partitionId(), 0

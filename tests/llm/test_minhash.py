@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 import xxhash
@@ -90,3 +91,38 @@ def test_ties_nulls_and_small_tables(make):
     assert one[0].near_next == 1.0 and one[0].n_chars == 13
     assert minhash.edited_documents(docs.where("1 = 0")).count() == 0
     assert minhash.fingerprints(docs).count() == 5
+
+
+def test_buckets_of_uneven_ids(make):
+    """An outlying id, ids that many rows share, and many rows without one: no bucket holds much more than
+    its share, and buckets follow the order of the rows."""
+    r = random.Random(5)
+
+    def sizes(rows):
+        df = make(rows).select("doc_id", "text").withColumn("tie", F.xxhash64("text"))
+        got = df.withColumn("b", minhash._bucket(df, 50, 512, 128)).collect()
+        order = sorted(got, key=lambda x: (x.doc_id is None, -(x.doc_id or 0), x.tie))
+        assert [x.b for x in order] == sorted(x.b for x in got)
+        return max(Counter(x.b for x in got).values())
+
+    plain = [(i, f"text {i} {r.random()}", "s") for i in range(2000)]
+    assert sizes(plain) <= 110
+    assert sizes(plain + [(10**15, "far", "s"), (-2**62, "lowest", "s")]) <= 110
+    assert sizes([(2**63 - 1 if i % 7 else i * 2**50, f"{i}", "s") for i in range(900)]) <= 110
+    assert sizes(plain[:1400] + [(None, f"no id {i}", "s") for i in range(600)]) <= 110
+    assert sizes(plain[:1400] + [(700, f"one id {i}", "s") for i in range(700)]) <= 110
+    assert sizes([(int(r.paretovariate(.3)) % 2**60, f"{i}", "s") for i in range(2000)]) <= 110
+    assert sizes(plain[:3]) <= 3 and sizes([(None, "a", "s")]) == 1
+
+
+def test_next_documents_of_uneven_ids(make):
+    r = random.Random(6)
+    rows = [(i, f"text {i}", "s") for i in range(700)] + [(10**15, "far", "s")]
+    rows += [(None, f"no id {i}", "s") for i in range(300)] + [(350, f"shared {i}", "s") for i in range(300)]
+    r.shuffle(rows)
+    df = make(rows)
+    ties = {x.text: x.t for x in df.select("text", F.xxhash64("text").alias("t")).collect()}
+    order = sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0), ties[x[1]]))
+    want = sorted((a[1], b[1]) for a, b in zip(order, order[1:] + order[:1]))
+    got = minhash.next_documents(df, rows_per_bucket=20).select("text", "next_text").collect()
+    assert sorted(map(tuple, got)) == want
