@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from chesstally.llm.common import materialize, slices, text_of
 
 FOLDS, HELD_OUT = 7, 2
-KNOWN_WORDS = 1 << 16
+KNOWN_WORDS = 1 << 17
 ROUNDS = (1, 2, 4, 8)  # shares of the training documents
 SHARD_TOKENS = 4_000_000
 FAN = 64  # weights added up by one task
@@ -48,7 +48,7 @@ STEPS, RATE = 24, 0.01
 LANES, LANE_TOKENS = 128, 8192  # documents read side by side: one for so many tokens of a shard
 END, OTHER = 0, 1  # ids of the end of a text (also what precedes its first token) and of other words
 _FLUSH = 200_000  # distinct words that a task holds before it hands its counts on
-_BUFFER = 2_000_000  # tokens that a scoring task holds to sort documents by length
+_BUFFER = 8_000_000  # tokens that a scoring task holds to sort documents by length
 _ALPHABET = 40
 
 
