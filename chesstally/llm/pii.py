@@ -6,21 +6,24 @@ stands before and after it). Thresholds per kind are calibrated on candidates th
 not seen, and the candidates above them are redacted, best first and without overlaps. Spans of the
 base rules (below) always stay, and candidates that touch one of them are left out.
 
-No labels exist for spans, so the trees learn from the corpus by distant supervision: a candidate is
-positive if a base rule finds it or if it is valid in another usual format of its kind (``genuine``:
-addresses with [at] and [dot], IPv6, cards with dots, phones without "+" by their grouping or the word
-before them). Base spans are also written in these formats as further positives, and every positive
-candidate gives corrupted copies (a changed digit, a missing dot, a short number, a plain word) which the rule
-rejects. Each kind has its own trees, so that it does not depend on how frequent the others are. They
-learn from a sample of about ``MAX_CANDIDATES`` candidates, chosen by a hash of their text in equal
-parts from true and false candidates of each kind; a threshold counts all candidates of its kind
-(``_ENOUGH`` examples given, those of the half that the trees have not seen).
+No labels exist for spans, so the trees learn from planted ones (:mod:`chesstally.llm.pii_plants`): private
+values of each kind in usual formats and look-alikes (versions, dates, times, checksums, commit ids,
+placeholders, code) are put, with words that usually stand before them, into contexts taken from the
+corpus. What was planted decides a candidate's label: it is positive if it is a planted private value
+from end to end, and negative if it lies in a look-alike or has other ends. No rule that finds or
+labels candidates is an input of the trees. A second round adds candidates of the corpus that the first
+round takes for background, so that the trees know the corpus's own numbers and codes.
+
+Thresholds: half of the plants, with other contexts and other words before them, are kept for
+calibration; they bound a kind's threshold by precision and recall. Between these bounds it lies where the
+scores of all candidates of the corpus are sparsest. Bounded samples: ``CONTEXTS`` contexts and
+``BACKGROUND`` candidates per kind, chosen by hashes; everything else covers all texts.
 """
 
 from __future__ import annotations
 
-import ipaddress
 import math
+import random
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -33,17 +36,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chesstally.llm.common import materialize, slices
+from chesstally.llm import pii_plants as plants
+from chesstally.llm.common import materialize, sample_by_hash, slices
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = KINDS[:4]
-MAX_CANDIDATES = 12_000
-PRECISION = 0.99  # asked of a kind's threshold on the calibration half
+CONTEXTS = 4000
+PLANTS = 500  # of either label per kind and half
+BACKGROUND = 1000
+PRECISION, RECALL = 0.98, 0.95  # bounds of a kind's threshold on the calibration half
 _TREES, _DEPTH, _BINS, _SHRINK = 40, 3, 32, 0.25
 _BEFORE, _AFTER = 24, 4
-_ENOUGH = 20  # examples of either label in either half from which a half is kept for calibration
-_LEAST = 200  # rows of a label in training; fewer are repeated
-_STEPS = 4000  # bins of scores
+_STEPS = 1000  # bins of scores
 
 # ---- base rules -------------------------------------------------------------------------------
 
@@ -97,10 +101,10 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 # ---- candidates -------------------------------------------------------------------------------
 
-_ANY = re.compile(r"(?i)[0-9@=]|[\[(]at[\])]| dot |::")
+_ANY = re.compile(r"(?i)[0-9@=]|[\[(]at[\])]| dot |::|eyJ|AKIA|(?:pass|pwd|token|secret|key)[\w-]*[\"']?[ \t]{0,3}:")
 _OUTER = frozenset(" \t\n\r\x0b\f<>\"'(),;:[]{}|")
-_AT = re.compile(r"(?i)[\w.+-]{1,64} ?(?:\[at\]|\(at\)) ?[\w-]{1,63}(?:(?: ?(?:\[dot\]|\(dot\)) ?| dot |\.)[\w-]{1,63}){1,4}"
-                 r"|(?<![\w.+-])[\w.+-]{1,64} at [\w-]{1,63}(?: dot [\w-]{1,63}){1,4}")
+_AT = re.compile(r"(?i)[\w.+-]{1,64} ?(?:\[at\]|\(at\)) ?[\w-]{1,63}(?:(?: ?(?:\[dot\]|\(dot\)) ?| dot |\.)[\w-]{1,63}){1,8}"
+                 r"|(?<![\w.+-])[\w.+-]{1,64} at [\w-]{1,63}(?: dot [\w-]{1,63}){1,8}")
 _DOTTED = re.compile(r"(?<![0-9.])[0-9]{1,5}(?:\.[0-9]{1,5}){2,7}")
 _HEXES = re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){4,7}")
 _COLONS = re.compile(r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]{0,4}:[0-9A-Fa-f:]{1,38}(?![0-9A-Za-z])")
@@ -112,6 +116,9 @@ _NUMBER = re.compile(r"\+?\(?(?<![0-9])[0-9](?:[ ().\-]{0,2}[0-9]){7,18}")
 _KEYED = re.compile(r"(?i:pass(?:word|wd)?|pwd|token|secret|api[_-]?key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?"
                     r"([^\s\"']{6,})")
 _DENSE = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}")
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)?")
+_ACCESS = re.compile(r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])")
+_LOGIN = re.compile(r"://[^\s/:@]{1,64}:([^\s/@]+)@")
 
 
 def candidates(text: str) -> set[tuple[int, int, str]]:
@@ -141,105 +148,46 @@ def candidates(text: str) -> set[tuple[int, int, str]]:
     for r in (_NUMBER, _CARDS, _PHONES):
         for m in r.finditer(text):
             out.update((*m.span(), k) for k in ("card", "phone"))
-    out.update((*m.span(1), "secret") for m in _KEYED.finditer(text))
+    out.update((*m.span(1), "secret") for r in (_KEYED, _LOGIN) for m in r.finditer(text))
+    out.update((*m.span(), "secret") for r in (_JWT, _ACCESS) for m in r.finditer(text))
     out.update((*m.span(), "secret") for m in _DENSE.finditer(text)
                if any(c.isdigit() for c in m.group()) and any(c.isalpha() for c in m.group()))
     out.update(s for s in base_spans(text))
     return out
 
 
-_HINT = re.compile(r"(?i)pass(word|wd)?|pwd|token|secret|key|akia")
+#: Words that often stand before private values, and before look-alikes.
+_WORDS = [re.compile(r"(?i)" + w) for w in (
+    r"pass(word|wd)?|pwd|token|secret|key|akia|bearer|credential|auth", r"tel|phone|call|mobile|cell|fax|whatsapp|dial",
+    r"card|visa|amex|mastercard|credit|paid|charge", r"mail|write|contact|reach|@", r"ip\b|host|server|address|from|ping|node",
+    r"version|\bv\b|release|chapter|section|build", r"commit|sha|md5|hash|digest|checksum|etag|uuid|rev",
+    r"order|invoice|ticket|isbn|serial|part|item|id\b|no\b", r"date|time|on\b|since|until|at\b")]
 
 
 def features(before: str, span: str, after: str, kind: str) -> list[float]:
+    """Format and context of a span as numbers."""
     n = len(span)
     d = _digits(span)
+    groups = [len(g) for g in re.findall(r"[0-9]+", span[:200])] or [0]
+    gaps = set(re.findall(r"[^0-9A-Za-z]+", span[:200]))
     parts = span.split(".")
-    tail = span.rsplit("@", 1)[-1] if "@" in span else ""
-    mail = plain_email(span) if kind == "email" else ""
     share = [c / n for c in Counter(span).values()]
     octets = [int(p) for p in parts if p.isascii() and p.isdigit() and len(p) < 6]
+    runs = re.findall(r"[A-Za-z]+", span[:200])
+    near = before[-16:]
     return [
         n, len(d), len(d) / n, sum(c.isupper() for c in span) / n, sum(c.islower() for c in span) / n,
         sum(c in "0123456789abcdef" for c in span) / n, sum(c in " -()." for c in span), len(parts),
-        span.count("@"), span.startswith("+"), -sum(p * math.log2(p) for p in share),
-        len(d) >= 12 and luhn(d), len(octets) == len(parts) == 4 and max(octets) <= 255,
-        "." in tail.strip("."), bool(re.fullmatch(r"[\w.%+-]+@[\w-]+(\.[\w-]+)+", mail)) if kind == "email" else 0.0,
-        kind == "ip" and ":" in span and _ipv6(span), kind == "phone" and bool(_PHONES.fullmatch(span)),
-        kind == "phone" and bool(_CALLED.search(before)), kind == "card" and bool(_CARDS.fullmatch(span)),
-        len(share) / n, bool(_HINT.search(before[-14:])),
-        before[-1:].isalnum(), after[:1].isalnum(), before[-1:] in ("=", ":", '"', "'"),
-        span.isalpha(), *(kind == k for k in KINDS)]
-
-
-def _ipv6(span: str) -> bool:
-    try:
-        ip = ipaddress.IPv6Address(span)
-    except ValueError:
-        return False
-    return not (ip.is_reserved or ip.is_multicast or ip.is_unspecified or ip.is_loopback)
-
-
-def plain_email(span: str) -> str:
-    """An address without its disguise."""
-    span = re.sub(r"(?i) ?(?:\[at\]|\(at\)) ?| at ", "@", span)
-    return re.sub(r"(?i) ?(?:\[dot\]|\(dot\)) ?| dot ", ".", span)
-
-
-def genuine(before: str, span: str, kind: str) -> bool:
-    """Whether a span that need not follow the base rule is valid by its parts, checksum or context."""
-    if kind == "email":
-        return bool(re.fullmatch(r"[\w.%+-]+@[\w-]+(\.[\w-]+)*\.[A-Za-z]{2,}", plain_email(span)))
-    if kind == "ip":
-        return _ipv6(span)
-    if kind == "card":
-        return bool(_CARDS.fullmatch(span)) and 14 <= len(d := _digits(span)) <= 19 and luhn(d)
-    return 10 <= len(_digits(span)) <= 15 and bool(_PHONES.fullmatch(span) or _CALLED.search(before))
-
-
-def strict(before: str, span: str, after: str, kind: str) -> bool:
-    """The rule that labels a candidate of the training sample."""
-    if kind != "secret":
-        return (0, len(span), kind) in base_spans(span) or genuine(before, span, kind)
-    mixed = any(c.isdigit() for c in span) and any(c.isalpha() for c in span)
-    keyed = bool(re.search(r"(?i)(pass(word|wd)?|pwd|token|secret|api[_-]?key)[\"']?\s*[=:]\s*[\"']?$", before))
-    return mixed and (keyed and len(span) >= 8 or bool(re.fullmatch(r"AKIA[0-9A-Z]{16}", span))
-                      or bool(re.fullmatch(r"[0-9a-f]{32,}", span)))
-
-
-def variants(span: str, kind: str, seed: int) -> list[str]:
-    """A base span, or one like it, in other formats of its kind: positives whatever finds them."""
-    d = _digits(span)
-    if kind == "email" and "@" in span:
-        local, domain = span.rsplit("@", 1)
-        return [f"{local} [at] {domain.replace('.', ' [dot] ')}", f"{local}(at){domain}",
-                f"{local} at {domain.replace('.', ' dot ')}"]
-    if kind == "ip":
-        g = [f"{seed >> 4 * i & 0xffff:x}" for i in range(6)]
-        return [f"2001:db8:{':'.join(g)}", f"fe80::{g[0]}:{g[1]}:{g[2]}", f"2a02:{g[3]}::{g[4]}"]
-    if kind == "card":
-        return [f"{d[:4]}{c}{d[4:8]}{c}{d[8:12]}{c}{d[12:]}" for c in ". -"]
-    if kind == "phone" and len(d) >= 10:
-        a, b, c = d[-10:-7], d[-7:-4], d[-4:]
-        return [f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}"]
-    return []
-
-
-def corrupted(span: str, kind: str, seed: int) -> list[str]:
-    """Look-alikes of a true span; ``strict`` decides their label too."""
-    at = seed % len(span)
-    flip = "".join(str((int(c) + 1 + seed % 8) % 10) if i == max(0, len(span) - 1 - seed % 5) and c.isdigit() else c
-                   for i, c in enumerate(span))
-    out = [flip, span[:max(3, len(span) // 2)], "".join(c for c in span if not c.isdigit()) or "x"]
-    if kind == "email":
-        out += [span.replace(".", ""), span[:at] + "@" + span[at:]]
-    if kind == "ip":
-        out += [span + ".7", re.sub(r"[0-9]+$", str(256 + seed % 700), span)]
-    if kind == "phone":
-        out += [span.lstrip("+"), span + " 555 " + span[-4:]]
-    if kind == "secret":
-        out += ["".join(c for c in span if c.isalpha())[:12] or "word", span[:5], span * (2 + seed % 60)]
-    return out
+        span.count("@"), span.count(":"), span.startswith("+"), -sum(p * math.log2(p) for p in share), len(share) / n,
+        len(d) >= 12 and luhn(d), max(octets, default=-1), len(octets), len(groups), groups[0], groups[-1],
+        max(groups), min(groups), len(gaps), "::" in span, span[:1] == "(", max(map(len, runs), default=0), len(runs),
+        sum(a.isalpha() and b.isdigit() or a.isdigit() and b.isalpha() for a, b in zip(span[:200], span[1:200])),
+        span.isalpha(), span.islower(), " at " in span.lower(), "dot" in span.lower(), int(d[:1] or 0), int(d[:4] or 0),
+        "=" in span.rstrip("="), span.endswith("="), span.count("/"), span.count("_"), span.count("-"), span[:3] == "eyJ",
+        sum(not c.isalnum() for c in span) / n, span.strip(".,;:!?").lower() in plants.PLACEHOLDERS, span[:1] in "<{[$%*",
+        span[-1:] in ">}]%*", "://" in before, before[-1:].isalnum(), after[:1].isalnum(), before[-1:] in ("=", '"', "'"), before[-2:-1] in (":", "="),
+        before[-1:] in (":", "/"), before[-1:] in (".", "-", "_"), after[:1] in (".", "-", "_", ":", "/", "("),
+        *(bool(w.search(near)) for w in _WORDS)]
 
 
 # ---- boosted trees ----------------------------------------------------------------------------
@@ -306,126 +254,124 @@ class Trees:
 class Model:
     trees: dict[str, Trees] | None = None  # by kind; None: nothing to learn from; the base rules alone
     cuts: dict[str, float] = field(default_factory=dict)  # kinds without a cut select nothing
+    measured: dict[str, tuple[float, float]] = field(default_factory=dict)  # precision and recall on kept plants
 
 
 def _around(text: str, a: int, b: int) -> tuple[str, str, str]:
     return text[max(0, a - _BEFORE):a], text[a:b], text[b:b + _AFTER]
 
 
-def _balanced(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the rarer label repeated, so that a few true spans count among many false ones."""
-    n = np.array([(y == 0).sum(), (y == 1).sum()])
-    times = np.ceil(max(_LEAST, n.max()) / n).astype(int)
-    at = np.repeat(np.arange(len(y)), times[y.astype(int)])
-    return x[at], y[at]
-
-
 def _bins(scores: np.ndarray) -> np.ndarray:
     return (scores * _STEPS).astype(int)
 
 
-def fit(docs: DataFrame, text_col: str = "text", max_candidates: int = MAX_CANDIDATES) -> Model:
-    """Trees and thresholds from the corpus's candidates (see the module's text)."""
+def planted(kind: str, contexts: list[tuple[str, str]], half: int, n: int = PLANTS
+            ) -> list[tuple[list[float], bool]]:
+    """Features and labels of the candidates in and around ``n`` planted values and ``n`` look-alikes."""
+    rng = random.Random(f"{kind} {half}")
+    out = []
+    for i in range(2 * n):
+        left, right = contexts[rng.randrange(len(contexts))]
+        real = i % 2 == 0
+        before, span, after = (plants.private if real else plants.look_alike)(kind, rng, half)
+        a = len(left) + 1 + len(before)
+        b = a + len(span)
+        text = f"{left} {before}{span}{after} {right}"
+        base = base_spans(text)
+        if real and any(s < b and a < e for s, e, _ in base):
+            continue  # a base rule's already
+        for lo, hi, k in sorted(candidates(text)):
+            if k == kind and lo < b and a < hi and all(hi <= s or e <= lo for s, e, _ in base):
+                out.append((features(*_around(text, lo, hi), kind), real and (lo, hi) == (a, b)))
+    return out
+
+
+def _contexts(docs: DataFrame, text_col: str, most: int) -> list[tuple[str, str]]:
+    """Some characters before and after a place in each of at most ``most`` texts, by a hash of the text."""
+    text, n = F.col(text_col), F.length(text_col)
+    place = (F.pmod(F.xxhash64(F.lit(9), text), F.greatest(n, F.lit(1))) + 1).cast("int")
+    rows = docs.where(n > 0).select(
+        F.xxhash64(text).alias("h"), F.substr(text, F.greatest(place - _BEFORE, F.lit(1)), F.lit(_BEFORE)).alias("a"),
+        F.substr(text, place, F.lit(2 * _AFTER)).alias("b"))
+    return [(r["a"], r["b"]) for r in sample_by_hash(rows, "h", most, seed=3).collect()] or [("", "")]
+
+
+def fit(docs: DataFrame, text_col: str = "text", contexts: int = CONTEXTS, background: int = BACKGROUND) -> Model:
+    """Trees and thresholds (see the module's text). An empty table gives the base rules alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Distinct candidates that touch no base span, as features."""
         for part in slices(batches):
-            rows = set()
+            rows: dict[int, tuple] = {}
             for text in part.column(0).to_pylist():
+                base = base_spans(text or "")
                 for a, b, kind in candidates(text or ""):
-                    before, span, after = _around(text, a, b)
-                    key = xxhash.xxh64_intdigest(f"{kind}|{before}|{span}|{after}".encode()) >> 1
-                    rows.add((key, kind, before, span, after))
-            cols = list(zip(*rows)) if rows else [()] * 5
-            true = [strict(before, span, after, kind) for _, kind, before, span, after in rows]
+                    if all(b <= s or e <= a for s, e, _ in base):
+                        before, span, after = _around(text, a, b)
+                        key = xxhash.xxh64_intdigest(f"{kind}|{before}|{span}|{after}".encode()) >> 1
+                        rows[key] = (kind, [float(f) for f in features(before, span, after, kind)])
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(c, t) for c, t in zip(cols, (pa.int64(), *[pa.string()] * 4))], pa.array(true, pa.bool_())],
-                ["key", "kind", "before", "span", "after", "true"])
+                [pa.array(list(rows), pa.int64()), pa.array([k for k, _ in rows.values()], pa.string()),
+                 pa.array([x for _, x in rows.values()], pa.list_(pa.float32()))], ["key", "kind", "x"])
 
-    def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Features of a candidate and of its corruptions, so that no long span goes to the driver."""
-        for part in slices(batches):
-            out = []
-            for r in part.to_pylist():
-                key, kind, before, span, after = (r[c] for c in ("key", "kind", "before", "span", "after"))
-                versions = [(span, r["true"], False)]
-                if r["true"]:
-                    versions += [(c, strict(before, c, after, kind), True)
-                                 for c in corrupted(span, kind, key) if c != span]
-                    versions += [(v, True, True) for v in variants(span, kind, key) if v != span]
-                out += [(key, kind, r["true"], [float(f) for f in features(before, v, after, kind)], y, made)
-                        for v, y, made in versions]
-            types = (pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.float64()), pa.bool_(), pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(list(zip(*out)) if out else [()] * 6, types)],
-                ["key", "kind", "true", "x", "y", "made"])
-
-    found = materialize(
-        docs.select(F.col(text_col).alias("text")).mapInArrow(
-            run, "key long, kind string, before string, span string, after string, true boolean").distinct(),
-        "pii-candidates")
-    sizes = {(r["kind"], r["true"]): r["n"]
-             for r in found.groupBy("kind", "true").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if sum(sizes.values()) < 20:
+    around = _contexts(docs, text_col, contexts)
+    if around == [("", "")]:
         return Model()
-    most = max(1, max_candidates // (2 * len(KINDS)))
-    order, chosen = F.xxhash64(F.lit(5), F.col("key")), F.lit(False)
-    for (kind, true), n in sorted(sizes.items()):
-        # A sample of small strata would differ from its expected size.
-        below = F.lit(True) if n <= 2 * most else order < F.lit(int(2.0 ** 64 * most / n) - 2 ** 63)
-        chosen = chosen | ((F.col("kind") == kind) & (F.col("true") == true) & below)
-    rows = found.where(chosen).mapInArrow(
-        examples, "key long, kind string, true boolean, x array<double>, y boolean, made boolean").collect()
-    rows.sort(key=lambda r: (r["key"], r["x"]))
-    taken = Counter((r["kind"], r["true"]) for r in rows if not r["made"])
-    trees: dict[str, Trees] = {}
-    unseen: dict[str, bool] = {}  # whether the trees have seen but the half of the odd keys
-    # Corruptions count in calibration for as many as their candidate stands for.
-    good, all_ = ({k: np.zeros(_STEPS + 1) for k in KINDS} for _ in range(2))
+    found = materialize(
+        docs.select(F.col(text_col).alias("text")).mapInArrow(run, "key long, kind string, x array<float>")
+        .groupBy("key").agg(F.first("kind").alias("kind"), F.first("x").alias("x")), "pii-candidates")
+    seen: dict[str, list] = {k: [] for k in KINDS}
     for kind in KINDS:
-        own = [r for r in rows if r["kind"] == kind]
-        x, y = np.array([r["x"] for r in own], float), np.array([r["y"] for r in own], float)
-        if len(set(y)) < 2:
-            continue
-        odd = np.array([r["key"] & 1 for r in own], bool)  # a candidate and its corruptions stay together
-        unseen[kind] = min((y[f] == t).sum() for f in (odd, ~odd) for t in (0, 1)) >= _ENOUGH
-        use = odd if unseen[kind] else np.ones(len(y), bool)
-        trees[kind] = Trees().fit(*_balanced(x[use], y[use]))
-        made = np.array([r["made"] for r in own], bool) & (~odd | (not unseen[kind]))
-        weight = np.array([sizes[kind, r["true"]] / taken[kind, r["true"]] for r in own])[made]
-        at = _bins(trees[kind].predict(x[made]))
-        good[kind] += np.bincount(at, weight * y[made], _STEPS + 1)
-        all_[kind] += np.bincount(at, weight, _STEPS + 1)
-    if not trees:
-        return Model()
+        rows = sample_by_hash(found.where(F.col("kind") == kind), "key", background, seed=5)
+        seen[kind] = [r["x"] for r in rows.collect()]
+    trees, kept = {}, {}
+    for kind in KINDS:
+        rows, kept[kind] = planted(kind, around[::2], 0), planted(kind, around[1::2] or around, 1)
+        x, y = np.array([r[0] for r in rows], float), np.array([r[1] for r in rows], float)
+        trees[kind] = Trees().fit(x, y)
+        if seen[kind]:  # what the first round takes for the corpus's background joins the negatives
+            own = np.array(seen[kind], float)
+            own = own[trees[kind].predict(own) < 0.5]
+            trees[kind] = Trees().fit(np.concatenate([x, own]), np.concatenate([y, np.zeros(len(own))]))
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[tuple[str, bool, int]] = Counter()
-        for part in slices(batches):
-            asked: dict[str, list] = {}
-            for r in part.to_pylist():
-                if r["kind"] in trees and not (unseen[r["kind"]] and r["key"] & 1):
-                    asked.setdefault(r["kind"], []).append(r)
-            for kind, rs in asked.items():
-                got = trees[kind].predict(np.array(
-                    [features(r["before"], r["span"], r["after"], kind) for r in rs], float))
-                held.update(zip([kind] * len(rs), [r["true"] for r in rs], _bins(got).tolist()))
+        held: Counter[tuple[str, int]] = Counter()
+        for part in slices(batches, 4096):
+            kinds = np.array(part.column(1).to_pylist())
+            x = np.array(part.column(2).to_pylist(), float)
+            for kind in set(kinds.tolist()):
+                held.update(zip([kind] * int((kinds == kind).sum()), _bins(trees[kind].predict(x[kinds == kind])).tolist()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.bool_()),
-             pa.array([k[2] for k in held], pa.int64()), pa.array(held.values(), pa.int64())],
-            ["kind", "true", "bin", "n"])
-
-    counted = (found.mapInArrow(scores, "kind string, true boolean, bin long, n long")
-               .groupBy("kind", "true", "bin").agg(F.sum("n").alias("n")).collect())
-    for r in counted:
-        all_[r["kind"]][r["bin"]] += r["n"]
-        good[r["kind"]][r["bin"]] += r["n"] * r["true"]
-    cuts = {}
-    for kind in trees:
-        right, n = np.cumsum(good[kind][::-1])[::-1], np.cumsum(all_[kind][::-1])[::-1]  # at or above a bin
-        fit_for = np.flatnonzero((right > 0) & (right >= PRECISION * n - 1e-9))
-        if len(fit_for):
-            cuts[kind] = max(0.5, float(fit_for[0]) / _STEPS)
-    return Model(trees, cuts)
+            [pa.array([k for k, _ in held], pa.string()), pa.array([b for _, b in held], pa.int64()),
+             pa.array(held.values(), pa.int64())], ["kind", "bin", "n"])
+
+    everywhere = {k: np.zeros(_STEPS + 1) for k in KINDS}
+    for r in (found.mapInArrow(scores, "kind string, bin long, n long").groupBy("kind", "bin")
+              .agg(F.sum("n").alias("n")).collect()):
+        everywhere[r["kind"]][r["bin"]] += r["n"]
+    cuts, measured = {}, {}
+    for kind in KINDS:
+        x, y = np.array([r[0] for r in kept[kind]], float), np.array([r[1] for r in kept[kind]], bool)
+        cut = _cut(trees[kind].predict(x), y, everywhere[kind])
+        if cut is not None:
+            chosen = trees[kind].predict(x) >= cut
+            cuts[kind], measured[kind] = cut, (float(y[chosen].mean()), float(chosen[y].mean()))
+    return Model(trees, cuts, measured)
+
+
+def _cut(scores: np.ndarray, y: np.ndarray, everywhere: np.ndarray) -> float | None:
+    """The least score with ``PRECISION`` on the kept plants, or one above it that keeps ``RECALL``: there
+    where the corpus's candidates are sparsest (in a window of a twentieth)."""
+    grid = np.arange(1, _STEPS + 1) / _STEPS
+    above = scores[:, None] >= grid
+    right, n = (above & y[:, None]).sum(0), above.sum(0)
+    able = np.flatnonzero((right > 0) & (right >= PRECISION * n))
+    if not len(able):
+        return None
+    low = able[0]
+    high = max([low, *np.flatnonzero(right >= RECALL * y.sum())])
+    dense = np.convolve(everywhere, np.ones(_STEPS // 20 + 1), "same")
+    return float(grid[low + int(np.argmin(dense[low + 1:high + 2]))])
 
 
 def select(model: Model, texts: list[str]) -> list[list[tuple[int, int, str, float, bool]]]:
@@ -496,7 +442,8 @@ def redact(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
 
 def digest_columns(found: DataFrame) -> DataFrame:
-    """Counts of base spans per kind, the digest of the base spans and the list of all spans."""
+    """Counts of base spans per kind, the digest of the base spans, the list of all spans, and the numbers of
+    secrets and of all spans (added ones included)."""
     def shown(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -507,4 +454,6 @@ def digest_columns(found: DataFrame) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
     counts = [count(k).alias(f"n_{k}") for k in BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(shown(base).cast("binary"), 256).alias("base_sha256"),
-                        shown(F.col("spans")).alias("spans"))
+                        shown(F.col("spans")).alias("spans"),
+                        F.size(F.filter("spans", lambda s: s["kind"] == "secret")).cast("long").alias("n_secret"),
+                        F.size("spans").cast("long").alias("n_spans"))
