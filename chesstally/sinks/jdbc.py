@@ -125,13 +125,20 @@ def write_aggregates(df: DataFrame, url: str, table: str = "aggregates", mode: s
      .write.format("jdbc").options(**opts).mode(mode).save())
 
 
-def _execute(spark: SparkSession, url: str, statements: list[str], props: dict[str, str]) -> None:
-    """Run statements in one transaction on a driver-side JDBC connection."""
+def _connect(spark: SparkSession, url: str, props: dict[str, str]):
+    """A driver-side connection. The backend's class is registered first, as Spark's own JDBC source does:
+    jars given to the session by ``--jars`` are not on the class path that ``DriverManager`` searches."""
     jvm = spark.sparkContext._jvm
+    jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(DRIVERS[detect_backend(url)])
     info = jvm.java.util.Properties()
     for k, v in {**_split_credentials(url)[1], **props}.items():
         info.setProperty(k, v)
-    conn = jvm.java.sql.DriverManager.getConnection(jdbc_url(url), info)
+    return jvm.java.sql.DriverManager.getConnection(jdbc_url(url), info)
+
+
+def _execute(spark: SparkSession, url: str, statements: list[str], props: dict[str, str]) -> None:
+    """Run statements in one transaction on a driver-side JDBC connection."""
+    conn = _connect(spark, url, props)
     try:
         conn.setAutoCommit(False)
         stmt = conn.createStatement()
@@ -190,11 +197,7 @@ def ledger_finish_sql(table: str = "ingestions") -> str:
 
 def _execute_prepared(spark: SparkSession, url: str, sql: str, params: list,
                       props: dict[str, str]) -> None:
-    jvm = spark.sparkContext._jvm
-    info = jvm.java.util.Properties()
-    for k, v in {**_split_credentials(url)[1], **props}.items():
-        info.setProperty(k, v)
-    conn = jvm.java.sql.DriverManager.getConnection(jdbc_url(url), info)
+    conn = _connect(spark, url, props)
     try:
         stmt = conn.prepareStatement(sql)
         for i, value in enumerate(params, start=1):

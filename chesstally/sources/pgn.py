@@ -32,9 +32,11 @@ from chesstally.sources.pgn_source import (
     COMPRESSED_SUFFIXES,
     SPLIT_BYTES,
     PgnDataSource,
+    ends_with_separator,
     frame_end,
     is_zstd,
     open_file,
+    readable,
 )
 
 GAME_SEPARATOR = "\n[Event "
@@ -189,10 +191,23 @@ def read_games_positioned(spark: SparkSession, paths: str | Sequence[str],
         F.concat(F.lit(GAME_SEPARATOR[1:]), F.col("game"))))
 
 
+#: So many files' last bytes are read by the driver, side by side; those of more files in tasks.
+MANY_FILES = 4096
+
+
 def truncated_files(spark: SparkSession, files: Iterable[str]) -> list[str]:
     """The uncompressed files among ``files`` whose bytes end with the separator."""
     sep = GAME_SEPARATOR.encode("utf-8")
     plain = [f for f in files if not f.lower().endswith(COMPRESSED_SUFFIXES)]
+    if len(plain) > MANY_FILES and all(readable(f) for f in plain):
+        def look(batches):
+            for batch in batches:
+                ends = [ends_with_separator(f) for f in batch.column(0).to_pylist()]
+                yield batch.filter(pa.array(ends, pa.bool_()))
+
+        dealt = spark.createDataFrame([(f,) for f in plain], "file string").repartition(
+            max(8, len(plain) // MANY_FILES), "file")
+        return sorted(r.file for r in dealt.mapInArrow(look, "file string").toLocalIterator())
     return [f for f, tail in zip(plain, fs.file_tails(spark, plain, len(sep))) if tail == sep]
 
 

@@ -56,6 +56,12 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
 
+def readable(path: str) -> bool:
+    """Whether the path's scheme is one that ``pyarrow.fs`` knows."""
+    scheme = path.split(":", 1)[0] if ":" in path.split("/", 1)[0] else "file"
+    return scheme in ("file", "hdfs", "s3", "gs")
+
+
 def open_file(path: str) -> pa.NativeFile:
     fs, inner = filesystem(path)
     return fs.open_input_file(inner)

@@ -153,3 +153,15 @@ def test_gzip_dump(spark, tmp_dir):
     assert df.where(F.col("source_month") == "2013-09").count() == 5
     agg = aggregate_games(df).where(F.col("eco_group") == "B20-B99").collect()
     assert [(r.month, r.games, r.white_wins) for r in agg] == [("2013-07", 4, 4)]
+
+
+def test_tails_of_very_many_files_are_read_in_tasks(spark, tmp_dir, monkeypatch):
+    from chesstally.sources import pgn
+
+    for i in range(30):
+        write(os.path.join(tmp_dir, "many", f"f {i:02d}%20x.pgn"), '[Event "a"]\n' + ("\n[Event " if i % 3 else "\n"))
+    few = read_games(spark, os.path.join(tmp_dir, "many")).count()
+    monkeypatch.setattr(pgn, "MANY_FILES", 5)
+    calls = []
+    monkeypatch.setattr(pgn.fs, "file_tails", lambda *a: calls.append(a) or [])
+    assert read_games(spark, os.path.join(tmp_dir, "many")).count() == few == 30 + 20 and not calls

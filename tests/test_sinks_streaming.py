@@ -190,6 +190,15 @@ def test_jdbc_backend_and_sql():
     assert "month       VARCHAR(7)  PRIMARY KEY" in jdbc.INGESTIONS_DDL
 
 
+def test_jdbc_registers_the_backend_class(spark):
+    """Without the driver's jar the class is named, before any connection is tried."""
+    from py4j.protocol import Py4JJavaError
+
+    for url in ("sqlite:///x.db", "postgres://u:p@h/db", "mysql://u:p@h/db"):
+        with pytest.raises(Py4JJavaError, match=jdbc.DRIVERS[jdbc.detect_backend(url)]):
+            jdbc._connect(spark, url, {})
+
+
 def test_ingest_plan_with_ledger(spark, tmp_dir):
     urls = []
     for m, n in (("2013-01", 4), ("2013-02", 6), ("2013-03", 3)):
