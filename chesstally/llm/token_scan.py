@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 from chesstally.llm.common import scratch, slices
 from chesstally.llm.tokens import END, encode
+from chesstally.sources.pgn_source import open_file
 
 BLOCK_IDS = 1 << 18
+_TASK_BLOCKS = 256  # blocks of a raw file that are dealt together
 
 
 def write_documents(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id",
@@ -73,19 +75,25 @@ def write_documents(docs: DataFrame, path: str, tokenizer: str, id_col: str = "d
 
 
 def read_files(spark: SparkSession, paths: str | list[str], block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Blocks of raw little-endian 16-bit files (each below 2 GB, as Spark's binary reader asks)."""
+    """Blocks of raw little-endian 16-bit files of any length. Spark lists the files with their lengths
+    (it reads no content); tasks then read byte ranges, a block each, by ``pyarrow.fs``."""
+    step = 2 * block_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = 2 * block_ids
-        for part in slices(batches, 1):
-            name, data = part.column(0)[0].as_py(), part.column(1)[0].as_py()
-            for n, at in enumerate(range(0, len(data), step)):
+        for part in slices(batches, 64):
+            for name, block in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                with open_file(name) as f:
+                    data = f.read_at(step, block * step)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name]), pa.array([n], pa.int64()), pa.array([data[at:at + step]], pa.binary())],
+                    [pa.array([name]), pa.array([block], pa.int64()), pa.array([data], pa.binary())],
                     ["file", "block", "data"])
 
-    return (spark.read.format("binaryFile").load(paths).select("path", "content")
-            .mapInArrow(run, "file string, block long, data binary"))
+    files = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("file"), "length")
+    last = F.greatest(F.lit(0).cast("long"), F.expr(f"(length - 1) div {step}"))
+    blocks = files.select("file", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
+    # Neighbouring blocks to one task, a long file's to many.
+    dealt = blocks.repartition(F.xxhash64("file"), F.expr(f"block div {_TASK_BLOCKS}"))
+    return dealt.mapInArrow(run, "file string, block long, data binary")
 
 
 def scan(blocks: DataFrame, end: int = END) -> DataFrame:
