@@ -24,10 +24,11 @@ from pyspark.sql import DataFrame  # noqa: E402
 from chesstally.operators import trends  # noqa: E402
 from chesstally.operators.aggregate import aggregate_games, rebalance_games  # noqa: E402
 from chesstally.session import build_session, scratch_path  # noqa: E402
-from chesstally.sinks import store  # noqa: E402
+from chesstally.sinks import appends, store  # noqa: E402
 from chesstally.sinks.csv import write_csv  # noqa: E402
 from chesstally.sources.pgn import read_games  # noqa: E402
 from chesstally.streaming.ingest import run_ingest  # noqa: E402
+from chesstally.streaming.totals import start_running_totals  # noqa: E402
 from chesstally.testing import fixtures  # noqa: E402
 from chesstally.testing import queries as Q  # noqa: E402
 
@@ -81,6 +82,15 @@ def main() -> None:
                 with open(part, "rb") as f:
                     w.write(f.read())
 
+    # The same bytes as frames of 1 MB, cut without regard to games.
+    frames_path = None
+    if zst_path is not None:
+        frames_path = os.path.dirname(zst_path) + "/games_rated_frames.pgn.zst"
+        with open(zst_path, "rb") as f, open(frames_path, "wb") as out:
+            with zstandard.ZstdDecompressor().stream_reader(f) as plain:
+                while chunk := plain.read(1 << 20):
+                    out.write(zstandard.ZstdCompressor(level=3).compress(chunk))
+
     def stored():
         return spark.read.parquet(agg_path)
 
@@ -103,6 +113,10 @@ def main() -> None:
                 with open(part, "rb") as f:
                     w.write(f.read())
 
+    def totals_run(table: str, checkpoint: str) -> None:
+        start_running_totals(spark, pgn, checkpoint, appends.totals_sink(table),
+                             max_files_per_trigger=50).awaitTermination()
+
     cases = {
         # text scan + header parse + keys + ECO join + aggregate (the reference's whole job)
         "parse_aggregate": lambda: _run(aggregate_games(read_games(spark, pgn, with_source=False))),
@@ -110,6 +124,9 @@ def main() -> None:
         # the same games as one unsplittable .zst: one task decompresses, 2x cpus tasks parse
         "zst_single_file_rebalanced": lambda: _run(aggregate_games(rebalance_games(read_games(
             spark, zst_path, with_source=False), int(cpus) * 2))),
+        # frames of one .zst in parallel, without a shuffle of the games
+        "zst_frames_parallel": lambda: _run(aggregate_games(read_games(
+            spark, frames_path, with_source=False, zst_frames=True, split_bytes=1 << 20))),
         "parse_long_games": lambda: _run(aggregate_games(read_games(spark, long_pgn, with_source=False))),
         "zst_long_games_rebalanced": lambda: _run(aggregate_games(rebalance_games(read_games(
             spark, long_zst, with_source=False), int(cpus) * 2))),
@@ -121,6 +138,7 @@ def main() -> None:
             read_games(spark, pgn), fresh("store")),
         "stream_ingest_available_now": lambda: run_ingest(
             spark, pgn, fresh("sstore"), fresh("ck"), max_files_per_trigger=50),
+        "running_totals_stream": lambda: totals_run(fresh("rt"), fresh("rtck")),
         "land_games": lambda: store.land_games(read_games(spark, pgn), landed_path),
         "aggregate_landed_b100": lambda: _run(store.aggregate_landed(spark, landed_path, 100)),
         "csv_single_file": lambda: write_csv(stored(), fresh("csv") + "/agg.csv"),
@@ -134,7 +152,7 @@ def main() -> None:
         "ledger_state": lambda: _run(Q.ledger_state(spark, sf_dir)),
     }
     if zst_path is None:
-        del cases["zst_single_file_rebalanced"], cases["zst_long_games_rebalanced"]
+        del cases["zst_single_file_rebalanced"], cases["zst_long_games_rebalanced"], cases["zst_frames_parallel"]
     only = os.environ.get("BENCH_ONLY", "").split()
     if only:
         cases = {k: v for k, v in cases.items() if k in only}
