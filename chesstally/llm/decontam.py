@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from chesstally.llm.common import slices
 
 RATE = 1 / 16
-BLOCK_CHARS = 1_000_000
+#: About 60 bytes of automaton per character in each worker.
+BLOCK_CHARS = 4_000_000
 _WORD = re.compile(r"\w+")
 
 
@@ -161,17 +162,22 @@ def _matcher(name: str, items, rate: float) -> Matcher:
     return _MATCHERS[name]
 
 
-def _place(text: str, start: int, end: int) -> tuple[int, int]:
-    """Span in the given text of a span of its normalised form."""
-    firsts, spans, at = [], [], 1
-    for m in _WORD.finditer(text):
-        for word in _WORD.findall(m.group().lower()):
-            firsts.append(at)
-            spans.append(m.span())
-            at += len(word) + 1
-    a = max(0, bisect_right(firsts, max(start + 1, 1)) - 1)
-    b = max(a, bisect_right(firsts, max(end - 2, 1)) - 1)
-    return spans[a][0], spans[b][1]
+class _Places:
+    """Spans in the given text of spans of its normalised form; the text is read once, for any number of
+    them."""
+
+    def __init__(self, text: str) -> None:
+        self.firsts, self.spans, at = [], [], 1
+        for m in _WORD.finditer(text):
+            for word in _WORD.findall(m.group().lower()):
+                self.firsts.append(at)
+                self.spans.append(m.span())
+                at += len(word) + 1
+
+    def find(self, start: int, end: int) -> tuple[int, int]:
+        a = max(0, bisect_right(self.firsts, max(start + 1, 1)) - 1)
+        b = max(a, bisect_right(self.firsts, max(end - 2, 1)) - 1)
+        return self.spans[a][0], self.spans[b][1]
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -195,9 +201,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
             for part in slices(batches):
                 rows = []
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    places = None
                     for at, d, a, b in found.find(normalise(text)):
-                        a, b = _place(text, a, b)
-                        rows.append((doc, found.items[at][0], d, a, b))
+                        places = places or _Places(text)
+                        rows.append((doc, found.items[at][0], d, *places.find(a, b)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, (
                         pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()))],
