@@ -34,6 +34,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
                                     "default ./config.toml "
                                     "when present")
     p.add_argument("--store", help="idempotent by-source aggregate store (parquet directory)")
+    p.add_argument("--rollup", help="roll-up of the store (parquet directory), refreshed for the months that change")
     p.add_argument("--ledger", help="ingestion ledger directory (index mode)")
     p.add_argument("--jdbc-url", help="database URL for an additive upsert (postgres/mysql/sqlite)")
     p.add_argument("--save", action="store_true",
@@ -59,6 +60,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
         args.jdbc_url = os.environ.get("DATABASE_URL")
         if not args.jdbc_url:
             p.error("--save needs DATABASE_URL (or --jdbc-url)")
+    if args.rollup and not args.store:
+        p.error("--rollup needs --store")
     if args.index and args.files:
         p.error("give either files or --index, not both")
     if not args.index and not args.files:
@@ -98,7 +101,7 @@ def main(argv: list[str] | None = None) -> int:
         per_month = run_index(spark, args.index, args.since, args.until, args.out,
                               args.bucket_size, args.store, args.ledger, args.jdbc_url,
                               args.rebalance, args.db_batch_rows, args.exact_tail,
-                              zst_frames=args.zst_frames)
+                              zst_frames=args.zst_frames, rollup=args.rollup)
         seconds = time.perf_counter() - t1
         for month in sorted(per_month):
             print(f"{month} | games={per_month[month]}")
@@ -113,7 +116,8 @@ def main(argv: list[str] | None = None) -> int:
         total = run_files_counted(
             spark, args.files, args.out, args.bucket_size, args.store, args.jdbc_url, args.rebalance,
             args.recursive, args.db_batch_rows, args.exact_tail,
-            per_file=per_file.__setitem__ if single_files else None, zst_frames=args.zst_frames)
+            per_file=per_file.__setitem__ if single_files else None, zst_frames=args.zst_frames,
+            rollup=args.rollup)
         if single_files:
             for f in args.files:  # one count per existing input file, as separate runs print
                 if fs.is_file(spark, f):

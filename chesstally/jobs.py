@@ -32,6 +32,7 @@ from chesstally.plans.ingest import build_plan
 from chesstally.session import scratch_path
 from chesstally.sinks import jdbc
 from chesstally.sinks import ledger as ledger_mod
+from chesstally.sinks import rollup as rollup_mod
 from chesstally.sinks.csv import write_csv, write_csv_per_source_month
 from chesstally.sinks.store import aggregate_by_source, check_bucket_size, write_by_source
 from chesstally.sources.pgn import read_games
@@ -71,15 +72,25 @@ def _by_source_table(spark: SparkSession, games: DataFrame, bucket_size: int) ->
 
 def _outputs(spark: SparkSession, by_source: DataFrame, bucket_size: int, store: str | None,
              jdbc_url: str | None, db_batch_rows: int = 1000,
-             files: list[str] | None = None) -> DataFrame:
+             files: list[str] | None = None, rollup: str | None = None) -> DataFrame:
     agg = merge_aggregates(by_source)
     if store:
-        write_by_source(by_source, store, bucket_size, files)
+        _into_store(by_source, store, bucket_size, files or [], rollup)
+        if rollup:
+            rollup_mod.refresh(spark, store, rollup)
     if jdbc_url:
         jdbc.upsert_aggregates(agg, jdbc_url, batch_rows=db_batch_rows)
     return agg
 
 
+def _into_store(by_source: DataFrame, store: str, bucket_size: int, files: list[str],
+                rollup: str | None) -> None:
+    """Replace the files' counts in the store, having noted the roll-up's months that this changes."""
+    if rollup:
+        rollup_mod.note_ingest(by_source, files, store, rollup)
+    write_by_source(by_source, store, bucket_size, files)
+
+
 def _prepare_database(spark: SparkSession, jdbc_url: str | None) -> None:
     if jdbc_url:
         jdbc.create_tables(spark, jdbc_url)
@@ -99,7 +110,8 @@ def run_files_counted(spark: SparkSession, paths, out: str | None = None, bucket
                       rebalance: int | None = None, recursive: bool = False,
                       db_batch_rows: int = 1000,
                       exact_tail: bool = True,
-                      per_file: Callable[[str, int], None] | None = None, zst_frames: bool = False) -> int:
+                      per_file: Callable[[str, int], None] | None = None, zst_frames: bool = False,
+                      rollup: str | None = None) -> int:
     """:func:`run_files`; ``per_file(path, games)`` is called for each source file (qualified path) with
     games, read from the per-source table (one row per file and key; no second scan)."""
     _prepare_database(spark, jdbc_url)
@@ -107,7 +119,7 @@ def run_files_counted(spark: SparkSession, paths, out: str | None = None, bucket
                        zst_frames=zst_frames)
     files = fs.input_files(games)
     by_source, path = _by_source_table(spark, rebalance_games(games, rebalance), bucket_size)
-    agg = _outputs(spark, by_source, bucket_size, store, jdbc_url, db_batch_rows, files)
+    agg = _outputs(spark, by_source, bucket_size, store, jdbc_url, db_batch_rows, files, rollup)
     if out:
         write_csv(agg, out)
     if per_file:  # as many rows as files, a partition of them at a time
@@ -162,7 +174,8 @@ class _Ledgers:
 def _ingest_months(spark: SparkSession, items: list[tuple[str, str]], ledgers: _Ledgers,
                    out: str | None = None, bucket_size: int = 200, store: str | None = None,
                    jdbc_url: str | None = None, rebalance: int | None = None, db_batch_rows: int = 1000,
-                   exact_tail: bool = True, months_at_once: int = 4, zst_frames: bool = False) -> MonthCounts:
+                   exact_tail: bool = True, months_at_once: int = 4, zst_frames: bool = False,
+                   rollup: str | None = None) -> MonthCounts:
     """Ingest the planned ``(month, url)`` items. Games are those of the month's files of this run,
     whatever the store holds."""
     if not items:
@@ -197,7 +210,7 @@ def _ingest_months(spark: SparkSession, items: list[tuple[str, str]], ledgers: _
             # Recorded duration: scan, aggregation and CSV output, not the store/database writes.
             ms = max(1, int((time.time() - t0) * 1000))
             if store:  # each month replaces its own sources' partitions
-                write_by_source(by_source, store, bucket_size, files)
+                _into_store(by_source, store, bucket_size, files, rollup)
             if jdbc_url:
                 with database:
                     jdbc.upsert_aggregates(merge_aggregates(by_source), jdbc_url, batch_rows=db_batch_rows)
@@ -222,6 +235,8 @@ def _ingest_months(spark: SparkSession, items: list[tuple[str, str]], ledgers: _
     try:
         with ThreadPoolExecutor(max(1, months_at_once)) as pool:  # in plan order: oldest first
             done = dict(zip(months, pool.map(one, months)))
+        if store and rollup:
+            rollup_mod.refresh(spark, store, rollup)
     finally:
         ledgers.close()
     return MonthCounts({m: n for m, n in done.items() if n is not None}, failed)
@@ -232,9 +247,9 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
               store: str | None = None, ledger_path: str | None = None,
               jdbc_url: str | None = None, rebalance: int | None = None,
               db_batch_rows: int = 1000, exact_tail: bool = True,
-              months_at_once: int = 4, zst_frames: bool = False) -> MonthCounts:
+              months_at_once: int = 4, zst_frames: bool = False, rollup: str | None = None) -> MonthCounts:
     """Index workflow: plan dump files, then ingest month by month; returns ``{month: games}`` with
-    ``failed``."""
+    ``failed``. With a store, ``rollup`` names the roll-up that is refreshed for what the months change."""
     _prepare_database(spark, jdbc_url)
     db_ledger = bool(jdbc_url) and not ledger_path  # ledger rows in the database
     if db_ledger:
@@ -245,12 +260,12 @@ def run_index(spark: SparkSession, index_path: str, since: str | None = None,
     items = [(r.month, r.url) for r in plan.collect()]  # one row per dump file
     ledgers = _Ledgers(spark, ledger_path, jdbc_url if db_ledger else None)
     return _ingest_months(spark, items, ledgers, out, bucket_size, store, jdbc_url, rebalance,
-                          db_batch_rows, exact_tail, months_at_once, zst_frames)
+                          db_batch_rows, exact_tail, months_at_once, zst_frames, rollup)
 
 
 def ingest_plan(spark: SparkSession, plan: DataFrame, store: str, ledger_path: str | None = None,
-                bucket_size: int = 200, months_at_once: int = 4) -> MonthCounts:
+                bucket_size: int = 200, months_at_once: int = 4, rollup: str | None = None) -> MonthCounts:
     """Ingest every planned file into the store; returns ``{month: games of this run}`` with ``failed``."""
     items = [(r.month, r.url) for r in plan.select("month", "url").collect()]
     return _ingest_months(spark, items, _Ledgers(spark, ledger_path), None, bucket_size, store,
-                          months_at_once=months_at_once)
+                          months_at_once=months_at_once, rollup=rollup)

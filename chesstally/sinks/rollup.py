@@ -65,6 +65,21 @@ def refresh(spark: SparkSession, store: str, rollup: str) -> list[str]:
     return months
 
 
+def note_ingest(new: DataFrame, files: list[str], store: str, rollup: str) -> list[str]:
+    """Note the months that replacing the files' counts in the store by ``new`` changes: those that the files
+    count now and those they counted before. To be called before the store is written; returns them."""
+    spark = new.sparkSession
+    touched = new.select("month")
+    if any("source_month=" in d for d in fs.list_dirs(spark, store)):
+        ids = spark.createDataFrame([(id_of(f),) for f in files], "source_id string")
+        touched = touched.unionByName(
+            read_store_by_source(spark, store).join(ids, "source_id", "left_semi").select("month"))
+    months = sorted(r.month for r in touched.distinct().toLocalIterator())
+    if months:
+        note_months(spark, rollup, months)
+    return months
+
+
 def ingest_games(games: DataFrame, store: str, rollup: str, bucket_size: int = 200) -> list[str]:
     """:func:`chesstally.sinks.store.ingest_games`, then the roll-up's touched months; returns them."""
     spark = games.sparkSession
@@ -73,13 +88,7 @@ def ingest_games(games: DataFrame, store: str, rollup: str, bucket_size: int = 2
     path = scratch_path(spark, "runs", f"by-source-{uuid.uuid4().hex[:12]}")
     aggregate_by_source(games, bucket_size).write.parquet(path)
     new = spark.read.parquet(path)
-    touched = new.select("month")
-    if fs.list_dirs(spark, store):  # what the same files counted before
-        ids = spark.createDataFrame([(id_of(f),) for f in files], "source_id string")
-        touched = touched.unionByName(
-            read_store_by_source(spark, store).join(ids, "source_id", "left_semi").select("month"))
-    months = [r.month for r in touched.distinct().toLocalIterator()]
-    note_months(spark, rollup, months)
+    note_ingest(new, files, store, rollup)
     write_by_source(new, store, bucket_size, files)
     fs.delete(spark, path)
     return refresh(spark, store, rollup)

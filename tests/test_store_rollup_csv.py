@@ -124,6 +124,28 @@ def test_rollup_refreshes_touched_months_only(spark, tmp_dir, monkeypatch):
     assert rollup.refresh(spark, st, ru) == []
 
 
+def test_jobs_refresh_the_rollup(spark, tmp_dir):
+    from chesstally.cli import parse_args
+    from chesstally.jobs import run_files_counted, run_index
+
+    st, ru = os.path.join(tmp_dir, "st"), os.path.join(tmp_dir, "ru")
+    paths = [dump(tmp_dir, f"2013-{m:02d}", m + 2) for m in range(1, 5)]
+    os.rename(paths[3], paths[3] + "x")
+    names = [p.replace(".pgn", ".pgn.zst") for p in paths[:3]]
+    import zstandard
+    for p, n in zip(paths, names):
+        write(n, zstandard.ZstdCompressor().compress(open(p, "rb").read()))
+    index = write(os.path.join(tmp_dir, "index.txt"), "".join(f"{n}\n" for n in names))
+    assert sorted(run_index(spark, index, store=st, rollup=ru, zst_frames=True)) == ["2013-01", "2013-02", "2013-03"]
+    os.rename(paths[3] + "x", paths[3])
+    assert run_files_counted(spark, [paths[3]], store=st, rollup=ru) == 6
+    got = rollup.read_rollup(spark, ru)
+    assert sorted(map(str, got.collect())) == sorted(map(str, trends.rollup_counts(store.read_store(spark, st)).collect()))
+    assert got.where("month is null").first().games == 3 + 4 + 5 + 6
+    with pytest.raises(SystemExit):
+        parse_args(["x.pgn", "--rollup", ru])
+
+
 def wide(spark, n):
     rng = random.Random(2)
     rows = [(f"2013-{rng.randint(1, 2):02d}", "B20-B99", i, 0, rng.randint(1, 4), 0, 0, 0) for i in range(n)]
