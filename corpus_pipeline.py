@@ -17,14 +17,18 @@ from chesstally.llm.common import fresh, materialize, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects (score below 0.5) go; empty texts have the share of
-    good labels as their score. Learns from labelled documents outside the held-out fold."""
+    """Documents that the classifier rejects (score below 0.5) go. Learns from labelled documents outside
+    the held-out fold. Null and empty texts score the share of good labels; whole texts of any length
+    are scored; equal rows go or stay together; other columns, null or not, pass through; an empty
+    table, or one without two labelled documents of either label, keeps all or none by that share."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated occurrences of cross-site boilerplate lines go; every document stays, with its
-    ``n_chars`` counted anew where its text changed."""
+    ``n_chars`` counted anew where its text changed. Null texts stay null; a null source is a site of its
+    own; rows without an id come last in the order of occurrences; rows that repeat an id and text
+    are treated alike; an empty table stays empty."""
     before, removed = fresh(docs, "lines_before"), fresh(docs, "lines_removed")
     out = line_dedup.dedup_lines(docs, counts=(before, removed))
     n = F.when(F.col(removed) > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -32,17 +36,22 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, that with the smallest doc_id."""
+    """One document of each near-duplicate group stays, that with the smallest doc_id. Null, empty and blank
+    texts are one group; equal rows are one document, other texts under its id are documents of their
+    own; rows without an id all stay; an empty table stays empty."""
     return simhash.keep_one(docs, shingle=3, max_bits=3)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item within its edit budget go."""
+    """Documents that hold a benchmark item within its edit budget go. Null, empty and wordless texts hold none
+    and stay, null items match nothing; whole texts of any length are searched; repeated rows go or
+    stay together; an empty table on either side changes nothing."""
     return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded text of every document that is left."""
+    """Token counts and digests of ids and decoded text of every document that is left, a row per row. A null
+    text is the empty one; texts of any length are encoded whole; an empty table gives no rows."""
     return bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
