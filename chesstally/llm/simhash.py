@@ -9,7 +9,9 @@ Only distinct fingerprints take part, so a group of exact copies is one entry, w
 A segment value held by one fingerprint is verified in the lookup itself. Where several
 fingerprints share a segment value, the remaining bits are cut again (pigeonhole once more) and the
 members of each sub-bucket are linked inside a task, which emits a spanning forest and not the
-pairs: the number of links stays linear in the number of members, and components are the same.
+pairs: the number of links stays linear in the number of members, and components are the same. Where
+very many share a value (``DENSE``), the remaining bits are cut into twice ``max_bits`` pieces, of which any
+linked pair agrees in half, so that sub-buckets have twice as many bits in common.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from chesstally.llm.common import fresh, materialize, slices, text_of
 from chesstally.llm.graph import connected_components
 
 BITS = 64
+DENSE = 4096  # fingerprints that share a segment value
 _ROWS = 1 << 16  # shingles whose bits are unpacked at a time
 
 
@@ -91,7 +94,16 @@ def _star(values: np.ndarray, home: np.ndarray, max_bits: int) -> list[tuple[int
     return links
 
 
-def hamming_links(fps: DataFrame, max_bits: int = 3, segments: int = 2) -> DataFrame:
+def _halves(width: int, max_bits: int) -> list[int]:
+    """Masks of ``width`` bits, one of which covers nothing but bits in which two values agree that differ in
+    ``max_bits`` or fewer: any half of twice so many pieces."""
+    n = 2 * max_bits
+    ends = [width * i // max(1, n) for i in range(n + 1)]
+    parts = [(1 << b) - (1 << a) for a, b in zip(ends, ends[1:])] or [(1 << width) - 1]
+    return [sum(c) for c in combinations(parts, max(1, max_bits))]
+
+
+def hamming_links(fps: DataFrame, max_bits: int = 3, segments: int = 2, dense: int = DENSE) -> DataFrame:
     """``fps(fp)`` of distinct values -> ``(u, v)`` links whose components are those of all pairs at
     ``max_bits`` or fewer differing bits."""
     width, radius = BITS // segments, max_bits // segments
@@ -131,9 +143,18 @@ def hamming_links(fps: DataFrame, max_bits: int = 3, segments: int = 2) -> DataF
                                   .bitwiseAND(F.lit((1 << step) - 1)).alias("piece"))
                          for c in range(cuts)])
 
-    cut = pieces(segments - 1)
-    for s in range(segments - 1):
-        cut = F.when(F.col("seg") == s, pieces(s)).otherwise(cut)
+    def halves(s: int):
+        return F.array(*[F.struct(F.lit(cuts + i).alias("part"), rest(s).bitwiseAND(F.lit(signed(m))).alias("piece"))
+                         for i, m in enumerate(_halves(BITS - width, max_bits))])
+
+    def of_segment(made):
+        out = made(segments - 1)
+        for s in range(segments - 1):
+            out = F.when(F.col("seg") == s, made(s)).otherwise(out)
+        return out
+
+    # Members of a segment value see the same number, so all are cut in the same way.
+    cut = F.when(F.col("n") > dense, of_segment(halves)).otherwise(of_segment(pieces))
     bucket = ["seg", "key", "part", "piece"]
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,11 +189,11 @@ def hamming_links(fps: DataFrame, max_bits: int = 3, segments: int = 2) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())],
                                              ["u", "v"])
 
-    dense = (hits.where("n > 1").select("seg", "key", "fp", "home", F.inline(cut))
-             .select(*bucket, "fp", "home")
-             .repartition(*[F.col(c) for c in bucket])
-             .sortWithinPartitions(*bucket).mapInArrow(link, "u long, v long"))
-    return single.union(dense)
+    several = (hits.where("n > 1").select("seg", "key", "fp", "home", F.inline(cut))
+               .select(*bucket, "fp", "home")
+               .repartition(*[F.col(c) for c in bucket])
+               .sortWithinPartitions(*bucket).mapInArrow(link, "u long, v long"))
+    return single.union(several)
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -49,7 +50,8 @@ def test_fingerprint_by_definition(rng):
         assert simhash.fingerprint(t) % (1 << 64) == brute_fp(t)
 
 
-def test_links_equal_all_pairs(spark):
+@pytest.mark.parametrize("dense", [1, 30, simhash.DENSE])
+def test_links_equal_all_pairs(spark, dense):
     r = random.Random(3)
     base = [r.getrandbits(64) for _ in range(12)]
     vals = {0, (1 << 64) - 1, 1, 7, 1 << 63}
@@ -64,7 +66,7 @@ def test_links_equal_all_pairs(spark):
     vals |= {base[0] ^ (m << 40) for m in range(200)}
     vals = sorted(vals)
     signed = [int(np.uint64(v).astype(np.int64)) for v in vals]
-    got = simhash.hamming_links(spark.createDataFrame([(v,) for v in signed], "fp long"))
+    got = simhash.hamming_links(spark.createDataFrame([(v,) for v in signed], "fp long"), dense=dense)
     comps = {x["node"]: x["component"] for x in graph.connected_components(got).collect()}
     want = components(len(vals), lambda i, j: (vals[i] ^ vals[j]).bit_count() <= 3)
     groups = defaultdict(set)
@@ -191,3 +193,16 @@ def test_keep_one_by_id_and_text(make, rng):
     assert len(kept([(5, a, "s"), (5, near, "s"), (7, near, "s")])) == (1 if together else 2)
     assert kept([(None, a, "s"), (None, a, "s"), (3, a, "s")]) == sorted([(None, a), (None, a), (3, a)], key=str)
     assert kept([(None, a, "s")]) == [(None, a)]
+
+
+def test_halves_of_the_rest_agree():
+    r = random.Random(8)
+    for width, bits in ((32, 3), (32, 1), (48, 2), (32, 0)):
+        masks = simhash._halves(width, bits)
+        for _ in range(300):
+            a = r.getrandbits(width)
+            b = a
+            for _ in range(bits):
+                b ^= 1 << r.randrange(width)
+            assert any(a & m == b & m for m in masks)
+        assert min(m.bit_count() for m in masks) >= (width // 2 - bits if bits else width)
