@@ -70,11 +70,16 @@ def id_of(path: str) -> str:
 
 def check_bucket_size(spark: SparkSession, store: str, bucket_size: int) -> None:
     """Counts made with different bucket sizes must not be merged: record and check."""
-    text = fs.read_text_file(spark, f"{store}/{PROPS_FILE}")
+    path = f"{store}/{PROPS_FILE}"
+    text = fs.read_text_file(spark, path)
     if text is None:
         fs.mkdirs(spark, store)
-        fs.write_text_file(spark, f"{store}/{PROPS_FILE}", json.dumps({"bucket_size": bucket_size}))
-        return
+        own = f"{store}/.{PROPS_FILE}.{uuid.uuid4().hex}"  # the record appears whole, by a rename
+        fs.write_text_file(spark, own, json.dumps({"bucket_size": bucket_size}))
+        if fs.rename_if_absent(spark, own, path):
+            return
+        fs.delete(spark, own)  # another writer was first
+        text = fs.read_text_file(spark, path)
     stored = json.loads(text).get("bucket_size")
     if stored != bucket_size:
         raise ValueError(f"store {store} holds bucket_size={stored}, not {bucket_size}")

@@ -94,7 +94,7 @@ def read_games(
     ``zst_frames=True`` reads ``.zst`` files by :mod:`chesstally.sources.pgn_source`: a task per
     ``split_bytes`` of compressed input, each decoding the frames that begin there, bare last games
     included. Files of one frame gain nothing from that: without ``exact_tail`` they are left to the
-    codec, with it one task decodes them whole.
+    codec, with it one task decodes them whole. So are files on a filesystem that only Hadoop knows.
     """
     paths = _as_list(paths)
     empty_schema = "game string" + (", source_file string, source_month string"
@@ -117,7 +117,7 @@ def read_games(
         raise
     framed: list[tuple[str, int]] = []
     if zst_frames:
-        framed = zst_files(spark, paths, recursive)
+        framed = [x for x in zst_files(spark, paths, recursive) if readable(x[0])]
         if not exact_tail:
             framed = several_frames(spark, framed)
     if framed:

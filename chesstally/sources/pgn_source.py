@@ -53,13 +53,15 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     a scheme is a URI, as Spark names files: ``%20`` is a blank in it."""
     if path.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + unquote(path[5:]).lstrip("/")
+    if path.startswith(("s3a://", "s3n://")):
+        path = "s3" + path[3:]
     return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
 
 def readable(path: str) -> bool:
     """Whether the path's scheme is one that ``pyarrow.fs`` knows."""
     scheme = path.split(":", 1)[0] if ":" in path.split("/", 1)[0] else "file"
-    return scheme in ("file", "hdfs", "s3", "gs")
+    return scheme in ("file", "hdfs", "s3", "s3a", "s3n", "gs")
 
 
 def open_file(path: str) -> pa.NativeFile:

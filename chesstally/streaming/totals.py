@@ -3,7 +3,8 @@
 The state store holds, for every source file, what the file has contributed to the totals. A micro-batch
 replaces the contributions of its files and hands on the differences, so a file that is delivered again
 (under a new checkpoint of the source, or rewritten) never counts twice, and the bare last game
-of a file that ends with the separator is part of its contribution. The differences are additive:
+of a file that ends with the separator is part of its contribution (on filesystems that ``pyarrow.fs``
+knows). The differences are additive:
 :func:`chesstally.sinks.appends.totals_sink` appends them, and their sum is the aggregate.
 
 Games become keys in the JVM; each task then adds its games up per file and key before they are dealt by
@@ -25,7 +26,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from chesstally.functions.keys import BLACK_WIN, DRAW, WHITE_WIN
 from chesstally.operators.aggregate import AGGREGATE_SCHEMA, KEY_COLUMNS, MEASURE_COLUMNS, game_keys
 from chesstally.sources.pgn import stream_games
-from chesstally.sources.pgn_source import ends_with_separator
+from chesstally.sources.pgn_source import ends_with_separator, readable
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -74,7 +75,7 @@ class FileTotals(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         columns = [*KEY_COLUMNS, *MEASURE_COLUMNS]
         parts = [pa.Table.from_pandas(r[columns], preserve_index=False) for r in rows]
-        if self.exact_tail and ends_with_separator(key[0]):
+        if self.exact_tail and readable(key[0]) and ends_with_separator(key[0]):
             parts.append(pa.table([pa.array([v], f.type) for v, f in zip((*_BARE, 1, 0, 0, 0), parts[0].schema)],
                                   names=columns))
         new = _added(pa.concat_tables(parts), KEY_COLUMNS)

@@ -68,10 +68,11 @@ def test_compaction_survives_a_crash_before_it_deletes(spark, tmp_dir, monkeypat
 
 def test_appends_at_the_same_time(spark, tmp_dir):
     table = os.path.join(tmp_dir, "deltas")
-    failed = []
+    failed, start = [], threading.Barrier(8)
 
     def add(n):
         try:
+            start.wait()  # all find a table without its record
             appends.add_delta(small(spark, n), table, run=f"r{n}")
         except Exception as exc:
             failed.append(exc)
@@ -80,6 +81,7 @@ def test_appends_at_the_same_time(spark, tmp_dir):
     [t.start() for t in threads]
     [t.join() for t in threads]
     assert not failed and _tuples(appends.read_totals(spark, table)) == _tuples(small(spark, 36))
+    assert not [f for f in os.listdir(table) if f.startswith("._chesstally") and not f.endswith(".crc")]
 
 
 def test_running_totals_equal_the_batch_count(spark, tmp_dir):

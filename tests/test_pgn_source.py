@@ -139,3 +139,18 @@ def test_source_by_format_name(spark, tmp_dir):
     spark.dataSource.register(src.PgnDataSource)
     assert spark.read.format("pgn").load(f"{tmp_dir}/s").count() == 20
     assert spark.read.format("pgn").option("splitBytes", "100").load(f"file:{tmp_dir}/s").where("first").count() == 1
+
+
+def test_paths_and_schemes(tmp_dir):
+    path = write(f"{tmp_dir}/a b%20c.pgn", games_of(2))
+    quoted = "file:" + path.replace("%", "%25").replace(" ", "%20")
+    for p in (path, quoted, "file://" + quoted[5:]):
+        with src.open_file(p) as f:
+            assert f.size() == os.path.getsize(path)
+        assert src.readable(p) and not src.ends_with_separator(p)
+    assert src.readable("s3a://bucket/x.pgn") and src.readable("hdfs://h/x") and not src.readable("viewfs://store/x")
+    write(f"{tmp_dir}/t.pgn", games_of(1) + src.SEPARATOR)
+    write(f"{tmp_dir}/t.pgn.gz", src.SEPARATOR)
+    assert src.ends_with_separator(f"{tmp_dir}/t.pgn") and not src.ends_with_separator(f"{tmp_dir}/t.pgn.gz")
+    found = src._listed(f"file:{tmp_dir}")
+    assert quoted in [p for p, _ in found]
