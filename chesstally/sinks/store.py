@@ -115,11 +115,12 @@ def write_by_source(agg_by_source: DataFrame, store: str, bucket_size: int = 200
     """
     spark = agg_by_source.sparkSession
     check_bucket_size(spark, store, bucket_size)
-    _refuse_old_layout(spark, store)
+    top = [d.rstrip("/").rsplit("/", 1)[-1] for d in fs.list_dirs(spark, store)]
+    _refuse_old_layout(store, top)
     held = {}
     if files:  # folder names only: which of the files have a partition, and of which parts
         folders = [partition_of(f) for f in files]
-        months = {p.split("/")[0] for p in folders}
+        months = {p.split("/")[0] for p in folders} & set(top)
         there = {f"{m}/{d.rstrip('/').rsplit('/', 1)[-1]}" for m in months for d in fs.list_dirs(spark, f"{store}/{m}")}
         held = {p: fs.list_files(spark, f"{store}/{p}") for p in folders if p in there}
     (agg_by_source.select("source_file", *KEY_COLUMNS, *MEASURE_COLUMNS, *STORE_PARTITIONS)
@@ -141,19 +142,19 @@ def partition_of(path: str) -> str:
     return f"source_month={month_of_path(path) or _NO_MONTH}/source_id={id_of(path)}"
 
 
-def _old_sources(spark: SparkSession, store: str) -> list[str]:
-    return [d for d in fs.list_dirs(spark, store) if d.rstrip("/").rsplit("/", 1)[-1].startswith("source_id=")]
+def _old_sources(top: list[str]) -> list[str]:
+    return [d for d in top if d.rstrip("/").rsplit("/", 1)[-1].startswith("source_id=")]
 
 
-def _refuse_old_layout(spark: SparkSession, store: str) -> None:
-    if _old_sources(spark, store):
+def _refuse_old_layout(store: str, top: list[str]) -> None:
+    if _old_sources(top):
         raise ValueError(f"store {store} has sources without a month level; run migrate_store once")
 
 
 def migrate_store(spark: SparkSession, store: str) -> int:
     """Move sources that lie directly below the store under their months; returns their number. Repeating
     it after a crash is safe: sources replace themselves, and old folders go last."""
-    old = _old_sources(spark, store)
+    old = _old_sources(fs.list_dirs(spark, store))
     if not old:
         return 0
     rows = spark.read.schema(f"source_file string, {AGGREGATE_SCHEMA}").parquet(*old)
@@ -186,7 +187,7 @@ def read_store(spark: SparkSession, store: str, since: str | None = None, until:
 def read_store_by_source(spark: SparkSession, store: str, since: str | None = None,
                          until: str | None = None) -> DataFrame:
     """Counts per source and key; bounds on the month prune folders when the scan is planned."""
-    _refuse_old_layout(spark, store)
+    _refuse_old_layout(store, fs.list_dirs(spark, store))
     since, until = require_month(since, "since"), require_month(until, "until")
     df = spark.read.schema(STORE_SCHEMA).parquet(store)
     if since:

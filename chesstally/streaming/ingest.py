@@ -136,11 +136,12 @@ def run_ingest(spark: SparkSession, source_dir: str, store: str, checkpoint: str
                bucket_size: int = 200, max_files_per_trigger: int | None = None,
                rebalance: int | None = None, max_bytes_per_trigger: int | str | None = None) -> list[BatchSize]:
     """Process all files present now (``availableNow``) and wait for the query to finish; returns the
-    sizes of the micro-batches."""
+    sizes of the micro-batches if they are bounded by bytes."""
     sizes: list[BatchSize] = []
     q = start_ingest(spark, source_dir, store, checkpoint, bucket_size, "availableNow",
                      max_files_per_trigger, rebalance=rebalance,
-                     max_bytes_per_trigger=max_bytes_per_trigger, on_size=sizes.append)
+                     max_bytes_per_trigger=max_bytes_per_trigger,
+                     on_size=sizes.append if max_bytes_per_trigger else None)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
