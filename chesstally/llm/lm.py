@@ -47,7 +47,7 @@ VOCAB, CLASSES, HIDDEN = 1024, 32, 16
 STEPS, RATE = 24, 0.01
 LANES, LANE_TOKENS = 128, 8192  # documents read side by side: one for so many tokens of a shard
 END, OTHER = 0, 1  # ids of the end of a text (also what precedes its first token) and of other words
-_FLUSH = 200_000  # distinct words that a task holds before it hands its counts on
+_FLUSH = 500_000  # distinct words that a task holds before it hands its counts on
 _BUFFER = 8_000_000  # tokens that a scoring task holds to sort documents by length
 _ALPHABET = 40
 
