@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -555,6 +556,25 @@ def fit(docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(ids, table, sums["n"], sums["v"], network, spelling, others, spelled)
 
 
+_TABLES: dict[str, tuple] = {}
+
+
+def _tables(name: str, m: Model) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
+    """Per word of the model's table: its place, the base's logarithm, the network's id, what it costs as
+    another word. Made once per worker process and model."""
+    if name not in _TABLES:
+        place = {w: i for i, w in enumerate(m.counts)}
+        # One place more at the end of each, which place -1 reads.
+        logs = np.log10(np.fromiter(chain(m.counts.values(), [0]), float, len(place) + 1) + 1)
+        ids = np.fromiter(chain(map(m.ids.get, place, repeat(OTHER)), [OTHER]), np.uint16, len(place) + 1)
+        near = [w for w in place if w and w not in m.ids]
+        other = np.zeros(len(place) + 1)
+        other[[place[w] for w in near]] = m.log_other(near, [m.counts[w] for w in near])
+        _TABLES.clear()
+        _TABLES[name] = place, logs, ids, other
+    return _TABLES[name]
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
@@ -566,20 +586,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     counts = materialize(token_counts(docs, id_col, text_col), "lm-counts")
     model = fit(docs, counts, id_col, text_col)
-    shared = spark.sparkContext.broadcast(model)
+    shared, name = spark.sparkContext.broadcast(model), uuid.uuid4().hex
     log_total = math.log10(model.total + model.distinct + 1)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         task, at = TaskContext.get().partitionId(), 0
-        # Per word of the table: its place, the base's logarithm, the network's id, what it costs as another word.
-        place = {w: i for i, w in enumerate(m.counts)}
-        logs = np.log10(np.fromiter(m.counts.values(), float, len(place)) + 1)
-        ids = np.fromiter(map(m.ids.get, place, repeat(OTHER)), np.uint16, len(place))
-        near = [w for w in place if w and w not in m.ids]
-        other = np.zeros(len(place) + 1)
-        other[[place[w] for w in near]] = m.log_other(near, [m.counts[w] for w in near])
+        place, logs, ids, other = _tables(name, m)
         end = m.counts.get(b"", 0)
         held: list[tuple[dict, np.ndarray]] = []  # columns of a slice, what other words add to scores
         texts: list[np.ndarray] = []
@@ -643,7 +657,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ln = F.when(share > 0, both).otherwise(F.col("spelt"))
     rare = (rows.where(F.size("words") > 0)
             .select("rid", F.inline(F.arrays_zip("words", "spelt")))
-            .join(counts.withColumnRenamed("word", "words"), "words", "left")
+            # A hash table per partition of distinct words: no sort of the texts' words.
+            .join(counts.withColumnRenamed("word", "words").hint("shuffle_hash"), "words", "left")
             .groupBy("rid").agg(
                 F.count_if(found > 0).alias("more"), F.sum(F.log10(found + 1)).alias("more_logs"),
                 F.sum(ln).alias("more_ln")))

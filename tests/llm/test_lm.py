@@ -222,3 +222,11 @@ def test_lanes_lose_no_token():
     assert sum(int(((k == 0) & m).sum()) for _, k, _, m in seen) == len(texts)
     bag = Counter(int(x) for _, _, to, m in seen for x in to[m])
     assert bag == Counter([lm.END] * len(texts) + [int(x) for t in texts for x in t])
+
+
+def test_nothing_to_learn_from(make):
+    """Only rows that are held out or have no id."""
+    held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
+    out = lm.score_documents(make([(held, "a few words", "s"), (None, "others", "s"), (held, None, "s")])).collect()
+    assert sorted((o.n_tokens, o.n_known, o.train_tokens) for o in out) == [(1, 0, 0), (2, 0, 0), (4, 0, 0)]
+    assert all(o.base_score == 0 and math.isfinite(o.score) and o.score < 0 for o in out)
