@@ -2,7 +2,8 @@
 
 The text source reads a ``.zst`` file in one task and does not say which record is a file's first. This
 Python data source cuts every file into ranges of ``splitBytes`` without reading it; each range is a
-partition, read as Arrow batches.
+partition, read as Arrow batches. Where that would be more than ``MAX_RANGES`` tasks, the ranges grow with the
+input, up to ``SPLIT_BYTES``: a task costs the same whether its range is long or short.
 
 * **Plain files.** A game belongs to the range in which the separator before it begins.
 * **Zstd files.** A file is a row of frames that can each be decoded alone. A range owns the frames that
@@ -37,6 +38,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 SEPARATOR = b"\n[Event "
 SCHEMA = "value string, first boolean, file_path string"
 SPLIT_BYTES = 64 << 20
+MAX_RANGES = 512  # beyond which ranges of less than SPLIT_BYTES grow
 COMPRESSED_SUFFIXES = (".gz", ".bz2", ".zst", ".zstd", ".lz4", ".snappy", ".deflate", ".xz", ".br")
 
 # Fixed values of the zstd frame format (RFC 8878).
@@ -173,21 +175,22 @@ def _decoded(f: pa.NativeFile, r: Range) -> Iterator[tuple[bytes, bool]]:
     if at is None:
         return
     read = at  # how far the compressed bytes have been read
-    rest = b""
+    held = memoryview(b"")  # those read that are still to be decoded
     while at < r.size:  # a frame
         own = at < r.end
         decoder = zstandard.ZstdDecompressor().decompressobj()
         while not decoder.eof:
-            if not rest:
-                rest = f.read_at(1 << 20 if own else _LOOK, read)
-                read += len(rest)
-                if not rest:
+            if not held:
+                held = memoryview(f.read_at(max(_LOOK, min(1 << 20, r.end - read)), read))
+                read += len(held)
+                if not held:
                     raise ValueError(f"{r.path} ends inside a zstd frame")
-            data = decoder.decompress(rest)
-            rest = decoder.unused_data if decoder.eof else b""
+            piece = held[:_LOOK]  # what lies behind a frame's end is copied: little of it
+            data = decoder.decompress(piece)
+            held = held[len(piece) - (len(decoder.unused_data) if decoder.eof else 0):]
             if data:
                 yield data, own
-        at = read - len(rest)
+        at = read - len(held)
 
 
 def records(chunks: Iterator[tuple[bytes, bool]], at_start: bool) -> Iterator[list[bytes]]:
@@ -246,8 +249,10 @@ class PgnReader(DataSourceReader):
             self.files = [x for p in paths for x in _listed(p)]
 
     def partitions(self) -> list[Range]:
-        return [Range(path, at, min(at + self.split, size), size)
-                for path, size in self.files for at in range(0, size, self.split)]
+        even = -(-sum(size for _, size in self.files) // MAX_RANGES)
+        split = max(self.split, min(SPLIT_BYTES, even))
+        return [Range(path, at, min(at + split, size), size)
+                for path, size in self.files for at in range(0, size, split)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         first = partition.start == 0
