@@ -85,9 +85,11 @@ def game_keys(
 
 
 def rebalance_games(games: DataFrame, tasks: int | None) -> DataFrame:
-    """Deal games round-robin to ``tasks`` tasks for parsing (None: as they are). For unsplittable
-    dumps, of which one task reads each; that task then only cuts records."""
-    return games.repartition(tasks) if tasks else games
+    """Deal games in turn to ``tasks`` tasks, more for large files, for parsing (None: as they are). For
+    unsplittable dumps, of which one task reads each; that task then only cuts records."""
+    from chesstally.sources.pgn import deal  # which needs this package's columns
+
+    return deal(games, tasks)
 
 
 def aggregate_keys(keys: DataFrame, by: Sequence[str] = ()) -> DataFrame:

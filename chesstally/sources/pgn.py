@@ -78,9 +78,9 @@ def read_games(
     directory when the files are laid out that way); NULL when neither exists. It describes the
     file, not the game: a monthly file may hold games of other months.
 
-    ``rebalance=N`` redistributes the games round-robin over N partitions right after the scan.
+    ``rebalance=N`` deals the games to N partitions (more for large files) right after the scan.
     For unsplittable dumps (``.zst``, ``.gz``) one task per file decompresses and splits records,
-    which is cheap, while parsing, the expensive part, then runs in N tasks: worth its shuffle of
+    which is cheap, while parsing, the expensive part, then runs in N tasks or more: worth its shuffle of
     the game text when a few huge files dominate. Leave it off for splittable input.
 
     ``recursive=True`` reads every file below the given directories (e.g. ``dumps/2013/07/``);
@@ -132,7 +132,25 @@ def read_games(
             bare = truncated_files(spark, fs.input_files(raw))
             if bare:
                 games = games.unionByName(bare_games(spark, bare, with_source))
-    return games.repartition(rebalance) if rebalance else games
+    return deal(games, rebalance)
+
+
+DEAL_BYTES = 256 << 20  # of text, about, that a task parses
+_TEXT_PER_BYTE = 8  # of a compressed file
+
+
+def deal(games: DataFrame, tasks: int | None) -> DataFrame:
+    """Deal games in turn to ``tasks`` tasks (None: as they are), or to as many more as files of that length
+    need, so that no task's part grows with the input. Games are numbered as the scan delivers them and dealt by that
+    number: dealing rows without a key would sort each task's games first."""
+    if not tasks:
+        return games
+    spark = games.sparkSession
+    files = fs.input_files(games)
+    text = sum(n * (_TEXT_PER_BYTE if f.lower().endswith(COMPRESSED_SUFFIXES) else 1)
+               for f, n in zip(files, fs.lengths(spark, files)))
+    tasks = max(tasks, -(-text // DEAL_BYTES))
+    return (games.withColumn("__n", F.monotonically_increasing_id()).repartition(tasks, "__n").drop("__n"))
 
 
 def zst_files(spark: SparkSession, paths: list[str], recursive: bool = False) -> list[tuple[str, int]]:

@@ -46,3 +46,14 @@ def test_a_range_of_small_frames_reads_little_beyond_its_end(tmp_dir):
     with pgn_source.open_file(path) as f:
         list(pgn_source.records(pgn_source._decoded(File(f), pgn_source.Range(path, 0, 16384, size)), True))
     assert size > pgn_source._LOOK and max(read) <= pgn_source._LOOK
+
+
+def test_games_of_large_files_are_dealt_to_more_tasks(spark, tmp_dir, monkeypatch):
+    text = "".join(f'[Event "{i}"]\n[Site "{i * 7919 % 10007}"]\n\n1. e4\n' for i in range(3000)).encode()
+    path = write(f"{tmp_dir}/a.pgn.gz", gzip.compress(text))
+    assert rebalance_games(read_games(spark, path), 3).rdd.getNumPartitions() == 3
+    monkeypatch.setattr(pgn, "DEAL_BYTES", 10_000)
+    dealt = rebalance_games(read_games(spark, path), 3)
+    sizes = [n for n in dealt.rdd.glom().map(len).collect() if n]
+    assert len(sizes) > 8 and max(sizes) < 1000
+    assert sorted(r.game for r in dealt.collect()) == sorted(r.game for r in read_games(spark, path).collect())
