@@ -18,6 +18,7 @@ import pathlib
 import threading
 import uuid
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,8 @@ from chesstally.session import scratch_path
 from chesstally.sources.pgn import GAME_SEPARATOR, read_games
 from chesstally.sources.pgn_source import filesystem
 
-GENERATOR_VERSION = "g4"
+GENERATOR_VERSION = "g5"
+GAMES_PER_TASK = 500_000  # written by one task, in the order of its range
 _LOCK = threading.RLock()  # re-entrant: aggregate_table builds on pgn_dataset
 
 
@@ -42,7 +44,7 @@ def _s(c: Column) -> Column:
 def game_text(li: DataFrame) -> Column:
     """Generated PGN text of one game from the ``lineitem`` columns of its row."""
     ok, pk, sk, ln = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    ymd = F.date_format(F.col("l_shipdate"), "yyyy.MM.dd")
+    ymd = F.replace(_s(F.col("l_shipdate").cast("date")), F.lit("-"), F.lit("."))
 
     utc = (F.when(ok % 7 == 0, F.lit(None).cast("string"))
            .when(ok % 11 == 0, F.lit('[UTCDate "????.??.??"]'))
@@ -92,19 +94,29 @@ def game_text(li: DataFrame) -> Column:
                  F.coalesce(F.trim(result), F.lit("*"))),
         F.lit("[%clk 0:01:00]"),
     )
-    text = F.concat_ws("\n", lines)  # absent tags are NULL and skipped
-    return F.when(ok % 4 == 1, F.regexp_replace(text, "\n", "\r\n")).otherwise(text)
-
-
-def generated_games(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
-    """``source_month string, game string``: one generated game per ``lineitem`` row
-    (+ ``l_orderkey`` with ``with_key``)."""
-    li = _table(spark, sf_dir, "lineitem")
-    return li.select(
-        F.date_format(F.col("l_shipdate"), "yyyy-MM").alias("source_month"),
-        game_text(li).alias("game"),
-        *([F.col("l_orderkey")] if with_key else []),
-    )
+    # Absent tags are NULL and left out. (A function with a lambda keeps the text out of whole-stage
+    # code, whose one method would be too long for the JVM to compile: that took four times as long.)
+    text = F.concat_ws("\n", F.filter(lines, lambda line: line.isNotNull()))
+    return F.when(ok % 4 == 1, F.replace(text, F.lit("\n"), F.lit("\r\n"))).otherwise(text)
+
+
+def generated_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``source_month string, game string``: one generated game per ``lineitem`` row."""
+    return _monthly(game_rows(spark, sf_dir))
+
+
+def game_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` with the ``source_month`` of each row's game."""
+    month = F.date_format(F.col("l_shipdate"), "yyyy-MM")
+    return _table(spark, sf_dir, "lineitem").select(
+        month.alias("source_month"), "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate")
+
+
+def _in_ranges(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Rows dealt by ranges of ``by`` and sorted by it, as many to a task whatever the table's size: the
+    columns of a row, about a third of its game's text, are what is dealt and sorted."""
+    n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), -(-rows.count() // GAMES_PER_TASK))
+    return rows.repartitionByRange(n, *by).sortWithinPartitions(*by)
 
 
 @functools.lru_cache(maxsize=1)
@@ -129,43 +141,38 @@ def pgn_dataset(spark: SparkSession, sf_dir: str, layout: str = "monthly") -> st
     """Directory of generated PGN text files; written once, then reused.
 
     ``monthly``: ``source_month=YYYY-MM/part-*.txt`` like one dump per month (range partitioning
-    on ``(source_month, l_orderkey)`` balances the write even when one month holds most games,
-    and samples integers rather than game texts).
+    on ``(source_month, l_orderkey)`` balances the write even when one month holds most games).
     """
     target = scratch_path(spark, "pgn", _key(spark, sf_dir, layout))
     with _LOCK:
         if fs.exists(spark, target + "/_SUCCESS"):
             return target
-        games = generated_games(spark, sf_dir, with_key=True)
+        rows = game_rows(spark, sf_dir)
+        by = ["source_month", "l_orderkey"]
         staging = f"{target}.tmp-{uuid.uuid4().hex}"
-        n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
         if layout == "monthly":
-            (games.repartitionByRange(n, "source_month", "l_orderkey")
-             .sortWithinPartitions("source_month", "l_orderkey")
-             .select("source_month", "game")
-             .write.partitionBy("source_month").text(staging))
+            _monthly(_in_ranges(rows, by)).write.partitionBy("source_month").text(staging)
         elif layout == "halves":  # run=0 and run=1 hold games of every month
-            (games.withColumn("run", F.col("l_orderkey") % 2)
-             .repartitionByRange(n, "run", "source_month", "l_orderkey")
-             .select("run", "source_month", "game")
-             .write.partitionBy("run", "source_month").text(staging))
+            rows = _in_ranges(rows.withColumn("run", F.col("l_orderkey") % 2), ["run", *by])
+            rows.select("run", "source_month", game_text(rows)).write.partitionBy("run", "source_month").text(staging)
         elif layout == "gzip":
-            (games.repartitionByRange(n, "source_month", "l_orderkey").select("source_month", "game")
+            (_monthly(_in_ranges(rows, by))
              .write.option("compression", "gzip").partitionBy("source_month").text(staging))
-        elif layout == "tails":  # one file a month; those of even months end in a bare "[Event "
-            _one_file_a_month(games.where(~_even_month()), n).write.partitionBy("source_month").text(staging)
-            rest = F.substr("game", F.lit(len("[Event ") + 1)).alias("game")
-            (_one_file_a_month(games.where(_even_month()), n).select("source_month", rest)
+        elif layout == "tails":  # one file of every even month ends in a bare "[Event "
+            rows = _with_tail(rows.where(_even_month().isNotNull()))
+            _monthly(_in_ranges(rows.where(~F.col("tail")), by)).write.partitionBy("source_month").text(staging)
+            ends = rows.where("tail").repartition("source_month")
+            rest = F.substr(game_text(ends), F.lit(len("[Event ") + 1)).alias("game")
+            (ends.select("source_month", rest)
              .write.mode("append").option("lineSep", GAME_SEPARATOR).partitionBy("source_month").text(staging))
         elif layout == "zst":  # like "tails", as zstd files of many frames
-            _write_zst(games.withColumn("tail", _even_month()), n, staging)
+            _write_zst(_in_ranges(_with_tail(rows), by), staging)
         elif layout == "events":  # every seventh game's Event line holds a header
             tag = F.when(F.col("l_orderkey") % 7 == 3, '[Event [ECO "B45"]').when(
                 F.col("l_orderkey") % 7 == 5, F.lit('[Event "Open, round "1""]')).otherwise('[Event "Rated game"]')
-            line = F.regexp_replace("game", r"^\[Event \"Rated game\"\]", "")
-            (games.repartitionByRange(n, "source_month", "l_orderkey")
-             .sortWithinPartitions("source_month", "l_orderkey")
-             .select("source_month", F.concat(tag, line).alias("game"))
+            rows = _in_ranges(rows, by)
+            line = F.substr(game_text(rows), F.lit(len('[Event "Rated game"]') + 1))
+            (rows.select("source_month", F.concat(tag, line).alias("game"))
              .write.partitionBy("source_month").text(staging))
         else:
             raise ValueError(f"unknown layout {layout!r}")
@@ -173,15 +180,31 @@ def pgn_dataset(spark: SparkSession, sf_dir: str, layout: str = "monthly") -> st
         return target
 
 
+def _monthly(rows: DataFrame) -> DataFrame:
+    return rows.select("source_month", game_text(rows).alias("game"))
+
+
+def _with_tail(rows: DataFrame) -> DataFrame:
+    """``tail``: whether a row's game is of its month's last order, if that is an even month; one task alone
+    writes these games, as the end of a file."""
+    last = (rows.where(_even_month()).groupBy("source_month")
+            .agg(F.max("l_orderkey").alias("last_key"), F.lit(True).alias("even")))  # a row per month
+    tail = F.col("even") & F.col("l_orderkey").eqNullSafe(F.col("last_key"))
+    return (rows.join(F.broadcast(last), "source_month", "left")
+            .select(*rows.columns, F.coalesce(tail, F.lit(False)).alias("tail")))
+
+
 _FRAME_BYTES = 20_000
 
 
-def _write_zst(games: DataFrame, n: int, path: str) -> None:
-    """``source_month=YYYY-MM/games.pgn.zst`` below ``path``: frames cut without regard to games, every
-    third one preceded by a skippable frame; files whose ``tail`` is true end in a bare ``[Event ``."""
+def _write_zst(rows: DataFrame, path: str) -> None:
+    """``source_month=YYYY-MM/games-N.pgn.zst`` below ``path``, a file per task and month: frames cut without
+    regard to games, every third one preceded by a skippable frame; files whose last ``tail`` is true end in
+    a bare ``[Event ``."""
     def write(batches):
         import zstandard
 
+        part = TaskContext.get().partitionId()
         out, month, ends, held, count = None, None, b"", b"", 0
 
         def put(data: bytes) -> None:
@@ -198,7 +221,7 @@ def _write_zst(games: DataFrame, n: int, path: str) -> None:
                         put(held + ends)
                         out.close()
                     month, held = key, b""
-                    files, inner = filesystem(f"{path}/source_month={key}/games.pgn.zst")
+                    files, inner = filesystem(f"{path}/source_month={key}/games-{part:05d}.pgn.zst")
                     files.create_dir(inner.rsplit("/", 1)[0])
                     out = files.open_output_stream(inner, compression=None)
                 held += game.encode() + b"\n"
@@ -211,32 +234,36 @@ def _write_zst(games: DataFrame, n: int, path: str) -> None:
             out.close()
         yield from ()
 
-    rows = games.repartition(n, "source_month").sortWithinPartitions("source_month", "l_orderkey")
-    (rows.select("source_month", "game", "tail").mapInArrow(write, "done int")
+    (rows.select("source_month", game_text(rows).alias("game"), "tail").mapInArrow(write, "done int")
      .write.format("noop").mode("overwrite").save())
-    fs.write_text_file(games.sparkSession, f"{path}/_SUCCESS", "")
+    fs.write_text_file(rows.sparkSession, f"{path}/_SUCCESS", "")
 
 
 def _even_month() -> Column:
     return F.substring("source_month", 6, 2).cast("int") % 2 == 0
 
 
-def _one_file_a_month(games: DataFrame, n: int) -> DataFrame:
-    return games.select("source_month", "game").repartition(n, "source_month")
-
-
-def write_dumps(spark: SparkSession, games: DataFrame, root: str) -> dict[str, str]:
-    """One dump file per month of ``games(source_month, game)`` at ``root``, named like published
-    dumps; an existing file is replaced. Returns ``{month: path}``."""
+def write_dumps(spark: SparkSession, rows: DataFrame, root: str) -> dict[str, list[str]]:
+    """The dump of every month of ``rows`` (:func:`game_rows`) at ``root``, named like published dumps, in as
+    many files as tasks wrote it; it replaces the month's dump that is there (a file of that one that is no
+    longer needed becomes empty). Returns ``{month: paths}``."""
     staging = f"{root}.tmp-{uuid.uuid4().hex}"
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
-    _one_file_a_month(games, n).write.partitionBy("source_month").text(staging)
+    _monthly(_in_ranges(rows, ["source_month", "l_orderkey"])).write.partitionBy("source_month").text(staging)
     fs.mkdirs(spark, root)
-    out = {}
+    there = set(fs.list_files(spark, root))
+    out: dict[str, list[str]] = {}
     for d in fs.list_dirs(spark, staging):
         month = d.rstrip("/").rsplit("source_month=", 1)[-1]
-        out[month] = f"{root}/games_rated_{month}.pgn"
-        fs.move_file(spark, next(f for f in fs.list_files(spark, d) if "/part-" in f), out[month])
+        stem = f"{root}/games_rated_{month}.pgn"
+        parts = [f for f in fs.list_files(spark, d) if "/part-" in f]
+        out[month] = [stem, *(f"{stem}.{i}" for i in range(1, len(parts)))]
+        for part, path in zip(parts, out[month]):
+            fs.move_file(spark, part, path)
+        new = {p.rsplit("/", 1)[-1] for p in out[month]}
+        for old in there:
+            name = old.rsplit("/", 1)[-1]
+            if name.startswith(stem.rsplit("/", 1)[-1]) and name not in new:
+                fs.write_text_file(spark, old, "")
     fs.delete(spark, staging)
     return out
 

@@ -233,16 +233,16 @@ def scan_compressed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A plan of one dump per quarter (named by its first month), one of them empty: the dumps up to a
-    bound, then all that the ledger leaves, then nothing any more. The ledger's month, status and
+    """A plan of one dump per quarter (named by its first month, in one or more files), one of them empty: the
+    dumps up to a bound, then all that the ledger leaves, then nothing any more. The ledger's month, status and
     games beside the store's games. (Spark reads zstd but does not write it: plain text.)"""
     run = _run_dir(spark, "resume")
     quarter = F.date_format(F.date_trunc("quarter", F.to_date("source_month", "yyyy-MM")), "yyyy-MM")
-    games = fixtures.generated_games(spark, sf_dir).withColumn("source_month", quarter)
-    dumps = fixtures.write_dumps(spark, games, run + "/dumps")
-    dumps[EMPTY_MONTH] = f"{run}/dumps/games_rated_{EMPTY_MONTH}.pgn"
-    fs.write_text_file(spark, dumps[EMPTY_MONTH], "")
-    plan = spark.createDataFrame(sorted(dumps.items()), "month string, url string")
+    rows = fixtures.game_rows(spark, sf_dir).withColumn("source_month", quarter)
+    dumps = fixtures.write_dumps(spark, rows, run + "/dumps")
+    dumps[EMPTY_MONTH] = [f"{run}/dumps/games_rated_{EMPTY_MONTH}.pgn"]
+    fs.write_text_file(spark, dumps[EMPTY_MONTH][0], "")
+    plan = spark.createDataFrame(sorted((m, url) for m, urls in dumps.items() for url in urls), "month string, url string")
     for until in (MERGE_SPLIT_MONTH, None, None):
         done = ledger.ingested_months(ledger.current_state(spark, run + "/ledger"))
         ingest_plan(spark, exclude_done(filter_months(plan, until=until), done), run + "/store",
@@ -255,17 +255,18 @@ def ingest_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_reingest_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every month's file ingested; then a third of the files have no games any more, a third has
+    """Every month's files ingested; then a third of the months have no games any more, a third has
     half of them, and all are ingested again."""
     run = _run_dir(spark, "changed")
-    g = fixtures.generated_games(spark, sf_dir, with_key=True)
+    g = fixtures.game_rows(spark, sf_dir)
     dumps = fixtures.write_dumps(spark, g, run + "/dumps")
     store.ingest_games(read_games(spark, run + "/dumps"), run + "/store")
     third = F.substring("source_month", 6, 2).cast("int") % 3
     fixtures.write_dumps(spark, g.where((third == 1) & (F.col("l_orderkey") % 2 == 0)), run + "/dumps")
-    for month, path in dumps.items():
+    for month, paths in dumps.items():
         if int(month[5:7]) % 3 == 0:
-            fs.write_text_file(spark, path, "")
+            for path in paths:
+                fs.write_text_file(spark, path, "")
     store.ingest_games(read_games(spark, run + "/dumps"), run + "/store")
     return store.read_store(spark, run + "/store")
 

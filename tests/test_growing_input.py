@@ -48,6 +48,38 @@ def test_a_range_of_small_frames_reads_little_beyond_its_end(tmp_dir):
     assert size > pgn_source._LOOK and max(read) <= pgn_source._LOOK
 
 
+@pytest.mark.parametrize("layout", ["monthly", "halves", "gzip", "tails", "zst", "events"])
+def test_generated_files_stay_small(spark, tables, layout, monkeypatch):
+    monkeypatch.setattr(fixtures, "GAMES_PER_TASK", 60)
+    monkeypatch.setattr(fixtures, "GENERATOR_VERSION", f"test-{os.path.basename(tables)}")
+    root = fixtures.pgn_dataset(spark, tables, layout).removeprefix("file:")
+    parts = [p for p in glob.glob(f"{root}/**/*", recursive=True) if os.path.isfile(p) and os.path.getsize(p)
+             and not os.path.basename(p).startswith("_")]
+    games = read_games(spark, root, recursive=True, zst_frames=True)
+    counts = games.groupBy("source_file").count().collect()
+    assert len(counts) == len(parts) and max(r["count"] for r in counts) <= 150
+    bare = 6 if layout in ("tails", "zst") else 0  # one for every even month
+    assert sum(r["count"] for r in counts) == 2400 + bare
+    ends = games.where(F.trim("game") == "[Event" if layout != "zst" else F.col("game") == "")
+    assert ends.count() == bare and ends.select("source_month").distinct().count() == bare
+
+
+def test_dumps_in_several_files_are_replaced(spark, tables, monkeypatch):
+    monkeypatch.setattr(fixtures, "GAMES_PER_TASK", 60)
+    rows, root = fixtures.game_rows(spark, tables), f"{tables}/dumps"
+    dumps = fixtures.write_dumps(spark, rows, root)
+    assert len(dumps) == 12 and max(map(len, dumps.values())) > 1
+    games = read_games(spark, root)
+    assert {(r.source_month, r["count"]) for r in games.groupBy("source_month").count().collect()} == {
+        (m, 200) for m in dumps}
+    assert {p for paths in dumps.values() for p in paths} == {
+        f"{root}/{os.path.basename(p)}" for p in glob.glob(f"{root}/*")}
+    fixtures.write_dumps(spark, rows.where("l_orderkey < 6 and month(l_shipdate) = 4"), root)
+    left = read_games(spark, root).where("source_month = '1995-04'")
+    assert left.count() == 2 and read_games(spark, root).count() == 2200 + 2
+    assert all(os.path.exists(p) for p in dumps["1995-04"])
+
+
 def test_games_of_large_files_are_dealt_to_more_tasks(spark, tmp_dir, monkeypatch):
     text = "".join(f'[Event "{i}"]\n[Site "{i * 7919 % 10007}"]\n\n1. e4\n' for i in range(3000)).encode()
     path = write(f"{tmp_dir}/a.pgn.gz", gzip.compress(text))
