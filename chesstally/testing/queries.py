@@ -291,24 +291,31 @@ def csv_order_width_1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written CSV at bucket width 1, where nearly every game is a key of its own."""
     path = _run_dir(spark, "csvw") + "/agg.csv"
     write_csv(aggregate_games(games(spark, sf_dir), bucket_size=1), path)
-    return _numbered(read_aggregates_csv(spark, path))
+    return _numbered(spark, read_aggregates_csv(spark, path))
 
 
 def csv_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the written CSV with their position in the file."""
     path = _run_dir(spark, "csvo") + "/agg.csv"
     write_csv(stored_aggregate(spark, sf_dir), path)
-    return _numbered(read_aggregates_csv(spark, path))
+    return _numbered(spark, read_aggregates_csv(spark, path))
 
 
-def _numbered(df: DataFrame) -> DataFrame:
-    """Position of every row, from 1: ids grow over the partitions in their order."""
-    at = Window.orderBy(F.monotonically_increasing_id())
-    return df.withColumn("position", F.row_number().over(at))
+def _numbered(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Position of every row, from 1, in the order of the partitions: a row's number in its partition behind
+    the rows of those before. The numbered rows are kept, because a sort computed again may deal them differently."""
+    path = _run_dir(spark, "numbered")
+    df.withColumn("__id", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("__part", F.shiftright("__id", 33))
+    sizes = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    starts = sizes.select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+    position = F.col("__start") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(1)
+    return rows.join(F.broadcast(starts), "__part").select(*df.columns, position.cast("int").alias("position"))
 
 
 def plan_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _numbered(plan_range(spark, sf_dir))
+    return _numbered(spark, plan_range(spark, sf_dir))
 
 
 def ledger_appends(spark: SparkSession, sf_dir: str) -> DataFrame:

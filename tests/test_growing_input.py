@@ -89,3 +89,14 @@ def test_games_of_large_files_are_dealt_to_more_tasks(spark, tmp_dir, monkeypatc
     sizes = [n for n in dealt.rdd.glom().map(len).collect() if n]
     assert len(sizes) > 8 and max(sizes) < 1000
     assert sorted(r.game for r in dealt.collect()) == sorted(r.game for r in read_games(spark, path).collect())
+
+
+def test_positions_need_no_task_with_all_rows(spark, tmp_dir):
+    df = spark.range(1000).repartitionByRange(7, "id").where("id not between 100 and 400").selectExpr("id", "id % 3 as r")
+    got = queries._numbered(spark, df.orderBy(F.desc("id")))
+    assert got.columns == ["id", "r", "position"] and dict(got.dtypes)["position"] == "int"
+    rows = sorted((r.position, r.id) for r in got.collect())
+    want = [i for i in range(999, -1, -1) if not 100 <= i <= 400]
+    assert rows == list(enumerate(want, 1))
+    assert "row_number" not in got._jdf.queryExecution().executedPlan().toString()
+    assert queries._numbered(spark, df.where("id < 0")).collect() == []
