@@ -15,6 +15,18 @@ from chesstally.testing import fixtures, queries
 from tests.conftest import write
 
 
+@pytest.fixture()
+def tables(spark, tmp_dir):
+    """Orders of four games over the months of 1995, in one folder."""
+    rows = spark.range(2400).select(
+        F.floor(F.col("id") / 4).alias("l_orderkey"), (F.col("id") % 101).alias("l_partkey"),
+        (F.col("id") % 37).alias("l_suppkey"), (F.col("id") % 4 + 1).cast("int").alias("l_linenumber"),
+        (F.col("id") * 1.5).alias("l_extendedprice"),
+        F.make_date(F.lit(1995), (F.col("id") % 12 + 1).cast("int"), F.lit(3)).cast("timestamp_ntz").alias("l_shipdate"))
+    rows.coalesce(1).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    return tmp_dir
+
+
 def test_ranges_of_large_inputs_grow(tmp_dir):
     files = [["/a.pgn", 12_000_000_000], ["/b.pgn", 7]]
     ranges = pgn_source.PgnReader({"files": json.dumps(files), "splitbytes": "16384"}).partitions()
