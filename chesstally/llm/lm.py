@@ -25,14 +25,13 @@ from __future__ import annotations
 import heapq
 import math
 import uuid
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +48,7 @@ STEPS, RATE = 24, 0.01
 LANES, LANE_TOKENS = 128, 8192  # documents read side by side: one for so many tokens of a shard
 END, OTHER = 0, 1  # ids of the end of a text (also what precedes its first token) and of other words
 _FLUSH = 500_000  # distinct words that a task holds before it hands its counts on
+_SLICE = 1 << 14  # texts split at once (8 MB of them, or one text)
 _BUFFER = 8_000_000  # tokens that a scoring task holds to sort documents by length
 _ALPHABET = 40
 
@@ -58,8 +58,14 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def is_training(doc_id: int | None) -> bool:
-    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % FOLDS != HELD_OUT
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``tokens`` of many texts, one after another, and where each text's begin (and the last one's end)."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, begins = lists.values.cast(pa.binary()), lists.offsets.to_numpy()
+    some = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    if not some.all():  # white space at a text's begin or end leaves an empty word
+        words, begins = words.filter(pa.array(some)), np.concatenate([[0], np.cumsum(some)])[begins]
+    return words, begins
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -67,43 +73,55 @@ def held_out(id_col: str = "doc_id") -> Column:
                       F.lit(False))
 
 
+def _training(src: DataFrame) -> DataFrame:
+    """The rows of ``src`` (``id, ...``) that are learnt from."""
+    return src.where(F.col("id").isNotNull() & ~held_out("id"))
+
+
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``word binary, c long`` over all training documents; the end of a text is the empty word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
-
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()),
-                                               pa.array(held.values(), pa.int64())], ["word", "c"])
-
-        for part in slices(batches, 128):
-            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                if is_training(doc):
-                    held.update(tokens(text))
-                    held[b""] += 1
-            if len(held) >= _FLUSH:
-                yield out()
-                held = Counter()
+        held: list[pa.Table] = []
+        for part in slices(batches, _SLICE):
+            found = _words(part.column(0))[0].value_counts()
+            held.append(pa.table({"word": found.field(0), "c": found.field(1)}))
+            held.append(pa.table({"word": pa.array([b""]), "c": pa.array([part.num_rows])}))
+            if sum(map(len, held)) >= _FLUSH:
+                held = [_added(held)]
+                if len(held[0]) >= _FLUSH:
+                    yield from held.pop().to_batches()
         if held:
-            yield out()
+            yield from _added(held).to_batches()
 
-    part = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "word binary, c long"))
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    part = _training(src).select("text").mapInArrow(run, "word binary, c long")
     return part.groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _added(counts: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(counts).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"])
+
+
 class Spelling:
     """Byte four-grams of distinct words, each ended by a line feed (which no word holds); rare bytes
     share one symbol and are then equally likely."""
 
-    def __init__(self, words: list[bytes]):
+    def __init__(self, words: list[bytes] | pa.Array):
         self._alphabet(self.bytes_of(words))
         self._estimate(self.grams(words))
 
     @staticmethod
-    def bytes_of(words: list[bytes]) -> np.ndarray:
-        return np.bincount(np.frombuffer(b"".join(words), np.uint8), minlength=256).astype(float)
+    def ended(words: list[bytes] | pa.Array) -> np.ndarray:
+        """The words' bytes, a line feed after each word."""
+        words = words.cast(pa.binary()) if isinstance(words, pa.Array) else pa.array(words, pa.binary())
+        out = pc.binary_join_element_wise(words, b"", b"\n")
+        ends = np.frombuffer(out.buffers()[1], np.int32)[out.offset:out.offset + len(out) + 1]
+        return np.frombuffer(out.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+
+    @classmethod
+    def bytes_of(cls, words: list[bytes] | pa.Array) -> np.ndarray:
+        return np.bincount(cls.ended(words), minlength=256).astype(float)
 
     @classmethod
     def of_counts(cls, counts: DataFrame) -> Spelling:
@@ -113,7 +131,7 @@ class Spelling:
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total = 0
                 for part in slices(batches, 1 << 16):
-                    total = total + kernel(part.column(0).to_pylist())
+                    total = total + kernel(part.column(0))
                 at = np.flatnonzero(total) if np.ndim(total) else np.empty(0, int)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(at, pa.int64()), pa.array(total[at] if len(at) else [], pa.float64())], ["at", "n"])
@@ -140,9 +158,8 @@ class Spelling:
             self.symbol[b] = i + 2
         self.n = len(top) + 2
 
-    def grams(self, words: list[bytes]) -> np.ndarray:
-        data = np.frombuffer(b"".join(w + b"\n" for w in words), np.uint8)
-        return np.bincount(self._context(data), minlength=self.n ** 4).astype(float)
+    def grams(self, words: list[bytes] | pa.Array) -> np.ndarray:
+        return np.bincount(self._context(self.ended(words)), minlength=self.n ** 4).astype(float)
 
     def _estimate(self, grams: np.ndarray) -> None:
         n = self.n
@@ -171,24 +188,17 @@ class Spelling:
             at = at * self.n + symbol
         return at
 
-    def log_probability(self, words: list[bytes]) -> np.ndarray:
+    def log_probability(self, words: list[bytes] | pa.Array) -> np.ndarray:
         """Natural logarithm of each word's probability."""
-        if not words:
+        if not len(words):
             return np.empty(0)
-        data = np.frombuffer(b"\n".join(words) + b"\n", np.uint8)
+        data = self.ended(words)
         at = self._context(data)
         each = self.log[at].astype(np.float64) - np.where(at % self.n == 1, math.log(256), 0.0)
         ends = np.flatnonzero(data == 10)
         return np.add.reduceat(each, np.concatenate([[0], ends[:-1] + 1]))
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    np.exp(np.negative(x, out=x), out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
-
-
 def _bounded(x: np.ndarray) -> np.ndarray:
     """Logits, in place, kept where their exponentials and sums of these are finite: softmax then needs
     no maximum of each row."""
@@ -217,25 +227,35 @@ class Network:
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
     def states(self, ids: np.ndarray, h: np.ndarray, keep: np.ndarray | None = None):
-        """``ids[t, b]`` -> states after each input; ``keep`` (0 where a text begins) resets them and
-        asks for what the gradients need."""
-        u, n = self.p["u"], HIDDEN
-        x = self.p["x"][ids] + self.p["b"]
+        """``ids[t, b]`` -> states after each input, the last one, and the gates' and candidate's values with
+        what the gradients need; ``keep`` (0 where a text begins) resets states. Gates come first in all
+        arrays, so that each is in one piece."""
+        p, n = self.p, HIDDEN
+        # The two gates' inputs are negated: their sigmoids are then 1 / (1 + exp(input)).
+        sign = np.array([-1, -1, 1], h.dtype)[:, None, None]
+        u = p["u"].reshape(n, 3, n).transpose(1, 0, 2) * sign
+        x = np.take((p["x"] + p["b"]).reshape(self.vocab, 3, n).transpose(1, 0, 2) * sign, ids, axis=1)
         out = np.empty((*ids.shape, n), x.dtype)
-        trace = None if keep is None else [np.empty((*ids.shape, k), x.dtype) for k in (n, 2 * n, n, n)]
+        g = np.empty((3, len(h), n), x.dtype)
+        by_gate = None if keep is None else np.empty_like(out)
         resets = None if keep is None else (keep == 0).any(1)
         for t in range(len(ids)):
             if keep is not None and resets[t]:
                 h = h * keep[t][:, None]
-            g = h @ u
-            zr = _sigmoid(x[t, :, :2 * n] + g[:, :2 * n])
-            z, r = zr[:, :n], zr[:, n:]
-            c = np.tanh(x[t, :, 2 * n:] + r * g[:, 2 * n:])
-            if trace is not None:
-                trace[0][t], trace[1][t], trace[2][t], trace[3][t] = h, zr, c, g[:, 2 * n:]
-            h = c + z * (h - c)
-            out[t] = h
-        return out, h, trace
+            np.matmul(h, u, out=g)
+            zr, c = x[:2, t], x[2, t]
+            zr += g[:2]
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            if by_gate is not None:
+                by_gate[t] = g[2]
+            c += np.multiply(zr[1], g[2], out=g[2])
+            np.tanh(c, out=c)
+            h = np.subtract(h, c, out=out[t])
+            h *= zr[0]
+            h += c
+        return out, h, (x, by_gate)
 
     def log_probability(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None):
         """Log-probabilities of targets after states ``h``; with ``grads``, also the loss's gradient
@@ -245,72 +265,81 @@ class Network:
         h, target = h[order], target[order]
         cls, word = target // self.width, target % self.width
         rows = np.arange(len(target))
-        ones = np.ones(max(CLASSES, self.width), h.dtype)
-        x = h @ p["c"]
+        ends = np.searchsorted(cls, np.arange(CLASSES + 1))
+        groups = [(k, slice(ends[k], ends[k + 1])) for k in np.flatnonzero(np.diff(ends))]
+        # Only products are made class by class; all else is done for all targets at once.
+        x, own = h @ p["c"], rows * CLASSES + cls
         x = _bounded(np.add(x, p["cb"], out=x))
-        mine = x[rows, cls].astype(np.float64)
-        e = np.exp(x, out=x)
-        total = e @ ones[:CLASSES]
+        mine = x.take(own).astype(np.float64)
+        x = np.exp(x, out=x)
+        total = x @ np.ones(CLASSES, h.dtype)
         mine -= np.log(total)
-        dh = None
-        if grads is not None:
-            e /= total[:, None]
-            e[rows, cls] -= 1
-            dh = e @ p["c"].T
-            grads["c"] = h.T @ e
-            grads["cb"] = e.sum(0)
-            grads["o"], grads["ob"] = np.zeros_like(p["o"]), np.zeros_like(p["ob"])
-        ends = np.searchsorted(cls, np.arange(CLASSES + 1))
-        for k in np.flatnonzero(np.diff(ends)):
-            at = slice(ends[k], ends[k + 1])
-            hk = h[at]
-            x = hk @ p["o"][k]
-            x = _bounded(np.add(x, p["ob"][k], out=x))
-            own = rows[:len(x)], word[at]
-            part = x[own]
-            e = np.exp(x, out=x)
-            total = e @ ones[:self.width]
-            mine[at] += part - np.log(total)
-            if grads is not None:
-                e /= total[:, None]
-                e[own] -= 1
-                dh[at] += e @ p["o"][k].T
-                np.matmul(hk.T, e, out=grads["o"][k])
-                np.add.reduce(e, 0, out=grads["ob"][k])
+        y, own_word = np.empty((len(rows), self.width), h.dtype), rows * self.width + word
+        for k, at in groups:
+            part = np.matmul(h[at], p["o"][k], out=y[at])
+            part += p["ob"][k]
+        logit = _bounded(y).take(own_word)
+        y = np.exp(y, out=y)
+        ones, total_word = np.ones(self.width, h.dtype), np.empty(len(rows), h.dtype)
+        for _, at in groups:
+            np.matmul(y[at], ones, out=total_word[at])
+        mine += logit - np.log(total_word)
         out = np.empty_like(mine)
         out[order] = mine
-        if dh is not None:
-            back = np.empty_like(dh)
-            back[order] = dh
-            dh = back
-        return out, dh
+        if grads is None:
+            return out, None
+        x /= total[:, None]
+        x.reshape(-1)[own] -= 1
+        y /= total_word[:, None]
+        y.reshape(-1)[own_word] -= 1
+        grads["c"], grads["cb"] = h.T @ x, x.sum(0)
+        grads["o"], grads["ob"] = np.zeros_like(p["o"]), np.zeros_like(p["ob"])
+        dh, by_word = x @ p["c"].T, np.empty_like(h)
+        for k, at in groups:
+            np.matmul(y[at], p["o"][k].T, out=by_word[at])
+            np.matmul(h[at].T, y[at], out=grads["o"][k])
+            np.add.reduce(y[at], 0, out=grads["ob"][k])
+        dh += by_word
+        back = by_word
+        back[order] = dh
+        return out, back
 
     def gradients(self, ids, keep, target, mask, h0):
         """Loss and gradients of one window (truncated: the incoming state is a constant)."""
         p, n = self.p, HIDDEN
-        hs, h_last, (before, zr, c, gc) = self.states(ids, h0, keep)
+        hs, h_last, ((z, r, c), gc) = self.states(ids, h0, keep)
         grads: dict[str, np.ndarray] = {}
         live = np.flatnonzero(mask.ravel())
-        logp, dlive = self.log_probability(hs.reshape(-1, n)[live], target.ravel()[live], grads)
-        dout = np.zeros((mask.size, n), hs.dtype)
-        dout[live] = dlive
+        whole, flat = len(live) == mask.size, (hs.reshape(-1, n), target.ravel())
+        logp, dout = self.log_probability(*(flat if whole else (v[live] for v in flat)), grads)
+        if not whole:
+            dlive, dout = dout, np.zeros_like(flat[0])
+            dout[live] = dlive
         dout = dout.reshape(hs.shape)
-        z, r = zr[..., :n], zr[..., n:]
+        resets = (keep == 0).any(1)
+        before = np.concatenate([h0[None], hs[:-1]])
+        for t in np.flatnonzero(resets):
+            before[t] *= keep[t][:, None]
         by_c = (1 - z) * (1 - c * c)
         # What a unit of the state's gradient gives for the two gates and the candidate's recurrent part.
-        by = np.concatenate([(before - c) * z * (1 - z), by_c * gc * r * (1 - r), by_c * r], 2).reshape(*ids.shape, 3, n)
+        by = np.empty((*ids.shape, 3, n), hs.dtype)
+        np.multiply((before - c) * z, 1 - z, out=by[:, :, 0])
+        np.multiply(by_c * gc * r, 1 - r, out=by[:, :, 1])
+        np.multiply(by_c, r, out=by[:, :, 2])
         dg = np.empty((*ids.shape, 3 * n), hs.dtype)
-        back, resets = p["u"].T, (keep == 0).any(1)
-        dh = np.zeros_like(h0)
+        by_gate, back = dg.reshape(by.shape), p["u"].T
+        dh, part = np.zeros_like(h0), np.empty_like(h0)
         for t in range(len(ids) - 1, -1, -1):
-            dh = dout[t] = dout[t] + dh
-            dg[t] = (dh[:, None, :] * by[t]).reshape(-1, 3 * n)
-            dh = dh * z[t] + dg[t] @ back
+            here = dout[t]
+            here += dh
+            np.multiply(here[:, None], by[t], out=by_gate[t])
+            np.multiply(here, z[t], out=dh)
+            dh += np.matmul(dg[t], back, out=part)
             if resets[t]:
-                dh = dh * keep[t][:, None]
+                dh *= keep[t][:, None]
         grads["u"] = before.reshape(-1, n).T @ dg.reshape(-1, 3 * n)
         dx = dg
-        dx[..., 2 * n:] = dout * by_c
+        np.multiply(dout, by_c, out=dx[..., 2 * n:])
         flat, at = dx.reshape(-1, 3 * n), ids.ravel()
         order = np.argsort(at.astype(np.uint16), kind="stable")
         at = at[order]
@@ -328,6 +357,7 @@ class Network:
             return
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}
+        spare = {k: np.empty_like(x) for k, x in self.p.items()}
         total = sum(map(len, texts)) + len(texts)
         width = min(max(1, min(LANES, total // LANE_TOKENS)), len(texts))
         lanes: list[list[np.ndarray]] = [[] for _ in range(width)]
@@ -360,9 +390,13 @@ class Network:
             fixed = rate / (1 - 0.9 ** step), 1 / (1 - 0.99 ** step)
             for k, g in grads.items():
                 g *= clip
-                m[k] += 0.1 * (g - m[k])
-                v[k] += 0.01 * (g * g - v[k])
-                self.p[k] -= fixed[0] * m[k] / (np.sqrt(v[k] * fixed[1]) + 1e-8)
+                s = spare[k]
+                m[k] += np.multiply(np.subtract(g, m[k], out=s), 0.1, out=s)
+                np.subtract(np.multiply(g, g, out=s), v[k], out=s)
+                v[k] += np.multiply(s, 0.01, out=s)
+                np.sqrt(np.multiply(v[k], fixed[1], out=s), out=s)
+                s += 1e-8
+                self.p[k] -= np.divide(np.multiply(m[k], fixed[0], out=g), s, out=s)
 
     def score(self, texts: list[np.ndarray], steps: int = 32, batch: int = 512) -> np.ndarray:
         """Log-probability of each whole document (end included), in natural logarithms."""
@@ -408,7 +442,7 @@ class Model:
         get = self.ids.get
         return np.fromiter(map(get, words, repeat(OTHER)), np.uint16, len(words))
 
-    def log_spelt(self, words: list[bytes]) -> np.ndarray:
+    def log_spelt(self, words: list[bytes] | pa.Array) -> np.ndarray:
         """Logarithm of the spelling model's part of other words' probabilities: long words' parts are
         below the least double."""
         return self.spelling.log_probability(words) + math.log(self.spelled)
@@ -456,19 +490,21 @@ def _unpack(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
 def _coded(src: DataFrame, ids: dict[bytes, int], total: int) -> DataFrame:
     """Training rows of ``src`` (``id, text``) as ``round, shard, h, copy, data`` (16-bit ids), written once.
     A round of n tokens has n / ``SHARD_TOKENS`` shards, to which rows are dealt by hash."""
-    words = src.sparkSession.sparkContext.broadcast(ids)
+    table = src.sparkSession.sparkContext.broadcast(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = words.value.get
-        for part in slices(batches, 256):
-            texts = [tokens(t) for t in part.column(1).to_pylist()]
-            data = [np.fromiter(map(get, t, repeat(OTHER)), "<u2", len(t)).tobytes() for t in texts]
+        known = pa.array(list(table.value), pa.binary())
+        # One place more at the end, which place -1 reads.
+        to = np.array([*table.value.values(), OTHER], "<u2")
+        for part in slices(batches, _SLICE):
+            words, begins = _words(part.column(1))
+            data = to[pc.index_in(words, known).fill_null(-1).to_numpy()]
+            data = pa.Array.from_buffers(pa.large_binary(), len(part), [
+                None, pa.py_buffer(begins.astype(np.int64) * 2), pa.py_buffer(data)]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(t) + 1 for t in texts], pa.int64()), pa.array(data, pa.binary())],
-                ["h", "n", "data"])
+                [part.column(0), pa.array(np.diff(begins) + 1, pa.int64()), data], ["h", "n", "data"])
 
-    able = src.where(F.col("id").isNotNull() & ~held_out("id"))
-    rows = able.select(F.xxhash64("id", "text").alias("h"), "text").mapInArrow(run, "h long, n long, data binary")
+    rows = _training(src).select(F.xxhash64("id", "text").alias("h"), "text").mapInArrow(run, "h long, n long, data binary")
     # Equal rows become one with their number, then copies dealt one by one: a row that is there very many
     # times is in every shard.
     rows = (rows.groupBy("h", "n", "data").agg(F.count(F.lit(1)).alias("times"))
@@ -559,9 +595,9 @@ def fit(docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: st
 _TABLES: dict[str, tuple] = {}
 
 
-def _tables(name: str, m: Model) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
-    """Per word of the model's table: its place, the base's logarithm, the network's id, what it costs as
-    another word. Made once per worker process and model."""
+def _tables(name: str, m: Model) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of the model's table; by a word's place there, the base's logarithm, the network's id, what it
+    costs as another word. Made once per worker process and model."""
     if name not in _TABLES:
         place = {w: i for i, w in enumerate(m.counts)}
         # One place more at the end of each, which place -1 reads.
@@ -571,7 +607,7 @@ def _tables(name: str, m: Model) -> tuple[dict[bytes, int], np.ndarray, np.ndarr
         other = np.zeros(len(place) + 1)
         other[[place[w] for w in near]] = m.log_other(near, [m.counts[w] for w in near])
         _TABLES.clear()
-        _TABLES[name] = place, logs, ids, other
+        _TABLES[name] = pa.array(list(place), pa.binary()), logs, ids, other
     return _TABLES[name]
 
 
@@ -593,31 +629,31 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         task, at = TaskContext.get().partitionId(), 0
-        place, logs, ids, other = _tables(name, m)
+        table, logs, ids, other = _tables(name, m)
         end = m.counts.get(b"", 0)
         held: list[tuple[dict, np.ndarray]] = []  # columns of a slice, what other words add to scores
         texts: list[np.ndarray] = []
         size = 0
 
-        def columns(docs, words: list[list[bytes]]) -> int:
+        def columns(docs, words: pa.Array, places: np.ndarray) -> int:
             """All but the network's part; words whose counts are not here go on as lists."""
             nonlocal at
-            ends = np.cumsum([len(w) for w in words])
-            begins = np.concatenate([[0], ends[:-1]])
-            flat = list(chain.from_iterable(words))
-            spot = np.fromiter(map(place.get, flat, repeat(-1)), np.int32, len(flat))
+            begins, ends = places[:-1], places[1:]
+            coded = words.dictionary_encode()  # each word of the slice is looked up and spelt once
+            kinds, kind = coded.dictionary, coded.indices.to_numpy()
+            spots = pc.index_in(kinds, table).fill_null(-1).to_numpy()
+            spot = spots[kind]
             here = spot >= 0
 
             def sums(values: np.ndarray) -> np.ndarray:
                 total = np.concatenate([[0], np.cumsum(values)])
                 return total[ends] - total[begins]
 
-            far = np.flatnonzero(~here)
-            rare = [flat[i] for i in far]
-            kinds = list(dict.fromkeys(rare))
-            spelt = dict(zip(kinds, m.log_spelt(kinds).tolist()))
-            offsets = pa.array(np.concatenate([[0], np.searchsorted(far, ends)]), pa.int32())
-            net = np.where(here, ids[spot], OTHER).astype(np.uint16)
+            far, rare = np.flatnonzero(~here), np.flatnonzero(spots < 0)
+            spelt = np.zeros(len(kinds))
+            spelt[rare] = m.log_spelt(kinds.take(pa.array(rare)))
+            offsets = pa.array(np.searchsorted(far, places), pa.int32())
+            net = ids[spot]  # OTHER for words that are not in the table
             texts.extend(net[a:b] for a, b in zip(begins, ends))
             rid = (task << 36) + at
             at += len(docs)
@@ -626,10 +662,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 "n_tokens": pa.array(ends - begins + 1, pa.int64()),
                 "known": pa.array(sums(here) + (end > 0), pa.int64()),
                 "logs": pa.array(sums(np.where(here, logs[spot], 0.0)) + math.log10(end + 1), pa.float64()),
-                "words": pa.ListArray.from_arrays(offsets, pa.array(rare, pa.binary())),
-                "spelt": pa.ListArray.from_arrays(offsets, pa.array([spelt[w] for w in rare], pa.float64()))},
+                "words": pa.ListArray.from_arrays(offsets, kinds.take(pa.array(kind[far]))),
+                "spelt": pa.ListArray.from_arrays(offsets, pa.array(spelt[kind[far]], pa.float64()))},
                 sums(np.where(here, other[spot], 0.0))))
-            return len(flat) + len(docs)
+            return len(words) + len(docs)
 
         def flush():
             scores, done = m.network.score(texts), 0
@@ -639,8 +675,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays([cols[c] for c in order], order)
 
         order = ["rid", "doc_id", "n_tokens", "known", "logs", "ln", "words", "spelt"]
-        for part in slices(batches, 256):
-            size += columns(part.column(0), [tokens(t) for t in part.column(1).to_pylist()])
+        for part in slices(batches, _SLICE):
+            size += columns(part.column(0), *_words(part.column(1)))
             if size >= _BUFFER:
                 yield from flush()
                 held, texts, size = [], [], 0

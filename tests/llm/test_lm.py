@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from chesstally.llm import lm
@@ -77,6 +78,33 @@ def test_gradients_by_differences():
             assert grads[name].reshape(-1)[at] == pytest.approx((up - down) / (2 * eps), abs=2e-3)
 
 
+def test_classes_share_their_steps(monkeypatch):
+    """Logits of all classes are bounded and exponentiated at once, not class by class."""
+    net, sizes = small_network(64), []
+    bounded = lm._bounded
+    monkeypatch.setattr(lm, "_bounded", lambda x: sizes.append(x.shape) or bounded(x))
+    h = np.random.default_rng(2).normal(size=(64, lm.HIDDEN))
+    together, _ = net.log_probability(h, np.arange(64))
+    assert sizes == [(64, lm.CLASSES), (64, net.width)]
+    alone = [net.log_probability(h[i:i + 1], np.arange(i, i + 1))[0][0] for i in range(64)]
+    assert together == pytest.approx(alone, rel=1e-9)
+
+
+def test_words_of_many_texts_at_once():
+    r = random.Random(12)
+    marks = [*" \t\n\x0b\x0c\r", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u3000", "\0", *"AzÉİ漢\x08\x0e\x7f"]
+    texts = ["".join(r.choice(marks) for _ in range(r.randrange(12))) for _ in range(3000)] + [None, "", " ", " a ", "b"]
+    for some in (texts, texts[-5:], texts[-5:-4], []):
+        words, begins = lm._words(pa.array(["cut off", *some], pa.string()).slice(1))
+        words = words.to_pylist()
+        assert begins[-1] == len(words) and len(begins) == len(some) + 1
+        assert [words[a:b] for a, b in zip(begins, begins[1:])] == [lm.tokens(t) for t in some]
+    words = [w for t in texts for w in lm.tokens(t)]
+    one, many = lm.Spelling(words), lm.Spelling(pa.array([b"", *words], pa.binary()).slice(1))
+    assert (one.log == many.log).all()
+    assert (one.log_probability(words) == many.log_probability(pa.array([b"", *words], pa.binary()).slice(1))).all()
+
+
 def test_documents_against_brute_force(make, monkeypatch):
     monkeypatch.setattr(lm, "KNOWN_WORDS", 20)
     monkeypatch.setattr(lm, "_FLUSH", 50)
