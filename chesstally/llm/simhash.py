@@ -123,8 +123,9 @@ def hamming_links(fps: DataFrame, max_bits: int = 3, segments: int = 2, dense: i
     probes = (keys.select("fp", "seg", F.col("key").alias("own"), F.explode(balls).alias("flip"))
               .select("fp", "seg", F.col("own").bitwiseXOR(F.col("flip")).alias("key"),
                       (F.col("flip") == 0).alias("home")))
-    # Hits in the table; a fingerprint that meets only itself goes.
-    hits = materialize(probes.join(held, ["seg", "key"]).where("n > 1 or fp != one"), "simhash-hits")
+    # Hits in the table; a fingerprint that meets only itself goes. Spark sizes exploded rows as if there were one
+    # of each, and would broadcast dozens of probes per fingerprint: both sides are sorted and merged instead.
+    hits = materialize(probes.hint("merge").join(held, ["seg", "key"]).where("n > 1 or fp != one"), "simhash-hits")
     single = (hits.where("n = 1")
               .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("one"))) <= max_bits)
               .select(F.col("one").alias("u"), F.col("fp").alias("v")))

@@ -206,3 +206,14 @@ def test_halves_of_the_rest_agree():
                 b ^= 1 << r.randrange(width)
             assert any(a & m == b & m for m in masks)
         assert min(m.bit_count() for m in masks) >= (width // 2 - bits if bits else width)
+
+
+def test_probes_are_never_broadcast(spark, monkeypatch):
+    """Spark sizes exploded rows by the table that they come from, which can be a few MB for GBs of probes."""
+    plans, real = {}, simhash.materialize
+    monkeypatch.setattr(simhash, "materialize", lambda df, label: (
+        plans.update({label: df._jdf.queryExecution().executedPlan().toString()}), real(df, label))[1])
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"  # the default
+    fps = simhash.materialize(spark.range(2000).selectExpr("xxhash64(id) as fp"), "fps")  # a file of 16 kB
+    assert simhash.hamming_links(fps).count() == 0
+    assert "SortMergeJoin" in plans["simhash-hits"] and "Broadcast" not in plans["simhash-hits"]
