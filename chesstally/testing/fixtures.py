@@ -152,9 +152,10 @@ def pgn_dataset(spark: SparkSession, sf_dir: str, layout: str = "monthly") -> st
         staging = f"{target}.tmp-{uuid.uuid4().hex}"
         if layout == "monthly":
             _monthly(_in_ranges(rows, by)).write.partitionBy("source_month").text(staging)
-        elif layout == "halves":  # run=0 and run=1 hold games of every month
+        elif layout == "halves":  # run=0 and run=1 hold games of every month, in gzip files
             rows = _in_ranges(rows.withColumn("run", F.col("l_orderkey") % 2), ["run", *by])
-            rows.select("run", "source_month", game_text(rows)).write.partitionBy("run", "source_month").text(staging)
+            (rows.select("run", "source_month", game_text(rows))
+             .write.option("compression", "gzip").partitionBy("run", "source_month").text(staging))
         elif layout == "gzip":
             (_monthly(_in_ranges(rows, by))
              .write.option("compression", "gzip").partitionBy("source_month").text(staging))

@@ -112,3 +112,27 @@ def test_positions_need_no_task_with_all_rows(spark, tmp_dir):
     assert rows == list(enumerate(want, 1))
     assert "row_number" not in got._jdf.queryExecution().executedPlan().toString()
     assert queries._numbered(spark, df.where("id < 0")).collect() == []
+
+
+def _bytes_below(root):
+    return sum(os.path.getsize(p) for p in glob.glob(f"{root.removeprefix('file:')}/**/*", recursive=True)
+               if os.path.isfile(p) and not os.path.basename(p).startswith("_"))
+
+
+def _text_bytes(spark, tables):
+    return fixtures.generated_games(spark, tables).agg(F.sum(F.length("game") + 1)).first()[0]
+
+
+def _kept_whole(spark, tables, monkeypatch, name):
+    """Runs a query; its result, and the folders of generated games that it read."""
+    roots, real = [], fixtures.pgn_dataset
+    monkeypatch.setattr(fixtures, "GENERATOR_VERSION", f"test-{os.path.basename(tables)}")
+    monkeypatch.setattr(fixtures, "pgn_dataset", lambda *a: (roots.append(real(*a)), roots[-1])[1])
+    monkeypatch.setattr(queries, "_run_dir", lambda s, kind: f"{tables}/{kind}")
+    return queries.QUERIES[name](spark, tables), roots
+
+
+def test_landed_halves_take_less_disk_than_their_text(spark, tables, monkeypatch):
+    got, (root,) = _kept_whole(spark, tables, monkeypatch, "landed_two_runs")
+    assert got.agg(F.sum("games")).first()[0] == 2400
+    assert 0 < _bytes_below(root) < _text_bytes(spark, tables) / 3
