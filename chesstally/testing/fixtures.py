@@ -244,12 +244,13 @@ def _even_month() -> Column:
     return F.substring("source_month", 6, 2).cast("int") % 2 == 0
 
 
-def write_dumps(spark: SparkSession, rows: DataFrame, root: str) -> dict[str, list[str]]:
+def write_dumps(spark: SparkSession, rows: DataFrame, root: str, packed: bool = False) -> dict[str, list[str]]:
     """The dump of every month of ``rows`` (:func:`game_rows`) at ``root``, named like published dumps, in as
-    many files as tasks wrote it; it replaces the month's dump that is there (a file of that one that is no
-    longer needed becomes empty). Returns ``{month: paths}``."""
-    staging = f"{root}.tmp-{uuid.uuid4().hex}"
-    _monthly(_in_ranges(rows, ["source_month", "l_orderkey"])).write.partitionBy("source_month").text(staging)
+    many files as tasks wrote it (``packed``: gzip files); it replaces the month's dump that is there (a file of
+    that one that is no longer needed becomes empty). Returns ``{month: paths}``."""
+    staging, end = f"{root}.tmp-{uuid.uuid4().hex}", ".gz" if packed else ""
+    (_monthly(_in_ranges(rows, ["source_month", "l_orderkey"]))
+     .write.option("compression", "gzip" if packed else "none").partitionBy("source_month").text(staging))
     fs.mkdirs(spark, root)
     there = set(fs.list_files(spark, root))
     out: dict[str, list[str]] = {}
@@ -257,7 +258,7 @@ def write_dumps(spark: SparkSession, rows: DataFrame, root: str) -> dict[str, li
         month = d.rstrip("/").rsplit("source_month=", 1)[-1]
         stem = f"{root}/games_rated_{month}.pgn"
         parts = [f for f in fs.list_files(spark, d) if "/part-" in f]
-        out[month] = [stem, *(f"{stem}.{i}" for i in range(1, len(parts)))]
+        out[month] = [stem + end, *(f"{stem}.{i}{end}" for i in range(1, len(parts)))]
         for part, path in zip(parts, out[month]):
             fs.move_file(spark, part, path)
         new = {p.rsplit("/", 1)[-1] for p in out[month]}

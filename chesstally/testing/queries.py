@@ -255,14 +255,14 @@ def ingest_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_reingest_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every month's files ingested; then a third of the months have no games any more, a third has
+    """Every month's files (gzip) ingested; then a third of the months have no games any more, a third has
     half of them, and all are ingested again."""
     run = _run_dir(spark, "changed")
     g = fixtures.game_rows(spark, sf_dir)
-    dumps = fixtures.write_dumps(spark, g, run + "/dumps")
+    dumps = fixtures.write_dumps(spark, g, run + "/dumps", packed=True)
     store.ingest_games(read_games(spark, run + "/dumps"), run + "/store")
     third = F.substring("source_month", 6, 2).cast("int") % 3
-    fixtures.write_dumps(spark, g.where((third == 1) & (F.col("l_orderkey") % 2 == 0)), run + "/dumps")
+    fixtures.write_dumps(spark, g.where((third == 1) & (F.col("l_orderkey") % 2 == 0)), run + "/dumps", packed=True)
     for month, paths in dumps.items():
         if int(month[5:7]) % 3 == 0:
             for path in paths:

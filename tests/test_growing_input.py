@@ -136,3 +136,15 @@ def test_landed_halves_take_less_disk_than_their_text(spark, tables, monkeypatch
     got, (root,) = _kept_whole(spark, tables, monkeypatch, "landed_two_runs")
     assert got.agg(F.sum("games")).first()[0] == 2400
     assert 0 < _bytes_below(root) < _text_bytes(spark, tables) / 3
+
+
+def test_changed_dumps_take_less_disk_than_their_text(spark, tables, monkeypatch):
+    monkeypatch.setattr(fixtures, "GAMES_PER_TASK", 60)
+    got, _ = _kept_whole(spark, tables, monkeypatch, "store_reingest_changed")
+    # Months 3, 6 ... have no games any more, months 1, 4 ... those of even orders.
+    left = fixtures.game_rows(spark, tables).where(
+        "month(l_shipdate) % 3 = 2 or month(l_shipdate) % 3 = 1 and l_orderkey % 2 = 0").count()
+    assert got.agg(F.sum("games")).first()[0] == left and 0 < left < 1600
+    held = _bytes_below(f"{tables}/changed/dumps")
+    assert 0 < held < read_games(spark, f"{tables}/changed/dumps").agg(F.sum(F.length("game"))).first()[0] / 3
+    assert sum(not os.path.getsize(p) for p in glob.glob(f"{tables}/changed/dumps/*")) >= 4
