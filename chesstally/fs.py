@@ -62,7 +62,8 @@ def move_file(spark: SparkSession, src: str, dst: str) -> None:
 
 def join_files(spark: SparkSession, parts: list[str], dst: str) -> None:
     """One file of the parts in their order, replacing ``dst``; the parts are consumed. HDFS links their
-    blocks together; elsewhere the driver's JVM copies streams, a megabyte at a time."""
+    blocks together; elsewhere the driver's JVM copies streams, a megabyte at a time, and a part goes as soon
+    as it is copied, so that the disk holds one of them twice at most."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
     parent, _, name = dst.rstrip("/").rpartition("/")
@@ -85,6 +86,7 @@ def join_files(spark: SparkSession, parts: list[str], dst: str) -> None:
                     jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
                 finally:
                     source.close()
+                fs.delete(path(part), False)
         finally:
             out.close()
     move_file(spark, joined, dst)

@@ -8,6 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from chesstally import fs
 from chesstally.operators.aggregate import rebalance_games
 from chesstally.sources import pgn, pgn_source
 from chesstally.sources.pgn import read_games
@@ -148,3 +149,21 @@ def test_changed_dumps_take_less_disk_than_their_text(spark, tables, monkeypatch
     held = _bytes_below(f"{tables}/changed/dumps")
     assert 0 < held < read_games(spark, f"{tables}/changed/dumps").agg(F.sum(F.length("game"))).first()[0] / 3
     assert sum(not os.path.getsize(p) for p in glob.glob(f"{tables}/changed/dumps/*")) >= 4
+
+
+def test_csv_at_width_1_takes_less_disk_than_the_text(spark, tables, monkeypatch):
+    got, (root,) = _kept_whole(spark, tables, monkeypatch, "csv_order_width_1")
+    rows = got.collect()
+    assert sum(r.games for r in rows) == 2400 and sorted(r.position for r in rows) == list(range(1, len(rows) + 1))
+    assert 0 < _bytes_below(root) < _text_bytes(spark, tables) / 3
+
+
+def test_joined_parts_go_as_they_are_copied(spark, tmp_dir):
+    parts = [write(f"{tmp_dir}/p/{i}", f"{i}\n" * 3) for i in range(4)]
+    fs.join_files(spark, parts, f"{tmp_dir}/all")
+    assert open(f"{tmp_dir}/all").read() == "".join(f"{i}\n" * 3 for i in range(4))
+    assert os.listdir(f"{tmp_dir}/p") == []
+    late = write(f"{tmp_dir}/p/late", "x\n")
+    with pytest.raises(Exception, match="absent"):  # a part that was not reached stays, and so does the file
+        fs.join_files(spark, [f"{tmp_dir}/absent", late], f"{tmp_dir}/all")
+    assert os.listdir(f"{tmp_dir}/p") == ["late"] and os.path.getsize(f"{tmp_dir}/all") == 24
